@@ -98,3 +98,53 @@ def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None) -> st
     defs = {**FIXTURES, **(extra or {})}
     parts = [f"{n} as ({defs[n]})" for n in names]
     return ("with " + ",\n".join(parts) + "\n" if parts else "") + body
+
+FIXTURES["stream_records"] = """
+select concat('streams/landing_date=', d, '/batch.csv') as source_key, d as landing_date, event_id, copy_no,
+       case when day_no % 4 <> 0 and event_id % 101 = 0 then null
+            when day_no % 4 <> 0 and event_id % 113 = 0 then '  '
+            else cast(user_id as varchar) end as user_id,
+       case when day_no % 4 <> 0 and event_id % 103 = 0 then '' when event_id % 37 = 0 then 'T_MISSING'
+            else concat('T', cast((event_id * 7) % 200 as varchar)) end as track_id,
+       case when day_no % 7 = 3 and day_no % 5 <> 0 then null
+            when day_no % 4 <> 0 and event_id % 107 = 0 then ' ' || chr(9)
+            when event_id % 109 = 0 then 'not-a-date'
+            else substr(cast(ts as varchar), 1, 19) end as listen_time
+from (select *, substr(cast(ts as varchar), 1, 10) as d, cast(substr(cast(ts as varchar), 9, 2) as int) as day_no
+      from (select *, 0 as copy_no from events union all select *, 1 as copy_no from events where event_id % 50 = 0) u) e"""
+
+FIXTURES["stream_headers"] = """
+select concat('streams/landing_date=', d, '/batch.csv') as source_key, d as landing_date,
+       case when day_no % 5 = 0 then ['user_id', 'track_id', 'listen_time', 'device']
+            when day_no % 7 = 3 then ['user_id', 'track_id']
+            else ['user_id', 'track_id', 'listen_time'] end as fields
+from (select distinct substr(cast(ts as varchar), 1, 10) as d, cast(substr(cast(ts as varchar), 9, 2) as int) as day_no
+      from events) x"""
+
+FIXTURES["records"] = """
+select *, cast(row_number() over (partition by source_key order by event_id, copy_no) + 1 as integer) as row_no
+from stream_records"""
+
+BLANK = "({c} is null or regexp_replace({c}, '^\\s+|\\s+$', '', 'g') = '')"
+
+FIXTURES["errors"] = " union all ".join(
+    f"""select source_key, row_no, {i} as field_idx, '{f}' as field,
+              concat('Row ', cast(row_no as varchar), ': missing required field ''{f}''') as error
+       from records where {BLANK.format(c=f)}"""
+    for i, f in enumerate(["user_id", "track_id", "listen_time"])
+)
+
+FIXTURES["verdict"] = """
+select h.source_key, coalesce(r.n, 0) as record_count,
+       case when coalesce(r.n, 0) = 0 then 1 else coalesce(e.n, 0) end as error_count,
+       (case when coalesce(r.n, 0) = 0 then 1 else coalesce(e.n, 0) end) = 0 as valid
+from stream_headers h
+left join (select source_key, count(*) as n from records group by 1) r on r.source_key = h.source_key
+left join (select source_key, count(*) as n from errors group by 1) e on e.source_key = h.source_key"""
+
+FIXTURES["files"] = """
+select source_key, landing_date, fields, 'bronze' as bucket, concat('exec-', landing_date) as execution_id,
+       concat(landing_date, 'T06:00:00Z') as event_time
+from stream_headers"""
+
+VALIDATION_CTES = ("stream_records", "stream_headers", "records", "errors", "verdict", "files")

@@ -161,3 +161,159 @@ def q_star_genre_kpis(spark, sf_dir):
 def q_star_top_songs(spark, sf_dir):
     """D2 over the large batch."""
     return D.top_songs(curated_star(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------------
+# B: validate
+# ---------------------------------------------------------------------------------------------------
+
+from lakekpi import constants as K  # noqa: E402
+from lakekpi.operators import numbering as NUM  # noqa: E402
+from lakekpi.operators import validate as B  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+PROCESSED_AT = "2024-02-01 00:00:00"
+
+
+def batch_files(spark, sf_dir) -> DataFrame:
+    h = X.stream_headers(spark, sf_dir)
+    return h.select(
+        "source_key",
+        "landing_date",
+        "fields",
+        F.lit("bronze").alias("bucket"),
+        F.concat(F.lit("exec-"), F.col("landing_date")).alias("execution_id"),
+        F.concat(F.col("landing_date"), F.lit("T06:00:00Z")).alias("event_time"),
+    )
+
+
+def batch_records(spark, sf_dir) -> DataFrame:
+    r = X.stream_records(spark, sf_dir)
+    return NUM.number_within(r, ["source_key"], ["event_id", "copy_no"], out="row_no", start=K.FIRST_DATA_ROW)
+
+
+def _val(body: str) -> str:
+    return O.with_ctes(body, *O.VALIDATION_CTES)
+
+
+@register("record_numbers", _val("select source_key, event_id, copy_no, row_no from records"))
+def q_record_numbers(spark, sf_dir):
+    """File line numbers of the records (skew-safe numbering)."""
+    return batch_records(spark, sf_dir).select("source_key", "event_id", "copy_no", "row_no")
+
+
+@register("validation_errors", _val("select source_key, row_no, field, error from errors"))
+def q_validation_errors(spark, sf_dir):
+    """B2: one error per (record, missing or blank required field)."""
+    return B.record_errors(batch_records(spark, sf_dir)).select("source_key", "row_no", "field", "error")
+
+
+@register("file_verdict", _val("select * from verdict"))
+def q_file_verdict(spark, sf_dir):
+    """B3/B4."""
+    rec = batch_records(spark, sf_dir)
+    return B.file_counts(batch_files(spark, sf_dir), rec, B.record_errors(rec))
+
+
+_DRIFT_SQL = """
+select source_key,
+       nullif(array_to_string(list_sort(list_filter(fields, lambda x: x not in ('user_id', 'track_id', 'listen_time'))), ','), '') as unknown_fields,
+       nullif(array_to_string(list_sort(list_filter(['user_id', 'track_id', 'listen_time'], lambda x: not list_contains(fields, x))), ','), '') as missing_required_fields,
+       cast(null as varchar) as missing_optional_fields
+from stream_headers"""
+
+
+def _flat_drift(df: DataFrame) -> DataFrame:
+    m = F.col("schema_drift")
+    return df.select(
+        "source_key",
+        *[F.array_join(m[k], ",").alias(k) for k in ("unknown_fields", "missing_required_fields", "missing_optional_fields")],
+    )
+
+
+@register("schema_drift", _val(_DRIFT_SQL))
+def q_schema_drift(spark, sf_dir):
+    """B6 (map flattened to one text column per entry)."""
+    rec = batch_records(spark, sf_dir)
+    files = batch_files(spark, sf_dir)
+    return _flat_drift(B.schema_drift(files, B.file_counts(files, rec, B.record_errors(rec))))
+
+
+@register("derive_run_date", _val(f"""
+select h.source_key, coalesce(strftime(min(cast({O.PARSE} as date)), '%Y-%m-%d'), h.landing_date) as run_date
+from stream_headers h left join stream_records r on r.source_key = h.source_key
+group by h.source_key, h.landing_date"""))
+def q_derive_run_date(spark, sf_dir):
+    """B7."""
+    return B.derive_run_date(batch_files(spark, sf_dir), X.stream_records(spark, sf_dir))
+
+
+@register("manifest", _val("""
+select v.source_key, concat('streams/manifests/', substr(v.source_key, 9), '.json') as manifest_key,
+       v.record_count, v.error_count, v.valid, fe.first_errors
+from verdict v left join (
+    select source_key, string_agg(error, '|' order by row_no, field_idx) as first_errors
+    from (select *, row_number() over (partition by source_key order by row_no, field_idx) as k from errors) t
+    where k <= 20 group by source_key) fe on fe.source_key = v.source_key"""))
+def q_manifest(spark, sf_dir):
+    """Manifest key, counts, verdict and the first 20 errors of each file."""
+    v = B.validate(batch_files(spark, sf_dir), batch_records(spark, sf_dir))
+    return v.select(
+        "source_key", "manifest_key", "record_count", "error_count", "valid",
+        F.array_join("errors", "|").alias("first_errors"),
+    )
+
+
+@register("status_tags", _val("""
+select source_key, case when valid then 'true' else 'false' end as validated,
+       substr(concat('exec-', substr(source_key, 22, 10)), 1, 256) as pipeline_run_id,
+       substr(substr(source_key, 22, 10), 1, 256) as landing_date
+from verdict"""))
+def q_status_tags(spark, sf_dir):
+    """B9."""
+    return B.status_tags(B.validate(batch_files(spark, sf_dir), batch_records(spark, sf_dir)))
+
+
+@register("dq_report", _val(f"""
+select f.execution_id as batch_id, substr(f.event_time, 1, 10) as event_date, f.bucket, f.source_key as key,
+       v.record_count, v.error_count, timestamp '{PROCESSED_AT}' as processed_at,
+       cast(epoch(timestamp '{PROCESSED_AT}') as bigint) + 2592000 as expires_at
+from files f join verdict v on v.source_key = f.source_key"""))
+def q_dq_report(spark, sf_dir):
+    """B10 (errors and drift columns omitted from the compared projection)."""
+    v = B.validate(batch_files(spark, sf_dir), batch_records(spark, sf_dir))
+    r = B.dq_report(v, F.lit(PROCESSED_AT).cast("timestamp"))
+    return r.select("batch_id", "event_date", "bucket", "key", "record_count", "error_count", "processed_at", "expires_at")
+
+
+@register("quarantine_ledger", _val("""
+select f.execution_id, f.source_key as key, true as quarantined, concat('bronze/', f.source_key) as quarantine_key,
+       cast(null as varchar) as error
+from files f join verdict v on v.source_key = f.source_key where not v.valid"""))
+def q_quarantine_ledger(spark, sf_dir):
+    """B11 + B12: invalid files and their quarantine keys."""
+    v = B.validate(batch_files(spark, sf_dir), batch_records(spark, sf_dir))
+    return B.quarantine_ledger(v)
+
+
+@register("valid_records", _val("""
+select r.source_key, r.row_no, r.user_id, r.track_id, r.listen_time
+from records r join verdict v on v.source_key = r.source_key where v.valid"""))
+def q_valid_records(spark, sf_dir):
+    """Records of valid files only (semi-join on the verdict set)."""
+    rec = batch_records(spark, sf_dir)
+    v = B.validate(batch_files(spark, sf_dir), rec)
+    good, _ = B.route(v, rec)
+    return good.select("source_key", "row_no", "user_id", "track_id", "listen_time")
+
+
+@register("dq_lookup", _val(f"""
+select f.execution_id as batch_id, substr(f.event_time, 1, 10) as event_date, v.record_count, v.error_count,
+       v.error_count / v.record_count as rejection_rate
+from files f join verdict v on v.source_key = f.source_key
+where f.execution_id = 'exec-2024-01-07' and substr(f.event_time, 1, 10) = '2024-01-07'"""))
+def q_dq_lookup(spark, sf_dir):
+    """One batch's report and rejection rate."""
+    v = B.validate(batch_files(spark, sf_dir), batch_records(spark, sf_dir))
+    r = B.dq_lookup(B.dq_report(v, F.lit(PROCESSED_AT).cast("timestamp")), "exec-2024-01-07", "2024-01-07")
+    return r.select("batch_id", "event_date", "record_count", "error_count", "rejection_rate")
