@@ -317,3 +317,138 @@ def q_dq_lookup(spark, sf_dir):
     v = B.validate(batch_files(spark, sf_dir), batch_records(spark, sf_dir))
     r = B.dq_lookup(B.dq_report(v, F.lit(PROCESSED_AT).cast("timestamp")), "exec-2024-01-07", "2024-01-07")
     return r.select("batch_id", "event_date", "record_count", "error_count", "rejection_rate")
+
+
+# ---------------------------------------------------------------------------------------------------
+# C14-C16 gates, H metrics and alarms
+# ---------------------------------------------------------------------------------------------------
+
+from lakekpi.operators import gates as G  # noqa: E402
+from lakekpi.operators import metrics as H  # noqa: E402
+
+_GATES_SQL = f"""
+select count(*) as "RawCount",
+       count(*) filter (where user_id is not null and track_id is not null and listen_time is not null) as "AfterDropNaCount",
+       (select count(*) from (select distinct user_id, track_id, listen_time from raw
+         where user_id is not null and track_id is not null and listen_time is not null) d) as "AfterDedupCount",
+       (select count(*) from (select distinct user_id, track_id, listen_time from raw
+         where user_id is not null and track_id is not null and listen_time is not null) d
+         where {O.PARSE} is not null) as "AfterTimestampParseCount",
+       (select count(*) from (select distinct user_id, track_id, listen_time from raw
+         where user_id is not null and track_id is not null and listen_time is not null) d
+         join songs s on s.track_id = d.track_id where {O.PARSE} is not null) as "AfterSongsJoinCount",
+       (select count(*) from (select track_id from songs group by track_id having count(*) > 1) x) as "DuplicateSongKeys"
+from raw"""
+
+_GATES_FULL = f"""select *, "AfterTimestampParseCount" - "AfterSongsJoinCount" as "UnmatchedSongsCount",
+       case when "RawCount" > 0 then ("RawCount" - "AfterSongsJoinCount") / cast("RawCount" as double) else 0.0 end
+       as drop_rate
+from ({_GATES_SQL}) g"""
+
+
+@register("dq_gates", O.with_ctes(_GATES_FULL, "raw", "songs"))
+def q_dq_gates(spark, sf_dir):
+    """C14 + C15: gate counts and drop rate in one row."""
+    return G.with_drop_rate(G.gate_counts(X.raw(spark, sf_dir), X.songs(spark, sf_dir)))
+
+
+@register("star_dq_gates", O.with_ctes(
+    _GATES_FULL.replace("from raw", "from star").replace("join songs", "join songs_all").replace("from songs", "from songs_all"),
+    "star", "songs_all"))
+def q_star_dq_gates(spark, sf_dir):
+    """C14 + C15 over the large batch."""
+    return G.with_drop_rate(G.gate_counts(X.star(spark, sf_dir), X.songs(spark, sf_dir, limit_keys=False)))
+
+
+RUN_KEY = "streams/landing_date=2024-01-05/batch.csv"
+_GATE_NAMES = ["RawCount", "AfterDropNaCount", "AfterDedupCount", "AfterTimestampParseCount",
+               "AfterSongsJoinCount", "UnmatchedSongsCount"]
+
+
+@register("dq_metrics_long")
+def q_dq_metrics_long(spark, sf_dir):
+    """Gate counts as long-form metric rows (dimension map flattened to job / run_date)."""
+    from lakekpi.functions.text import extract_run_date
+
+    g = G.gate_counts(X.raw(spark, sf_dir), X.songs(spark, sf_dir))
+    m = H.gates_to_metrics(g, extract_run_date(F.lit(RUN_KEY)))
+    return m.select(
+        "namespace", "metric_name", "value", "unit",
+        F.col("dimensions")["Job"].alias("job"), F.col("dimensions")["RunDate"].alias("run_date"),
+    )
+
+
+ORACLES["dq_metrics_long"] = O.with_ctes(
+    " union all ".join(
+        f"""select 'MusicPipeline/DQ' as namespace, '{m}' as metric_name, cast("{m}" as double) as value,
+                   'Count' as unit, 'silver_etl' as job, '2024-01-05' as run_date from g"""
+        for m in _GATE_NAMES
+    )
+    + """ union all select 'MusicPipeline/DQ', 'DropRatePct', drop_rate * 100.0, 'Percent', 'silver_etl',
+                           cast(null as varchar) from g""",
+    "raw", "songs", "g", extra={"g": _GATES_FULL},
+)
+
+ROLLUP_PERIOD = 300
+
+
+@register("metric_rollup", O.with_ctes(f"""
+select time_bucket(interval {ROLLUP_PERIOD} second, ts) as period_start, metric_name,
+       cast(sum(cast(value as decimal(18,2))) as double) as sum,
+       cast(sum(cast(value as decimal(18,2))) as double) / count(value) as average,
+       max(value) as maximum, count(value) as sample_count
+from metric_samples group by 1, 2""", "metric_samples"))
+def q_metric_rollup(spark, sf_dir):
+    """H1: 5-minute Sum / Average / Maximum / SampleCount per metric."""
+    return H.rollup(X.metric_samples(spark, sf_dir), ROLLUP_PERIOD, exact_scale=2)
+
+
+# Alarm rules over the sample metrics: threshold, freshness (H3) and zero-load (H4) shapes.
+SAMPLE_RULES = [
+    ("error-value-high", "error", "Sum", 3600, ">", 60.0, "notBreaching"),
+    ("signup-freshness", "signup", "SampleCount", 90000, "<", 1.0, "breaching"),
+    ("purchase-zero-load", "purchase", "SampleCount", 86400, "<", 1.0, "missing"),
+    ("click-max-high", "click", "Maximum", 300, ">", 40.0, "notBreaching"),
+    ("view-avg-low", "view", "Average", 21600, "<", 20.0, "missing"),
+]
+ALARM_START, ALARM_END = "2024-01-01 00:00:00", "2024-02-02 00:00:00"
+
+
+def _rules_sql() -> str:
+    vals = ", ".join(f"('{a}', '{b}', '{c}', {d}, '{e}', {f}, '{g}')" for a, b, c, d, e, f, g in SAMPLE_RULES)
+    return f"select * from (values {vals}) r(rule_name, metric_name, statistic, period_seconds, comparator, threshold, missing)"
+
+
+def _ps(expr: str, p: str) -> str:
+    return f"make_timestamp(cast(floor(epoch({expr}) / {p}) * {p} as bigint) * 1000000)"
+
+
+ORACLES_ALARMS = O.with_ctes(f"""
+, agg as (
+  select rule_name, {_ps('s.ts', 'r.period_seconds')} as period_start,
+         cast(sum(cast(value as decimal(18,2))) as double) as _sum, max(value) as _max, count(value) as _cnt
+  from metric_samples s join rules r on r.metric_name = s.metric_name group by 1, 2),
+spine as (
+  select r.*, unnest(generate_series({_ps(f"timestamp '{ALARM_START}'", 'r.period_seconds')},
+                                     timestamp '{ALARM_END}' - interval 1 second,
+                                     to_seconds(r.period_seconds))) as period_start
+  from rules r),
+j as (
+  select s.rule_name, s.period_start, s.comparator, s.threshold, s.missing,
+         case when a._cnt > 0 then case s.statistic when 'Sum' then a._sum when 'Average' then a._sum / a._cnt
+              when 'Maximum' then a._max when 'SampleCount' then cast(a._cnt as double) end end as value
+  from spine s left join agg a on a.rule_name = s.rule_name and a.period_start = s.period_start)
+select rule_name, period_start, value,
+       case when value is null and missing = 'breaching' then 'ALARM'
+            when value is null and missing = 'notBreaching' then 'OK'
+            when value is null then 'INSUFFICIENT_DATA'
+            when (comparator = '>' and value > threshold) or (comparator <> '>' and value < threshold) then 'ALARM'
+            else 'OK' end as state
+from j""", "metric_samples", extra={}).replace("\n, agg as", f",\nrules as ({_rules_sql()}),\nagg as", 1)
+
+
+@register("alarm_states", ORACLES_ALARMS)
+def q_alarm_states(spark, sf_dir):
+    """H2-H4: alarm state per rule and period over the full period spine."""
+    rules = H.rules_frame(spark, SAMPLE_RULES)
+    return H.evaluate_alarms(X.metric_samples(spark, sf_dir), rules, ALARM_START, ALARM_END, exact_scale=2)
