@@ -452,3 +452,132 @@ def q_alarm_states(spark, sf_dir):
     """H2-H4: alarm state per rule and period over the full period spine."""
     rules = H.rules_frame(spark, SAMPLE_RULES)
     return H.evaluate_alarms(X.metric_samples(spark, sf_dir), rules, ALARM_START, ALARM_END, exact_scale=2)
+
+
+# ---------------------------------------------------------------------------------------------------
+# E: serve
+# ---------------------------------------------------------------------------------------------------
+
+from lakekpi.operators import serve as E  # noqa: E402
+
+LOADED_AT = "2024-02-01 00:00:00"
+
+
+def _loaded():
+    return F.lit(LOADED_AT).cast("timestamp")
+
+
+def _dec(x: str) -> str:
+    return (f"case when {x} is null or isnan({x}) or isinf({x}) then cast(0 as decimal(38,18)) "
+            f"else cast(cast({x} as varchar) as decimal(38,18)) end")
+
+
+_EXP = "cast(epoch(timestamp '2024-02-01 00:00:00') as bigint) + {d} * 86400"
+
+_GENRE_ITEMS_SQL = f"""
+select genre, date, cast(listen_count as integer) as listen_count, cast(unique_listeners as integer) as unique_listeners,
+       {_dec('total_listen_seconds')} as total_listen_seconds,
+       {_dec('avg_listen_seconds_per_user')} as avg_listen_seconds_per_user,
+       'unknown' as ingested_at, 'unknown' as source_execution_id, {_EXP.format(d=90)} as expires_at
+from ({O.GENRE_KPIS_SQL}) k"""
+
+_SONG_ITEMS_SQL = f"""
+select genre_date, rank, track_id, track_name, cast(play_count as integer) as play_count,
+       'unknown' as ingested_at, 'unknown' as source_execution_id, {_EXP.format(d=365)} as expires_at, date
+from ({O.TOP_SONGS_SQL.format(n=3)}) s"""
+
+_GENRE_RANK_ITEMS_SQL = f"""
+select date, rank, genre, cast(listen_count as integer) as listen_count,
+       'unknown' as ingested_at, 'unknown' as source_execution_id, {_EXP.format(d=365)} as expires_at
+from ({O.TOP_GENRES_SQL.format(n=5)}) s"""
+
+
+def serving_genre_kpis(spark, sf_dir, cur=None):
+    return E.genre_kpi_items(D.genre_kpis(cur if cur is not None else curated(spark, sf_dir)), loaded_at=_loaded())
+
+
+@register("serving_genre_kpis", _cur(_GENRE_ITEMS_SQL))
+def q_serving_genre_kpis(spark, sf_dir):
+    """E1 + E4 + E8: genre KPI items with exact decimals and expiry."""
+    return serving_genre_kpis(spark, sf_dir)
+
+
+@register("serving_top_songs", _cur(_SONG_ITEMS_SQL))
+def q_serving_top_songs(spark, sf_dir):
+    """E2."""
+    return E.top_song_items(D.top_songs(curated(spark, sf_dir)), loaded_at=_loaded())
+
+
+@register("serving_top_genres", _cur(_GENRE_RANK_ITEMS_SQL))
+def q_serving_top_genres(spark, sf_dir):
+    """E3."""
+    return E.top_genre_items(D.top_genres(curated(spark, sf_dir)), loaded_at=_loaded())
+
+
+# Upsert scenario: the table holds KPIs of an earlier, partial run (even user ids only, every day); the new
+# batch carries the full KPIs of the first 15 days.
+UPSERT_CUTOFF = "2024-01-15"
+
+_UPSERT_SQL = O.with_ctes(f"""
+, old_cur as (select * from curated where user_id % 2 = 0),
+old_items as ({_GENRE_ITEMS_SQL.replace('from curated', 'from old_cur')}),
+new_items as (select * from ({_GENRE_ITEMS_SQL}) n where date <= '{UPSERT_CUTOFF}')
+select * from old_items o where not exists (select 1 from new_items n where n.date = o.date)
+union all
+select * from old_items o where exists (select 1 from new_items n where n.date = o.date)
+  and not exists (select 1 from new_items n where n.genre = o.genre and n.date = o.date)
+union all
+select * from new_items""", *_CUR, "curated", extra=_CUR_CTE).replace("\n, old_cur", ",\nold_cur", 1)
+
+
+@register("serving_upsert", _UPSERT_SQL)
+def q_serving_upsert(spark, sf_dir):
+    """E5: the genre-KPI table after upserting a batch over an older version."""
+    cur = curated(spark, sf_dir)
+    old = serving_genre_kpis(spark, sf_dir, cur.filter(F.col("user_id") % 2 == 0))
+    new = serving_genre_kpis(spark, sf_dir, cur).filter(F.col("date") <= UPSERT_CUTOFF)
+    return E.merged_view(old, new, E.GENRE_KPIS)
+
+
+TTL_NOW = "2024-04-20 00:00:00"
+
+
+@register("ttl_prune", _cur(f"""
+select * from ({_GENRE_ITEMS_SQL.replace(_EXP.format(d=90), "cast(epoch(cast(date as timestamp)) as bigint) + 90 * 86400")}) i
+where expires_at > cast(epoch(timestamp '{TTL_NOW}') as bigint)"""))
+def q_ttl_prune(spark, sf_dir):
+    """Items loaded at their day's midnight expire 90 days later; expired rows are pruned."""
+    k = D.genre_kpis(curated(spark, sf_dir))
+    items = E.genre_kpi_items(k, loaded_at=F.to_timestamp("date"))
+    return E.prune_expired(items, F.lit(TTL_NOW).cast("timestamp"))
+
+
+LOOKUP_GENRE, LOOKUP_DATE = "promo", "2024-01-09"
+
+
+@register("lookup_genre_days", _cur(f"select * from ({_GENRE_ITEMS_SQL}) i where genre = '{LOOKUP_GENRE}'"))
+def q_lookup_genre_days(spark, sf_dir):
+    """All days of one genre."""
+    return E.genre_days(serving_genre_kpis(spark, sf_dir), LOOKUP_GENRE)
+
+
+@register("lookup_genre_day", _cur(
+    f"select * from ({_GENRE_ITEMS_SQL}) i where genre = '{LOOKUP_GENRE}' and date = '{LOOKUP_DATE}'"))
+def q_lookup_genre_day(spark, sf_dir):
+    """One genre on one day."""
+    return E.genre_day(serving_genre_kpis(spark, sf_dir), LOOKUP_GENRE, LOOKUP_DATE)
+
+
+@register("lookup_songs_of_genre_date", _cur(
+    f"select * from ({_SONG_ITEMS_SQL}) i where genre_date = '{LOOKUP_GENRE}#{LOOKUP_DATE}'"))
+def q_lookup_songs(spark, sf_dir):
+    """The ranked songs of one genre#date."""
+    items = E.top_song_items(D.top_songs(curated(spark, sf_dir)), loaded_at=_loaded())
+    return E.songs_of_genre_date(items, f"{LOOKUP_GENRE}#{LOOKUP_DATE}")
+
+
+@register("lookup_genres_of_date", _cur(f"select * from ({_GENRE_RANK_ITEMS_SQL}) i where date = '{LOOKUP_DATE}'"))
+def q_lookup_genres(spark, sf_dir):
+    """The ranked genres of one day."""
+    items = E.top_genre_items(D.top_genres(curated(spark, sf_dir)), loaded_at=_loaded())
+    return E.genres_of_date(items, LOOKUP_DATE)
