@@ -581,3 +581,148 @@ def q_lookup_genres(spark, sf_dir):
     """The ranked genres of one day."""
     items = E.top_genre_items(D.top_genres(curated(spark, sf_dir)), loaded_at=_loaded())
     return E.genres_of_date(items, LOOKUP_DATE)
+
+
+# ---------------------------------------------------------------------------------------------------
+# A: admission, G: archive / retention, A16: partition spine
+# ---------------------------------------------------------------------------------------------------
+
+from lakekpi.operators import admission as A  # noqa: E402
+
+NOW_ADMIT = "2024-02-01 00:00:00"
+NOW_REPLAY = "2024-01-20 00:00:00"
+NOW_RETAIN = "2025-01-15 00:00:00"
+
+
+def _ts(s):
+    return F.lit(s).cast("timestamp")
+
+
+def run_ledger(listing: DataFrame) -> DataFrame:
+    """Earlier runs: contents seen 10 days before (blocking) or 100 days before (outside the window)."""
+    m = F.col("n_records") % 3
+    days = F.when(m == 1, F.lit(10)).when(m == 2, F.lit(100))
+    return listing.filter(m != 0).select(
+        F.col("etag").alias("execution_id"), (F.col("event_time") - F.make_dt_interval(days=days)).alias("started_at")
+    )
+
+
+def failed_deliveries(listing: DataFrame) -> DataFrame:
+    adm = A.admit(listing)
+    return adm.select(
+        "object_key",
+        (F.col("n_records") % 4).alias("attempts"),
+        "event_time",
+        (F.col("event_time") + F.make_dt_interval(secs=(F.col("n_records") % 5) * 1000)).alias("failed_at"),
+    )
+
+
+_LEDGER_SQL = """
+select etag as execution_id,
+       event_time - case when n_records % 3 = 1 then interval 10 day else interval 100 day end as started_at
+from listing where n_records % 3 <> 0"""
+
+_ADMIT_WHERE = ("object_key like 'streams/landing_date=%' and object_key like '%.csv' "
+                "and object_key not like 'streams/manifests/%'")
+
+_FAILED_SQL = f"""
+select object_key, n_records % 4 as attempts, event_time,
+       event_time + to_seconds((n_records % 5) * 1000) as failed_at
+from listing where {_ADMIT_WHERE}"""
+
+_CLASSIFIED_SQL = f"""
+select object_key, attempts, event_time, failed_at,
+       cast(epoch(failed_at) - epoch(event_time) as bigint) as event_age_s,
+       case when attempts <= 2 and epoch(failed_at) - epoch(event_time) <= 3600 then 'retry'
+            when epoch(timestamp '{NOW_REPLAY}') - epoch(failed_at) <= 14 * 86400 then 'dead_letter'
+            else 'expired' end as disposition
+from failed"""
+
+
+def _lst(body, *more, extra=None):
+    return O.with_ctes(body, "listing", *more, extra=extra)
+
+
+@register("admit_files", _lst(f"""
+select 'bronze' as bucket, object_key as key,
+       case when object_key like '%landing_date=%' then split_part(split_part(object_key, 'landing_date=', 2), '/', 1)
+            else '' end as landing_date,
+       event_time, etag as execution_id
+from listing where {_ADMIT_WHERE}"""))
+def q_admit_files(spark, sf_dir):
+    """A1 + A2 + A5: decoded, admitted keys as run inputs."""
+    lst = A.decode_keys(X.listing(spark, sf_dir))
+    return A.run_inputs(A.admit(lst), "bronze")
+
+
+@register("landing_date", _lst("""
+select object_key, etag, event_time, n_records,
+       case when object_key like '%landing_date=%' then split_part(split_part(object_key, 'landing_date=', 2), '/', 1)
+            else '' end as landing_date,
+       coalesce(nullif(regexp_extract(object_key, 'landing_date=(\\d{4}-\\d{2}-\\d{2})', 1), ''), 'unknown') as run_date
+from listing"""))
+def q_landing_date(spark, sf_dir):
+    """A3 (a) and (b) on every listed key."""
+    return A.with_dates(X.listing(spark, sf_dir))
+
+
+@register("dedupe_files", _lst(f"""
+, firsts as (
+  select etag, arg_min(object_key, (event_time, object_key)) as object_key, min(event_time) as event_time,
+         arg_min(n_records, (event_time, object_key)) as n_records
+  from listing where {_ADMIT_WHERE} group by etag)
+select f.object_key, f.etag, f.event_time, f.n_records from firsts f
+where f.etag not in (select execution_id from ledger where started_at > timestamp '{NOW_ADMIT}' - interval 90 day)""",
+    "ledger", extra={"ledger": _LEDGER_SQL}).replace("\n, firsts", ",\nfirsts", 1))
+def q_dedupe_files(spark, sf_dir):
+    """A4: first object per content hash, minus contents that started a run in the last 90 days."""
+    lst = X.listing(spark, sf_dir)
+    return A.new_runs(A.admit(lst), run_ledger(lst), _ts(NOW_ADMIT))
+
+
+@register("replay_selection", _lst(_CLASSIFIED_SQL, "failed", extra={"failed": _FAILED_SQL}))
+def q_replay_selection(spark, sf_dir):
+    """Failed deliveries classified retry / dead_letter / expired."""
+    return A.classify_failures(failed_deliveries(X.listing(spark, sf_dir)), _ts(NOW_REPLAY))
+
+
+@register("replay_keys", _lst(f"""
+select * from listing where {_ADMIT_WHERE}
+  and object_key in (select object_key from classified where disposition = 'dead_letter')""",
+    "failed", "classified", extra={"failed": _FAILED_SQL, "classified": _CLASSIFIED_SQL}))
+def q_replay_keys(spark, sf_dir):
+    """Listing entries to replay (dead-lettered deliveries)."""
+    lst = X.listing(spark, sf_dir)
+    return A.replay_set(lst, A.classify_failures(failed_deliveries(lst), _ts(NOW_REPLAY)))
+
+
+@register("archive_candidates", _lst(f"""
+select * from listing where {_ADMIT_WHERE} and length(object_key) > 0
+  and object_key in (select object_key from listing where n_records % 2 = 0)"""))
+def q_archive_candidates(spark, sf_dir):
+    """G1: of the given keys (every key with an even record count), the archivable stream files."""
+    lst = X.listing(spark, sf_dir)
+    return A.archive_candidates(lst, lst.filter(F.col("n_records") % 2 == 0))
+
+
+@register("retention_prune", _lst(f"""
+select l.object_key, l.etag, l.event_time, l.n_records, p.area, p.days,
+       cast(date_diff('day', cast(l.event_time as date), date '{NOW_RETAIN[:10]}') as integer) as age_days
+from listing l join (values ('archive', 2555), ('quarantine', 90), ('results', 14), ('streams', 365)) p(area, days)
+  on split_part(l.object_key, '/', 1) = p.area
+where date_diff('day', cast(l.event_time as date), date '{NOW_RETAIN[:10]}') > p.days"""))
+def q_retention_prune(spark, sf_dir):
+    """Listed objects past their area's retention."""
+    return A.retention_prune(X.listing(spark, sf_dir), A.retention_policy(spark), _ts(NOW_RETAIN))
+
+
+SPINE_END = "2024-02-15"
+
+
+@register("missing_days", O.with_ctes(f"""
+select cast(d as date) as day from generate_series(date '2024-01-01', date '{SPINE_END}', interval 1 day) g(d)
+where cast(d as date) not in (select distinct cast(ts as date) from events)"""))
+def q_missing_days(spark, sf_dir):
+    """Days of the projected partition range without data."""
+    ev = X.table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"))
+    return A.missing_days(ev, K.PARTITION_PROJECTION_START, SPINE_END)
