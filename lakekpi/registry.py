@@ -726,3 +726,75 @@ def q_missing_days(spark, sf_dir):
     """Days of the projected partition range without data."""
     ev = X.table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"))
     return A.missing_days(ev, K.PARTITION_PROJECTION_START, SPINE_END)
+
+
+# ---------------------------------------------------------------------------------------------------
+# I: prepare, J: backfill / late rebuild
+# ---------------------------------------------------------------------------------------------------
+
+from lakekpi.operators import prepare as P  # noqa: E402
+from lakekpi.plans import backfill as J  # noqa: E402
+
+
+@register("load_trim", O.with_ctes(
+    "select trim(cast(user_id as varchar)) as user_id, trim(track_id) as track_id, trim(listen_time) as listen_time from raw",
+    "raw"))
+def q_load_trim(spark, sf_dir):
+    """Trimmed text fields."""
+    return P.trim_fields(X.raw(spark, sf_dir))
+
+
+@register("landing_partitions", O.with_ctes(f"""
+select strftime(cast({O.PARSE} as date), '%Y-%m-%d') as landing_date, count(*) as n_records
+from raw where {O.PARSE} is not null group by 1""", "raw"))
+def q_landing_partitions(spark, sf_dir):
+    """Rows per landing batch (rows with a parseable listen time)."""
+    clean = X.raw(spark, sf_dir).filter(F.try_to_timestamp("listen_time", F.lit(K.LISTEN_TIME_FORMAT)).isNotNull())
+    return P.landing_counts(clean)
+
+
+SAMPLE_N = 500
+
+
+@register("bounded_sample", O.with_ctes(f"""
+select source_key, event_id, copy_no, user_id, track_id, listen_time from stream_records
+order by (event_id * 2654435761) % 1000003, event_id, copy_no limit {SAMPLE_N}""", "stream_records"))
+def q_bounded_sample(spark, sf_dir):
+    """A 500-row sample by a deterministic pseudo-random order."""
+    r = X.stream_records(spark, sf_dir).select("source_key", "event_id", "copy_no", "user_id", "track_id", "listen_time")
+    key = [(F.col("event_id") * F.lit(2654435761)) % F.lit(1000003), F.col("event_id"), F.col("copy_no")]
+    return P.sample_rows(r, SAMPLE_N, order_key=key)
+
+
+BACKFILL_START, BACKFILL_END = "2024-01-05", "2024-01-12"
+
+
+@register("backfill_range", _cur(f"""select * from ({O.GENRE_KPIS_SQL}) k
+where date between '{BACKFILL_START}' and '{BACKFILL_END}'"""))
+def q_backfill_range(spark, sf_dir):
+    """Genre KPIs of a date range in one job."""
+    return J.backfill_kpis(curated(spark, sf_dir), BACKFILL_START, BACKFILL_END)["genre_kpis_daily"]
+
+
+LATE_DAYS = ("2024-01-03", "2024-01-17")
+
+
+def _late_filter():
+    return F.substring("listen_time", 1, 10).isin(*LATE_DAYS) & (F.substring("listen_time", 12, 2) == "23")
+
+
+@register("late_rebuild", O.with_ctes(f"""
+select * from ({O.GENRE_KPIS_SQL}) k
+where date in (select distinct strftime(event_date, '%Y-%m-%d') from late_cur)""",
+    *_CUR, "curated", "late_raw", "late_cur",
+    extra={**_CUR_CTE,
+           "late_raw": "select * from raw where substr(listen_time, 1, 10) in "
+                       f"('{LATE_DAYS[0]}', '{LATE_DAYS[1]}') and substr(listen_time, 12, 2) = '23'",
+           "late_cur": O.curated_sql("late_raw")}))
+def q_late_rebuild(spark, sf_dir):
+    """A late batch arrives; every day it touches is rebuilt from all rows of that day."""
+    raw = X.raw(spark, sf_dir)
+    songs, users = X.songs(spark, sf_dir), X.users(spark, sf_dir)
+    late = C.curate(raw.filter(_late_filter()), songs, users)
+    everything = C.curate(raw, songs, users)
+    return D.genre_kpis(J.rebuild_days(everything, J.affected_days(late)))
