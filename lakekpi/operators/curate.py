@@ -20,9 +20,10 @@ def drop_missing(df: DataFrame) -> DataFrame:
     return df.dropna(subset=S.TRIPLET)
 
 
-def dedup_triplet(df: DataFrame) -> DataFrame:
-    """One row per (user_id, track_id, listen_time)."""
-    return df.dropDuplicates(S.TRIPLET)
+def dedup_triplet(df: DataFrame, scope: list[str] | None = None) -> DataFrame:
+    """One row per (user_id, track_id, listen_time) — per ``scope`` (e.g. ``["source_file"]`` to keep the
+    de-duplication inside each batch file when several files are curated together)."""
+    return df.dropDuplicates([*(scope or []), *S.TRIPLET])
 
 
 def parse_times(df: DataFrame) -> DataFrame:
@@ -30,9 +31,9 @@ def parse_times(df: DataFrame) -> DataFrame:
     return df.withColumn("listen_ts", parse_listen_ts("listen_time")).dropna(subset=["listen_ts"])
 
 
-def clean_streams(df: DataFrame) -> DataFrame:
+def clean_streams(df: DataFrame, scope: list[str] | None = None) -> DataFrame:
     """C4 = C1 then C2 then C3."""
-    return parse_times(dedup_triplet(drop_missing(df)))
+    return parse_times(dedup_triplet(drop_missing(df), scope))
 
 
 def select_songs(df: DataFrame) -> DataFrame:
@@ -98,6 +99,6 @@ def build_curated(
     return out.select(*cols)
 
 
-def curate(raw: DataFrame, songs: DataFrame, users: DataFrame, **kw) -> DataFrame:
+def curate(raw: DataFrame, songs: DataFrame, users: DataFrame, scope: list[str] | None = None, **kw) -> DataFrame:
     """Raw batch -> Silver rows (C4 + C13)."""
-    return build_curated(clean_streams(raw), songs, users, **kw)
+    return build_curated(clean_streams(raw, scope), songs, users, **kw)

@@ -65,7 +65,8 @@ def check_drop_rate(counts: dict, max_drop_rate: float = K.MAX_DROP_RATE) -> flo
     return rate
 
 
-def observe_gates(raw: DataFrame, songs: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+def observe_gates(raw: DataFrame, songs: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  scope: list[str] | None = None):
     """The curate pipeline up to the song join with an ``Observation`` at each gate.
 
     Returns (joined DataFrame, {gate name: Observation}).  Values are available after an action on a plan
@@ -75,7 +76,7 @@ def observe_gates(raw: DataFrame, songs: DataFrame, max_rows: int = DEFAULT_MAX_
     one = F.count(F.lit(1))
     r = raw.observe(obs["RawCount"], one.alias("n"))
     d = C.drop_missing(r).observe(obs["AfterDropNaCount"], one.alias("n"))
-    u = C.dedup_triplet(d).observe(obs["AfterDedupCount"], one.alias("n"))
+    u = C.dedup_triplet(d, scope).observe(obs["AfterDedupCount"], one.alias("n"))
     t = C.parse_times(u).observe(obs["AfterTimestampParseCount"], one.alias("n"))
     j = C.join_songs(t, songs, max_rows).observe(obs["AfterSongsJoinCount"], one.alias("n"))
     return j, obs
