@@ -99,14 +99,14 @@ def upsert(existing: DataFrame, batch: DataFrame, table: ServingTable, replace_d
     if replace_days:
         return batch
     kept = touched.join(batch.select(table.pk, table.sk), [table.pk, table.sk], "left_anti")
-    return kept.unionByName(batch)
+    return kept.unionByName(batch).select(*batch.columns)
 
 
 def merged_view(existing: DataFrame, batch: DataFrame, table: ServingTable, replace_days: bool = False) -> DataFrame:
     """The whole table after the upsert (untouched days + merged days)."""
     days = batch.select(table.day_col).distinct()
     untouched = existing.join(sized_broadcast(days), table.day_col, "left_anti")
-    return untouched.unionByName(upsert(existing, batch, table, replace_days))
+    return untouched.unionByName(upsert(existing, batch, table, replace_days)).select(*batch.columns)
 
 
 def prune_expired(df: DataFrame, now: Column | None = None) -> DataFrame:
