@@ -50,7 +50,9 @@ def archive(spark: SparkSession, landing_root: str, archive_root: str, keys: Dat
     lines = raw_lines(spark, landing_root, keys)
     copy_lines(lines.select("value", "object_key"), archive_root)
     src = _fingerprint(lines)
-    back = spark.read.text(archive_root).select("value", F.col("object_key"))
+    back = spark.read.text(archive_root)
+    if "object_key" not in back.columns:  # nothing was copied: no key folders to discover
+        back = spark.createDataFrame([], "value string, object_key string")
     dst = _fingerprint(back).withColumnRenamed("lines", "a_lines").withColumnRenamed("checksum", "a_checksum")
     st = keys.select("object_key").distinct().join(src, "object_key", "left").join(dst, "object_key", "left")
     ok = (F.col("lines") == F.col("a_lines")) & (F.col("checksum") == F.col("a_checksum"))

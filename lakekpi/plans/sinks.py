@@ -35,7 +35,8 @@ def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None) ->
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
-    return spark.read.parquet(path)
+    # read back with the known schema: partition values keep their types, an empty result stays readable
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark, path: str) -> bool:
