@@ -15,8 +15,23 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+_PROBED: dict[tuple[int, int], bool] = {}
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, remember: bool = True) -> bool:
+    """Bounded row-count probe.  Answers are remembered per (plan, bound) for the life of the process, so a
+    dimension used by several steps of one run is probed once; call ``forget_probes`` when inputs change."""
+    key = (df.semanticHash(), max_rows)
+    if remember and key in _PROBED:
+        return _PROBED[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if remember:
+        _PROBED[key] = ok
+    return ok
+
+
+def forget_probes() -> None:
+    _PROBED.clear()
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
