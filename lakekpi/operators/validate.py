@@ -25,9 +25,8 @@ def _blank(c: Column) -> Column:
     return c.isNull() | (strip_ws(c) == "")
 
 
-def record_errors(records: DataFrame) -> DataFrame:
-    """B2: one row per (record, missing field): source_key, row_no, field_idx, field, error."""
-    items = [
+def _error_items(records: DataFrame) -> Column:
+    return F.array_compact(F.array(*[
         F.when(
             _blank(F.col(f)),
             F.struct(
@@ -39,8 +38,21 @@ def record_errors(records: DataFrame) -> DataFrame:
             ),
         )
         for i, f in enumerate(S.REQUIRED_FIELDS)
-    ]
-    return records.select("source_key", "row_no", F.inline(F.array_compact(F.array(*items))))
+    ]))
+
+
+def record_errors(records: DataFrame) -> DataFrame:
+    """B2: one row per (record, missing field): source_key, row_no, field_idx, field, error."""
+    return records.select("source_key", "row_no", F.inline(_error_items(records)))
+
+
+def file_stats(records: DataFrame) -> DataFrame:
+    """B2-B4 + B7 in one aggregate per file: record_count, record-level error count, earliest listen date."""
+    return records.groupBy("source_key").agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.sum(F.size(_error_items(records))).alias("_errs"),
+        F.min(F.to_date(parse_listen_ts("listen_time"))).alias("_first_day"),
+    )
 
 
 def file_counts(files: DataFrame, records: DataFrame, errors: DataFrame) -> DataFrame:
@@ -106,22 +118,33 @@ def first_errors(errors: DataFrame, files: DataFrame | None = None, n: int = K.M
 
 
 def validate(files: DataFrame, records: DataFrame) -> DataFrame:
-    """One verdict row per file with counts, drift, run date, first errors and manifest key."""
-    errors = record_errors(records)
-    counts = file_counts(files, records, errors)
-    drift = schema_drift(files, counts)
-    run_date = derive_run_date(files, records)
-    errs = first_errors(errors)
+    """One verdict row per file with counts, drift, run date, first errors and manifest key.
+
+    Two passes over the records: one aggregate per file (counts, errors, earliest date) and the bounded
+    top-20 error list.
+    """
+    stats = file_stats(records)
     extra = [c for c in ("bucket", "execution_id", "event_time") if c in files.columns]
+    fcols = ["fields", "first_row_extra"] if "first_row_extra" in files.columns else ["fields"]
+    base = (
+        files.select("source_key", "landing_date", *fcols, *extra)
+        .join(stats, "source_key", "left")
+        .withColumn("record_count", F.coalesce("record_count", F.lit(0)).cast("long"))
+    )
+    empty = F.col("record_count") == 0
+    error_count = F.when(empty, F.lit(1)).otherwise(F.coalesce("_errs", F.lit(0))).cast("long")
+    base = base.withColumn("error_count", error_count).withColumn("valid", error_count == 0)
+    drift = schema_drift(base.select("source_key", *fcols), base.select("source_key", "record_count"))
+    errs = first_errors(record_errors(records))
     empty_err = F.array(F.lit(K.EMPTY_FILE_ERROR))
     return (
-        files.select("source_key", "landing_date", *extra)
-        .join(counts, "source_key")
-        .join(drift, "source_key")
-        .join(run_date, "source_key")
+        base.join(drift, "source_key")
         .join(errs, "source_key", "left")
-        .withColumn("errors", F.when(F.col("record_count") == 0, empty_err).otherwise(F.col("errors")))
+        .withColumn("run_date", F.coalesce(date_string("_first_day"), F.col("landing_date")))
+        .withColumn("errors", F.when(empty, empty_err).otherwise(F.col("errors")))
         .withColumn("manifest_key", manifest_key("source_key"))
+        .select("source_key", "landing_date", *extra, "record_count", "error_count", "valid", "schema_drift",
+                "run_date", "errors", "manifest_key")
     )
 
 

@@ -30,11 +30,8 @@ def run_load(spark: SparkSession, gold_root: str, serving_root: str, days: list[
              execution_id: str | None = None, loaded_at: Column | None = None, replace_days: bool = False,
              run_date: str | None = None) -> LoadResult:
     """Probe the Gold day folders (naming every unreadable file), then upsert the three serving tables."""
-    for name in ("genre_kpis_daily", "top_songs_by_genre_daily", "top_genres_daily"):
-        for d in days:
-            folder = f"{gold_table(gold_root, name)}/date={d}"
-            if sinks.path_exists(spark, folder):
-                assert_readable(spark, folder)
+    if sinks.path_exists(spark, gold_root):
+        assert_readable(spark, gold_root, partition_col="date", values=days)  # one probe over all three tables
     plan = [
         (E.GENRE_KPIS, E.genre_kpi_items, "genre_kpis_daily", "GenreKpisLoaded"),
         (E.TOP_SONGS, E.top_song_items, "top_songs_by_genre_daily", "TopSongsLoaded"),

@@ -798,3 +798,80 @@ def q_late_rebuild(spark, sf_dir):
     late = C.curate(raw.filter(_late_filter()), songs, users)
     everything = C.curate(raw, songs, users)
     return D.genre_kpis(J.rebuild_days(everything, J.affected_days(late)))
+
+
+# ---------------------------------------------------------------------------------------------------
+# File-driven flows — landing CSVs written from the raw batch, then ingested
+# ---------------------------------------------------------------------------------------------------
+
+import os  # noqa: E402
+
+from lakekpi.session import scratch_path  # noqa: E402
+
+_PARSEABLE = f"{O.PARSE} is not null"
+
+
+def _land(spark, sf_dir, root: str) -> None:
+    """Landing batches (one CSV per listen day) from the raw batch's rows with a parseable time."""
+    raw = X.raw(spark, sf_dir).filter(F.try_to_timestamp("listen_time", F.lit(K.LISTEN_TIME_FORMAT)).isNotNull())
+    P.write_landing_batches(raw, f"{root}/streams", files_per_day=8)
+
+
+_STREAM_RAW = {"raw_ok": f"select * from raw where {_PARSEABLE}", "curated": O.curated_sql("raw_ok")}
+
+
+@register("stream_ingest_kpis", O.with_ctes(O.GENRE_KPIS_SQL, "raw", "songs", "users", "raw_ok", "curated",
+                                            extra=_STREAM_RAW))
+def q_stream_ingest(spark, sf_dir):
+    """Structured Streaming ingest (availableNow, foreachBatch) of the landed files; Gold read back."""
+    from lakekpi.plans.gold import read_gold
+    from lakekpi.streaming.ingest import ingest
+
+    root = scratch_path(spark, "stream-ingest")
+    _land(spark, sf_dir, f"{root}/landing")
+    ingest(spark, f"{root}/landing", f"{root}/checkpoint", X.songs(spark, sf_dir), X.users(spark, sf_dir),
+           f"{root}/silver", f"{root}/gold", max_drop_rate=1.0)
+    g = read_gold(spark, f"{root}/gold", "genre_kpis_daily")
+    return g.select("genre", "listen_count", "unique_listeners", "total_listen_seconds",
+                    "avg_listen_seconds_per_user", "date")
+
+
+def _land_mixed(spark, sf_dir, root: str) -> None:
+    """Landing batches where days divisible by 3 keep rows with a missing user or track (those files fail
+    validation and are quarantined) and other days carry complete rows only."""
+    raw = X.raw(spark, sf_dir).filter(F.try_to_timestamp("listen_time", F.lit(K.LISTEN_TIME_FORMAT)).isNotNull())
+    day = F.substring("listen_time", 9, 2).cast("int")
+    keep = (day % 3 == 0) | (F.col("user_id").isNotNull() & F.col("track_id").isNotNull())
+    P.write_landing_batches(raw.filter(keep), f"{root}/streams", files_per_day=8)
+
+
+_BATCH_RAW = {
+    "landed": f"""select * from raw where {_PARSEABLE} and (cast(substr(listen_time, 9, 2) as int) % 3 = 0
+                  or (user_id is not null and track_id is not null))""",
+    "valid_days": """select substr(listen_time, 1, 10) as d from landed group by 1
+                     having count(*) filter (where user_id is null or track_id is null) = 0""",
+    "raw_ok": "select * from landed where substr(listen_time, 1, 10) in (select d from valid_days)",
+    "curated": O.curated_sql("raw_ok"),
+}
+
+
+@register("batch_run_serving", O.with_ctes(
+    _GENRE_ITEMS_SQL.replace("'unknown' as source_execution_id", "'exec-batch' as source_execution_id")
+    .replace(_EXP.format(d=90), "cast(null as bigint)"),
+    "raw", "songs", "users", "landed", "valid_days", "raw_ok", "curated", extra=_BATCH_RAW))
+def q_batch_run(spark, sf_dir):
+    """One run over all landed files (validate -> quarantine | curate -> aggregate -> serve); serving items."""
+    from lakekpi.plans.batch import Layout, run_batch
+    from lakekpi.plans.load import serving_table
+
+    root = scratch_path(spark, "batch-run")
+    _land_mixed(spark, sf_dir, f"{root}/landing")
+    layout = Layout(*(f"{root}/{x}" for x in
+                      ("landing", "silver", "gold", "serving", "quarantine", "archive", "manifests", "ledger")))
+    run_batch(spark, layout, X.songs(spark, sf_dir), X.users(spark, sf_dir), execution_id="exec-batch",
+              event_time="2024-02-01T00:00:00Z", max_drop_rate=1.0, archive_files=False)
+    items = spark.read.parquet(serving_table(layout.serving, E.GENRE_KPIS))
+    return items.select(
+        "genre", "date", "listen_count", "unique_listeners", "total_listen_seconds", "avg_listen_seconds_per_user",
+        "ingested_at", "source_execution_id", F.lit(None).cast("bigint").alias("expires_at"),
+    )

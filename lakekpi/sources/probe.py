@@ -65,9 +65,14 @@ def probe_parquet(paths: DataFrame, deep: bool = False) -> DataFrame:
     return paths.select("path").mapInPandas(lambda it: _probe_parquet(it, deep), PROBE_SCHEMA)
 
 
-def assert_readable(spark: SparkSession, root: str, deep: bool = False) -> int:
-    """Fail naming every unreadable ``*.parquet`` file under ``root``; returns the number of files checked."""
+def assert_readable(spark: SparkSession, root: str, deep: bool = False, partition_col: str | None = None,
+                    values: list[str] | None = None) -> int:
+    """Fail naming every unreadable ``*.parquet`` file under ``root`` (optionally only inside the folders
+    ``partition_col=value`` for the given values)."""
     files = list_files(spark, root)
+    if partition_col and values is not None:
+        folder = F.regexp_extract("path", f"/{partition_col}=([^/]+)/", 1)
+        files = files.filter(folder.isin(list(values)))
     bad = probe_parquet(files, deep)
     # only the failures (normally none) come back to the driver, ordered and bounded by the number of files
     failures = bad.orderBy("path").collect()
@@ -77,4 +82,4 @@ def assert_readable(spark: SparkSession, root: str, deep: bool = False) -> int:
             f"Poison-partition guard: failed to parse {len(names)} Parquet file(s): {names}. "
             "Fix or remove the corrupted files and re-run."
         )
-    return files.count()
+    return len(failures)
