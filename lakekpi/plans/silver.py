@@ -13,6 +13,7 @@ from lakekpi.functions.text import extract_run_date
 from lakekpi.operators import curate as C
 from lakekpi.operators import gates as G
 from lakekpi.operators import metrics as M
+from lakekpi.operators.joins import sized_broadcast
 from lakekpi.plans import sinks
 from lakekpi.sources.csv_scan import guard_reference
 
@@ -63,13 +64,14 @@ def run_silver(
     table = silver_table(silver_root)
     written = 0
     if days:
+        merged = staged
         if sinks.table_exists(spark, table):
-            existing = spark.read.parquet(table).filter(F.col("event_date").isin(days))
-            files = staged.select("source_file").distinct()
-            kept = existing.join(files, "source_file", "left_anti")
-            merged = sinks.stage(kept.unionByName(staged), "silver-merge", ["event_date"])
-        else:
-            merged = staged
+            existing = spark.read.parquet(table).filter(F.col("event_date").isin(days))  # touched days only
+            if not existing.isEmpty():
+                # late or repeated files: keep the day's rows of other files, replace this batch's files
+                files = sized_broadcast(staged.select("source_file").distinct())
+                kept = existing.join(files, "source_file", "left_anti")
+                merged = sinks.stage(kept.unionByName(staged), "silver-merge", ["event_date"])
         written = sinks.write_partitions(merged, table, ["event_date"])
     gates_row = spark.createDataFrame([counts]).select(*[F.lit(counts[k]).cast("long").alias(k) for k in K.GATE_METRICS])
     metrics = M.gates_to_metrics(gates_row, extract_run_date(F.lit(run_key)))
