@@ -40,9 +40,14 @@ def gate_counts(raw: DataFrame, songs: DataFrame, max_rows: int = DEFAULT_MAX_BR
         F.coalesce(F.sum(F.when(ts_ok, F.col("_m"))), z).alias("AfterSongsJoinCount"),
     )
     dup = mult.agg(F.count(F.when(F.col("_m") > 1, F.lit(1))).alias("DuplicateSongKeys"))
-    return g.withColumn(
-        "UnmatchedSongsCount", F.col("AfterTimestampParseCount") - F.col("AfterSongsJoinCount")
-    ).crossJoin(dup)  # both sides are single-row global aggregates
+    # two single-row aggregates side by side: union them and take the non-null value of every column
+    names = [*g.columns, "DuplicateSongKeys"]
+    none = F.lit(None).cast("long")
+    both = g.select(*g.columns, none.alias("DuplicateSongKeys")).unionByName(
+        dup.select(*[none.alias(c) for c in g.columns], "DuplicateSongKeys")
+    )
+    row = both.agg(*[F.max(c).alias(c) for c in names])
+    return row.withColumn("UnmatchedSongsCount", F.col("AfterTimestampParseCount") - F.col("AfterSongsJoinCount"))
 
 
 def drop_rate(col_raw: Column, col_join: Column) -> Column:
