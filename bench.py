@@ -42,7 +42,7 @@ def main() -> None:
     from lakekpi.registry import QUERIES
     from lakekpi.session import build_session
 
-    spark = build_session(f"local[{cpus}]", app="lakekpi-bench", shuffle_partitions=max(8, 4 * cpus))
+    spark = build_session(f"local[{cpus}]", app="lakekpi-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", max(8, cpus))))
     # warm the JVM and the Parquet readers once (not timed)
     QUERIES["genre_kpis_daily"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
     times = {}

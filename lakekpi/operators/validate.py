@@ -222,3 +222,23 @@ def dq_lookup(reports: DataFrame, batch_id: str, event_date: str) -> DataFrame:
         "rejection_rate",
         F.when(F.col("record_count") > 0, F.col("error_count") / F.col("record_count")),
     )
+
+
+def rejected_inputs(inputs: DataFrame) -> DataFrame:
+    """Run inputs without bucket or key are invalid without being read (verdict row keeps every column)."""
+    blank = lambda c: F.col(c).isNull() | (F.col(c) == "")
+    return inputs.filter(blank("bucket") | blank("key")).select(
+        F.col("key").alias("source_key"),
+        F.lit(False).alias("valid"),
+        F.col("execution_id"),
+        F.lit("Missing bucket or key").alias("error"),
+    )
+
+
+def unreadable_verdicts(unreadable: DataFrame, root: str) -> DataFrame:
+    """Files that could not be read are invalid with the read error as reason."""
+    from lakekpi.sources.csv_scan import object_key
+
+    return unreadable.select(
+        object_key(F.col("path"), root).alias("source_key"), F.lit(False).alias("valid"), "error"
+    )

@@ -43,7 +43,11 @@ def register_tables(spark: SparkSession, bronze: str, silver: str, gold: str, pr
             f"LOCATION '{gold}/{t}'"
         )
         names.append(f"{prefix}gold.{t}")
-    for n in names:
-        spark.sql(f"MSCK REPAIR TABLE {n}")
+    from lakekpi.plans.sinks import path_exists
+
+    locations = [f"{bronze}/streams", f"{silver}/streams_curated", *[f"{gold}/{t}" for t in _GOLD_DDL]]
+    for n, loc in zip(names, locations):
+        if path_exists(spark, loc):  # discover the partitions already on storage
+            spark.sql(f"MSCK REPAIR TABLE {n}")
     register_views(spark, {t: f"{prefix}gold.{t}" for t in _GOLD_DDL})
     return names

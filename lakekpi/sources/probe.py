@@ -83,3 +83,29 @@ def assert_readable(spark: SparkSession, root: str, deep: bool = False, partitio
             "Fix or remove the corrupted files and re-run."
         )
     return len(failures)
+
+
+def _probe_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import codecs
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            try:
+                fs, p = _local(path)
+                dec = codecs.getincrementaldecoder("utf-8")()
+                with fs.open_input_stream(p) as fh:
+                    while True:
+                        chunk = fh.read(1 << 20)
+                        if not chunk:
+                            break
+                        dec.decode(bytes(chunk), final=False)
+                dec.decode(b"", final=True)
+            except Exception as exc:  # noqa: BLE001 - every failure is reported
+                out.append((path, f"Failed to read object: {exc}"[:500]))
+        yield pd.DataFrame(out, columns=["path", "error"])
+
+
+def unreadable_text(paths: DataFrame) -> DataFrame:
+    """(path, error) of every listed file that cannot be opened or is not UTF-8 text."""
+    return paths.select("path").mapInPandas(_probe_text, PROBE_SCHEMA)

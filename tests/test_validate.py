@@ -127,3 +127,18 @@ def test_route_valid_and_invalid(spark):
                                  "source_key string, row_no int, user_id string, track_id string, listen_time string")
     good, bad = B.route(B.validate(files, recs), recs)
     assert [r.source_key for r in good.collect()] == ["a"] and [r.source_key for r in bad.collect()] == ["b"]
+
+
+def test_unreadable_and_missing_coordinates(spark, tmp):
+    from lakekpi.sources.probe import list_files, unreadable_text
+
+    _write(tmp, "streams/landing_date=2024-06-01/ok.csv", "user_id,track_id,listen_time\n1,T1,2024-06-01 10:00:00\n")
+    with open(os.path.join(tmp, "streams/landing_date=2024-06-01/bin.csv"), "wb") as fh:
+        fh.write(b"\xff\xfe\x00garbage\xc3")
+    bad = unreadable_text(list_files(spark, tmp, "*.csv"))
+    v = B.unreadable_verdicts(bad, tmp).collect()
+    assert [r.source_key for r in v] == ["streams/landing_date=2024-06-01/bin.csv"]
+    assert v[0].error.startswith("Failed to read object") and v[0].valid is False
+    inputs = spark.createDataFrame([("b", "k", "e1"), ("", "k2", "e2"), ("b", None, "e3")], "bucket string, key string, execution_id string")
+    r = B.rejected_inputs(inputs).collect()
+    assert sorted(x.execution_id for x in r) == ["e2", "e3"] and r[0].error == "Missing bucket or key"
