@@ -39,10 +39,44 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def hot_keys(fact: DataFrame, key: str, share: float = 0.01, sample_fraction: float = 0.01, limit: int = 100,
+             seed: int = 7) -> list:
+    """Key values holding at least ``share`` of the fact rows, estimated on a sample (at most ``limit`` keys,
+    so the list is bounded whatever the data size)."""
+    sample = fact.select(key).sample(fraction=sample_fraction, seed=seed)
+    total = sample.count()
+    if total == 0:
+        return []
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
+    top = counts.filter(F.col(key).isNotNull() & (F.col("_c") >= F.lit(max(1.0, share * total))))
+    return [r[0] for r in top.orderBy(F.desc("_c")).limit(limit).collect()]  # distributed top-k, <= limit rows
+
+
+def skew_split_join(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list) -> DataFrame:
+    """Equi-join where the hot keys' fact rows meet a broadcast of only those keys' dimension rows, and all
+    other rows take the shuffle join.  The hot dimension slice is bounded by the number of hot keys (each key
+    is unique in a dimension), so its broadcast is safe; no task receives a hot key's rows through a shuffle."""
+    if not hot:
+        return fact.join(dim, on=key, how=how)
+    k = F.col(key)
+    is_hot = k.isin(hot)
+    hot_part = fact.filter(is_hot).join(F.broadcast(dim.filter(is_hot)), on=key, how=how)
+    cold_part = fact.filter(~is_hot | k.isNull()).join(dim.filter(~is_hot), on=key, how=how)
+    return hot_part.unionByName(cold_part)
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+                   skew_share: float | None = 0.01) -> DataFrame:
     """Equi-join a fact to a dimension; the dimension is broadcast only behind the size check.
 
-    ``max_rows=None`` skips the probe and leaves the strategy to the optimizer (statistics + AQE).
+    Beyond the bound, keys carrying at least ``skew_share`` of the fact rows are split off and joined to a
+    broadcast of their own dimension rows (``skew_split_join``); the rest is a shuffle join (AQE may still
+    split remaining skew).  ``max_rows=None`` skips the probe and leaves the strategy to the optimizer.
     """
-    side = dim if max_rows is None else sized_broadcast(dim, max_rows)
-    return fact.join(side, on=on, how=how)
+    if max_rows is None:
+        return fact.join(dim, on=on, how=how)
+    if fits_broadcast(dim, max_rows):
+        return fact.join(F.broadcast(dim), on=on, how=how)
+    if skew_share is not None and isinstance(on, str):
+        return skew_split_join(fact, dim, on, how, hot_keys(fact, on, skew_share))
+    return fact.join(dim, on=on, how=how)

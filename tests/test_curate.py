@@ -88,3 +88,16 @@ def test_song_join_is_broadcast_only_behind_size_check(spark):
     streams = C.clean_streams(_streams(spark, [(1, "T1", "2024-06-01 10:00:00")]))
     plan = C.join_songs(streams, songs, max_rows=2)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in plan.lower()
+
+
+def test_skew_split_join_matches_plain_join(spark):
+    from lakekpi.operators.joins import hot_keys, join_dimension
+
+    fact = spark.range(20000).selectExpr("case when id % 3 = 0 then 7 when id % 97 = 0 then null else cast(id % 500 as int) end as user_id", "id")
+    dim = spark.range(0, 400).selectExpr("cast(id as int) as user_id", "concat('c', cast(id as string)) as user_country")
+    assert 7 in hot_keys(fact, "user_id", share=0.05, sample_fraction=0.2)
+    for how in ("inner", "left"):
+        got = join_dimension(fact, dim, "user_id", how, max_rows=10, skew_share=0.05)
+        plain = fact.join(dim, "user_id", how)
+        assert sorted(map(tuple, got.select("id", "user_id", "user_country").collect())) == sorted(
+            map(tuple, plain.select("id", "user_id", "user_country").collect()))
