@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lakekpi import schemas as S
 from lakekpi.functions.text import extract_landing_date
+from lakekpi.sources.balance import balance
 from lakekpi.operators.joins import sized_broadcast
 from lakekpi.operators.numbering import number_in_file_order
 
@@ -42,7 +43,7 @@ def _csv(spark: SparkSession, schema, multi_line: bool = False):
 def read_streams(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
     """Raw stream CSV(s) with the fixed schema; ``source_file`` = each row's file."""
     df = _csv(spark, S.STREAMS, multi_line).csv(path)
-    return df.select(*S.TRIPLET, F.col("_metadata.file_path").alias("source_file"))
+    return balance(df.select(*S.TRIPLET, F.col("_metadata.file_path").alias("source_file")))
 
 
 def read_songs(spark: SparkSession, path) -> DataFrame:

@@ -11,8 +11,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekpi import constants as K
+from lakekpi.sources.balance import balance
 
 
+_PLANS: dict = {}
+
+
+def _memo(fn):
+    """The driver tables are read-only, so each fixture's DataFrame (a plan, no data) is built once per session."""
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kw.items())))
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf_dir, *args, **kw)
+        return _PLANS[key]
+
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
+@_memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -28,9 +45,9 @@ def _day_text(ts: Column) -> Column:
 def _events_with_copies(spark, sf_dir) -> DataFrame:
     """Events plus a second copy of every 50th event (exact duplicates in a batch)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    return ev.withColumn("copy_no", F.lit(0)).unionByName(
+    return balance(ev.withColumn("copy_no", F.lit(0)).unionByName(
         ev.filter(F.col("event_id") % 50 == 0).withColumn("copy_no", F.lit(1))
-    )
+    ))
 
 
 def _raw_fields(e: DataFrame) -> list[Column]:
@@ -49,11 +66,13 @@ def _raw_fields(e: DataFrame) -> list[Column]:
     return [user_id.alias("user_id"), track_id.alias("track_id"), listen_time.alias("listen_time")]
 
 
+@_memo
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw stream batch: (user_id int, track_id, listen_time) with nulls, junk times, unknown tracks, copies."""
     return _events_with_copies(spark, sf_dir).select(*_raw_fields(None))
 
 
+@_memo
 def songs(spark: SparkSession, sf_dir: str, limit_keys: bool = True) -> DataFrame:
     """Song dimension from ``part``; genre carries padding.  ``limit_keys`` keeps track keys below 200."""
     p = table(spark, sf_dir, "part")
@@ -69,6 +88,7 @@ def songs(spark: SparkSession, sf_dir: str, limit_keys: bool = True) -> DataFram
     )
 
 
+@_memo
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User dimension from ``customer`` + ``nation``; every 10th user (key ending in 3) is missing."""
     c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 10 != 3)
@@ -79,9 +99,10 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Large stream batch: one listen per line item, by the order's customer at the order date."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    li = balance(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").cast("int").alias("user_id"),
@@ -90,6 +111,7 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One object key per event day, with manifest, temp and reference keys mixed in."""
     ev = table(spark, sf_dir, "events").select("ts")
@@ -112,8 +134,9 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = balance(table(spark, sf_dir, "events"))
     return ev.filter(F.col("event_id") % 3 != 0).select(
         "ts", F.col("event_type").alias("metric_name"), "value", "user_id"
     )
@@ -123,6 +146,7 @@ def _lacks_listen_time(day_no: Column) -> Column:
     return (day_no % 7 == 3) & (day_no % 5 != 0)
 
 
+@_memo
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed CSV records of daily batch files, one file per event day.
 
@@ -164,6 +188,7 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def stream_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header field list of every batch file in ``stream_records`` (one row per file)."""
     ev = table(spark, sf_dir, "events").select("ts")
