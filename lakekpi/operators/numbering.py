@@ -49,15 +49,19 @@ def number_within(df: DataFrame, group: list[str], order: list[str], out: str =
     return _apply_offsets(tagged, group, "_slice", out, start)
 
 
-def number_in_file_order(df: DataFrame, file_col: str = "_file", out: str = "rn", start: int = 1) -> DataFrame:
+def number_in_file_order(df: DataFrame, file_col: str = "_file", out: str = "rn", start: int = 1,
+                         materialize=None) -> DataFrame:
     """Row numbers in file order for a file scan.
 
     ``df`` must come straight from a scan that exposes ``_metadata`` (CSV/text/parquet).  Splits of one file are
-    ordered by their byte offset; inside a split the scan order is the file order.
+    ordered by their byte offset; inside a split the scan order is the file order.  ``materialize`` (e.g. a
+    staging write) is applied to the tagged scan so the files are parsed once for the slice table and the rows.
     """
     tagged = (
         df.withColumn(file_col, F.col("_metadata.file_path"))
         .withColumn("_split", F.col("_metadata.file_block_start"))
         .withColumn("_mid", F.monotonically_increasing_id())
     )
+    if materialize is not None:
+        tagged = materialize(tagged)
     return _apply_offsets(tagged, [file_col], "_split", out, start)

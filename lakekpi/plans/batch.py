@@ -47,9 +47,10 @@ def run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Data
 
     Any stage's exception propagates (the run fails); quarantine of invalid files happens before that.
     """
-    files, records = read_batches(spark, layout.landing, paths)
-    # parse the CSVs once: validation, routing and curation all read the staged records
+    # parse the CSVs once (staged tagged scan); validation, routing and curation read staged records
+    files, records = read_batches(spark, layout.landing, paths, materialize=lambda df: sinks.stage(df, "lines"))
     records = sinks.stage(records, "records")
+    files = sinks.stage(files, "files")
     files = files.withColumn("execution_id", F.lit(execution_id)).withColumn(
         "event_time", F.lit(event_time) if event_time else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     ).withColumn("bucket", F.lit(layout.landing))

@@ -75,7 +75,8 @@ def _trailing_len(arr):
     return F.coalesce(F.array_max(idx), F.lit(0))
 
 
-def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool = True,
+                 materialize=None) -> tuple[DataFrame, DataFrame]:
     """B1: (files, records) for every batch CSV under ``root`` (or the given ``paths``).
 
     files:   source_key, landing_date, fields (header names), first_row_extra
@@ -83,7 +84,8 @@ def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool =
              header lacks the column).
 
     ``multi_line=True`` honours quoted newlines (each file is then read by one task); set it False for
-    very large files so they are split across tasks.
+    very large files so they are split across tasks.  ``materialize`` (a staging write) makes the CSVs be
+    parsed once: the numbered lines are derived from the staged scan.
     """
     reader = (
         spark.read.schema(_WIDE)
@@ -94,7 +96,7 @@ def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool =
         .option("escape", '"')
     )
     scan = reader.csv(paths if paths is not None else root)
-    numbered = number_in_file_order(scan, file_col="_path", out="rn")
+    numbered = number_in_file_order(scan, file_col="_path", out="rn", materialize=materialize)
     vals = F.array(*[F.col(f"_c{i}") for i in range(MAX_FIELDS)])
     lines = numbered.select(object_key(F.col("_path"), root).alias("source_key"), "rn", vals.alias("vals"))
     hdr = lines.filter(F.col("rn") == 1).select(
