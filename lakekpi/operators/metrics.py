@@ -73,6 +73,18 @@ def rollup(samples: DataFrame, period_seconds: int, group: list[str] | None = No
     )
 
 
+def rollup_stream(samples: DataFrame, period_seconds: int, watermark: str = "10 minutes",
+                  group: list[str] | None = None, ts_col: str = "ts", value_col: str = "value") -> DataFrame:
+    """H1 on a stream: the same roll-up with a watermark, so each period is emitted once it is complete
+    (append mode) and its state is dropped."""
+    keys = ["metric_name", *(group or [])]
+    v = F.col(value_col)
+    g = samples.withWatermark(ts_col, watermark).groupBy(F.window(ts_col, f"{period_seconds} seconds").alias("_w"), *keys).agg(
+        F.sum(v).alias("sum"), F.avg(v).alias("average"), F.max(v).alias("maximum"), F.count(v).alias("sample_count")
+    )
+    return g.select(F.col("_w.start").alias("period_start"), *keys, "sum", "average", "maximum", "sample_count")
+
+
 # ---------------------------------------------------------------------------------------------------
 # alarms
 # ---------------------------------------------------------------------------------------------------

@@ -95,12 +95,23 @@ def delete_sources(spark: SparkSession, landing_root: str, status: DataFrame) ->
 
 
 def quarantine(spark: SparkSession, landing_root: str, quarantine_root: str, invalid: DataFrame) -> DataFrame:
-    """Copy invalid files' raw lines under ``quarantine_root/bronze`` (the source stays) + ledger rows."""
-    keys = invalid.select(F.col("source_key").alias("object_key"))
-    lines = raw_lines(spark, landing_root, keys)
-    copy_lines(lines.select("value", "object_key"), f"{quarantine_root.rstrip('/')}/{K.QUARANTINE_PREFIX.rstrip('/')}")
+    """Copy invalid files' raw lines under ``quarantine_root/bronze`` (the source stays) + ledger rows.
+
+    A missing key or a failed copy is reported in the ledger rows (``quarantined=false`` + error), not raised.
+    """
+    key = F.col("source_key")
+    missing = key.isNull() | (key == "")
+    keys = invalid.filter(~missing).select(key.alias("object_key"))
+    error = None
+    try:
+        lines = raw_lines(spark, landing_root, keys)
+        copy_lines(lines.select("value", "object_key"), f"{quarantine_root.rstrip('/')}/{K.QUARANTINE_PREFIX.rstrip('/')}")
+    except Exception as exc:  # noqa: BLE001
+        error = str(exc)[:500]
+    ok = ~missing & F.lit(error is None)
     return invalid.select(
-        F.col("source_key").alias("key"),
-        F.lit(True).alias("quarantined"),
-        F.concat(F.lit(K.QUARANTINE_PREFIX), F.col("source_key")).alias("quarantine_key"),
+        key.alias("key"),
+        ok.alias("quarantined"),
+        F.when(ok, F.concat(F.lit(K.QUARANTINE_PREFIX), key)).alias("quarantine_key"),
+        F.when(missing, F.lit("Missing key")).when(~ok, F.lit(error)).alias("error"),
     )

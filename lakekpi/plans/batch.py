@@ -41,6 +41,30 @@ class BatchResult:
 
 
 def run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: DataFrame, paths=None,
+              execution_id: str = "run", **kw) -> BatchResult:
+    """Process the given batch files as one run and record its outcome in the run ledger.
+
+    The ledger row (execution_id, status, valid/invalid file counts, days, error) is appended on success and on
+    failure; a failure is re-raised after it is recorded.
+    """
+    try:
+        res = _run_batch(spark, layout, songs, users, paths, execution_id=execution_id, **kw)
+    except Exception as exc:
+        _ledger(spark, layout, execution_id, "FAILED", None, str(exc))
+        raise
+    _ledger(spark, layout, execution_id, "SUCCEEDED", res, None)
+    return res
+
+
+def _ledger(spark, layout: Layout, execution_id: str, status: str, res: BatchResult | None, error: str | None) -> None:
+    row = (execution_id, status, len(res.valid_keys) if res else None, len(res.invalid_keys) if res else None,
+           ",".join(res.days) if res else None, (error or None) and error[:1000])
+    spark.createDataFrame([row], "execution_id string, status string, valid_files int, invalid_files int, days string, "
+                                 "error string").withColumn("finished_at", F.current_timestamp()) \
+        .write.mode("append").parquet(f"{layout.ledger}/runs")
+
+
+def _run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: DataFrame, paths=None,
               execution_id: str = "run", ingested_at: str | None = None, event_time: str | None = None,
               max_drop_rate: float | None = None, archive_files: bool = True, now: Column | None = None) -> BatchResult:
     """Process the given batch files (default: every CSV under the landing root) as one run.
@@ -61,14 +85,20 @@ def run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Data
     tags = B.status_tags(verdicts).withColumn("execution_id", F.lit(execution_id))
     tags.write.mode("append").parquet(f"{layout.ledger}/status")
     report = B.dq_report(verdicts, now)
-    sinks.upsert_partitions(report, serving_table(layout.serving, E.DQ_REPORTS), [E.DQ_REPORTS.pk, E.DQ_REPORTS.sk],
-                            E.DQ_REPORTS.day_col)
+    try:  # B10: a failed DQ-report write is logged, never fatal
+        sinks.upsert_partitions(report, serving_table(layout.serving, E.DQ_REPORTS),
+                                [E.DQ_REPORTS.pk, E.DQ_REPORTS.sk], E.DQ_REPORTS.day_col)
+    except Exception as exc:  # noqa: BLE001
+        print(f"Failed to write DQ report for run {execution_id}: {exc}")
     keys = verdicts.select("source_key", "valid").collect()  # one row per batch file
     good = sorted(r.source_key for r in keys if r.valid)
     bad = sorted(r.source_key for r in keys if not r.valid)
     if bad:
         ledger = G.quarantine(spark, layout.landing, layout.quarantine, verdicts.filter(~F.col("valid")))
         ledger.withColumn("execution_id", F.lit(execution_id)).write.mode("append").parquet(f"{layout.ledger}/quarantine")
+        failed = [r.key for r in ledger.filter(~F.col("quarantined")).select("key").collect()]
+        if failed:
+            print(f"Quarantine copy failed for {failed}")
     result = BatchResult(good, bad, [])
     if not good:
         return result

@@ -146,3 +146,21 @@ def test_streaming_ingest_exactly_once(spark, sf, tmp):
     got = {tuple(r) for r in read_gold(spark, tmp + "/gold", "genre_kpis_daily").select("genre", "date", "listen_count").collect()}
     assert got == expect
     assert spark.read.parquet(tmp + "/silver/streams_curated").count() == C.curate(batch, songs, users).count()
+
+
+def test_late_file_merges_into_its_day(spark, sf, tmp):
+    land = tmp + "/landing"
+    _write(land + "/streams/landing_date=2024-01-02/a.csv", "user_id,track_id,listen_time\n1,T14,2024-01-02 10:00:00\n")
+    L = Layout(*(tmp + "/" + x for x in ["landing", "silver", "gold", "serving", "quarantine", "archive", "manifests", "ledger"]))
+    songs, users = X.songs(spark, sf), X.users(spark, sf)
+    run_batch(spark, L, songs, users, execution_id="e1", max_drop_rate=1.0, archive_files=False)
+    _write(land + "/streams/landing_date=2024-01-02/b.csv", "user_id,track_id,listen_time\n2,T14,2024-01-02 11:00:00\n")
+    b = [land + "/streams/landing_date=2024-01-02/b.csv"]
+    run_batch(spark, L, songs, users, paths=b, execution_id="e2", max_drop_rate=1.0, archive_files=False)
+    run_batch(spark, L, songs, users, paths=b, execution_id="e3", max_drop_rate=1.0, archive_files=False)  # replay
+    silver = spark.read.parquet(L.silver + "/streams_curated")
+    assert sorted(r.user_id for r in silver.collect()) == [1, 2]
+    k = read_gold(spark, L.gold, "genre_kpis_daily").collect()
+    assert len(k) == 1 and k[0].listen_count == 2 and k[0].unique_listeners == 2
+    runs = spark.read.parquet(L.ledger + "/runs").collect()
+    assert sorted(r.status for r in runs) == ["SUCCEEDED"] * 3

@@ -64,3 +64,16 @@ def test_rollup_and_alarms(spark):
     assert st[("fresh", "2024-01-01 00:10:00")] == "ALARM" and st[("fresh", "2024-01-01 00:00:00")] == "OK"
     assert st[("none", "2024-01-01 00:10:00")] == "INSUFFICIENT_DATA"
     assert len(st) == 9
+
+
+def test_rollup_on_a_stream_with_watermark(spark, tmp):
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    rows = [(t0 + dt.timedelta(seconds=s), "m", float(v)) for s, v in [(10, 1), (20, 5), (400, 2), (4000, 3)]]
+    spark.createDataFrame(rows, "ts timestamp, metric_name string, value double").write.parquet(tmp + "/in")
+    stream = spark.readStream.schema("ts timestamp, metric_name string, value double").parquet(tmp + "/in")
+    q = (M.rollup_stream(stream, 300, watermark="1 minute").writeStream.outputMode("append")
+         .option("checkpointLocation", tmp + "/ckpt").trigger(availableNow=True).format("parquet")
+         .option("path", tmp + "/out").start())
+    q.awaitTermination()
+    out = {str(r.period_start): r.sum for r in spark.read.parquet(tmp + "/out").collect()}
+    assert out["2024-01-01 00:00:00"] == 6.0 and out["2024-01-01 00:05:00"] == 2.0
