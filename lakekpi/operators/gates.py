@@ -50,6 +50,35 @@ def gate_counts(raw: DataFrame, songs: DataFrame, max_rows: int = DEFAULT_MAX_BR
     return row.withColumn("UnmatchedSongsCount", F.col("AfterTimestampParseCount") - F.col("AfterSongsJoinCount"))
 
 
+def gate_counts_by(raw: DataFrame, songs: DataFrame, group: list[str],
+                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """C14 per batch file (or any grouping): the gate counts and drop rate of every group in one aggregate."""
+    by_triplet = raw.groupBy(*group, *S.TRIPLET).agg(F.count(F.lit(1)).alias("_n"))
+    mult = songs.groupBy("track_id").agg(F.count(F.lit(1)).alias("_m"))
+    j = by_triplet.join(sized_broadcast(mult, max_rows), "track_id", "left")
+    nonnull = F.col("user_id").isNotNull() & F.col("track_id").isNotNull() & F.col("listen_time").isNotNull()
+    ts_ok = nonnull & parse_listen_ts("listen_time").isNotNull()
+    z = F.lit(0).cast("long")
+    g = j.groupBy(*group).agg(
+        F.sum("_n").alias("RawCount"),
+        F.coalesce(F.sum(F.when(nonnull, F.col("_n"))), z).alias("AfterDropNaCount"),
+        F.count(F.when(nonnull, F.lit(1))).alias("AfterDedupCount"),
+        F.count(F.when(ts_ok, F.lit(1))).alias("AfterTimestampParseCount"),
+        F.coalesce(F.sum(F.when(ts_ok, F.col("_m"))), z).alias("AfterSongsJoinCount"),
+    )
+    g = g.withColumn("UnmatchedSongsCount", F.col("AfterTimestampParseCount") - F.col("AfterSongsJoinCount"))
+    return with_drop_rate(g)
+
+
+def breaker_states(gates: DataFrame, limits: list[float]) -> DataFrame:
+    """C15 as data: one row per (gate row, limit) telling whether the breaker trips at that limit
+    (rate strictly above the limit, raw > 0).  The limits are a literal array exploded per row (no join)."""
+    rated = with_drop_rate(gates) if "drop_rate" not in gates.columns else gates
+    trips = lambda x: (F.col("RawCount") > 0) & (F.col("drop_rate") > F.lit(float(x)))
+    cases = F.array(*[F.struct(F.lit(float(x)).alias("max_drop_rate"), trips(x).alias("trips")) for x in limits])
+    return rated.select("*", F.inline(cases))
+
+
 def drop_rate(col_raw: Column, col_join: Column) -> Column:
     """(raw - joined) / raw, 0 when there are no raw rows."""
     return F.when(col_raw > 0, (col_raw - col_join) / col_raw.cast("double")).otherwise(F.lit(0.0))

@@ -50,7 +50,7 @@ from (select substr(cast(ts as varchar), 1, 10) as d,
              min(ts) as first_ts, count(*) as n_records
       from events group by 1, 2) x""",
     "metric_samples": """
-select ts, event_type as metric_name, value, user_id from events where event_id % 3 <> 0""",
+select ts, event_type as metric_name, value, user_id from events""",
 }
 
 

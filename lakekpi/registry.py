@@ -875,3 +875,55 @@ def q_batch_run(spark, sf_dir):
         "genre", "date", "listen_count", "unique_listeners", "total_listen_seconds", "avg_listen_seconds_per_user",
         "ingested_at", "source_execution_id", F.lit(None).cast("bigint").alias("expires_at"),
     )
+
+
+# ---------------------------------------------------------------------------------------------------
+# C14/C15 per file and breaker states
+# ---------------------------------------------------------------------------------------------------
+
+_GATES_BY_FILE_SQL = f"""
+with t as (select source_key, user_id, track_id, listen_time, count(*) as n
+           from (select source_key, try_cast(user_id as int) as user_id, nullif(track_id, '') as track_id,
+                        listen_time from stream_records) r
+           group by all),
+m as (select track_id, count(*) as mlt from songs group by track_id),
+j as (select t.*, m.mlt,
+             (t.user_id is not null and t.track_id is not null and t.listen_time is not null) as nonnull
+      from t left join m on m.track_id = t.track_id)
+select source_key, sum(n) as "RawCount",
+       coalesce(sum(case when nonnull then n end), 0) as "AfterDropNaCount",
+       count(case when nonnull then 1 end) as "AfterDedupCount",
+       count(case when nonnull and {O.PARSE} is not null then 1 end) as "AfterTimestampParseCount",
+       coalesce(sum(case when nonnull and {O.PARSE} is not null then mlt end), 0) as "AfterSongsJoinCount",
+       count(case when nonnull and {O.PARSE} is not null then 1 end)
+         - coalesce(sum(case when nonnull and {O.PARSE} is not null then mlt end), 0) as "UnmatchedSongsCount",
+       case when sum(n) > 0 then (sum(n) - coalesce(sum(case when nonnull and {O.PARSE} is not null then mlt end), 0))
+            / cast(sum(n) as double) else 0.0 end as drop_rate
+from j group by source_key"""
+
+
+def _file_streams(spark, sf_dir):
+    r = X.stream_records(spark, sf_dir)
+    return r.select(
+        "source_key",
+        F.expr("try_cast(user_id as int)").alias("user_id"),
+        F.when(F.col("track_id") != "", F.col("track_id")).alias("track_id"),
+        "listen_time",
+    )
+
+
+@register("gates_by_file", O.with_ctes(_GATES_BY_FILE_SQL.replace("with t as", ", t as", 1), "stream_records", "songs")
+          .replace("\n, t as", ",\nt as", 1))
+def q_gates_by_file(spark, sf_dir):
+    """C14 + C15 per batch file (each daily file of the stream records), one aggregate."""
+    return G.gate_counts_by(_file_streams(spark, sf_dir), X.songs(spark, sf_dir), ["source_key"])
+
+
+@register("drop_rate", O.with_ctes(f"""
+select "RawCount", "AfterSongsJoinCount", drop_rate, max_drop_rate,
+       ("RawCount" > 0 and drop_rate > max_drop_rate) as trips
+from ({_GATES_FULL}) g, (values (0.10), (0.05)) l(max_drop_rate)""", "raw", "songs"))
+def q_drop_rate(spark, sf_dir):
+    """The drop rate of the raw batch and the breaker's verdict at the default limit (0.10) and at 0.05."""
+    g = G.gate_counts(X.raw(spark, sf_dir), X.songs(spark, sf_dir))
+    return G.breaker_states(g, [0.10, 0.05]).select("RawCount", "AfterSongsJoinCount", "drop_rate", "max_drop_rate", "trips")
