@@ -71,6 +71,12 @@ def _run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Dat
 
     Any stage's exception propagates (the run fails); quarantine of invalid files happens before that.
     """
+    if not spark.sparkContext.master.startswith("local"):
+        from lakekpi.session import size_shuffles
+        from lakekpi.sources.listing import list_objects
+
+        total = list_objects(spark, layout.landing, with_hash=False).agg(F.sum("length")).first()[0] or 0
+        size_shuffles(spark, int(total))
     # parse the CSVs once (staged tagged scan); validation, routing and curation read staged records
     files, records = read_batches(spark, layout.landing, paths, materialize=lambda df: sinks.stage(df, "lines"))
     records = sinks.stage(records, "records")

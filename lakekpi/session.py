@@ -35,6 +35,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+ADVISORY_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, max_partitions: int = 100_000) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes``: about two partitions per advisory
+    size (128 MB), so no reducer starts oversized; AQE then coalesces small ones.  Only raises the setting."""
+    want = max(200, min(max_partitions, 2 * (input_bytes // ADVISORY_BYTES + 1)))
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    cur = spark.conf.get(key, None)
+    if cur is None or int(cur) < want:
+        spark.conf.set(key, str(want))
+    return want
+
+
 def build_session(master: str = "local[*]", app: str = "lakekpi", shuffle_partitions: int = 8, **extra) -> SparkSession:
     """Session for tests, benchmarks and local runs (UI off, Arrow on)."""
     b = (

@@ -55,3 +55,19 @@ def test_catalog_tables_and_views(spark, tmp):
     assert "t15_gold.genre_kpis_daily" in names
     r = spark.sql("select genre, date, total_listen_hours from v_genre_kpis").collect()[0]
     assert (r.genre, r.date, r.total_listen_hours) == ("pop", "2024-06-01", 2.0)
+
+
+def test_size_shuffles_only_raises(spark):
+    from lakekpi.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 100_000  # 100 TB -> capped
+        assert size_shuffles(spark, 10 * 1024 ** 2) == 200
+        assert spark.conf.get(key) == "100000"
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
