@@ -24,6 +24,16 @@ MISSING_FIELD_ERROR = "Row {n}: missing required field '{f}'"
 FIRST_DATA_ROW = 2
 MAX_REPORTED_ERRORS = 20
 
+# --- fixed values: messages ---------------------------------------------------------------------
+MISSING_COORDINATES_ERROR = "Missing bucket or key"
+MISSING_KEY_ERROR = "Missing key"
+READ_FAILED_ERROR = "Failed to read object: {exc}"
+REFERENCE_MISSING_ERROR = "Reference data {name} is empty or missing at {path}"
+DROP_RATE_ERROR = "Drop rate {rate:.1%} exceeds threshold {limit:.1%} (raw={raw}, final={final})."
+POISON_ERROR = ("Poison-partition guard: failed to parse {n} Parquet file(s): {paths}. "
+                "Fix or remove the corrupted files and re-run.")
+ARCHIVE_ERROR = "Archive failed for {n} object(s): {keys}"
+
 # --- fixed values: thresholds and defaults -------------------------------------------------------
 MAX_DROP_RATE = 0.10
 TOP_SONGS_N = 3

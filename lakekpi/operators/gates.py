@@ -93,9 +93,7 @@ def check_drop_rate(counts: dict, max_drop_rate: float = K.MAX_DROP_RATE) -> flo
     raw, joined = int(counts["RawCount"]), int(counts["AfterSongsJoinCount"])
     rate = (raw - joined) / raw if raw > 0 else 0.0
     if raw > 0 and rate > max_drop_rate:
-        raise DropRateExceeded(
-            f"Drop rate {rate:.1%} exceeds threshold {max_drop_rate:.1%} (raw={raw}, final={joined})."
-        )
+        raise DropRateExceeded(K.DROP_RATE_ERROR.format(rate=rate, limit=max_drop_rate, raw=raw, final=joined))
     return rate
 
 

@@ -21,6 +21,9 @@ from lakekpi.functions.text import manifest_key, strip_ws, truncate_tag
 from lakekpi.functions.time import date_string, parse_listen_ts
 
 
+_MSG_HEAD, _MSG_TAIL = K.MISSING_FIELD_ERROR.split("{n}")
+
+
 def _blank(c: Column) -> Column:
     return c.isNull() | (strip_ws(c) == "")
 
@@ -33,7 +36,7 @@ def _error_items(records: DataFrame) -> Column:
                 F.lit(i).alias("field_idx"),
                 F.lit(f).alias("field"),
                 F.concat(
-                    F.lit("Row "), F.col("row_no").cast("string"), F.lit(f": missing required field '{f}'")
+                    F.lit(_MSG_HEAD), F.col("row_no").cast("string"), F.lit(_MSG_TAIL.format(f=f))
                 ).alias("error"),
             ),
         )
@@ -212,7 +215,7 @@ def quarantine_ledger(verdicts: DataFrame, execution_id: str | None = None) -> D
         key.alias("key"),
         (~missing).alias("quarantined"),
         F.when(~missing, F.concat(F.lit(K.QUARANTINE_PREFIX), key)).alias("quarantine_key"),
-        F.when(missing, F.lit("Missing key")).alias("error"),
+        F.when(missing, F.lit(K.MISSING_KEY_ERROR)).alias("error"),
     )
 
 
@@ -231,7 +234,7 @@ def rejected_inputs(inputs: DataFrame) -> DataFrame:
         F.col("key").alias("source_key"),
         F.lit(False).alias("valid"),
         F.col("execution_id"),
-        F.lit("Missing bucket or key").alias("error"),
+        F.lit(K.MISSING_COORDINATES_ERROR).alias("error"),
     )
 
 

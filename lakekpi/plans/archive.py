@@ -65,7 +65,7 @@ def archive(spark: SparkSession, landing_root: str, archive_root: str, keys: Dat
     if fail:
         failed = [r.object_key for r in status.filter(F.col("status") == "failed").orderBy("object_key").collect()]
         if failed:
-            raise ArchiveFailed(f"Archive failed for {len(failed)} object(s): {', '.join(failed)}")
+            raise ArchiveFailed(K.ARCHIVE_ERROR.format(n=len(failed), keys=", ".join(failed)))
     return status
 
 
@@ -113,5 +113,5 @@ def quarantine(spark: SparkSession, landing_root: str, quarantine_root: str, inv
         key.alias("key"),
         ok.alias("quarantined"),
         F.when(ok, F.concat(F.lit(K.QUARANTINE_PREFIX), key)).alias("quarantine_key"),
-        F.when(missing, F.lit("Missing key")).when(~ok, F.lit(error)).alias("error"),
+        F.when(missing, F.lit(K.MISSING_KEY_ERROR)).when(~ok, F.lit(error)).alias("error"),
     )

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakekpi import constants as K
 from lakekpi import schemas as S
 from lakekpi.functions.text import extract_landing_date
 from lakekpi.sources.balance import balance
@@ -58,9 +59,9 @@ def read_users(spark: SparkSession, path) -> DataFrame:
 def guard_reference(songs: DataFrame, users: DataFrame, songs_path: str = "songs", users_path: str = "users") -> None:
     """A10: empty or missing reference data fails the run before any join."""
     if songs.isEmpty():
-        raise ReferenceDataMissing(f"Reference data songs is empty or missing at {songs_path}")
+        raise ReferenceDataMissing(K.REFERENCE_MISSING_ERROR.format(name="songs", path=songs_path))
     if users.isEmpty():
-        raise ReferenceDataMissing(f"Reference data users is empty or missing at {users_path}")
+        raise ReferenceDataMissing(K.REFERENCE_MISSING_ERROR.format(name="users", path=users_path))
 
 
 def object_key(path_col, root: str):

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekpi import constants as K
+
 PROBE_SCHEMA = "path string, error string"
 
 
@@ -78,10 +80,7 @@ def assert_readable(spark: SparkSession, root: str, deep: bool = False, partitio
     failures = bad.orderBy("path").collect()
     if failures:
         names = [r.path for r in failures]
-        raise PoisonPartition(
-            f"Poison-partition guard: failed to parse {len(names)} Parquet file(s): {names}. "
-            "Fix or remove the corrupted files and re-run."
-        )
+        raise PoisonPartition(K.POISON_ERROR.format(n=len(names), paths=names))
     return len(failures)
 
 
@@ -102,7 +101,7 @@ def _probe_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         dec.decode(bytes(chunk), final=False)
                 dec.decode(b"", final=True)
             except Exception as exc:  # noqa: BLE001 - every failure is reported
-                out.append((path, f"Failed to read object: {exc}"[:500]))
+                out.append((path, K.READ_FAILED_ERROR.format(exc=exc)[:500]))
         yield pd.DataFrame(out, columns=["path", "error"])
 
 
