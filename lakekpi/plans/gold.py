@@ -36,12 +36,13 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, days: list[s
     """
     silver = read_days(spark, silver_table(silver_root), days)
     kpis = D.with_run_lineage(D.genre_kpis(silver), ingested_at, execution_id)
-    n_kpis = sinks.write_partitions(kpis, gold_table(gold_root, "genre_kpis_daily"), ["date"])
+    n_kpis = sinks.write_partitions(kpis, gold_table(gold_root, "genre_kpis_daily"), ["date"], n_values=len(days))
     songs = D.with_run_lineage(D.top_songs(silver), ingested_at, execution_id)
-    n_songs = sinks.write_partitions(songs, gold_table(gold_root, "top_songs_by_genre_daily"), ["date"])
+    n_songs = sinks.write_partitions(songs, gold_table(gold_root, "top_songs_by_genre_daily"), ["date"],
+                                     n_values=len(days))
     written = with_text_day(read_days(spark, gold_table(gold_root, "genre_kpis_daily"), days, "date", check=False))
     genres = D.with_run_lineage(D.top_genres_from_counts(written), ingested_at, execution_id)
-    n_genres = sinks.write_partitions(genres, gold_table(gold_root, "top_genres_daily"), ["date"])
+    n_genres = sinks.write_partitions(genres, gold_table(gold_root, "top_genres_daily"), ["date"], n_values=len(days))
     counts = dict(zip(K.GOLD_METRICS, (n_kpis, n_songs, n_genres)))
     label = run_date or (min(days) if days else "unknown")
     return GoldResult(counts, M.counts_to_metrics(spark, counts, K.GOLD_JOB, label))

@@ -42,7 +42,7 @@ def run_load(spark: SparkSession, gold_root: str, serving_root: str, days: list[
         items = build(read_gold(spark, gold_root, gold_name, days), ingested_at, execution_id, loaded_at)
         n_batch = items.count()
         sinks.upsert_partitions(items, serving_table(serving_root, table), [table.pk, table.sk], table.day_col,
-                                replace_days)
+                                replace_days, n_values=len(days))
         counts[metric] = n_batch
     label = run_date or (min(days) if days else "unknown")
     return LoadResult(counts, M.counts_to_metrics(spark, counts, K.LOAD_JOB, label, both_granularities=True))
@@ -73,10 +73,10 @@ def prune_serving(spark: SparkSession, serving_root: str, now: Column | None = N
         stale_days = [r[0] for r in stale.collect()]  # one row per day
         if not stale_days:
             continue
-        keep = sinks.stage(E.prune_expired(df.filter(F.col(t.day_col).isin(stale_days)), t_now), "prune", [t.day_col])
+        keep = sinks.stage(E.prune_expired(df.filter(F.col(t.day_col).isin(stale_days)), t_now), "prune")
         kept_days = {r[0] for r in with_text_day(keep, t.day_col).select(t.day_col).distinct().collect()}
         if kept_days:
-            sinks.write_partitions(keep, path, [t.day_col], observe=False)
+            sinks.write_partitions(keep, path, [t.day_col], observe=False, n_values=len(stale_days))
         emptied = [d for d in stale_days if d not in kept_days]
         _drop_day_folders(path, t.day_col, emptied)
         out[t.name] = {"days": len(stale_days), "emptied": len(emptied)}

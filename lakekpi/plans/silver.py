@@ -57,7 +57,7 @@ def run_silver(
     cur = C.enrich(C.join_users(joined, users))
     cur = C.with_lineage(cur, None if per_file else (run_key or None), ingested_at, execution_id)
     cur = cur.select(*S.CURATED_COLUMNS, *S.LINEAGE_COLUMNS)
-    staged = sinks.stage(cur, "silver-stage", ["event_date"])
+    staged = sinks.stage(cur, "silver-stage")
     counts = G.observed_counts(obs)
     rate = G.check_drop_rate(counts, max_drop_rate)
     days = [str(r[0]) for r in staged.select("event_date").distinct().collect()]  # one row per day
@@ -71,8 +71,8 @@ def run_silver(
                 # late or repeated files: keep the day's rows of other files, replace this batch's files
                 files = sized_broadcast(staged.select("source_file").distinct())
                 kept = existing.join(files, "source_file", "left_anti")
-                merged = sinks.stage(kept.unionByName(staged), "silver-merge", ["event_date"])
-        written = sinks.write_partitions(merged, table, ["event_date"])
+                merged = sinks.stage(kept.unionByName(staged), "silver-merge")
+        written = sinks.write_partitions(merged, table, ["event_date"], n_values=len(days))
     gates_row = spark.createDataFrame([counts]).select(*[F.lit(counts[k]).cast("long").alias(k) for k in K.GATE_METRICS])
     metrics = M.gates_to_metrics(gates_row, extract_run_date(F.lit(run_key)))
     return SilverResult(counts, rate, sorted(days), written, metrics)

@@ -10,16 +10,27 @@ from lakekpi.session import scratch_path
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "parquet",
-                     max_records_per_file: int | None = None, observe: bool = True) -> int | None:
+                     max_records_per_file: int | None = None, observe: bool = True, n_values: int | None = None,
+                     spread: int = 1) -> int | None:
     """Replace only the partitions present in ``df`` (dynamic overwrite, set on the writer itself).
 
-    Files: rows are rebalanced on the partition columns, so each partition gets files of about the adaptive
-    advisory size and a heavy day is split over several writers instead of one (no ``coalesce(1)``).
+    Files: normally rows are rebalanced on the partition columns, so each partition gets files of about the
+    adaptive advisory size and a heavy day is split over several writers (no ``coalesce(1)``).  When a job
+    writes many more partitions than there are cores (``n_values``, e.g. a backfill over years of days), the
+    rows are hash-partitioned by day over a bounded number of writers instead, so the many small day folders
+    are written in parallel; ``spread`` > 1 additionally splits every day over that many writers.
     Returns the number of rows written (observed during the write) when ``observe``.
     """
     obs = Observation("written") if observe else None
     out = df.observe(obs, F.count(F.lit(1)).alias("n")) if obs else df
-    out = out.hint("rebalance", *partition_cols)
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if n_values is not None and n_values > 4 * par:
+        keys = [F.col(c) for c in partition_cols]
+        if spread > 1:
+            keys.append(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)))
+        out = out.repartition(min(n_values * spread, 8 * par), *keys)
+    else:
+        out = out.hint("rebalance", *partition_cols)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -27,14 +38,12 @@ def write_partitions(df: DataFrame, path: str, partition_cols: list[str], fmt: s
     return int(obs.get["n"]) if obs else None
 
 
-def stage(df: DataFrame, name: str, partition_cols: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: lineage is cut, results are fixed."""
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: lineage is cut, results are fixed.
+    Staged data is always read whole, so it is not partitioned (no per-day folders to create)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     # read back with the known schema: partition values keep their types, an empty result stays readable
     return spark.read.schema(df.schema).parquet(path)
 
@@ -56,7 +65,8 @@ def table_exists(spark, path: str) -> bool:
     return path_exists(spark, path)
 
 
-def upsert_partitions(batch: DataFrame, path: str, keys: list[str], day_col: str, replace_days: bool = False) -> int:
+def upsert_partitions(batch: DataFrame, path: str, keys: list[str], day_col: str, replace_days: bool = False,
+                      n_values: int | None = None) -> int:
     """E5 on a Parquet table: merge ``batch`` into the days it touches (last writer wins per key).
 
     The merge is staged in the scratch folder first, so the table is never read and overwritten by the same
@@ -73,5 +83,5 @@ def upsert_partitions(batch: DataFrame, path: str, keys: list[str], day_col: str
         merged = kept.unionByName(batch, allowMissingColumns=True)
     else:
         merged = batch
-    staged = stage(merged, "upsert", [day_col])
-    return write_partitions(staged, path, [day_col])
+    staged = stage(merged, "upsert")
+    return write_partitions(staged, path, [day_col], n_values=n_values)

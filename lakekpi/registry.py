@@ -927,3 +927,35 @@ def q_drop_rate(spark, sf_dir):
     """The drop rate of the raw batch and the breaker's verdict at the default limit (0.10) and at 0.05."""
     g = G.gate_counts(X.raw(spark, sf_dir), X.songs(spark, sf_dir))
     return G.breaker_states(g, [0.10, 0.05]).select("RawCount", "AfterSongsJoinCount", "drop_rate", "max_drop_rate", "trips")
+
+
+@register("silver_gold_jobs", _cur(O.GENRE_KPIS_SQL))
+def q_silver_gold_jobs(spark, sf_dir):
+    """The Silver job (observed gates, breaker, staged publish) then the Gold job over every Silver day;
+    the Gold genre-KPI table is read back."""
+    from lakekpi.plans.gold import read_gold, run_gold
+    from lakekpi.plans.silver import run_silver
+
+    root = scratch_path(spark, "silver-gold")
+    s = run_silver(spark, X.raw(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir), f"{root}/silver",
+                   run_key="streams/landing_date=2024-01-01/batch.csv")
+    run_gold(spark, f"{root}/silver", f"{root}/gold", s.days)
+    return read_gold(spark, f"{root}/gold", "genre_kpis_daily").select(
+        "genre", "listen_count", "unique_listeners", "total_listen_seconds", "avg_listen_seconds_per_user", "date"
+    )
+
+
+@register("star_silver_gold_jobs", O.with_ctes(O.TOP_SONGS_SQL.format(n=3), "star", "songs_all", "users", "curated",
+                                               extra=_STAR_CTE))
+def q_star_silver_gold_jobs(spark, sf_dir):
+    """Both jobs over the large batch; the Gold top-songs table is read back."""
+    from lakekpi.plans.gold import read_gold, run_gold
+    from lakekpi.plans.silver import run_silver
+
+    root = scratch_path(spark, "star-silver-gold")
+    s = run_silver(spark, X.star(spark, sf_dir), X.songs(spark, sf_dir, limit_keys=False), X.users(spark, sf_dir),
+                   f"{root}/silver", run_key="streams/landing_date=1995-01-01/batch.csv", max_drop_rate=1.0)
+    run_gold(spark, f"{root}/silver", f"{root}/gold", s.days)
+    return read_gold(spark, f"{root}/gold", "top_songs_by_genre_daily").select(
+        "genre", "track_id", "track_name", "play_count", "rank", "date", "genre_date"
+    )

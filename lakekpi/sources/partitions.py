@@ -40,11 +40,8 @@ def read_days(spark: SparkSession, path: str, days: list[str], day_col: str = "e
         df = read_table(spark, path, merge_schema)
     except AnalysisException as exc:
         raise PartitionMissing(f"Cannot read {path} for {days}: {exc}") from exc
-    if day_col in df.columns and isinstance(df.schema[day_col].dataType, DateType):
-        cond = F.col(day_col).isin([F.to_date(F.lit(d)) for d in days])
-    else:
-        cond = F.col(day_col).cast("string").isin(list(days))
-    out = df.filter(cond)
+    # one IN-set over the partition column's text form: evaluated against partition values (pruning)
+    out = df.filter(F.col(day_col).cast("string").isin([str(d) for d in days]))
     if check and out.isEmpty():
         raise PartitionEmpty(f"No rows for {day_col} in {days} at {path}")
     return out
