@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakekpi import constants as K
 from lakekpi import oracle as O
+from lakekpi.operators import admission as A
 from lakekpi.operators import aggregate as D
 from lakekpi.operators import curate as C
+from lakekpi.operators import gates as G
+from lakekpi.operators import metrics as H
+from lakekpi.operators import numbering as NUM
+from lakekpi.operators import prepare as P
+from lakekpi.operators import serve as E
+from lakekpi.operators import validate as B
+from lakekpi.plans import backfill as J
 from lakekpi.plans import views as V
-from lakekpi.session import configure
+from lakekpi.session import configure, scratch_path
 from lakekpi.sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,10 +178,6 @@ def q_star_top_songs(spark, sf_dir):
 # B: validate
 # ---------------------------------------------------------------------------------------------------
 
-from lakekpi import constants as K  # noqa: E402
-from lakekpi.operators import numbering as NUM  # noqa: E402
-from lakekpi.operators import validate as B  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 PROCESSED_AT = "2024-02-01 00:00:00"
 
@@ -323,8 +330,6 @@ def q_dq_lookup(spark, sf_dir):
 # C14-C16 gates, H metrics and alarms
 # ---------------------------------------------------------------------------------------------------
 
-from lakekpi.operators import gates as G  # noqa: E402
-from lakekpi.operators import metrics as H  # noqa: E402
 
 _GATES_SQL = f"""
 select count(*) as "RawCount",
@@ -458,7 +463,6 @@ def q_alarm_states(spark, sf_dir):
 # E: serve
 # ---------------------------------------------------------------------------------------------------
 
-from lakekpi.operators import serve as E  # noqa: E402
 
 LOADED_AT = "2024-02-01 00:00:00"
 
@@ -587,7 +591,6 @@ def q_lookup_genres(spark, sf_dir):
 # A: admission, G: archive / retention, A16: partition spine
 # ---------------------------------------------------------------------------------------------------
 
-from lakekpi.operators import admission as A  # noqa: E402
 
 NOW_ADMIT = "2024-02-01 00:00:00"
 NOW_REPLAY = "2024-01-20 00:00:00"
@@ -732,8 +735,6 @@ def q_missing_days(spark, sf_dir):
 # I: prepare, J: backfill / late rebuild
 # ---------------------------------------------------------------------------------------------------
 
-from lakekpi.operators import prepare as P  # noqa: E402
-from lakekpi.plans import backfill as J  # noqa: E402
 
 
 @register("load_trim", O.with_ctes(
@@ -804,9 +805,7 @@ def q_late_rebuild(spark, sf_dir):
 # File-driven flows — landing CSVs written from the raw batch, then ingested
 # ---------------------------------------------------------------------------------------------------
 
-import os  # noqa: E402
 
-from lakekpi.session import scratch_path  # noqa: E402
 
 _PARSEABLE = f"{O.PARSE} is not null"
 
