@@ -60,8 +60,10 @@ RETENTION_DAYS = {
     "results": 14,
 }
 
+# Our own label for metric rows (not a fixed value; change freely).
+METRIC_NAMESPACE = "lakekpi/DQ"
+
 # --- fixed values: metric names -------------------------------------------------------------------
-METRIC_NAMESPACE = "MusicPipeline/DQ"
 SILVER_JOB = "silver_etl"
 GOLD_JOB = "gold_etl"
 LOAD_JOB = "ddb_etl"

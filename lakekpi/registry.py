@@ -385,11 +385,11 @@ def q_dq_metrics_long(spark, sf_dir):
 
 ORACLES["dq_metrics_long"] = O.with_ctes(
     " union all ".join(
-        f"""select 'MusicPipeline/DQ' as namespace, '{m}' as metric_name, cast("{m}" as double) as value,
+        f"""select 'lakekpi/DQ' as namespace, '{m}' as metric_name, cast("{m}" as double) as value,
                    'Count' as unit, 'silver_etl' as job, '2024-01-05' as run_date from g"""
         for m in _GATE_NAMES
     )
-    + """ union all select 'MusicPipeline/DQ', 'DropRatePct', drop_rate * 100.0, 'Percent', 'silver_etl',
+    + """ union all select 'lakekpi/DQ', 'DropRatePct', drop_rate * 100.0, 'Percent', 'silver_etl',
                            cast(null as varchar) from g""",
     "raw", "songs", "g", extra={"g": _GATES_FULL},
 )
