@@ -31,6 +31,7 @@ HEADLINE = [
     "metric_rollup",
     "alarm_states",
     "late_rebuild",
+    "silver_gold_jobs",
 ]
 
 

@@ -40,9 +40,8 @@ def run_load(spark: SparkSession, gold_root: str, serving_root: str, days: list[
     counts = {}
     for table, build, gold_name, metric in plan:
         items = build(read_gold(spark, gold_root, gold_name, days), ingested_at, execution_id, loaded_at)
-        n_batch = items.count()
-        sinks.upsert_partitions(items, serving_table(serving_root, table), [table.pk, table.sk], table.day_col,
-                                replace_days, n_values=len(days))
+        n_batch, _ = sinks.upsert_partitions(items, serving_table(serving_root, table), [table.pk, table.sk],
+                                             table.day_col, replace_days, n_values=len(days))
         counts[metric] = n_batch
     label = run_date or (min(days) if days else "unknown")
     return LoadResult(counts, M.counts_to_metrics(spark, counts, K.LOAD_JOB, label, both_granularities=True))

@@ -66,13 +66,15 @@ def table_exists(spark, path: str) -> bool:
 
 
 def upsert_partitions(batch: DataFrame, path: str, keys: list[str], day_col: str, replace_days: bool = False,
-                      n_values: int | None = None) -> int:
+                      n_values: int | None = None) -> tuple[int, int]:
     """E5 on a Parquet table: merge ``batch`` into the days it touches (last writer wins per key).
 
     The merge is staged in the scratch folder first, so the table is never read and overwritten by the same
-    tasks; only the touched day folders are replaced.  Returns the number of rows in the touched days.
+    tasks; only the touched day folders are replaced.  Returns (batch rows, rows now in the touched days).
     """
     spark = batch.sparkSession
+    obs = Observation("upsert-batch")
+    batch = batch.observe(obs, F.count(F.lit(1)).alias("n"))  # batch size, counted during the staging write
     if table_exists(spark, path) and not replace_days:
         existing = spark.read.parquet(path)
         if existing.schema[day_col].dataType != batch.schema[day_col].dataType:
@@ -84,4 +86,4 @@ def upsert_partitions(batch: DataFrame, path: str, keys: list[str], day_col: str
     else:
         merged = batch
     staged = stage(merged, "upsert")
-    return write_partitions(staged, path, [day_col], n_values=n_values)
+    return int(obs.get["n"]), write_partitions(staged, path, [day_col], n_values=n_values)
