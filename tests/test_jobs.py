@@ -164,3 +164,14 @@ def test_late_file_merges_into_its_day(spark, sf, tmp):
     assert len(k) == 1 and k[0].listen_count == 2 and k[0].unique_listeners == 2
     runs = spark.read.parquet(L.ledger + "/runs").collect()
     assert sorted(r.status for r in runs) == ["SUCCEEDED"] * 3
+
+
+def test_day_read_prunes_partitions_and_columns(spark, tmp):
+    df = spark.createDataFrame([(1, "a", "x", "2024-01-01"), (2, "b", "y", "2024-01-02")],
+                               "user_id int, genre string, other string, event_date string")
+    df.withColumn("event_date", F.to_date("event_date")).write.partitionBy("event_date").parquet(tmp + "/silver")
+    out = read_days(spark, tmp + "/silver", ["2024-01-02"]).select("user_id", "genre")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "ReadSchema: struct<user_id:int,genre:string>" in plan
+    assert [tuple(r) for r in out.collect()] == [(2, "b")]
