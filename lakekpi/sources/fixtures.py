@@ -20,7 +20,9 @@ _PLANS: dict = {}
 def _memo(fn):
     """The driver tables are read-only, so each fixture's DataFrame (a plan, no data) is built once per session."""
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kw):
-        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kw.items())))
+        # the application id changes whenever Spark is restarted, so a plan never outlives its context
+        app = spark.sparkContext.applicationId
+        key = (fn.__name__, app, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kw.items())))
         if key not in _PLANS:
             _PLANS[key] = fn(spark, sf_dir, *args, **kw)
         return _PLANS[key]
