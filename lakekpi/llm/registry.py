@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakekpi.llm.common import session
+from lakekpi.llm import decontaminate as _bd
+from lakekpi.llm import topk_search as _tk
 from lakekpi.llm.near_dups import op3_near_dups
 from lakekpi.llm.substring_dups import op4_substring_dups
 
@@ -24,5 +26,7 @@ def _register(fn, sql: str | None = None) -> None:
         ORACLES[fn.__name__] = sql
 
 
+_register(_tk.op1_topk_search, _tk.SQL)
+_register(_bd.op2_decontaminate, _bd.SQL)
 _register(op3_near_dups)
 _register(op4_substring_dups)
