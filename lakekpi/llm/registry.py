@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from lakekpi.llm.common import session
 from lakekpi.llm import decontaminate as _bd
 from lakekpi.llm import topk_search as _tk
+from lakekpi.llm import warc as _wa
 from lakekpi.llm.near_dups import op3_near_dups
+from lakekpi.llm.packing import op10_packing
 from lakekpi.llm.substring_dups import op4_substring_dups
+from lakekpi.llm.token_counts import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +33,6 @@ _register(_tk.op1_topk_search, _tk.SQL)
 _register(_bd.op2_decontaminate, _bd.SQL)
 _register(op3_near_dups)
 _register(op4_substring_dups)
+_register(op5_token_counts)
+_register(_wa.op8_warc, _wa.SQL)
+_register(op10_packing)
