@@ -4,7 +4,7 @@ A window is ``window`` consecutive words; every word under a window whose word s
 id, or same document and earlier start) goes.  Two equal windows at any two positions share an offset at which both
 positions fall on the cover modulo its period, so short anchors hashed only at cover positions find every long match
 with a third to a fifth of the hashes.  Anchors that occur once are forgotten; the others are extended to every
-window that holds one, and only those windows are compared, by 96 bits of two hashes of their words.
+window that holds one, and only those windows are compared, by 95 bits of two hashes of their words.
 
 Hot passages: a task settles repeats inside its own rows first and passes one row per distinct hash on, so a passage
 that sits in a third of all documents arrives once per task, not once per copy.
@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekpi.llm.common import MULT2, hash_words, read_table, split_words, stage, text_bytes, window_hashes
+from lakekpi.llm.common import MULT, MULT2, hash_words, read_table, split_words, stage, text_bytes, window_hashes
 
 # Perfect difference sets: every residue modulo the period is a difference of two members.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
-FLUSH_WORDS = 2_000_000
+FLUSH_ROWS = 1_000_000
 NULL_ID = -(2**63)
 
 
@@ -50,21 +50,18 @@ def _first_only(h: np.ndarray, check: np.ndarray | None, ids: np.ndarray, pos: n
     return order, new, count
 
 
-def _pack(pos: np.ndarray, check: np.ndarray) -> np.ndarray:
-    return ((check.astype(np.uint64) << np.uint64(32)) | pos.astype(np.uint64)).view(np.int64)
+# Rows as the shuffle gets them: id, then p (settled: the sign; 31 bits of a second hash or a mark; 32 bits of position),
+# then the hash.  What changes from row to row lies together, which shuffle files compress best.
+SHAPE = "id long, p long, h long"
+POSITION = 0xFFFFFFFF
 
 
-SHAPE = "h long, id long, p long, known boolean"
-
-
-def _batch(h, ids, p, known):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h.view(np.int64)), pa.array(ids), pa.array(p), pa.array(known)], names=["h", "id", "p", "known"])
-
-
-def _scatter(ids: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """Keys of rows that are settled already: spread evenly, alone in their group."""
-    return (ids.astype(np.uint64) * MULT2 + pos.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+def _rows(ids: np.ndarray, pos: np.ndarray, mark: np.ndarray, settled: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    # settled rows get keys of their own, spread evenly
+    own = (ids.astype(np.uint64) * MULT2 + pos.astype(np.uint64)) * MULT
+    p = (settled.astype(np.uint64) << np.uint64(63)) | (mark.astype(np.uint64) << np.uint64(32)) | pos.astype(np.uint64)
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(p.view(np.int64)), pa.array(np.where(settled, own, h).view(np.int64))],
+                                      names=["id", "p", "h"])
 
 
 def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -77,12 +74,9 @@ def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
     def settle(parts):
         h, ids, pos = (np.concatenate(x) for x in zip(*parts))
         order, new, count = _first_only(h, None, ids, pos)
-        h, ids, pos = h[order], ids[order], pos[order]
         several = np.repeat(count > 1, count)
-        rest = several & ~new
-        h[rest] = _scatter(ids[rest], pos[rest])
-        # the first of a repeated hash is known to repeat, and others must still meet it under its own key
-        return _batch(h, ids, _pack(pos, several), rest)
+        # the first of a repeated hash repeats as well, but others must still meet it under its own key
+        return _rows(ids[order], pos[order], several, several & ~new, h[order])
 
     def run(batches):
         parts, held = [], 0
@@ -98,16 +92,15 @@ def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
                 ok = np.flatnonzero((on_cover[pos % period] & (left >= width) & (np.repeat(size, size) >= window))[:len(w)])
                 parts.append((w[ok], np.repeat(ids, size)[ok], pos[ok]))
                 held += len(ok)
-            if held >= FLUSH_WORDS:
+            if held >= FLUSH_ROWS:
                 yield settle(parts)
                 parts, held = [], 0
         if held:
             yield settle(parts)
 
-    rows = docs.mapInArrow(run, SHAPE)
-    n = F.count(F.lit(1)).over(Window.partitionBy("h", "known"))
-    hit = rows.withColumn("n", n).where("n > 1 or known or shiftrightunsigned(p, 32) = 1")
-    marks = hit.select("id", F.col("p").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("h"))
+    marks = (docs.mapInArrow(run, SHAPE).withColumn("n", n).where((F.col("n") > 1) | (F.shiftrightunsigned("p", 32) > 0))
+             .select("id", F.col("p").bitwiseAND(F.lit(POSITION)).cast("int").alias("pos")))
     return marks.groupBy("id").agg(F.collect_list("pos").alias("marks"))
 
 
@@ -118,12 +111,10 @@ def repeated_windows(docs: DataFrame, marks: DataFrame, window: int) -> DataFram
     def settle(parts):
         h, check, ids, pos = (np.concatenate(x) for x in zip(*parts))
         order, new, count = _first_only(h, check, ids, pos)
-        h, check, ids, pos = h[order], check[order], ids[order], pos[order]
-        start = np.flatnonzero(new)
-        lead = np.repeat(start, count)
-        known = (ids != ids[lead]) | (pos != pos[lead])  # an earlier start lies in this task
-        h[known] = _scatter(ids[known], pos[known])
-        return _batch(h, ids, _pack(pos, check), known)
+        ids, pos = ids[order], pos[order]
+        lead = np.repeat(np.flatnonzero(new), count)
+        earlier = (ids != ids[lead]) | (pos != pos[lead])  # an earlier start lies in this task
+        return _rows(ids, pos, check[order], earlier, h[order])
 
     def run(batches):
         parts, held = [], 0
@@ -145,19 +136,21 @@ def repeated_windows(docs: DataFrame, marks: DataFrame, window: int) -> DataFram
                 s = np.flatnonzero(np.cumsum(edge[:n]) > 0)
                 if not len(s):
                     continue
-                check = (window_hashes(h, window, MULT2)[s] >> np.uint64(32)).astype(np.uint32)
+                check = (window_hashes(h, window, MULT2)[s] >> np.uint64(33)).astype(np.uint32)
                 parts.append((window_hashes(h, window)[s], check, np.full(len(s), ids[i]), s))
                 held += len(s)
-                if held >= FLUSH_WORDS:
+                if held >= FLUSH_ROWS:
                     yield settle(parts)
                     parts, held = [], 0
         if held:
             yield settle(parts)
 
     rows = docs.join(marks, "id").select("id", "text", "marks").mapInArrow(run, SHAPE)
-    pos = F.col("p").bitwiseAND(F.lit(0xFFFFFFFF))
-    rank = F.rank().over(Window.partitionBy("known", "h", F.shiftrightunsigned("p", 32)).orderBy("id", "p"))
-    late = rows.withColumn("r", rank).where("known or r > 1").select("id", pos.cast("int").alias("s"))
+    spec = Window.partitionBy("h").orderBy("id", F.col("p"))
+    first = rows.withColumn("r", F.rank().over(spec)).withColumn("f", F.first("p").over(spec))
+    same = F.shiftrightunsigned("f", 32) == F.shiftrightunsigned("p", 32)  # else two texts share 64 bits by chance
+    late = first.where((F.col("p") < 0) | (F.col("r") > 1) & same).select(
+        "id", F.col("p").bitwiseAND(F.lit(POSITION)).cast("int").alias("s"))
     return late.groupBy("id").agg(F.collect_set("s").alias("starts"))
 
 

@@ -30,7 +30,7 @@ from lakekpi.llm.common import read_table, stage, text_bytes
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PREFIXES = (4, 5, 6)
 EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 8000, 512, 16, 64
-MIN_SHARE, MIN_SCORE = 0.01, 30.0  # a term's share of toxic examples, and its log-likelihood ratio
+MIN_SHARE, MIN_SCORE, MIN_LIFT = 0.01, 30.0, 4.0  # of a term: share of toxic examples, log-likelihood ratio, toxic to clean share
 CACHE = 500_000
 
 
@@ -85,7 +85,7 @@ def vocabulary(counts: DataFrame, n_clean: int, n_toxic: int, terms: int) -> lis
     part = lambda x, n: F.when(x > 0, x * F.log(x / (n * share))).otherwise(0.0)
     ratio = 2 * (part(a, n_toxic) + part(n_toxic - a, n_toxic * (1 - share) / share) + part(b, n_clean) + part(n_clean - b, n_clean * (1 - share) / share))
     least = max(3, math.ceil(MIN_SHARE * n_toxic))
-    best = counts.where((a >= least) & (a / n_toxic > b / n_clean) & (share < 1)).select("term", ratio.alias("r")).where(F.col("r") >= MIN_SCORE)
+    best = counts.where((a >= least) & (a / n_toxic >= MIN_LIFT * b / n_clean) & (share < 1)).select("term", ratio.alias("r")).where(F.col("r") >= MIN_SCORE)
     return [bytes(r[0]) for r in best.orderBy(F.desc("r"), "term").limit(terms).collect()]
 
 
@@ -207,8 +207,11 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,
         examples: int = EXAMPLES, terms: int = TERMS) -> Model:
     picked, total = sample_labels(labels, id_col, label_col, folds, held, examples)
-    rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # near copies of one text would vote as many, so of examples with one and the same smallest word hash one stays
+    least = F.array_min(F.transform(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"\s+"), lambda w: F.xxhash64(w)))
+    rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), least.alias("least"))
                  .join(F.broadcast(picked), "id"), "tx-example")  # bounded: 2 * examples ids
+    rows = rows.join(F.broadcast(rows.groupBy("least", "y").agg(F.min("id").alias("id"))), ["least", "y", "id"])
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = vocabulary(_term_counts(rows), sizes.get(0, 0), sizes.get(1, 0), terms)
     n, df = _frequencies(docs, text_col, names) if names else (0, np.zeros(0))
