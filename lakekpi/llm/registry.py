@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakekpi.llm.common import session
 from lakekpi.llm import decontaminate as _bd
+from lakekpi.llm import quality as _qc
 from lakekpi.llm import topk_search as _tk
+from lakekpi.llm import toxicity as _tx
 from lakekpi.llm import warc as _wa
+from lakekpi.llm.lm import op9_lm_scores
 from lakekpi.llm.near_dups import op3_near_dups
 from lakekpi.llm.packing import op10_packing
 from lakekpi.llm.substring_dups import op4_substring_dups
@@ -34,5 +37,8 @@ _register(_bd.op2_decontaminate, _bd.SQL)
 _register(op3_near_dups)
 _register(op4_substring_dups)
 _register(op5_token_counts)
+_register(_tx.op6_toxicity)
+_register(_qc.op7_quality)
 _register(_wa.op8_warc, _wa.SQL)
+_register(op9_lm_scores)
 _register(op10_packing)
