@@ -137,10 +137,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     picked = sides.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)  # about 2 * sample ids
     got = _featured(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
                     .select("pos", "text"), "pos boolean", "x")
-    rows_ = stage(got, "qc-sample").orderBy("pos", "x").toPandas()
-    x = np.array(rows_["x"].tolist(), float).reshape(-1, len(FEATURES))
-    # every other row of the order goes to each half, and equal rows are alike, so the fit is the same at each run
-    pos = rows_["pos"].to_numpy(bool)
+    # about 2 * sample rows of features; in a fixed order, so that the fit is the same at each run
+    table = stage(got, "qc-sample").orderBy("pos", "x").toArrow()
+    x = table.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
+    pos = np.array(table.column("pos").to_pylist(), bool)
     return Model(x[pos], x[~pos])
 
 
@@ -162,6 +162,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, f"`{id_col}` long, held_out boolean, score double, predicted int")
 
 
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is at least ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        table, m = _classes(), shared.value
+        for b in batches:
+            x = np.array([features(t, table) for t in text_bytes(b.column(at))], float).reshape(-1, len(FEATURES))
+            yield b.filter(pa.array(m.score(x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_quality(spark, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakekpi.llm.common import MULT, MULT2, hash_words, read_table, split_words, stage, text_bytes, window_hashes
 
@@ -179,31 +180,29 @@ def _cut(text: bytes, gone: np.ndarray) -> bytes:
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
-    """``docs`` with the repeated words cut out of ``text_col`` (blanks elsewhere stay as they are), and n_words and
-    n_removed; the names of other columns are kept, also where they clash."""
-    cols = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    found = repeats(docs, id_col, text_col, window)
-    text_at, out_type = cols.index(text_col), docs.schema[text_col].dataType
-    joined = docs.select(*cols, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_sd_id")).join(
-        found.withColumnsRenamed({"id": "_sd_id", "starts": "_sd_starts"}), "_sd_id", "left")
+    """``docs`` with the repeated words cut out of ``text_col`` (blanks elsewhere stay as they are), and two more columns:
+    ``_words``, the words there were, and ``_removed``, those that went."""
+    cols = docs.columns
+    found = repeats(docs, id_col, text_col, window).toDF("_id", "_starts")
+    at = cols.index(text_col)
+    rows = docs.withColumn("_id", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))).join(found, "_id", "left")
+    schema = T.StructType([*docs.schema.fields, T.StructField("_words", T.LongType()), T.StructField("_removed", T.LongType())])
 
     def run(batches):
         for b in batches:
-            raw = b.column(text_at).cast(pa.large_binary()).to_pylist()
-            new, words, gone_n = [], [], []
-            for t, s in zip(raw, b.column(len(cols)).to_pylist()):
-                n = len((t or b"").split())
-                gone = covered(n, s, window) if s else np.zeros(0, bool)
-                words.append(n)
-                gone_n.append(int(gone.sum()))
-                new.append(_cut(t, gone).decode("utf-8", "replace") if gone.any() else None if t is None else t.decode("utf-8", "replace"))
-            arrays = [pa.array(new, pa.string()) if i == text_at else b.column(i) for i in range(len(cols))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(words, pa.int64()), pa.array(gone_n, pa.int64())],
-                                             names=[*cols, "n_words", "n_removed"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*cols).schema)
-    assert out_type.simpleString() == "string"
-    return joined.select(*cols, "_sd_starts").mapInArrow(run, f"{fields}, n_words long, n_removed long")
+            texts = b.column(at).cast(pa.large_binary()).to_pylist()
+            words, removed = [], []
+            for i, s in enumerate(b.column(len(cols)).to_pylist()):
+                words.append(len((texts[i] or b"").split()))
+                gone = covered(words[-1], s, window) if s else np.zeros(0, bool)
+                removed.append(int(gone.sum()))
+                if removed[-1]:
+                    texts[i] = _cut(texts[i], gone)
+            new = pa.array(texts, pa.large_binary()).cast(pa.large_string()).cast(b.column(at).type)
+            yield pa.RecordBatch.from_arrays([*(new if i == at else b.column(i) for i in range(len(cols))), pa.array(words, pa.int64()), pa.array(removed, pa.int64())],
+                                             names=[*cols, "_words", "_removed"])
+
+    return rows.select(*[f"`{c}`" for c in cols], "_starts").mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
