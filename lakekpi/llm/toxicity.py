@@ -207,8 +207,10 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,
         examples: int = EXAMPLES, terms: int = TERMS) -> Model:
     picked, total = sample_labels(labels, id_col, label_col, folds, held, examples)
-    # near copies of one text would vote as many, so of examples with one and the same smallest word hash one stays
-    least = F.array_min(F.transform(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"\s+"), lambda w: F.xxhash64(w)))
+    # near copies of one text would vote as many: of examples with one and the same smallest trigram hash one stays
+    words = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"\s+")
+    trigrams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, 3)))
+    least = F.array_min(trigrams)
     rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), least.alias("least"))
                  .join(F.broadcast(picked), "id"), "tx-example")  # bounded: 2 * examples ids
     rows = rows.join(F.broadcast(rows.groupBy("least", "y").agg(F.min("id").alias("id"))), ["least", "y", "id"])
