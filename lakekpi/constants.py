@@ -29,10 +29,6 @@ MISSING_COORDINATES_ERROR = "Missing bucket or key"
 MISSING_KEY_ERROR = "Missing key"
 READ_FAILED_ERROR = "Failed to read object: {exc}"
 REFERENCE_MISSING_ERROR = "Reference data {name} is empty or missing at {path}"
-DROP_RATE_ERROR = "Drop rate {rate:.1%} exceeds threshold {limit:.1%} (raw={raw}, final={final})."
-POISON_ERROR = ("Poison-partition guard: failed to parse {n} Parquet file(s): {paths}. "
-                "Fix or remove the corrupted files and re-run.")
-ARCHIVE_ERROR = "Archive failed for {n} object(s): {keys}"
 
 # --- fixed values: thresholds and defaults -------------------------------------------------------
 MAX_DROP_RATE = 0.10
@@ -60,7 +56,10 @@ RETENTION_DAYS = {
     "results": 14,
 }
 
-# Our own label for metric rows (not a fixed value; change freely).
+# Our own texts and labels (not fixed values; change freely).
+DROP_RATE_ERROR = "{raw} raw rows became {final}: {rate:.1%} were lost, {limit:.1%} is allowed"
+POISON_ERROR = "{n} unreadable Parquet file(s) in the partitions to read: {paths}"
+ARCHIVE_ERROR = "copies of {n} file(s) differ from their sources: {keys}"
 METRIC_NAMESPACE = "lakekpi/DQ"
 
 # --- fixed values: metric names -------------------------------------------------------------------

@@ -13,8 +13,8 @@ def _c(col) -> Column:
 
 
 def strip_ws(col) -> Column:
-    """Strip leading/trailing whitespace of every kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace of every kind, Unicode blanks too (``trim`` only removes spaces)."""
+    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
 
 
 def strip_quotes(col) -> Column:
@@ -35,10 +35,8 @@ def is_stream_key(col) -> Column:
 
 
 def extract_landing_date(col) -> Column:
-    """Text between ``landing_date=`` and the next ``/``; empty string when the marker is absent."""
-    k = _c(col)
-    after = F.substring_index(k, K.LANDING_MARKER, -1)
-    return F.when(k.contains(K.LANDING_MARKER), F.substring_index(after, "/", 1)).otherwise(F.lit(""))
+    """Text between the first ``landing_date=`` and the next ``/``; empty string when the marker is absent."""
+    return F.regexp_extract(_c(col), f"^.*?{K.LANDING_MARKER}([^/]*)", 1)
 
 
 def extract_run_date(col) -> Column:

@@ -97,6 +97,17 @@ def check_drop_rate(counts: dict, max_drop_rate: float = K.MAX_DROP_RATE) -> flo
     return rate
 
 
+def check_each_file(raw: DataFrame, songs: DataFrame, max_drop_rate: float = K.MAX_DROP_RATE) -> None:
+    """C15 for each ``source_file`` of a batch: raise for the file that lost the largest share, if that is too much."""
+    if max_drop_rate >= 1:
+        return  # no share can be above it
+    worst = (gate_counts_by(raw, songs, ["source_file"]).where(F.col("drop_rate") > F.lit(float(max_drop_rate)))
+             .orderBy(F.desc("drop_rate"), "source_file").limit(1).collect())
+    for r in worst:
+        text = K.DROP_RATE_ERROR.format(rate=r["drop_rate"], limit=max_drop_rate, raw=r["RawCount"], final=r["AfterSongsJoinCount"])
+        raise DropRateExceeded(f"{r['source_file']}: {text}")
+
+
 def observe_gates(raw: DataFrame, songs: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   scope: list[str] | None = None):
     """The curate pipeline up to the song join with an ``Observation`` at each gate.

@@ -91,26 +91,35 @@ def rollup_stream(samples: DataFrame, period_seconds: int, watermark: str = "10
 
 RULE_SCHEMA = (
     "rule_name string, metric_name string, statistic string, period_seconds long, comparator string, "
-    "threshold double, missing string"
+    "threshold double, missing string, dimensions map<string,string>"
 )
 
-# Alarm rules of the reference pipeline, as (name, metric, statistic, period s, comparator, threshold, missing).
+# The pipeline's alarm rules (name, metric, statistic, period s, comparator, threshold, missing data).
+# JobName and FunctionName rules hold once for each job and handler; dimension values in braces are deployment names.
+_JOBS = [K.SILVER_JOB, K.GOLD_JOB, K.LOAD_JOB]
+_HANDLERS = ["event_router", "event_validator", "quarantine_handler", "stream_archiver"]
 PIPELINE_RULES = [
-    ("runs-failed", "ExecutionsFailed", "Sum", 300, ">", 0.0, "notBreaching"),
-    ("job-failed", "FailedRuns", "Sum", 300, ">", 0.0, "notBreaching"),
-    ("handler-errors", "Errors", "Sum", 300, ">", 0.0, "notBreaching"),
-    ("no-ingest", "Invocations", "Sum", 86400, "<", 1.0, "missing"),
-    ("dead-letter-depth", "ApproximateNumberOfMessagesVisible", "Maximum", 60, ">", 0.0, "notBreaching"),
-    ("sla-breach", "ExecutionsSucceeded", "Sum", 90000, "<", 1.0, "breaching"),
-    ("drop-rate-high", "DropRatePct", "Maximum", 300, ">", 10.0, "notBreaching"),
-    ("genre-kpis-zero", "GenreKpisLoaded", "Sum", 86400, "<", 1.0, "missing"),
-    ("top-songs-zero", "TopSongsLoaded", "Sum", 86400, "<", 1.0, "missing"),
-    ("top-genres-zero", "TopGenresLoaded", "Sum", 86400, "<", 1.0, "missing"),
+    ("runs-failed", "ExecutionsFailed", "Sum", 300, ">", 0.0, "notBreaching", {"StateMachineArn": "{pipeline}"}),
+    *((f"job-{x}-failed", "FailedRuns", "Sum", 300, ">", 0.0, "notBreaching", {"JobName": x}) for x in _JOBS),
+    *((f"handler-{x}-errors", "Errors", "Sum", 300, ">", 0.0, "notBreaching", {"FunctionName": x}) for x in _HANDLERS),
+    ("no-ingest", "Invocations", "Sum", 86400, "<", 1.0, "missing", {"RuleName": "{trigger}"}),
+    ("dead-letter-depth", "ApproximateNumberOfMessagesVisible", "Maximum", 60, ">", 0.0, "notBreaching", {"QueueName": "{dead-letters}"}),
+    ("sla-breach", "ExecutionsSucceeded", "Sum", 90000, "<", 1.0, "breaching", {"StateMachineArn": "{pipeline}"}),
+    ("drop-rate-high", "DropRatePct", "Maximum", 300, ">", 10.0, "notBreaching", {"Job": K.SILVER_JOB}),
+    ("genre-kpis-zero", "GenreKpisLoaded", "Sum", 86400, "<", 1.0, "notBreaching", {"Job": K.LOAD_JOB}),
+    ("top-songs-zero", "TopSongsLoaded", "Sum", 86400, "<", 1.0, "notBreaching", {"Job": K.LOAD_JOB}),
+    ("top-genres-zero", "TopGenresLoaded", "Sum", 86400, "<", 1.0, "notBreaching", {"Job": K.LOAD_JOB}),
 ]
 
 
 def rules_frame(spark: SparkSession, rules=None) -> DataFrame:
-    return spark.createDataFrame(rules or PIPELINE_RULES, RULE_SCHEMA)
+    """Rules as rows; a rule without dimensions watches every series of its metric."""
+    return spark.createDataFrame([(*r, None)[:8] for r in rules or PIPELINE_RULES], RULE_SCHEMA)
+
+
+def _series(dimensions) -> Column:
+    """A dimension map as a comparable value."""
+    return F.array_sort(F.map_entries(dimensions))
 
 
 def _period_start(ts: Column, seconds: Column) -> Column:
@@ -121,13 +130,16 @@ def evaluate_alarms(samples: DataFrame, rules: DataFrame, start: str, end: str,
                     ts_col: str = "ts", value_col: str = "value") -> DataFrame:
     """H2-H4: one state per (rule, period) over the complete period spine [start, end).
 
-    Samples are joined to the (configuration-sized, broadcast) rule table on the metric, so rules with different
-    periods share one aggregate.  Periods without samples take the rule's missing-data policy:
+    Samples are joined to the (configuration-sized, broadcast) rule table on the metric and, where the rule names
+    dimensions, on exactly those, so rules with different periods share one aggregate.  Periods without samples take the rule's missing-data policy:
     breaching -> ALARM, notBreaching -> OK, missing -> INSUFFICIENT_DATA.
     """
     r = F.broadcast(rules)
     v = F.col(value_col)
-    tagged = samples.join(r, "metric_name").withColumn(
+    has = "dimensions" in samples.columns
+    own = r.withColumnRenamed("dimensions", "_watched") if "dimensions" in r.columns else r.withColumn("_watched", F.lit(None).cast("map<string,string>"))
+    watched = F.col("_watched").isNull()
+    tagged = samples.join(own, "metric_name").where(watched | (_series("dimensions") == _series("_watched")) if has else watched).withColumn(
         "period_start", _period_start(F.col(ts_col), F.col("period_seconds"))
     )
     total = F.sum(v.cast(f"decimal(18,{exact_scale})")) if exact_scale is not None else F.sum(v)

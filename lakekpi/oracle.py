@@ -10,7 +10,7 @@ PARSE = "try_strptime(listen_time, '%Y-%m-%d %H:%M:%S')"
 
 FIXTURES = {
     "raw": """
-select case when event_id % 101 = 0 then null else cast(user_id as int) end as user_id,
+select case when event_id % 101 = 0 then null else cast(case when event_id % 97 = 0 then user_id + 1000000000 else user_id end as int) end as user_id,
        case when event_id % 103 = 0 then null
             when event_id % 37 = 0 then 'T_MISSING'
             else concat('T', cast((event_id * 7) % 200 as varchar)) end as track_id,
@@ -23,17 +23,10 @@ select concat('T', cast(p_partkey as varchar)) as track_id, p_brand as artists,
        concat(p_brand, ' album') as album_name, p_name as track_name,
        cast(p_size as bigint) * 6000 + (p_partkey % 7) * 137 as duration_ms,
        concat('  ', p_type, ' ') as track_genre
-from part where p_partkey < 200""",
-    "songs_all": """
-select concat('T', cast(p_partkey as varchar)) as track_id, p_brand as artists,
-       concat(p_brand, ' album') as album_name, p_name as track_name,
-       cast(p_size as bigint) * 6000 + (p_partkey % 7) * 137 as duration_ms,
-       concat('  ', p_type, ' ') as track_genre
 from part""",
     "users": """
 select cast(c_custkey as int) as user_id, n_name as user_country
-from customer join nation on c_nationkey = n_nationkey
-where c_custkey % 10 <> 3""",
+from customer join nation on c_nationkey = n_nationkey""",
     "star": """
 select cast(o_custkey as int) as user_id, concat('T', cast(l_partkey as varchar)) as track_id,
        substr(cast(o_orderdate as varchar), 1, 19) as listen_time
@@ -103,7 +96,7 @@ FIXTURES["stream_records"] = """
 select concat('streams/landing_date=', d, '/batch.csv') as source_key, d as landing_date, event_id, copy_no,
        case when day_no % 4 <> 0 and event_id % 101 = 0 then null
             when day_no % 4 <> 0 and event_id % 113 = 0 then '  '
-            else cast(user_id as varchar) end as user_id,
+            else cast(case when event_id % 97 = 0 then user_id + 1000000000 else user_id end as varchar) end as user_id,
        case when day_no % 4 <> 0 and event_id % 103 = 0 then '' when event_id % 37 = 0 then 'T_MISSING'
             else concat('T', cast((event_id * 7) % 200 as varchar)) end as track_id,
        case when day_no % 7 = 3 and day_no % 5 <> 0 then null

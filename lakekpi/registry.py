@@ -54,12 +54,12 @@ def curated(spark, sf_dir) -> DataFrame:
 
 
 def curated_star(spark, sf_dir) -> DataFrame:
-    return C.curate(X.star(spark, sf_dir), X.songs(spark, sf_dir, limit_keys=False), X.users(spark, sf_dir))
+    return C.curate(X.star(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir))
 
 
 _CUR = ("raw", "songs", "users")
 _CUR_CTE = {"curated": O.curated_sql()}
-_STAR_CTE = {"curated": O.curated_sql("star", "songs_all")}
+_STAR_CTE = {"curated": O.curated_sql("star")}
 
 
 def _cur(body: str) -> str:
@@ -161,14 +161,14 @@ def q_v_top_genres(spark, sf_dir):
     return V.v_top_genres(D.top_genres(curated(spark, sf_dir)))
 
 
-@register("star_genre_kpis_daily", O.with_ctes(O.GENRE_KPIS_SQL, "star", "songs_all", "users", "curated", extra=_STAR_CTE))
+@register("star_genre_kpis_daily", O.with_ctes(O.GENRE_KPIS_SQL, "star", "songs", "users", "curated", extra=_STAR_CTE))
 def q_star_genre_kpis(spark, sf_dir):
     """D1 over the large batch (one listen per line item)."""
     return D.genre_kpis(curated_star(spark, sf_dir))
 
 
 @register("star_top_songs_by_genre_daily", O.with_ctes(
-    O.TOP_SONGS_SQL.format(n=3), "star", "songs_all", "users", "curated", extra=_STAR_CTE))
+    O.TOP_SONGS_SQL.format(n=3), "star", "songs", "users", "curated", extra=_STAR_CTE))
 def q_star_top_songs(spark, sf_dir):
     """D2 over the large batch."""
     return D.top_songs(curated_star(spark, sf_dir))
@@ -358,11 +358,11 @@ def q_dq_gates(spark, sf_dir):
 
 
 @register("star_dq_gates", O.with_ctes(
-    _GATES_FULL.replace("from raw", "from star").replace("join songs", "join songs_all").replace("from songs", "from songs_all"),
-    "star", "songs_all"))
+    _GATES_FULL.replace("from raw", "from star"),
+    "star", "songs"))
 def q_star_dq_gates(spark, sf_dir):
     """C14 + C15 over the large batch."""
-    return G.with_drop_rate(G.gate_counts(X.star(spark, sf_dir), X.songs(spark, sf_dir, limit_keys=False)))
+    return G.with_drop_rate(G.gate_counts(X.star(spark, sf_dir), X.songs(spark, sf_dir)))
 
 
 RUN_KEY = "streams/landing_date=2024-01-05/batch.csv"
@@ -399,13 +399,13 @@ ROLLUP_PERIOD = 300
 
 @register("metric_rollup", O.with_ctes(f"""
 select time_bucket(interval {ROLLUP_PERIOD} second, ts) as period_start, metric_name,
-       cast(sum(cast(value as decimal(18,2))) as double) as sum,
-       cast(sum(cast(value as decimal(18,2))) as double) / count(value) as average,
+       cast(sum(cast(value as decimal(18,6))) as double) as sum,
+       cast(sum(cast(value as decimal(18,6))) as double) / count(value) as average,
        max(value) as maximum, count(value) as sample_count
 from metric_samples group by 1, 2""", "metric_samples"))
 def q_metric_rollup(spark, sf_dir):
     """H1: 5-minute Sum / Average / Maximum / SampleCount per metric."""
-    return H.rollup(X.metric_samples(spark, sf_dir), ROLLUP_PERIOD, exact_scale=2)
+    return H.rollup(X.metric_samples(spark, sf_dir), ROLLUP_PERIOD, exact_scale=6)
 
 
 # Alarm rules over the sample metrics: threshold, freshness (H3) and zero-load (H4) shapes.
@@ -431,7 +431,7 @@ def _ps(expr: str, p: str) -> str:
 ORACLES_ALARMS = O.with_ctes(f"""
 , agg as (
   select rule_name, {_ps('s.ts', 'r.period_seconds')} as period_start,
-         cast(sum(cast(value as decimal(18,2))) as double) as _sum, max(value) as _max, count(value) as _cnt
+         cast(sum(cast(value as decimal(18,6))) as double) as _sum, max(value) as _max, count(value) as _cnt
   from metric_samples s join rules r on r.metric_name = s.metric_name group by 1, 2),
 spine as (
   select r.*, unnest(generate_series({_ps(f"timestamp '{ALARM_START}'", 'r.period_seconds')},
@@ -456,7 +456,7 @@ from j""", "metric_samples", extra={}).replace("\n, agg as", f",\nrules as ({_ru
 def q_alarm_states(spark, sf_dir):
     """H2-H4: alarm state per rule and period over the full period spine."""
     rules = H.rules_frame(spark, SAMPLE_RULES)
-    return H.evaluate_alarms(X.metric_samples(spark, sf_dir), rules, ALARM_START, ALARM_END, exact_scale=2)
+    return H.evaluate_alarms(X.metric_samples(spark, sf_dir), rules, ALARM_START, ALARM_END, exact_scale=6)
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -829,7 +829,7 @@ def q_stream_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream-ingest")
     _land(spark, sf_dir, f"{root}/landing")
     ingest(spark, f"{root}/landing", f"{root}/checkpoint", X.songs(spark, sf_dir), X.users(spark, sf_dir),
-           f"{root}/silver", f"{root}/gold", max_drop_rate=1.0)
+           f"{root}/silver", f"{root}/gold")
     g = read_gold(spark, f"{root}/gold", "genre_kpis_daily")
     return g.select("genre", "listen_count", "unique_listeners", "total_listen_seconds",
                     "avg_listen_seconds_per_user", "date")
@@ -855,8 +855,7 @@ _BATCH_RAW = {
 
 
 @register("batch_run_serving", O.with_ctes(
-    _GENRE_ITEMS_SQL.replace("'unknown' as source_execution_id", "'exec-batch' as source_execution_id")
-    .replace(_EXP.format(d=90), "cast(null as bigint)"),
+    _GENRE_ITEMS_SQL.replace("'unknown' as source_execution_id", "'exec-batch' as source_execution_id"),
     "raw", "songs", "users", "landed", "valid_days", "raw_ok", "curated", extra=_BATCH_RAW))
 def q_batch_run(spark, sf_dir):
     """One run over all landed files (validate -> quarantine | curate -> aggregate -> serve); serving items."""
@@ -868,11 +867,11 @@ def q_batch_run(spark, sf_dir):
     layout = Layout(*(f"{root}/{x}" for x in
                       ("landing", "silver", "gold", "serving", "quarantine", "archive", "manifests", "ledger")))
     run_batch(spark, layout, X.songs(spark, sf_dir), X.users(spark, sf_dir), execution_id="exec-batch",
-              event_time="2024-02-01T00:00:00Z", max_drop_rate=1.0, archive_files=False)
+              event_time="2024-02-01T00:00:00Z", now=_loaded())
     items = spark.read.parquet(serving_table(layout.serving, E.GENRE_KPIS))
     return items.select(
         "genre", "date", "listen_count", "unique_listeners", "total_listen_seconds", "avg_listen_seconds_per_user",
-        "ingested_at", "source_execution_id", F.lit(None).cast("bigint").alias("expires_at"),
+        "ingested_at", "source_execution_id", "expires_at",
     )
 
 
@@ -944,7 +943,7 @@ def q_silver_gold_jobs(spark, sf_dir):
     )
 
 
-@register("star_silver_gold_jobs", O.with_ctes(O.TOP_SONGS_SQL.format(n=3), "star", "songs_all", "users", "curated",
+@register("star_silver_gold_jobs", O.with_ctes(O.TOP_SONGS_SQL.format(n=3), "star", "songs", "users", "curated",
                                                extra=_STAR_CTE))
 def q_star_silver_gold_jobs(spark, sf_dir):
     """Both jobs over the large batch; the Gold top-songs table is read back."""
@@ -952,8 +951,8 @@ def q_star_silver_gold_jobs(spark, sf_dir):
     from lakekpi.plans.silver import run_silver
 
     root = scratch_path(spark, "star-silver-gold")
-    s = run_silver(spark, X.star(spark, sf_dir), X.songs(spark, sf_dir, limit_keys=False), X.users(spark, sf_dir),
-                   f"{root}/silver", run_key="streams/landing_date=1995-01-01/batch.csv", max_drop_rate=1.0)
+    s = run_silver(spark, X.star(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir),
+                   f"{root}/silver", run_key="streams/landing_date=1995-01-01/batch.csv")
     run_gold(spark, f"{root}/silver", f"{root}/gold", s.days)
     return read_gold(spark, f"{root}/gold", "top_songs_by_genre_daily").select(
         "genre", "track_id", "track_name", "play_count", "rank", "date", "genre_date"

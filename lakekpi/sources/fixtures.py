@@ -15,6 +15,7 @@ from lakekpi.sources.balance import balance
 
 
 _PLANS: dict = {}
+UNKNOWN_USERS = 1_000_000_000  # beyond every customer key
 
 
 def _memo(fn):
@@ -52,9 +53,14 @@ def _events_with_copies(spark, sf_dir) -> DataFrame:
     ))
 
 
+def _listener() -> Column:
+    """The event's user; every 97th event is by a user no dimension knows."""
+    return F.when(F.col("event_id") % 97 == 0, F.col("user_id") + UNKNOWN_USERS).otherwise(F.col("user_id"))
+
+
 def _raw_fields(e: DataFrame) -> list[Column]:
     eid = F.col("event_id")
-    user_id = F.when(eid % 101 == 0, F.lit(None)).otherwise(F.col("user_id").cast("int"))
+    user_id = F.when(eid % 101 == 0, F.lit(None)).otherwise(_listener().cast("int"))
     track_id = (
         F.when(eid % 103 == 0, F.lit(None))
         .when(eid % 37 == 0, F.lit("T_MISSING"))
@@ -75,12 +81,9 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_memo
-def songs(spark: SparkSession, sf_dir: str, limit_keys: bool = True) -> DataFrame:
-    """Song dimension from ``part``; genre carries padding.  ``limit_keys`` keeps track keys below 200."""
-    p = table(spark, sf_dir, "part")
-    if limit_keys:
-        p = p.filter(F.col("p_partkey") < 200)
-    return p.select(
+def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Song dimension from ``part``; genre carries padding."""
+    return table(spark, sf_dir, "part").select(
         F.concat(F.lit("T"), F.col("p_partkey").cast("string")).alias("track_id"),
         F.col("p_brand").alias("artists"),
         F.concat(F.col("p_brand"), F.lit(" album")).alias("album_name"),
@@ -92,8 +95,8 @@ def songs(spark: SparkSession, sf_dir: str, limit_keys: bool = True) -> DataFram
 
 @_memo
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User dimension from ``customer`` + ``nation``; every 10th user (key ending in 3) is missing."""
-    c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 10 != 3)
+    """User dimension from ``customer`` + ``nation``."""
+    c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is a fixed 25-row code table (TPC-H), so broadcasting it is bounded by construction.
     return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
@@ -166,7 +169,7 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     user_id = (
         F.when(dirty & (eid % 101 == 0), F.lit(None))
         .when(dirty & (eid % 113 == 0), F.lit("  "))
-        .otherwise(F.col("user_id").cast("string"))
+        .otherwise(_listener().cast("string"))
     )
     track_id = (
         F.when(dirty & (eid % 103 == 0), F.lit(""))

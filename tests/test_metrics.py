@@ -77,3 +77,13 @@ def test_rollup_on_a_stream_with_watermark(spark, tmp):
     q.awaitTermination()
     out = {str(r.period_start): r.sum for r in spark.read.parquet(tmp + "/out").collect()}
     assert out["2024-01-01 00:00:00"] == 6.0 and out["2024-01-01 00:05:00"] == 2.0
+
+
+def test_rules_watch_their_own_series(spark):
+    """The load job emits each count by job, and by job and day; only the first series is the alarm's."""
+    s = M.counts_to_metrics(spark, {"GenreKpisLoaded": 10}, "ddb_etl", "2024-01-01", both_granularities=True, ts=dt.datetime(2024, 1, 1, 1))
+    rules = M.rules_frame(spark)
+    assert rules.where("rule_name like 'job-%' or rule_name like 'handler-%'").count() == 7
+    st = {r.rule_name: r for r in M.evaluate_alarms(s, rules, "2024-01-01 00:00:00", "2024-01-02 00:00:00").where("period_start = '2024-01-01 00:00:00'").collect()}
+    assert st["genre-kpis-zero"].value == 10.0 and st["genre-kpis-zero"].state == "OK"
+    assert st["top-songs-zero"].state == "OK" and st["no-ingest"].state == "INSUFFICIENT_DATA"
