@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekpi import constants as K
+from lakekpi.operators.joins import fits_broadcast
+from lakekpi.operators.numbering import number_within
+from lakekpi.plans.sinks import stage
 from lakekpi.sources.csv_scan import object_key
 
 
@@ -16,11 +20,13 @@ class ArchiveFailed(RuntimeError):
     pass
 
 
-def raw_lines(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
-    """Raw text lines of the given object keys (semi-join of a scan of ``root`` on the key list)."""
-    lines = spark.read.text(root, recursiveFileLookup=True).select(
+def raw_lines(spark: SparkSession, root: str, keys: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Raw text lines of the given object keys, with their place in the file (``block``, ``pos``).
+
+    ``paths`` are the files to scan if the caller knows them, else the whole of ``root`` is.
+    """
+    lines = spark.read.text(paths or root, recursiveFileLookup=True).select(
         object_key(F.col("_metadata.file_path"), root).alias("object_key"),
-        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         "value",
@@ -28,44 +34,63 @@ def raw_lines(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
     return lines.join(keys.select("object_key").distinct(), "object_key", "left_semi")
 
 
-def _fingerprint(df: DataFrame, key: str = "object_key") -> DataFrame:
-    """Per-file line count and order-independent checksum (xor of 64-bit line hashes)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("lines"), F.bit_xor(F.xxhash64("value")).alias("checksum"))
+def _fingerprint(lines: DataFrame, order: list[str]) -> DataFrame:
+    """Per file: number of lines, and a sum of 64-bit hashes of every line with its number (so order counts too)."""
+    numbered = number_within(lines.select("object_key", "value", *order), ["object_key"], order, out="n")
+    return numbered.groupBy("object_key").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.xxhash64("value", "n").cast("decimal(38,0)")).alias("checksum"))
 
 
-def copy_lines(lines: DataFrame, dest_root: str, partition_col: str = "object_key") -> None:
-    """Write raw lines under ``dest_root`` partitioned by their object key (one folder per copied file)."""
-    (lines.select("value", partition_col).hint("rebalance", partition_col)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).text(dest_root))
+def copy_lines(lines: DataFrame, dest_root: str) -> None:
+    """Write raw lines under ``dest_root``, one folder per file, in their order: a file that is spread over several
+    writers goes on from part to part."""
+    order = ["object_key", "block", "pos"]
+    (lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value", "object_key")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("object_key").text(dest_root))
 
 
-def archive(spark: SparkSession, landing_root: str, archive_root: str, keys: DataFrame,
-            fail: bool = True) -> DataFrame:
-    """Copy the files' lines to the archive, read the copy back, compare per-file fingerprints.
+def copied(spark: SparkSession, dest_root: str, keys: DataFrame) -> DataFrame:
+    """Lines of the copies of ``keys``: object_key, folder (where the copy lies below ``dest_root``), part, pos, value."""
+    try:
+        back = spark.read.text(dest_root)
+    except AnalysisException:  # nothing was ever copied
+        back = spark.createDataFrame([], "value string")
+    if "object_key" not in back.columns:
+        return spark.createDataFrame([], "object_key string, folder string, part string, block long, pos long, value string")
+    path = F.regexp_extract(object_key(F.col("_metadata.file_path"), dest_root), "^(.*)/([^/]+)$", 1)
+    rows = back.select(F.col("object_key").cast("string").alias("object_key"), path.alias("folder"),
+                       F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("pos"), "value")
+    return rows.join(F.broadcast(keys.select("object_key").distinct()) if fits_broadcast(keys) else keys.select("object_key").distinct(),
+                     "object_key", "left_semi")
+
+
+def archive(spark: SparkSession, landing_root: str, archive_root: str, keys: DataFrame, fail: bool = True,
+            paths: list[str] | None = None) -> DataFrame:
+    """Copy the files' lines to the archive, read the copies of this run back, compare per-file fingerprints.
 
     Returns status rows (object_key, status, lines, archive_key); raises naming every failed key when
-    ``fail``.  Only ``archived`` rows may enter the delete list.
+    ``fail``.  ``archive_key`` is the copy's folder below ``archive_root``.  Only ``archived`` rows may enter the delete list.
     """
-    lines = raw_lines(spark, landing_root, keys)
-    copy_lines(lines.select("value", "object_key"), archive_root)
-    src = _fingerprint(lines)
-    back = spark.read.text(archive_root)
-    if "object_key" not in back.columns:  # nothing was copied: no key folders to discover
-        back = spark.createDataFrame([], "value string, object_key string")
-    dst = _fingerprint(back).withColumnRenamed("lines", "a_lines").withColumnRenamed("checksum", "a_checksum")
+    lines = raw_lines(spark, landing_root, keys, paths)
+    copy_lines(lines, archive_root)
+    src = _fingerprint(lines, ["block", "pos"])
+    back = copied(spark, archive_root, keys)
+    dst = (_fingerprint(back, ["part", "block", "pos"]).withColumnsRenamed({"lines": "a_lines", "checksum": "a_checksum"})
+           .join(back.groupBy("object_key").agg(F.min("folder").alias("folder")), "object_key"))
     st = keys.select("object_key").distinct().join(src, "object_key", "left").join(dst, "object_key", "left")
     ok = (F.col("lines") == F.col("a_lines")) & (F.col("checksum") == F.col("a_checksum"))
-    status = st.select(
+    status = stage(st.select(
         "object_key",
         F.when(ok, F.lit("archived")).otherwise(F.lit("failed")).alias("status"),
         F.coalesce("lines", F.lit(0)).alias("lines"),
-        F.when(ok, F.concat(F.lit("object_key="), F.col("object_key"))).alias("archive_key"),
-    )
+        F.when(ok, F.col("folder")).alias("archive_key"),
+    ), "archive-status")
     if fail:
-        failed = [r.object_key for r in status.filter(F.col("status") == "failed").orderBy("object_key").collect()]
-        if failed:
-            raise ArchiveFailed(K.ARCHIVE_ERROR.format(n=len(failed), keys=", ".join(failed)))
+        bad = status.filter(F.col("status") == "failed")
+        n, names = bad.agg(F.count(F.lit(1)), F.array_join(F.array_sort(F.collect_list("object_key")), ", ")).first()
+        if n:
+            raise ArchiveFailed(K.ARCHIVE_ERROR.format(n=n, keys=names))
     return status
 
 
@@ -80,7 +105,7 @@ def _delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 fs.delete_file(q)
                 out.append((p, "deleted"))
             except Exception as exc:  # noqa: BLE001
-                out.append((p, f"error: {exc}"[:300]))
+                out.append((p, f"error: {exc}"))
         yield pd.DataFrame(out, columns=["path", "result"])
 
 
@@ -94,24 +119,27 @@ def delete_sources(spark: SparkSession, landing_root: str, status: DataFrame) ->
     return files.select("path").mapInPandas(_delete, "path string, result string")
 
 
-def quarantine(spark: SparkSession, landing_root: str, quarantine_root: str, invalid: DataFrame) -> DataFrame:
+def quarantine(spark: SparkSession, landing_root: str, quarantine_root: str, invalid: DataFrame,
+               paths: list[str] | None = None) -> DataFrame:
     """Copy invalid files' raw lines under ``quarantine_root/bronze`` (the source stays) + ledger rows.
 
+    ``quarantine_key`` is the copy's folder below ``quarantine_root``; a zero-byte file has no copy and names its own key.
     A missing key or a failed copy is reported in the ledger rows (``quarantined=false`` + error), not raised.
     """
     key = F.col("source_key")
     missing = key.isNull() | (key == "")
     keys = invalid.filter(~missing).select(key.alias("object_key"))
-    error = None
+    dest = f"{quarantine_root.rstrip('/')}/{K.QUARANTINE_PREFIX.rstrip('/')}"
+    error, places = None, spark.createDataFrame([], "source_key string, folder string")
     try:
-        lines = raw_lines(spark, landing_root, keys)
-        copy_lines(lines.select("value", "object_key"), f"{quarantine_root.rstrip('/')}/{K.QUARANTINE_PREFIX.rstrip('/')}")
+        copy_lines(raw_lines(spark, landing_root, keys, paths), dest)
+        places = copied(spark, dest, keys).groupBy(F.col("object_key").alias("source_key")).agg(F.min("folder").alias("folder"))
     except Exception as exc:  # noqa: BLE001
-        error = str(exc)[:500]
+        error = str(exc)
     ok = ~missing & F.lit(error is None)
-    return invalid.select(
+    return invalid.join(places, "source_key", "left").select(
         key.alias("key"),
         ok.alias("quarantined"),
-        F.when(ok, F.concat(F.lit(K.QUARANTINE_PREFIX), key)).alias("quarantine_key"),
+        F.when(ok, F.concat(F.lit(K.QUARANTINE_PREFIX), F.coalesce("folder", key))).alias("quarantine_key"),
         F.when(missing, F.lit(K.MISSING_KEY_ERROR)).when(~ok, F.lit(error)).alias("error"),
     )

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekpi.operators import admission as A
 from lakekpi.operators import serve as E
 from lakekpi.operators import validate as B
 from lakekpi.plans import archive as G
@@ -14,7 +15,9 @@ from lakekpi.plans import sinks
 from lakekpi.plans.gold import run_gold
 from lakekpi.plans.load import run_load, serving_table
 from lakekpi.plans.silver import run_silver
+from lakekpi.session import size_shuffles
 from lakekpi.sources.csv_scan import read_batches, typed_streams
+from lakekpi.sources.listing import empty_objects, list_objects
 
 
 @dataclass
@@ -44,21 +47,42 @@ def run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Data
               execution_id: str = "run", **kw) -> BatchResult:
     """Process the given batch files as one run and record its outcome in the run ledger.
 
+    Without ``paths`` the run takes what ``admitted`` finds: stream CSVs, zero-byte ones too, one per content, whose
+    content has not started a run in the last 90 days.  Given ``paths`` are processed again whatever the ledger says.
     The ledger row (execution_id, status, valid/invalid file counts, days, error) is appended on success and on
-    failure; a failure is re-raised after it is recorded.
+    failure; a run of invalid files alone is FAILED; an exception is re-raised after it is recorded.
     """
     try:
         res = _run_batch(spark, layout, songs, users, paths, execution_id=execution_id, **kw)
     except Exception as exc:
         _ledger(spark, layout, execution_id, "FAILED", None, str(exc))
         raise
-    _ledger(spark, layout, execution_id, "SUCCEEDED", res, None)
+    if res.invalid_keys and not res.valid_keys:  # as for a single invalid file: quarantined, and the run failed
+        _ledger(spark, layout, execution_id, "FAILED", res, f"all {len(res.invalid_keys)} file(s) are invalid")
+    else:
+        _ledger(spark, layout, execution_id, "SUCCEEDED", res, None)
     return res
 
 
+def admitted(spark: SparkSession, layout: Layout) -> DataFrame:
+    """A1 + A4 for a run: landed stream CSVs (object_key, path, length, event_time, etag), the earliest of each content,
+    without those whose content is in the file ledger of the last 90 days."""
+    listing = list_objects(spark, layout.landing)
+    empty = empty_objects(spark, layout.landing)
+    if empty:  # the hash of nothing would make all empty files one, and each gets a verdict of its own
+        listing = listing.unionByName(spark.createDataFrame([(k,) for k in empty], "object_key string").select(
+            "object_key", F.concat(F.lit(layout.landing.rstrip("/") + "/"), "object_key").alias("path"), F.lit(0).cast("long").alias("length"),
+            F.current_timestamp().alias("event_time"), F.concat(F.lit("empty:"), F.col("object_key")).alias("etag")))
+    found = A.admit(listing)
+    done = f"{layout.ledger}/files"
+    if not sinks.table_exists(spark, done):
+        return sinks.stage(A.first_per_content(found), "admitted")
+    return sinks.stage(A.new_runs(found, spark.read.parquet(done), F.current_timestamp()), "admitted")
+
+
 def _ledger(spark, layout: Layout, execution_id: str, status: str, res: BatchResult | None, error: str | None) -> None:
     row = (execution_id, status, len(res.valid_keys) if res else None, len(res.invalid_keys) if res else None,
-           ",".join(res.days) if res else None, (error or None) and error[:1000])
+           ",".join(res.days) if res else None, error or None)
     spark.createDataFrame([row], "execution_id string, status string, valid_files int, invalid_files int, days string, "
                                  "error string").withColumn("finished_at", F.current_timestamp()) \
         .write.mode("append").parquet(f"{layout.ledger}/runs")
@@ -67,21 +91,27 @@ def _ledger(spark, layout: Layout, execution_id: str, status: str, res: BatchRes
 def _run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: DataFrame, paths=None,
               execution_id: str = "run", ingested_at: str | None = None, event_time: str | None = None,
               max_drop_rate: float | None = None, archive_files: bool = True, now: Column | None = None) -> BatchResult:
-    """Process the given batch files (default: every CSV under the landing root) as one run.
-
-    Any stage's exception propagates (the run fails); quarantine of invalid files happens before that.
-    """
-    if not spark.sparkContext.master.startswith("local"):
-        from lakekpi.session import size_shuffles
-        from lakekpi.sources.listing import list_objects
-
-        total = list_objects(spark, layout.landing, with_hash=False).agg(F.sum("length")).first()[0] or 0
-        size_shuffles(spark, int(total))
+    """Validate, quarantine, curate, aggregate, load and archive; an exception of any stage propagates (quarantine of
+    invalid files happens before that)."""
+    if paths is None:
+        fresh = admitted(spark, layout)
+        # file readers take a list of paths, so those of the new files come to the driver
+        rows = fresh.select("object_key", "path", "length").collect()
+        paths, empty = [r.path for r in rows if r.length], [r.object_key for r in rows if not r.length]
+        if not rows:
+            return BatchResult([], [], [])
+        size_shuffles(spark, sum(r.length for r in rows))
+        fresh.select(F.col("etag").alias("execution_id"), "object_key", F.current_timestamp().alias("started_at")).write.mode(
+            "append").parquet(f"{layout.ledger}/files")
+    else:
+        empty = []
     # parse the CSVs once (staged tagged scan); validation, routing and curation read staged records
-    files, records = read_batches(spark, layout.landing, paths, materialize=lambda df: sinks.stage(df, "lines"))
+    files, records = read_batches(spark, layout.landing, paths, materialize=lambda df: sinks.stage(df, "lines"), empty_keys=empty)
     records = sinks.stage(records, "records")
     files = sinks.stage(files, "files")
-    files = files.withColumn("execution_id", F.lit(execution_id)).withColumn(
+    # each file is a run of its own to reports and manifests, as in the ledger of runs by file
+    own_id = F.concat_ws("/", F.lit(execution_id), "source_key")
+    files = files.withColumn("execution_id", own_id).withColumn(
         "event_time", F.lit(event_time) if event_time else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     ).withColumn("bucket", F.lit(layout.landing))
     verdicts = sinks.stage(B.validate(files, records), "verdicts")
@@ -100,7 +130,7 @@ def _run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Dat
     good = sorted(r.source_key for r in keys if r.valid)
     bad = sorted(r.source_key for r in keys if not r.valid)
     if bad:
-        ledger = G.quarantine(spark, layout.landing, layout.quarantine, verdicts.filter(~F.col("valid")))
+        ledger = sinks.stage(G.quarantine(spark, layout.landing, layout.quarantine, verdicts.filter(~F.col("valid")), paths), "quarantine")
         ledger.withColumn("execution_id", F.lit(execution_id)).write.mode("append").parquet(f"{layout.ledger}/quarantine")
         failed = [r.key for r in ledger.filter(~F.col("quarantined")).select("key").collect()]
         if failed:
@@ -112,12 +142,13 @@ def _run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Dat
     raw = typed_streams(valid_records)
     kw = {} if max_drop_rate is None else {"max_drop_rate": max_drop_rate}
     s = run_silver(spark, raw, songs, users, layout.silver, run_key=good[0], ingested_at=ingested_at,
-                   execution_id=execution_id, per_file=True, **kw)
+                   execution_id=execution_id, per_file=True, metrics_root=f"{layout.ledger}/metrics", **kw)
     result.silver, result.days = s, s.days
     if s.days:
         result.gold = run_gold(spark, layout.silver, layout.gold, s.days, ingested_at, execution_id)
-        result.load = run_load(spark, layout.gold, layout.serving, s.days, ingested_at, execution_id)
+        result.load = run_load(spark, layout.gold, layout.serving, s.days, ingested_at, execution_id, loaded_at=now)
+        result.gold.metrics.unionByName(result.load.metrics).write.mode("append").parquet(f"{layout.ledger}/metrics")
     if archive_files:
-        key_df = spark.createDataFrame([(k,) for k in good], "object_key string")
-        result.archived = G.archive(spark, layout.landing, layout.archive, key_df)
+        done = verdicts.filter("valid").select(F.col("source_key").alias("object_key"))
+        result.archived = G.archive(spark, layout.landing, layout.archive, done, paths=paths)
     return result

@@ -42,11 +42,13 @@ def run_silver(
     ingested_at: str | None = None,
     execution_id: str | None = None,
     per_file: bool | None = None,
+    metrics_root: str | None = None,
 ) -> SilverResult:
     """Curate one batch (one or many files) into Silver.
 
     One pass computes the curated rows and all gate counts (``observe``) while staging them in the shared
-    scratch folder; the breaker then decides before anything is published.  Publishing replaces, per event
+    scratch folder; the breaker then decides, for the batch and for each of its files, before anything is published
+    (metrics are stored under ``metrics_root`` first).  Publishing replaces, per event
     day, only the rows of the files in this batch (rows of other files of the same day are kept), so a
     re-run of a file is idempotent and late files are merged (J2/J4).
     """
@@ -59,7 +61,13 @@ def run_silver(
     cur = cur.select(*S.CURATED_COLUMNS, *S.LINEAGE_COLUMNS)
     staged = sinks.stage(cur, "silver-stage")
     counts = G.observed_counts(obs)
+    gates_row = spark.createDataFrame([counts]).select(*[F.lit(counts[k]).cast("long").alias(k) for k in K.GATE_METRICS])
+    metrics = M.gates_to_metrics(gates_row, extract_run_date(F.lit(run_key)))
+    if metrics_root:  # before the breaker: a tripped run must show its drop rate
+        metrics.write.mode("append").parquet(metrics_root)
     rate = G.check_drop_rate(counts, max_drop_rate)
+    if per_file:
+        G.check_each_file(raw, songs, max_drop_rate)
     days = [str(r[0]) for r in staged.select("event_date").distinct().collect()]  # one row per day
     table = silver_table(silver_root)
     written = 0
@@ -69,10 +77,9 @@ def run_silver(
             existing = spark.read.parquet(table).filter(F.col("event_date").isin(days))  # touched days only
             if not existing.isEmpty():
                 # late or repeated files: keep the day's rows of other files, replace this batch's files
-                files = sized_broadcast(staged.select("source_file").distinct())
-                kept = existing.join(files, "source_file", "left_anti")
+                # (null-safe: rows of a run without a file name replace those of the last such run)
+                files = sized_broadcast(staged.select(F.col("source_file").alias("_file")).distinct())
+                kept = existing.join(files, F.col("source_file").eqNullSafe(F.col("_file")), "left_anti")
                 merged = sinks.stage(kept.unionByName(staged), "silver-merge")
         written = sinks.write_partitions(merged, table, ["event_date"], n_values=len(days))
-    gates_row = spark.createDataFrame([counts]).select(*[F.lit(counts[k]).cast("long").alias(k) for k in K.GATE_METRICS])
-    metrics = M.gates_to_metrics(gates_row, extract_run_date(F.lit(run_key)))
     return SilverResult(counts, rate, sorted(days), written, metrics)

@@ -74,6 +74,7 @@ def upsert_partitions(batch: DataFrame, path: str, keys: list[str], day_col: str
     """
     spark = batch.sparkSession
     obs = Observation("upsert-batch")
+    batch = batch.dropDuplicates(keys)  # one item per key, as in any keyed store
     batch = batch.observe(obs, F.count(F.lit(1)).alias("n"))  # batch size, counted during the staging write
     if table_exists(spark, path) and not replace_days:
         existing = spark.read.parquet(path)

@@ -38,10 +38,10 @@ def configure(spark: SparkSession) -> SparkSession:
 ADVISORY_BYTES = 128 * 1024 * 1024
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, max_partitions: int = 100_000) -> int:
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Initial shuffle partition count for a job reading ``input_bytes``: about two partitions per advisory
     size (128 MB), so no reducer starts oversized; AQE then coalesces small ones.  Only raises the setting."""
-    want = max(200, min(max_partitions, 2 * (input_bytes // ADVISORY_BYTES + 1)))
+    want = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * (input_bytes // ADVISORY_BYTES + 1))
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     cur = spark.conf.get(key, None)
     if cur is None or int(cur) < want:

@@ -2,9 +2,9 @@
 
 * ``read_streams`` / ``read_songs`` / ``read_users``: header CSV with the fixed schema, by position (A8/A9).
 * ``read_batches``: header-by-name reading of many batch files at once (B1, P1).  Every file is scanned
-  as all-text columns ``_c0.._c63`` without a header; the first record of each file (found through the
-  split offset, no sort) is its header; data fields are looked up by header name per row, so files with
-  reordered, missing or extra columns are read correctly in one distributed pass.
+  as all-text columns without a header, as many as the widest header line has; the first record of each
+  file (found through the split offset, no sort) is its header; data fields are looked up by header name
+  per row, so files with reordered, missing or extra columns are read correctly.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lakekpi import constants as K
 from lakekpi import schemas as S
@@ -22,9 +22,6 @@ from lakekpi.sources.balance import balance
 from lakekpi.operators.joins import sized_broadcast
 from lakekpi.operators.numbering import number_in_file_order
 
-MAX_FIELDS = 64
-_WIDE = StructType([StructField(f"_c{i}", StringType(), True) for i in range(MAX_FIELDS)])
-
 
 class ReferenceDataMissing(ValueError):
     pass
@@ -64,10 +61,14 @@ def guard_reference(songs: DataFrame, users: DataFrame, songs_path: str = "songs
         raise ReferenceDataMissing(K.REFERENCE_MISSING_ERROR.format(name="users", path=users_path))
 
 
-def object_key(path_col, root: str):
-    """Object key of a scanned file = its path below ``root`` (scheme-insensitive)."""
-    tail = root.split(":", 1)[-1].strip("/")
-    return F.regexp_extract(path_col, re.escape(tail) + r"/(.*)$", 1)
+def object_key(path_col, root: str, encoded: bool = True):
+    """Object key of a file = its path below ``root`` (scheme-insensitive).
+
+    Scans report percent-encoded paths, listings plain ones (``encoded=False``); the key is always plain.
+    """
+    tail = re.sub(r"^\w+:(//[^/]*)?", "", root).strip("/")
+    path = F.url_decode(F.regexp_replace(path_col, r"\+", "%2B")) if encoded else path_col
+    return F.regexp_extract(path, re.escape(tail) + r"/(.*)$", 1)
 
 
 def _trailing_len(arr):
@@ -76,8 +77,16 @@ def _trailing_len(arr):
     return F.coalesce(F.array_max(idx), F.lit(0))
 
 
+def header_width(spark: SparkSession, paths) -> int:
+    """Fields of the widest header (an upper bound where names hold commas): the first line of each file, split."""
+    lines = spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("pos"))
+    first = lines.groupBy("path").agg(F.min_by("value", "pos").alias("line"))
+    return first.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 0
+
+
 def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool = True,
-                 materialize=None) -> tuple[DataFrame, DataFrame]:
+                 materialize=None, empty_keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """B1: (files, records) for every batch CSV under ``root`` (or the given ``paths``).
 
     files:   source_key, landing_date, fields (header names), first_row_extra
@@ -86,19 +95,28 @@ def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool =
 
     ``multi_line=True`` honours quoted newlines (each file is then read by one task); set it False for
     very large files so they are split across tasks.  ``materialize`` (a staging write) makes the CSVs be
-    parsed once: the numbered lines are derived from the staged scan.
+    parsed once: the numbered lines are derived from the staged scan.  ``empty_keys`` names zero-byte files, which
+    scans do not see; they get a row in ``files`` with no fields.
     """
+    where = paths if paths is not None else root
+    none = spark.createDataFrame([(k, []) for k in empty_keys or []], "source_key string, fields array<string>").select(
+        "source_key", extract_landing_date(F.col("source_key")).alias("landing_date"), "fields", F.lit(False).alias("first_row_extra"))
+    if paths is not None and not paths:  # nothing but zero-byte files
+        return none, spark.createDataFrame([], StructType([StructField("source_key", StringType()), StructField("row_no", IntegerType()),
+                                                           *[StructField(f, StringType()) for f in S.REQUIRED_FIELDS]]))
+    width = max(len(S.REQUIRED_FIELDS), header_width(spark, where)) + 1  # and one for rows longer than their header
+    wide = StructType([StructField(f"_c{i}", StringType(), True) for i in range(width)])
     reader = (
-        spark.read.schema(_WIDE)
+        spark.read.schema(wide)
         .option("header", "false")
         .option("mode", "PERMISSIVE")
         .option("multiLine", str(multi_line).lower())
         .option("quote", '"')
         .option("escape", '"')
     )
-    scan = reader.csv(paths if paths is not None else root)
+    scan = reader.csv(where)
     numbered = number_in_file_order(scan, file_col="_path", out="rn", materialize=materialize)
-    vals = F.array(*[F.col(f"_c{i}") for i in range(MAX_FIELDS)])
+    vals = F.array(*[F.col(f"_c{i}") for i in range(width)])
     lines = numbered.select(object_key(F.col("_path"), root).alias("source_key"), "rn", vals.alias("vals"))
     hdr = lines.filter(F.col("rn") == 1).select(
         "source_key",
@@ -125,7 +143,7 @@ def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool =
     records = by_name.select(
         "source_key", F.col("rn").alias("row_no"), *[field(f).alias(f) for f in S.REQUIRED_FIELDS]
     )
-    return files, records
+    return files.unionByName(none) if empty_keys else files, records
 
 
 def typed_streams(records: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def list_objects(spark: SparkSession, root: str, with_hash: bool = True, glob: s
         r = r.option("pathGlobFilter", glob)
     df = r.load(root)
     cols = [
-        object_key(F.col("path"), root).alias("object_key"),
+        object_key(F.col("path"), root, encoded=False).alias("object_key"),
         "path",
         "length",
         F.col("modificationTime").alias("event_time"),
@@ -28,3 +28,18 @@ def list_objects(spark: SparkSession, root: str, with_hash: bool = True, glob: s
     else:
         cols.append(F.lit(None).cast("string").alias("etag"))
     return df.select(*cols)
+
+
+def empty_objects(spark: SparkSession, root: str) -> list[str]:
+    """Keys of the zero-byte files under ``root``.  Spark's scans and listings leave these out, so the file system is
+    asked for them: names and sizes only, one entry per file, as Spark itself lists a folder on the driver."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    base, found = fs.makeQualified(path).toUri().getPath().rstrip("/"), []
+    if fs.exists(path):
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            if f.getLen() == 0:
+                found.append(f.getPath().toUri().getPath()[len(base) + 1:])
+    return sorted(k for k in found if not k.rpartition("/")[2].startswith((".", "_")))

@@ -47,7 +47,7 @@ def _probe_parquet(batches: Iterator[pd.DataFrame], deep: bool) -> Iterator[pd.D
                     else:
                         _ = f.schema_arrow
             except Exception as exc:  # noqa: BLE001 - every failure is reported
-                bad.append((path, f"{type(exc).__name__}: {exc}"[:500]))
+                bad.append((path, f"{type(exc).__name__}: {exc}"))
         yield pd.DataFrame(bad, columns=["path", "error"])
 
 
@@ -101,7 +101,7 @@ def _probe_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         dec.decode(bytes(chunk), final=False)
                 dec.decode(b"", final=True)
             except Exception as exc:  # noqa: BLE001 - every failure is reported
-                out.append((path, K.READ_FAILED_ERROR.format(exc=exc)[:500]))
+                out.append((path, K.READ_FAILED_ERROR.format(exc=exc)))
         yield pd.DataFrame(out, columns=["path", "error"])
 
 

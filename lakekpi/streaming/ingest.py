@@ -15,6 +15,7 @@ from lakekpi import schemas as S
 from lakekpi.plans.gold import run_gold
 from lakekpi.plans.load import run_load
 from lakekpi.plans.silver import run_silver
+from lakekpi.sources.csv_scan import object_key
 
 
 def stream_source(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -28,7 +29,8 @@ def stream_source(spark: SparkSession, landing_root: str, max_files_per_trigger:
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = r.csv(f"{landing_root.rstrip('/')}/streams/landing_date=*/")
-    return df.select(*S.TRIPLET, F.col("_metadata.file_path").alias("source_file"))
+    # the same identity as in batch runs, so a file that came by both ways replaces itself
+    return df.select(*S.TRIPLET, object_key(F.col("_metadata.file_path"), landing_root.rstrip("/")).alias("source_file"))
 
 
 def ingest(spark: SparkSession, landing_root: str, checkpoint: str, songs: DataFrame, users: DataFrame,

@@ -68,7 +68,7 @@ def test_poison_probe_names_every_bad_file(spark, tmp):
     _write(root + "/bad-2.parquet", "more junk")
     with pytest.raises(PoisonPartition) as e:
         assert_readable(spark, root)
-    assert "2 Parquet file(s)" in str(e.value) and "bad-1.parquet" in str(e.value) and "bad-2.parquet" in str(e.value)
+    assert "2 unreadable Parquet file(s)" in str(e.value) and "bad-1.parquet" in str(e.value) and "bad-2.parquet" in str(e.value)
 
 
 def test_gold_and_load_idempotent(spark, sf, tmp):
@@ -118,7 +118,8 @@ def test_batch_run_quarantines_invalid_files(spark, sf, tmp):
     assert res.days == ["2024-01-02"]
     q = spark.read.text(L.quarantine + "/bronze").collect()
     assert len(q) == 2
-    assert spark.read.parquet(L.ledger + "/quarantine").collect()[0].quarantine_key == "bronze/streams/landing_date=2024-01-02/bad.csv"
+    row = spark.read.parquet(L.ledger + "/quarantine").collect()[0]
+    assert row.key == "streams/landing_date=2024-01-02/bad.csv" and os.path.isdir(f"{L.quarantine}/{row.quarantine_key}")
     assert spark.read.text(L.manifests).count() == 2
 
 
@@ -175,3 +176,85 @@ def test_day_read_prunes_partitions_and_columns(spark, tmp):
     assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "ReadSchema: struct<user_id:int,genre:string>" in plan
     assert [tuple(r) for r in out.collect()] == [(2, "b")]
+
+
+def _layout(tmp):
+    return Layout(*(tmp + "/" + x for x in ["landing", "silver", "gold", "serving", "quarantine", "archive", "manifests", "ledger"]))
+
+
+def test_run_admits_deduplicates_and_repeats_nothing(spark, sf, tmp):
+    L, songs, users = _layout(tmp), X.songs(spark, sf), X.users(spark, sf)
+    text = "user_id,track_id,listen_time\n1,T14,2024-01-02 10:00:00\n"
+    day = L.landing + "/streams/landing_date=2024-01-02"
+    _write(day + "/a b+c.csv", text)  # a key that paths encode
+    _write(day + "/copy.csv", text)  # the same bytes again
+    _write(day + "/x.csv.tmp", text.replace("T14", "T21"))
+    _write(L.landing + "/other/y.csv", text.replace("T14", "T28"))
+    res = run_batch(spark, L, songs, users, execution_id="e1")
+    assert len(res.valid_keys) == 1 and res.valid_keys[0] in ("streams/landing_date=2024-01-02/a b+c.csv", "streams/landing_date=2024-01-02/copy.csv")
+    again = run_batch(spark, L, songs, users, execution_id="e2")
+    assert again.valid_keys == [] and spark.read.parquet(L.silver + "/streams_curated").count() == 1
+    for r in res.archived.collect():
+        assert r.status == "archived" and os.path.isdir(f"{L.archive}/{r.archive_key}")
+    # the same files by stream replace themselves
+    from lakekpi.streaming.ingest import ingest
+
+    os.remove(day + "/" + ("copy.csv" if "b+c" in res.valid_keys[0] else "a b+c.csv"))
+    ingest(spark, L.landing, tmp + "/ckpt", songs, users, L.silver)
+    assert spark.read.parquet(L.silver + "/streams_curated").count() == 1
+    m = spark.read.parquet(L.ledger + "/metrics")
+    assert {"RawCount", "DropRatePct", "GenreKpisRows", "GenreKpisLoaded"} <= {r.metric_name for r in m.collect()}
+
+
+def test_empty_and_invalid_files_fail_the_run(spark, sf, tmp):
+    L = _layout(tmp)
+    _write(L.landing + "/streams/landing_date=2024-01-02/none.csv", "")
+    res = run_batch(spark, L, X.songs(spark, sf), X.users(spark, sf), execution_id="e1", event_time="2024-01-03T00:00:00Z")
+    assert res.invalid_keys == ["streams/landing_date=2024-01-02/none.csv"]
+    run = spark.read.parquet(L.ledger + "/runs").collect()[0]
+    assert run.status == "FAILED" and run.invalid_files == 1
+    _write(L.landing + "/streams/landing_date=2024-01-02/bad.csv", "user_id,track_id,listen_time\n1,,2024-01-02 10:00:00\n")
+    _write(L.landing + "/streams/landing_date=2024-01-02/bad2.csv", "user_id,track_id,listen_time\n2,,2024-01-02 10:00:00\n")
+    run_batch(spark, L, X.songs(spark, sf), X.users(spark, sf), execution_id="e2", event_time="2024-01-03T00:00:00Z")
+    from lakekpi.operators import serve as E
+
+    reports = spark.read.parquet(serving_table(L.serving, E.DQ_REPORTS))
+    assert reports.count() == 3 == reports.select("batch_id", "event_date").distinct().count()
+
+
+def test_wide_files_keep_all_fields(spark, sf, tmp):
+    from lakekpi.sources.csv_scan import read_batches
+
+    names = [f"c{i}" for i in range(97)] + ["user_id", "track_id", "listen_time"]
+    _write(tmp + "/l/streams/landing_date=2024-01-02/w.csv", ",".join(names) + "\n" + ",".join(["v"] * 97 + ["1", "T14", "2024-01-02 10:00:00"]) + "\n")
+    files, records = read_batches(spark, tmp + "/l")
+    assert files.collect()[0].fields == names
+    assert tuple(records.select("user_id", "track_id", "listen_time").collect()[0]) == ("1", "T14", "2024-01-02 10:00:00")
+
+
+def test_one_bad_file_trips_the_breaker(spark, sf, tmp):
+    L = _layout(tmp)
+    good = "".join(f"{i},T{14 + 7 * (i % 20)},2024-01-02 10:{i % 60:02d}:00\n" for i in range(1, 900))
+    bad = "".join(f"{i},T_NONE,2024-01-02 11:{i:02d}:00\n" for i in range(1, 21))
+    for name, rows in (("good", good), ("bad", bad)):
+        _write(f"{L.landing}/streams/landing_date=2024-01-02/{name}.csv", "user_id,track_id,listen_time\n" + rows)
+    with pytest.raises(G.DropRateExceeded) as e:
+        run_batch(spark, L, X.songs(spark, sf), X.users(spark, sf), execution_id="e1")
+    assert "bad.csv" in str(e.value) and not os.path.exists(silver_table(L.silver))
+    assert spark.read.parquet(L.ledger + "/metrics").where("metric_name = 'DropRatePct'").count() == 1
+
+
+def test_rerun_without_a_key_replaces_itself(spark, sf, tmp):
+    for _ in range(2):
+        run_silver(spark, X.raw(spark, sf), X.songs(spark, sf), X.users(spark, sf), tmp)
+    assert spark.read.parquet(silver_table(tmp)).count() == 936
+
+
+def test_archive_keeps_line_order(spark, tmp):
+    lines = ["header"] + [f"line {i % 7}" for i in range(500)]
+    _write(tmp + "/l/streams/landing_date=2024-06-01/a.csv", "\n".join(lines) + "\n")
+    keys = spark.createDataFrame([("streams/landing_date=2024-06-01/a.csv",)], "object_key string")
+    st = AR.archive(spark, tmp + "/l", tmp + "/archive", keys).collect()[0]
+    folder = f"{tmp}/archive/{st.archive_key}"
+    copy = "".join(open(f"{folder}/{f}").read() for f in sorted(os.listdir(folder)) if f.startswith("part-"))
+    assert copy.splitlines() == lines

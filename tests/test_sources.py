@@ -63,9 +63,9 @@ def test_size_shuffles_only_raises(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(key, None)
     try:
-        assert size_shuffles(spark, 100 * 1024 ** 4) == 100_000  # 100 TB -> capped
-        assert size_shuffles(spark, 10 * 1024 ** 2) == 200
-        assert spark.conf.get(key) == "100000"
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 1_638_402  # 100 TB: two partitions for every 128 MB
+        assert size_shuffles(spark, 10 * 1024 ** 2) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert spark.conf.get(key) == "1638402"
     finally:
         if before is None:
             spark.conf.unset(key)
