@@ -10,8 +10,8 @@ where P(word | class) is a second softmax over the class's words for the head, a
 the class for the rest, one share standing for words never seen.  Features are the token before (bigram), those two and
 three before (skips), and the pair before, hashed into a fixed table.  Weights start at the unigram model.  Training is
 by rounds of distributed gradient steps: each round takes its share of the documents (every training document is in one
-round), each task sums observed minus expected feature counts over its tokens, tasks are added up, and the sum, scaled
-by the expected counts, moves the weights.
+round), each task sums observed feature counts over all its tokens and expected ones over every fourth, tasks are added up, and
+the difference, scaled by the expected counts, moves the weights.
 
 Scoring runs in numpy batches inside the scan.  Counts of up to ``KNOWN`` frequent words travel with the tasks (a fixed
 bound); rarer words of a document are joined to the count table by hash, so no table of the vocabulary's size is ever
@@ -25,10 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekpi.llm.common import hash_words, read_table, split_words, stage, text_bytes
+from lakekpi.llm.common import read_table, stage
 from lakekpi.llm.toxicity import fold
 
 SLOTS, CLASSES, REST = 32, 16, 32
@@ -39,26 +40,96 @@ SYMBOLS = PAD + 1
 BUCKETS = 4096  # of the class features; those of single symbols come first
 KNOWN = 1_000_000
 ROUNDS, RATE, DAMP = 4, 0.5, 8.0
+EVERY = 4  # observed feature counts are exact; expected ones are summed over every fourth token
 CHUNK = 1 << 16  # numbers in a row of gradient sums
-BATCH = 16_384  # tokens scored at once
+BATCH = 4096  # tokens scored at once
+PIECE = 1 << 20  # bytes split into words at once
 END = np.uint64(0x0E0D0E0D0E0D0E00)
 
 
-def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every token, the ends included, its low bits the word's rest class; and the documents' offsets."""
-    words, off = split_words(texts, lower=True)
-    h = hash_words(words)
-    if len(words):
-        buf = np.frombuffer(b"  " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
-        stop = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) + 1
-        ending = (buf[stop - 1] * np.uint64(31) + buf[stop - 2] * np.uint64(7)) % np.uint64(REST)
-        h = (h & ~np.uint64(127)) | ending
-    ends = off[1:] + np.arange(1, len(off))
-    out = np.full(len(h) + len(texts), END, np.uint64)
+_BASE = np.uint64(0x9FB21C651E98DF25)
+_BACK = np.uint64(pow(0x9FB21C651E98DF25, -1, 1 << 64))
+_powers: dict[int, np.ndarray] = {}
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _power(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0 ... base ** (n - 1) modulo 2 ** 64."""
+    have = _powers.get(int(base))
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1 << 20), base, np.uint64)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        _powers[int(base)] = have
+    return have[:n]
+
+
+def _hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of the texts data[cuts[i]:cuts[i + 1]], and the number of words of each."""
+    low = _LOWER[data]
+    word = ~_BLANK[data]
+    edge = np.zeros(len(data) + 1, bool)  # texts begin here
+    edge[cuts] = True
+    first = word.copy()
+    first[1:] &= ~word[:-1] | edge[1:-1]
+    last = word.copy()
+    last[:-1] &= ~word[1:] | edge[1:-1]
+    s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
+    # polynomial hash of each word from prefix sums: sum of byte * base^(end - place), then mixed
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_power(_BACK, len(data)) * (low + np.uint64(1)), out=total[1:])
+    h = (total[e] - total[s]) * _power(_BASE, len(data) + 1)[e]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    before = np.where(e - s > 1, low[np.maximum(e - 2, 0)], 0).astype(np.int64)
+    ending = (low[e - 1] * np.int64(31) + before * 7) % REST
+    return (h & ~np.uint64(127)) | ending.astype(np.uint64), np.diff(np.searchsorted(s, cuts))
+
+
+def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every token of a text column, the ends included, its low bits the word's rest class; and the texts' offsets."""
+    texts = pc.fill_null(column, "").cast(pa.large_binary())
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    parts, sizes, i = [], [], 0
+    while i < len(texts):  # about PIECE bytes at a time
+        j = max(i + 1, int(np.searchsorted(at, at[i] + PIECE, "right")) - 1)
+        h, n = _hashes(data[at[i]:at[j]], at[i:j + 1] - at[i])
+        parts.append(h)
+        sizes.append(n)
+        i = j
+    n = np.concatenate(sizes) + 1 if sizes else np.zeros(0, np.int64)
+    off = np.concatenate([[0], np.cumsum(n)])
+    out = np.full(off[-1], END, np.uint64)
     mask = np.ones(len(out), bool)
-    mask[ends - 1] = False
-    out[mask] = h
-    return out, np.concatenate([[0], ends])
+    mask[off[1:] - 1] = False
+    out[mask] = np.concatenate(parts) if parts else out[:0]
+    return out, off
+
+
+class Finder:
+    """Places of 64-bit hashes in an ascending table, by their leading bits."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+        self.shift = np.uint64(64 - max(1, min(20, len(table).bit_length())))
+        self.start = np.searchsorted(table >> self.shift, np.arange((1 << int(64 - self.shift)) + 1, dtype=np.uint64))
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 where it is not in the table."""
+        lead = (h >> self.shift).astype(np.int64)
+        at, stop, out = self.start[lead], self.start[lead + 1], np.full(len(h), -1)
+        todo = np.flatnonzero(at < stop)
+        while len(todo):
+            hit = self.table[at[todo]] == h[todo]
+            out[todo[hit]] = at[todo[hit]]
+            todo = todo[~hit]
+            at[todo] += 1
+            todo = todo[at[todo] < stop[todo]]
+        return out
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -72,7 +143,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
             return h, c
 
         for b in batches:
-            h, _ = token_hashes(text_bytes(b.column(0)))
+            h, _ = token_hashes(b.column(0))
             if len(h):
                 parts.append(np.unique(h, return_counts=True))
                 held += len(parts[-1][0])
@@ -95,6 +166,7 @@ class Model:
     def __init__(self, n: int, v: int, known: tuple[np.ndarray, np.ndarray], rest: dict[int, tuple[int, int]], head: np.ndarray):
         self.n, self.z = n, n + 0.5 * (v + 1)
         self.h, self.c = known  # ascending by hash
+        self.finder = None  # made in the tasks
         self.slot = np.full(len(self.h), -1, np.int32)
         at = np.searchsorted(self.h, head)
         self.slot[at] = np.arange(len(head))
@@ -112,13 +184,15 @@ class Model:
 
     def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count (0: not among the known) and symbol of each token."""
-        u, back = np.unique(h, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.h, u), max(0, len(self.h) - 1))
-        hit = self.h[at] == u if len(self.h) else np.zeros(len(u), bool)
-        count = np.where(hit, self.c[at] if len(self.c) else 0, 0)
-        slot = np.where(hit, self.slot[at] if len(self.slot) else -1, -1)
-        symbol = np.where(slot >= 0, slot, HEAD + (u & np.uint64(127)).astype(np.int64) % REST)
-        return count[back], symbol[back]
+        if self.finder is None:
+            self.finder = Finder(self.h)
+        at = self.finder.find(h)
+        hit = at >= 0
+        count, symbol = np.zeros(len(h), np.int64), HEAD + (h & np.uint64(127)).astype(np.int64) % REST
+        count[hit] = self.c[at[hit]]
+        slot = self.slot[at[hit]]
+        symbol[hit] = np.where(slot >= 0, slot, symbol[hit])
+        return count, symbol
 
     @staticmethod
     def features(symbol: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -189,13 +263,16 @@ class Sums:
         for k in range(3):
             key = (f[k][head] * CLASSES + cls[head]) * SLOTS + symbol[head] % SLOTS
             self.seen2 += np.bincount(key, minlength=self.seen2.size).reshape(self.seen2.shape)
-        for i in range(0, len(symbol), BATCH):
+        # what the model expects is summed over one token in EVERY, and scaled to all
+        f, cls, head = f[:, ::EVERY], cls[::EVERY], head[::EVERY]
+        scale = np.float32(len(symbol) / len(cls))
+        for i in range(0, len(cls), BATCH):
             g, c, at = f[:, i:i + BATCH], cls[i:i + BATCH], np.flatnonzero(head[i:i + BATCH])
-            p = m.classes(g)
+            p = m.classes(g) * scale
             for k in range(4):
                 _add_rows(self.mean1, g[k], p)
             if len(at):
-                q = m.words(g[:, at], c[at])
+                q = m.words(g[:, at], c[at]) * scale
                 for k in range(3):
                     _add_rows(self.mean2, g[k][at] * CLASSES + c[at], q)
 
@@ -210,7 +287,7 @@ def _gradient(docs: DataFrame, model) -> np.ndarray:
     def run(batches):
         m, sums, some = model.value, Sums(), False
         for b in batches:
-            h, off = token_hashes(text_bytes(b.column(0)))
+            h, off = token_hashes(b.column(0))
             if len(h):
                 sums.add(m, m.look(h)[1], off)
                 some = True
@@ -257,8 +334,10 @@ def fit(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
             break
         least = s
     known = counts.where(step >= least) if least is not None else counts.limit(0)
-    table = known.toPandas().sort_values("h", key=lambda x: x.to_numpy().view(np.uint64))
-    h, c = table["h"].to_numpy(np.int64).view(np.uint64), table["c"].to_numpy(np.int64)
+    table = known.toArrow()  # two numbers for each of at most KNOWN tokens
+    h, c = (table.column(i).to_numpy() for i in (0, 1))
+    order = np.argsort(h.view(np.uint64))
+    h, c = h[order].view(np.uint64), c[order]
     low = F.col("h").bitwiseAND(F.lit(127))
     rest = {r["k"]: (r["c"], r["n"]) for r in counts.groupBy(low.alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect()}
     top = np.lexsort((h, -c))[:HEAD]
@@ -271,7 +350,7 @@ def fit(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
         for r in range(rounds):
             shared = spark.sparkContext.broadcast(model)
             _step(model, _gradient(docs.where(F.coalesce(turn, F.lit(0)) == r), shared))
-            shared.unpersist()
+            shared.destroy()
     return model
 
 
@@ -283,7 +362,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     def run(batches):
         m = shared.value
         for b in batches:
-            h, off = token_hashes(text_bytes(b.column(3)))
+            h, off = token_hashes(b.column(3))
             count, symbol = m.look(h)
             doc = np.repeat(np.arange(b.num_rows), np.diff(off))
             own = np.where(count > 0, np.log10(count + 0.5), 0.0)
