@@ -32,6 +32,8 @@ HEADLINE = [
     "alarm_states",
     "late_rebuild",
     "silver_gold_jobs",
+    "stream_ingest_kpis",
+    "batch_run_serving",
 ]
 
 

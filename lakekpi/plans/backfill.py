@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekpi import constants as K
 from lakekpi.operators import aggregate as D
+from lakekpi.operators.admission import admit, first_per_content
 from lakekpi.operators.joins import sized_broadcast
+from lakekpi.plans.gold import run_gold
+from lakekpi.plans.silver import run_silver
+from lakekpi.sources.csv_scan import object_key, read_streams
+from lakekpi.sources.listing import list_objects
 
 
 def in_range(silver: DataFrame, start: str, end: str, day_col: str = "event_date") -> DataFrame:
@@ -26,6 +32,16 @@ def backfill_kpis(silver: DataFrame, start: str, end: str) -> dict[str, DataFram
     }
 
 
+def recompute(spark: SparkSession, landing: str, silver: str, gold: str, songs: DataFrame, users: DataFrame,
+              execution_id: str = "recompute", max_drop_rate: float = K.MAX_DROP_RATE) -> list[str]:
+    """Rebuild Silver and Gold (new, empty folders) from every landed stream file, one per content; the days written."""
+    files = first_per_content(admit(list_objects(spark, landing))).select("path").collect()  # readers take paths
+    raw = read_streams(spark, [r.path for r in files]).withColumn("source_file", object_key(F.col("source_file"), landing))
+    days = run_silver(spark, raw, songs, users, silver, execution_id=execution_id, max_drop_rate=max_drop_rate).days
+    run_gold(spark, silver, gold, days, execution_id=execution_id)
+    return days
+
+
 def affected_days(late_curated: DataFrame, day_col: str = "event_date") -> DataFrame:
     return late_curated.select(day_col).distinct()
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 VIEW_SQL = {
     "v_genre_kpis": (
@@ -16,23 +15,12 @@ VIEW_SQL = {
 }
 
 
-def v_genre_kpis(genre_kpis: DataFrame) -> DataFrame:
-    return genre_kpis.select(
-        "genre",
-        "date",
-        "listen_count",
-        "unique_listeners",
-        F.round(F.col("total_listen_seconds") / F.lit(3600.0), 2).alias("total_listen_hours"),
-        F.round("avg_listen_seconds_per_user", 1).alias("avg_listen_secs_per_user"),
-    )
+_TABLE_OF = {"v_genre_kpis": "genre_kpis_daily", "v_top_songs": "top_songs_by_genre_daily", "v_top_genres": "top_genres_daily"}
 
 
-def v_top_songs(top_songs: DataFrame) -> DataFrame:
-    return top_songs.select("genre", "date", "rank", "track_id", "track_name", "play_count")
-
-
-def v_top_genres(top_genres: DataFrame) -> DataFrame:
-    return top_genres.select("date", "rank", "genre", "listen_count")
+def view(name: str, gold: DataFrame) -> DataFrame:
+    """The view's SQL over a Gold table given as a DataFrame."""
+    return gold.sparkSession.sql(VIEW_SQL[name].format(**{_TABLE_OF[name]: "{gold}"}), gold=gold)
 
 
 def register_views(spark: SparkSession, tables: dict[str, str] | None = None) -> list[str]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from lakekpi import schemas as S
 from lakekpi.plans.views import register_views
 
 _STREAMS_DDL = "user_id INT, track_id STRING, listen_time STRING, landing_date STRING"
@@ -23,7 +24,8 @@ _GOLD_DDL = {
 
 
 def register_tables(spark: SparkSession, bronze: str, silver: str, gold: str, prefix: str = "") -> list[str]:
-    """Create databases and external tables over the lake folders; partitions are discovered by listing."""
+    """Create databases and external tables over the lake folders (landed streams, the songs and users reference files,
+    Silver and Gold); partitions are discovered by listing."""
     names = []
     for db in ("bronze", "silver", "gold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{db}")
@@ -32,6 +34,9 @@ def register_tables(spark: SparkSession, bronze: str, silver: str, gold: str, pr
         f"OPTIONS (header 'true') PARTITIONED BY (landing_date) LOCATION '{bronze}/streams'"
     )
     names.append(f"{prefix}bronze.streams")
+    for t, schema in (("songs", S.SONGS), ("users", S.USERS)):
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}bronze.{t} ({ddl}) USING CSV OPTIONS (header 'true') LOCATION '{bronze}/reference/{t}'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {prefix}silver.streams_curated ({_SILVER_DDL}) USING PARQUET "
         f"PARTITIONED BY (event_date) LOCATION '{silver}/streams_curated'"
@@ -49,5 +54,6 @@ def register_tables(spark: SparkSession, bronze: str, silver: str, gold: str, pr
     for n, loc in zip(names, locations):
         if path_exists(spark, loc):  # discover the partitions already on storage
             spark.sql(f"MSCK REPAIR TABLE {n}")
+    names += [f"{prefix}bronze.songs", f"{prefix}bronze.users"]
     register_views(spark, {t: f"{prefix}gold.{t}" for t in _GOLD_DDL})
     return names
