@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekpi.llm.common import read_table, stage, text_bytes
+from lakekpi.llm.common import hash_words, read_table, split_words, stage, text_bytes, window_hashes
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PREFIXES = (4, 5, 6)
@@ -204,16 +204,26 @@ class Model:
         return min(1.0, max(0.0, p)), [(int(self.ids[i]), float(c), int(self.labels[i])) for i, c in zip(ids[:3], cos[:3])]
 
 
+def _without_near_copies(rows: DataFrame) -> DataFrame:
+    """Near copies of one text would vote as many: of examples with one and the same smallest trigram hash one stays."""
+    def run(batches):
+        for b in batches:
+            words, off = split_words(text_bytes(b.column(2)), lower=True)
+            h = hash_words(words)
+            grams = window_hashes(h, 3)
+            least = [int((grams[s:e - 2] if e - s > 2 else h[s:e]).min(initial=np.uint64(2**64 - 1))) for s, e in zip(off[:-1], off[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(least, np.uint64).view(np.int64))], names=["id", "y", "least"])
+
+    first = rows.select("id", "y", "text").mapInArrow(run, "id long, y int, least long").groupBy("least", "y").agg(F.min("id").alias("id"))
+    return rows.join(F.broadcast(first.select("id", "y")), ["id", "y"])  # no more rows than examples
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,
         examples: int = EXAMPLES, terms: int = TERMS) -> Model:
     picked, total = sample_labels(labels, id_col, label_col, folds, held, examples)
-    # near copies of one text would vote as many: of examples with one and the same smallest trigram hash one stays
-    words = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"\s+")
-    trigrams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, 3)))
-    least = F.array_min(trigrams)
-    rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), least.alias("least"))
+    rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
                  .join(F.broadcast(picked), "id"), "tx-example")  # bounded: 2 * examples ids
-    rows = rows.join(F.broadcast(rows.groupBy("least", "y").agg(F.min("id").alias("id"))), ["least", "y", "id"])
+    rows = _without_near_copies(rows)
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = vocabulary(_term_counts(rows), sizes.get(0, 0), sizes.get(1, 0), terms)
     n, df = _frequencies(docs, text_col, names) if names else (0, np.zeros(0))
