@@ -4,8 +4,9 @@ Vectors are turned to integers and dealt into blocks of bounded size; every quer
 Inside a block each component has a list of its values in order, read from the end that its query weight prefers.
 All lists are read in step.  A candidate's lower bound is the sum of what was read of it plus, for each list in which
 it has not come up, that list's last value; its upper bound takes the value reached in that list instead.  Reading
-stops when no more than a few candidates have an upper bound that reaches the k-th best lower bound, so neither
-unseen nor seen outsiders can qualify; the scores of those left are then resolved.  Ties at the bound are kept, and
+stops when only a small part of the candidates has an upper bound that reaches the k-th best lower bound, so neither
+unseen nor seen outsiders can qualify; the scores of those left are then resolved.  The first block's k-th best score
+is a lower bound for all other blocks, which lets them stop much earlier.  Ties at the bound are kept, and
 the blocks' lists are merged by (score, smaller id), which makes the result exact.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; vectors of different
@@ -24,6 +25,9 @@ from lakekpi.llm.common import read_table, stage
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
+READS = 8  # the lists are read in so many steps, bounds are compared after each
+RESOLVE = 8  # reading stops when this part of a block's rows is left; their scores are then resolved
+SLACK = 1e-5  # of the bounds: more than their rounding
 LIMIT = 2**63 - 1
 
 
@@ -36,42 +40,46 @@ def _matrix(rows: pd.Series, dim: int) -> np.ndarray:
 
 
 class SortedLists:
-    """The component lists of a block: ids of its rows in order of each component."""
+    """The component lists of a block: ids of its rows in order of each component, smallest value first."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
-        self.up = np.argsort(x, axis=0, kind="stable").T.copy()  # per component, smallest value first
-        self.sorted = np.take_along_axis(x, self.up.T, 0).T.copy()
+        self.ids = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
+        self.values = np.take_along_axis(np.ascontiguousarray(x.T), self.ids, 1)
 
-    def best(self, q: np.ndarray, k: int) -> np.ndarray:
-        """Rows that hold all of the k best scores for ``q`` (ties included)."""
-        n, use = len(self.x), np.flatnonzero(q)
-        if n <= k or not len(use):
+    def best(self, q: np.ndarray, k: int, known: float = -np.inf) -> np.ndarray:
+        """Rows that hold all of the k best scores for ``q`` (ties included) that are not below ``known``."""
+        n = len(self.x)
+        if n <= k or not q.any():
             return np.arange(n)
-        w = q[use][:, None]
-        down = q[use] > 0
-        order = np.where(down[:, None], self.up[use, ::-1], self.up[use])
-        gain = w * np.where(down[:, None], self.sorted[use, ::-1], self.sorted[use])  # falling along each list
-        last = gain[:, -1]
+        # lists are read from their large end where the query's weight is positive, else from their small end
+        rise, fall = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
+        w = np.concatenate([q[rise], q[fall]])
+        last = w * np.concatenate([self.values[rise, 0], self.values[fall, -1]])
         low = np.full(n, last.sum())  # lower bounds, as if nothing unseen were worth more than the list's end
-        seen = np.zeros((len(use), n), np.float32 if np.abs(gain).max() < 2**23 else np.float64)
-        rows = np.arange(len(use))[:, None]
-        at, depth = 0, max(k, n // 8)
+        seen = np.zeros(len(w) * n, np.float32)  # per list, the rows that have come up
+        shift = np.arange(len(w))[:, None] * n
+        at, step = 0, max(k, n // READS)
         while at < n:
-            to = min(n, depth)
-            ids = order[:, at:to]
-            low += np.bincount(ids.ravel(), (gain[:, at:to] - last[:, None]).ravel(), n)
-            seen[rows, ids] = 1
-            at, depth = to, to + max(1, n // 8)
+            to = min(n, at + step)
+            ids = np.concatenate([self.ids[rise, n - to:n - at], self.ids[fall, at:to]])
+            gain = np.concatenate([self.values[rise, n - to:n - at], self.values[fall, at:to]])
+            gain *= w[:, None]
+            gain -= last[:, None]
+            low += np.bincount(ids.ravel(), gain.ravel(), n)
+            at = to
             if at == n:
                 break
-            reach = gain[:, at]  # what an unseen row can still have in each list
-            up = low + (reach - last).sum() - (reach - last).astype(seen.dtype) @ seen
-            floor = np.partition(low, n - k)[n - k]
-            left = np.flatnonzero(up >= floor - 1e-6 * (1 + abs(floor)))
-            if len(left) <= 8 * k:
+            seen[(ids + shift).ravel()] = 1
+            # what an unseen row can still have in each list, beyond the list's end
+            more = w * np.concatenate([self.values[rise, n - at - 1], self.values[fall, at]]) - last
+            up = low + (more.sum() - more.astype(np.float32) @ seen.reshape(len(w), n))
+            floor = max(known, np.partition(low, n - k)[n - k])
+            left = np.flatnonzero(up >= floor - SLACK * (1 + abs(floor) + more.sum()))
+            if len(left) <= max(8 * k, n // RESOLVE):
                 return left
-        return np.arange(n) if n <= k else np.flatnonzero(low >= np.partition(low, n - k)[n - k] - 1e-6 * (1 + np.abs(low).max()))
+        floor = max(known, np.partition(low, n - k)[n - k])
+        return np.flatnonzero(low >= floor - SLACK * (1 + abs(floor)))
 
 
 def _scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -90,9 +98,10 @@ def _meet(k: int):
             dim = int(max(cand.v.map(len).max(), queries.v.map(len).max()))
             x, ids = _matrix(cand.v, dim), cand.vec_id.to_numpy()
             lists = SortedLists(x)
-            for qid, q in zip(queries.vec_id, _matrix(queries.v, dim)):
+            floors = queries.floor.to_numpy(float, na_value=-np.inf)
+            for qid, q, floor in zip(queries.vec_id, _matrix(queries.v, dim), floors):
                 # one more than k for each row of the query's own id, which is no candidate
-                rows = lists.best(q, k + int((ids == qid).sum()))
+                rows = lists.best(q, k + int((ids == qid).sum()), floor)
                 rows = rows[ids[rows] != qid]
                 score = _scores(x[rows], q)
                 top = np.lexsort((ids[rows], ~score))[:k]  # ~ turns the order round without overflow
@@ -125,10 +134,23 @@ def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "
     def every(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    cand = rows.select("vec_id", "v", dealt("block", blocks, 1)).withColumn("team", every(teams))
-    queries = rows.where("q").select("vec_id", "v", dealt("team", teams, 2)).withColumn("block", every(blocks))
-    found = cand.groupBy("block", "team").cogroup(queries.dropDuplicates(["vec_id", "v", "block", "team"]).groupBy("block", "team")).applyInPandas(
-        _meet(k), "query_id long, vec_id long, score long")
+    cand = rows.select("vec_id", "v", dealt("block", blocks, 1))
+    # aliases: the two sides of a cogroup must not share columns
+    queries = rows.where("q").select(F.col("vec_id").alias("vec_id"), F.col("v").alias("v"), dealt("team", teams, 2)).distinct()
+
+    def meet(cand, queries, first, last):
+        """Every query block against the candidate blocks first..last."""
+        some = cand.where(F.col("block").between(first, last)).withColumn("team", every(teams))
+        wide = queries.withColumn("block", F.explode(F.sequence(F.lit(first), F.lit(last))))
+        return some.groupBy("block", "team").cogroup(wide.groupBy("block", "team")).applyInPandas(
+            _meet(k), "query_id long, vec_id long, score long")
+
+    found = meet(cand, queries.withColumn("floor", F.lit(None).cast("double")), 0, 0)
+    if blocks > 1:  # the k-th best of the first block is a bound from the start for the others
+        found = stage(found, "tk-first")
+        floors = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.min("score").cast("double").alias("floor"), F.count(F.lit(1)).alias("n"))
+        floors = floors.select("vec_id", F.when(F.col("n") >= k, F.col("floor")).alias("floor"))
+        found = found.union(meet(cand, queries.join(floors, "vec_id", "left"), 1, blocks - 1))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
