@@ -83,19 +83,31 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: rows (id, comp), comp the smallest id reachable.
 
     Contraction: every node takes its smallest neighbour's name, edges are renamed and made distinct, until no edge
-    is left.  Each round is a few joins and pre-aggregated group-bys on staged tables; nothing is collected.
+    is left; then the renamings are put together.  Each round is a few joins and pre-aggregated group-bys on staged
+    tables; nothing is collected.
     """
-    labels = None
+    hooks = []
     edges = stage(edges.select("a", "b").where("a <> b").distinct(), name)
-    while not edges.isEmpty():
+    while not hooks or not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        hook = stage(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("to")), name)
-        if labels is None:
-            labels = hook.select("id", F.col("to").alias("comp"))
-        else:
-            step = hook.select(F.col("id").alias("comp"), "to")
-            labels = stage(labels.join(step, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), name)
+        hook = stage(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("comp")), name)
+        hooks.append(hook)
         left, right = hook.toDF("a", "a2"), hook.toDF("b", "b2")
         edges = stage(edges.join(left, "a").join(right, "b").where("a2 <> b2")
                       .select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), name)
-    return labels if labels is not None else edges.select(F.col("a").alias("id"), F.col("b").alias("comp"))
+    labels = hooks[0]
+    for hook in hooks[1:]:
+        labels = labels.join(hook.toDF("comp", "next"), "comp", "left").select("id", F.coalesce("next", "comp").alias("comp"))
+    return stage(labels, name) if len(hooks) > 1 else labels
+
+
+def relabel(comp: DataFrame | None, edges: DataFrame, name: str = "components") -> DataFrame:
+    """Components (id, comp) after ``edges`` are added to those already known; only components are joined anew."""
+    if comp is None:
+        return components(edges, name)
+    ends = edges
+    for c in "ab":  # nodes not met before are components of their own
+        ends = ends.join(comp.toDF(c, f"c{c}"), c, "left").withColumn(c, F.coalesce(f"c{c}", c)).drop(f"c{c}")
+    joined = components(ends, name)
+    moved = comp.join(joined.toDF("comp", "next"), "comp", "left").select("id", F.coalesce("next", "comp").alias("comp"))
+    return stage(moved.union(joined.join(comp.select("id"), "id", "left_anti")), name)

@@ -7,10 +7,14 @@ in which each (position, value) flips one bit, so the XOR of two sketches counts
 The estimate from that count is sharp at high similarity, and pairs more than five standard errors below the
 threshold are left out.  What remains is confirmed on the full sets.
 
-Links between classes are found in two rounds.  First each class is held against the best-estimated of the
-smallest members of its buckets, which joins a group of thousands of near copies with one comparison per member.
-Then, in buckets that still hold more than one component, every pair across components that passes the screen is
-confirmed too; so no pair within a component is ever formed, and no link that could change a component is left out.
+Links between classes are found in rounds, each confirmed before the next.  First every class is held against the
+closest, by sketch, of the smallest members of its buckets.  Then, in buckets that still hold several components, dealt
+into chunks of about ``CHUNK`` rows, every row names its closest partners of other components, and the closest two of each
+document are confirmed; so a group of thousands of near copies is joined with a few comparisons per member.  The last
+round makes the result complete: the members of buckets that are still mixed meet in blocks of about ``BLOCK`` rows, with
+their texts, and every pair across components that passes the screen is held against the full sets right there, in the
+first band that the two share; only links leave the task.  Pairs within a component are never compared, and no link that
+could change a component is left out.
 
 Defined results: null or blank texts have an empty set and are linked with nothing; rows with a null id
 are linked with nothing and have a null component; repeated rows each get their (equal) result.
@@ -23,13 +27,15 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekpi.llm.common import components, hash_words, read_table, split_words, stage, text_bytes, window_hashes
+from lakekpi.llm.common import hash_words, read_table, relabel, split_words, stage, text_bytes, window_hashes
 
 SKETCH_BITS = 512
 LONGS = SKETCH_BITS // 64
+CHUNK, BLOCK = 1000, 4000
+ROUNDS = 1  # of closest partners
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -66,13 +72,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
+def _odd_sketch(sig: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mixed (position, value) of each sample, and the bitmap in which each flips one bit."""
+    spots = _mix(sig ^ place)
+    parity = np.bincount((spots >> np.uint64(55)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return spots, np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
+def _places(k: int) -> np.ndarray:
+    return _mix(np.arange(1, k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int, rows: int) -> DataFrame:
     """Per document: id, n_shingles, fp (128-bit fingerprint of the set), keys (band keys), sketch (parity bitmap)."""
     k = bands * rows
 
     def run(batches):
         mul, add = _params(k)
-        place = _mix(np.arange(1, k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        place = _places(k)
         for b in batches:
             ids = b.column(0).to_pylist()
             n, fp, keys, sk = [], [], [], []
@@ -85,11 +102,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int
                     continue
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sig = _minhash(s, mul, add)
-                spots = _mix(sig ^ place)
+                spots, bitmap = _odd_sketch(sig, place)
                 keys.append(_mix(spots.reshape(bands, rows).cumsum(1, dtype=np.uint64)[:, -1]
                                  + spots.reshape(bands, rows)[:, 0] * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64))
-                bits = np.bincount((spots >> np.uint64(55)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sk.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+                sk.append(bitmap)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(sk, pa.list_(pa.int64()))],
@@ -111,6 +127,107 @@ def _flips(a: str, b: str):
                F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
 
 
+def _groups(batches):
+    """Record batches of one (first column, second column) each, from rows that are ordered by the two."""
+    held = []
+    for b in batches:
+        key, part = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        if held and b.num_rows and (held[-1].column(0)[0].as_py(), held[-1].column(1)[0].as_py()) != (key[0], part[0]):
+            yield pa.Table.from_batches(held)
+            held = []
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1), b.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            if s:
+                yield pa.Table.from_batches(held)
+                held = []
+            if e > s:
+                held.append(b.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _matrix(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+
+class _Members:
+    """Rows of one bucket: which pairs of different components pass the screen, and by how many flips."""
+
+    def __init__(self, table: pa.Table, most: int, percent: int):
+        self.ids, self.comp, self.n = (table.column(c).to_numpy() for c in ("id", "comp", "n"))
+        self.sketch, self.most, self.percent = _matrix(table, "sketch").view(np.uint64), most, percent
+
+    def flips(self, s: int, e: int) -> np.ndarray:
+        """Rows s..e against all; more than the screen allows where a pair is not to be compared."""
+        flips = np.bitwise_count(self.sketch[s:e, None, :] ^ self.sketch[None, :, :]).sum(2).astype(np.int32)
+        lo, hi = np.minimum(self.n[s:e, None], self.n[None, :]), np.maximum(self.n[s:e, None], self.n[None, :])
+        flips[(self.comp[s:e, None] == self.comp[None, :]) | (100 * lo < self.percent * hi) | (flips > self.most)] = SKETCH_BITS + 1
+        return flips
+
+
+def _propose(most: int, percent: int, partners: int):
+    """For each row of a chunk its closest ``partners`` of other components."""
+    def run(batches):
+        for t in _groups(batches):
+            m, out = _Members(t, most, percent), []
+            for s in range(0, t.num_rows, 64):
+                flips = m.flips(s, s + 64)
+                rows = np.arange(len(flips))
+                for _ in range(min(partners, t.num_rows - 1)):
+                    best = flips.argmin(1)
+                    some = flips[rows, best] <= most
+                    out.append((m.ids[s:s + 64][some], m.ids[best[some]], flips[rows, best][some].astype(np.int64)))
+                    flips[rows, best] = SKETCH_BITS + 1
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b", "flips"])
+
+    return run
+
+
+def _link(most: int, percent: int, width: int):
+    """Links that join components, from the full sets of a block's (or two blocks') rows."""
+    def run(batches):
+        for t in _groups(batches):
+            m = _Members(t, most, percent)
+            if (m.comp == m.comp[0]).all():
+                continue
+            key, band_keys, block = t.column(0)[0].as_py(), _matrix(t, "keys"), t.column("block").to_numpy()
+            two = (block != block[0]).any()
+            text, sets, root, out = t.column("text"), {}, {c: c for c in m.comp.tolist()}, []
+
+            def find(c):
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            def own(i):
+                if i not in sets:
+                    sets[i] = shingle_sets(text_bytes(text.slice(i, 1).combine_chunks()), width)[0]
+                return sets[i]
+
+            for s in range(0, t.num_rows, 64):
+                flips = m.flips(s, s + 64)
+                i, j = np.nonzero(flips <= most)
+                ok = (j > i + s) & ((block[j] != block[i + s]) if two else True)
+                i, j = i[ok] + s, j[ok]
+                same = band_keys[i] == band_keys[j]
+                ok = band_keys[i, same.argmax(1)] == key if len(i) else np.zeros(0, bool)  # elsewhere another band comes first
+                i, j = i[ok], j[ok]
+                order = np.argsort(flips[i - s, j], kind="stable")
+                for x, y in zip(i[order].tolist(), j[order].tolist()):
+                    p, q = find(m.comp[x]), find(m.comp[y])
+                    if p == q:
+                        continue
+                    both = len(np.intersect1d(own(x), own(y), assume_unique=True))
+                    if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                        root[p] = q
+                        out.append((int(m.ids[x]), int(m.ids[y])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+
+    return run
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
 
@@ -136,41 +253,61 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                     percent: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (smallest id reachable over links), kept."""
-    k = bands * rows
-    most = _most_flips(k, percent / 100)
+    most = _most_flips(bands * rows, percent / 100)
     sk = stage(sketches(docs, id_col, text_col, shingle_words, bands, rows), "nd-sketch")
     classes = stage(sk.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "nd-class")
     reps = sk.where("keys is not null").join(classes, "fp").where("id = rep")
 
-    rows_ = reps.select("id", F.explode("keys").alias("key"))
-    shared = rows_.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top")
-    buckets = stage(rows_.join(shared.select("key", "hub"), "key").distinct(), "nd-bucket")
-    members = buckets.select("id").distinct()
+    rows_ = reps.select("id", F.explode("keys").alias("key")).distinct()
+    shared = rows_.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("hub")).where("size > 1")
+    buckets = stage(rows_.join(shared, "key"), "nd-bucket")
+    members = stage(buckets.select("id").distinct(), "nd-member")
     texts = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
                   .join(members, "id", "left_semi").dropDuplicates(["id"]), "nd-text")
-    info = stage(reps.select("id", "n", "sketch").join(members, "id", "left_semi").dropDuplicates(["id"]), "nd-info")
-
-    def side(c):
-        return info.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-
-    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (_flips("sa", "sb") <= most)
-
-    # round 1: one comparison per class, with the best of its hubs
-    hubs = (buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-            .join(side("a"), "a").join(side("b"), "b").where(fits)
-            .groupBy("a").agg(F.min_by("b", F.struct(_flips("sa", "sb"), "b")).alias("b")))
-    first = stage(_confirm(hubs, texts, shingle_words, percent), "nd-edge")
-    comp = components(first, "nd-comp")
-
-    # round 2: pairs across components, in the buckets that still hold several
-    named = buckets.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    open_ = stage(named.join(mixed, "key", "left_semi").join(info, "id"), "nd-open")
-    a, b = (open_.select("key", *[F.col(x).alias(x[0] + c) for x in ("id", "comp", "n", "sketch")]) for c in "ab")
-    pairs = (a.join(b, (a.key == b.key) & (F.col("ia") < F.col("ib")) & (F.col("ca") != F.col("cb")) & fits)
-             .select(F.col("ia").alias("a"), F.col("ib").alias("b")).distinct())
-    second = stage(_confirm(pairs, texts, shingle_words, percent), "nd-edge")
-    comp = components(first.union(second), "nd-comp") if not second.isEmpty() else comp
+    info = stage(reps.select("id", "n", "sketch", "keys").join(members, "id", "left_semi").dropDuplicates(["id"]), "nd-info")
+
+    def close(a: str, b: str):
+        return (100 * F.least(f"n{a}", f"n{b}") >= percent * F.greatest(f"n{a}", f"n{b}")) & (_flips(f"sk{a}", f"sk{b}") <= most)
+
+    comp = tried = None
+    for r in range(ROUNDS + 2):
+        if r:
+            named = buckets
+            if comp is not None:
+                named = buckets.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+            else:
+                named = buckets.withColumn("comp", F.col("id"))
+            mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+            open_ = named.join(mixed, "key", "left_semi").join(info, "id")
+        if r == 0:
+            a, b = (info.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"sk{x}")) for x in "ab")
+            hubs = buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+            near = hubs.join(a, "a").join(b, "b").where(close("a", "b"))
+            pairs = near.groupBy("a").agg(F.min_by("b", F.struct(_flips("ska", "skb"), "b")).alias("b")).select(
+                F.col("b").alias("lo"), F.col("a").alias("hi"))
+        elif r <= ROUNDS:
+            chunk = F.pmod(F.xxhash64("id", F.lit(r)), F.ceil(F.col("size") / CHUNK)).cast("long")
+            near = (open_.select("key", chunk.alias("chunk"), "id", "comp", "n", "sketch").repartition("key", "chunk")
+                    .sortWithinPartitions("key", "chunk", "id").mapInArrow(_propose(most, percent, r + 1), "a long, b long, flips long"))
+            near = near.distinct().select("a", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), "flips")
+            turn = F.row_number().over(Window.partitionBy("a").orderBy("flips", "lo", "hi"))
+            pairs = near.join(tried, ["lo", "hi"], "left_anti").withColumn("turn", turn).where("turn <= 2").select("lo", "hi").distinct()
+        if r <= ROUNDS:
+            pairs = stage(pairs, "nd-pair")
+            tried = pairs if tried is None else tried.union(pairs)
+            found = _confirm(pairs.toDF("a", "b"), texts, shingle_words, percent)
+        else:
+            blocks = F.ceil(F.col("size") / BLOCK).cast("long")
+            parts = (open_.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+                     .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                     .withColumn("part", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")))
+            found = (parts.join(texts, "id").select("key", "part", "block", "id", "comp", "n", "sketch", "keys", "text").repartition("key", "part")
+                     .sortWithinPartitions("key", "part", "id").mapInArrow(_link(most, percent, shingle_words), "a long, b long").distinct())
+        found = stage(found, "nd-link")
+        if not found.isEmpty():
+            comp = relabel(comp, found, "nd-comp")
+    if comp is None:
+        comp = members.select("id", F.col("id").alias("comp"))
 
     named = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
         "fp", F.coalesce("comp", "rep").alias("component_id"))
