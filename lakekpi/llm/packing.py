@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekpi.llm.common import read_table, text_bytes
-from lakekpi.llm.tokenizing import VOCABULARY, WordEncoder
+from lakekpi.llm.tokenizing import VOCABULARY, encoder
 
 CAPACITY = 2048
 END_ID = 1
@@ -130,7 +130,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
 
     def run(batches):
-        encoder = WordEncoder(vocabulary)
+        words = encoder(vocabulary)
         packer = Packer(TaskContext.get().partitionId() << 40, capacity)
 
         def rows():
@@ -142,7 +142,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         for b in batches:
             doc_ids, texts = b.column(0).to_pylist(), text_bytes(b.column(1))
             for i in range(0, len(texts), 200):  # few at a time: texts can be long
-                ids, off = encoder.encode(texts[i:i + 200])
+                ids, off = words.encode(texts[i:i + 200])
                 for j, doc in enumerate(doc_ids[i:i + 200]):
                     own = np.append(ids[off[j]:off[j + 1]], np.uint32(end_id))
                     packer.add((doc, len(own)), own)

@@ -8,7 +8,7 @@ import os
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000  # of a Python worker, kept from task to task
 
 
 def load(name: str = VOCABULARY):
@@ -45,20 +45,41 @@ class WordEncoder:
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
         self.ids = np.concatenate([self.ids, np.array(e.ids, np.uint32)])
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of all texts in a row, and the offsets where each text's ids begin."""
-        lists = [t.split() for t in texts]
+    def _places(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Cache place of every word of all texts in a row, and the offsets where each text's words begin."""
+        # the tokenizer lower-cases; A-Z may be so before, unless a text could hold one of its special strings
+        lists = [(t if b"<|" in t else t.lower()).split() for t in texts]
         words = list(itertools.chain.from_iterable(lists))
         if len(self.place) > self.cache_words:
             self._reset()
-        new = list(dict.fromkeys(w for w in words if w not in self.place))
+        at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0).tolist()
         if new:
-            self._learn(new)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        size = self.ends[at + 1] - self.ends[at]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        total = int(ends[-1])
-        ids = self.ids[np.arange(total) - np.repeat(ends[:-1] - self.ends[at], size)]
+            self._learn(list(dict.fromkeys([words[i] for i in new])))
+            at[new] = [self.place[words[i]] for i in new]
         cuts = np.zeros(len(lists) + 1, np.int64)
         np.cumsum([len(x) for x in lists], out=cuts[1:])
+        return at, cuts
+
+    def count(self, texts: list[bytes]) -> np.ndarray:
+        """Number of ids of each text."""
+        at, cuts = self._places(texts)
+        return np.diff(np.concatenate([[0], np.cumsum(self.ends[at + 1] - self.ends[at])])[cuts])
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts in a row, and the offsets where each text's ids begin."""
+        at, cuts = self._places(texts)
+        size = self.ends[at + 1] - self.ends[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.arange(int(ends[-1])) - np.repeat(ends[:-1] - self.ends[at], size)]
         return ids, ends[cuts]
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(name: str = VOCABULARY) -> WordEncoder:
+    """The encoder of this Python worker, with the words that earlier tasks have met."""
+    if name not in _encoders:
+        _encoders[name] = WordEncoder(name)
+    return _encoders[name]
