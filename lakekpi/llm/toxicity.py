@@ -1,14 +1,12 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
 Learning takes a sample of at most ``examples`` training rows per label (a documented bound, by hash of the id).  Terms
-are words and word beginnings of four to six bytes; those over-represented in toxic examples become the vocabulary
-(at most ``terms``).  Their document frequencies are counted over all documents.  The examples that hold any of them
-form an inverted index whose postings are cut into blocks of examples; the largest weight of each term in a
-block bounds what the block can add.  A document visits blocks in order of their bound and stops when the next
-bound cannot reach its k-th best cosine, so the k nearest examples are exact.
+are words and word beginnings of four to six bytes; all terms of the examples count, weighted by their document
+frequency over all documents, and every example with a word is in the index.  A document's cosines with all examples
+are summed, so the k nearest examples are exact.
 
 Their votes, weighted by cosine, are turned into a probability by an isotonic fit of leave-one-out votes of the examples.
-Documents without a term get the toxic share of training rows without one.  The nearest examples are given as evidence.
+Documents that share no term with an example get the toxic share of training rows without words.  The nearest examples are given as evidence.
 
 Defined results: null and empty texts have no terms; rows with a null id are not held out; a document labelled more
 than once is toxic if any label says so; without labelled rows every score is the smoothed empty share, 0.1.
@@ -16,12 +14,13 @@ than once is toxic if any label says so; without labelled rows every score is th
 
 from __future__ import annotations
 
-import math
+import itertools
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +28,10 @@ from lakekpi.llm.common import hash_words, read_table, split_words, stage, text_
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PREFIXES = (4, 5, 6)
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 8000, 512, 16, 64
-MIN_SHARE, MIN_SCORE, MIN_LIFT = 0.01, 30.0, 4.0  # of a term: share of toxic examples, log-likelihood ratio, toxic to clean share
+EXAMPLES, NEIGHBOURS, BLOCK = 8000, 16, 64
+COMMON = 512  # terms that have a place in each example's row; the others have lists
+QUERIES = 64  # texts searched at once
+MARGIN = 1e-5  # more than short numbers can be off
 CACHE = 500_000
 
 
@@ -53,116 +54,144 @@ def sample_labels(labels: DataFrame, id_col: str, label_col: str, folds: int, he
     return picked[0].union(picked[1]), total
 
 
-def _term_counts(rows: DataFrame) -> DataFrame:
-    def run(batches):
-        tally: dict[int, Counter] = {0: Counter(), 1: Counter()}
+class Terms:
+    """Places of texts' terms in an ascending table of term hashes; what a word holds is remembered."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+        self.known: dict[bytes, list] = {}
+
+    def words(self, texts: list[bytes]) -> list[list[bytes]]:
+        """Words of each text, all of them known from then on."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+        lists = [WORD.findall(t.lower()) for t in texts]
+        new = [w for w in set(itertools.chain.from_iterable(lists)) if w not in self.known]
+        held = [_terms(w) for w in new]
+        h = hash_words(list(itertools.chain.from_iterable(held)))
+        at = np.searchsorted(self.table, h)
+        hit = np.zeros(len(h), bool)
+        if len(self.table):
+            hit = self.table[np.minimum(at, len(self.table) - 1)] == h
+        at, hit, i = at.tolist(), hit.tolist(), 0
+        for w, x in zip(new, held):
+            self.known[w] = [at[j] for j in range(i, i + len(x)) if hit[j]]
+            i += len(x)
+        return lists
+
+    def counts(self, texts: list[bytes]) -> list[dict[int, int]]:
+        """How often each text holds each term of the table."""
+        out = []
+        for words in self.words(texts):
+            got: dict[int, int] = {}
+            for w, n in Counter(words).items():
+                for i in self.known[w]:
+                    got[i] = got.get(i, 0) + n
+            out.append(got)
+        return out
 
-        def flush():
-            names = list(set(tally[0]) | set(tally[1]))
-            out = pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(pa.array([tally[y][x] for x in names], pa.int64()) for y in (0, 1))],
-                                             names=["term", "clean", "toxic"])
-            for c in tally.values():
-                c.clear()
-            return out
 
+def vocabulary(rows: DataFrame) -> np.ndarray:
+    """Hashes of all terms of the examples, ascending."""
+    def run(batches):
         for b in batches:
-            for t, y in zip(text_bytes(b.column(0)), b.column(1).to_pylist()):
-                tally[y].update({x for w in set(WORD.findall(t.lower())) for x in _terms(w)})
-                if len(tally[0]) + len(tally[1]) > 1_000_000:
-                    yield flush()
-        yield flush()
+            terms = {x for t in text_bytes(b.column(0)) for w in set(WORD.findall(t.lower())) for x in _terms(w)}
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(hash_words(list(terms))).view(np.int64))], names=["h"])
 
-    return (rows.select("text", "y").mapInArrow(run, "term binary, clean long, toxic long")
-            .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    table = rows.select("text").mapInArrow(run, "h long").distinct().toArrow()  # one number for each term of the bounded examples
+    return np.sort(table.column(0).to_numpy().view(np.uint64))
 
 
-def vocabulary(counts: DataFrame, n_clean: int, n_toxic: int, terms: int) -> list[bytes]:
-    """Terms that toxic examples hold too often, by log-likelihood ratio."""
-    if not n_clean or not n_toxic:
-        return []
-    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    share = (a + b) / (n_clean + n_toxic)
-    part = lambda x, n: F.when(x > 0, x * F.log(x / (n * share))).otherwise(0.0)
-    ratio = 2 * (part(a, n_toxic) + part(n_toxic - a, n_toxic * (1 - share) / share) + part(b, n_clean) + part(n_clean - b, n_clean * (1 - share) / share))
-    least = max(3, math.ceil(MIN_SHARE * n_toxic))
-    best = counts.where((a >= least) & (a / n_toxic >= MIN_LIFT * b / n_clean) & (share < 1)).select("term", ratio.alias("r")).where(F.col("r") >= MIN_SCORE)
-    return [bytes(r[0]) for r in best.orderBy(F.desc("r"), "term").limit(terms).collect()]
-
-
-class Terms:
-    """Vocabulary terms of texts; what a word holds is remembered."""
-
-    def __init__(self, names: list[bytes]):
-        self.at = {t: i for i, t in enumerate(names)}
-        self.known: dict[bytes, tuple] = {}
-
-    def count(self, text: bytes) -> Counter:
-        known, out = self.known, Counter()
-        if len(known) > CACHE:
-            known.clear()
-        for w in WORD.findall(text.lower()):
-            got = known.get(w)
-            if got is None:
-                got = known[w] = tuple(self.at[x] for x in _terms(w) if x in self.at)
-            for i in got:
-                out[i] += 1
-        return out
-
-
-def _frequencies(docs: DataFrame, text_col: str, names: list[bytes]) -> tuple[int, np.ndarray]:
+def _frequencies(docs: DataFrame, text_col: str, table: np.ndarray) -> tuple[int, np.ndarray]:
     """Documents, and documents that hold each term."""
+    shared, size = docs.sparkSession.sparkContext.broadcast(table), len(table)
+
     def run(batches):
-        terms, df, n = Terms(names), np.zeros(len(names) + 1, np.int64), 0
+        terms, df, n = Terms(shared.value), np.zeros(size + 1, np.int64), 0
         for b in batches:
-            for t in text_bytes(b.column(0)):
+            for words in terms.words(text_bytes(b.column(0))):
                 n += 1
-                for i in terms.count(t):
-                    df[i] += 1
+                got = set()
+                for w in set(words):
+                    got.update(terms.known[w])
+                df[np.fromiter(got, np.int64, len(got))] += 1
         df[-1] = n
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["i", "n"])
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["i", "n"])
 
-    df = np.zeros(len(names) + 1, np.int64)
-    for r in docs.select(text_col).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
-        df[r["i"]] = r["n"]
+    df = np.zeros(size + 1, np.int64)
+    got = docs.select(text_col).mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
+    df[got.column("i").to_numpy()] = got.column("n").to_numpy()
     return int(df[-1]), df[:-1]
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors, in blocks of ``block`` examples."""
-
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int = BLOCK):
-        self.n, self.block = len(vectors), block
-        self.blocks = -(-self.n // block)
-        self.top = np.zeros((n_terms, self.blocks))
-        held: dict[tuple[int, int], list] = {}
-        for e, v in enumerate(vectors):
-            for t, w in v.items():
-                held.setdefault((t, e // block), []).append((e % block, w))
-                self.top[t, e // block] = max(self.top[t, e // block], w)
-        self.post = {key: (np.array([p[0] for p in x]), np.array([p[1] for p in x])) for key, x in held.items()}
+    """Index over example vectors: rows of the most common terms, inverted lists of all others.
+
+    A query's cosines with all examples are summed from both.  The largest cosine of each block of ``block`` examples
+    shows which blocks can hold one of the k nearest; only those are looked into.
+    """
+
+    def __init__(self, vectors: list[dict[int, float]] | tuple[np.ndarray, np.ndarray, np.ndarray], n_terms: int, block: int = BLOCK):
+        if isinstance(vectors, list):
+            off = np.cumsum([0, *(len(v) for v in vectors)])
+            vectors = off, np.array([t for v in vectors for t in v], np.int64), np.array([w for v in vectors for w in v.values()], float)
+        off, t, w = vectors
+        self.n, self.block = len(off) - 1, block
+        e, held = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(off)), np.bincount(t, minlength=n_terms)
+        self.common = np.sort(np.argsort(-held, kind="stable")[:COMMON])
+        self.place = np.full(n_terms, -1, np.int32)
+        self.place[self.common] = np.arange(len(self.common))
+        self.rows = np.zeros((-(-self.n // block) * block, len(self.common)), np.float32)
+        at = self.place[t]
+        self.rows[e[at >= 0], at[at >= 0]] = w[at >= 0]
+        rest = np.flatnonzero(at < 0)
+        rest = rest[np.argsort(t[rest], kind="stable")]
+        self.example, self.weight = e[rest], w[rest].astype(np.float32)
+        held[self.common] = 0
+        self.start = np.concatenate([[0], np.cumsum(held)])
 
     def nearest(self, q: dict[int, float], k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest positive cosine (ties to the earlier example), best first."""
-        if not q or not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        ts, ws = list(q), np.array(list(q.values()))
-        bound = ws @ self.top[ts]
-        ids, cos = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(ids) == k and bound[b] < cos[-1] - 1e-12:
-                break
-            acc = np.zeros(self.block)
-            for t, w in zip(ts, ws):
-                got = self.post.get((t, int(b)))
-                if got is not None:
-                    acc[got[0]] += w * got[1]
-            if b * self.block <= skip < (b + 1) * self.block:
-                acc[skip - b * self.block] = 0
-            some = np.flatnonzero(acc > 0)
-            ids, cos = np.concatenate([ids, some + b * self.block]), np.concatenate([cos, acc[some]])
-            best = np.lexsort((ids, -cos.round(12)))[:k]
-            ids, cos = ids[best], cos[best]
-        return ids, cos
+        return self.nearest_all([(np.array(list(q), np.int64), np.array(list(q.values()), float))], k, [skip])[0]
+
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skips=None) -> list[tuple[np.ndarray, np.ndarray]]:
+        none = np.zeros(0, np.int64), np.zeros(0)
+        if not self.n or not queries:
+            return [none] * len(queries)
+        size = len(self.rows)
+        q = np.zeros((len(queries), len(self.common)))
+        for i, (t, w) in enumerate(queries):
+            at = self.place[t]
+            q[i, at[at >= 0]] = w[at >= 0]
+        near = q.astype(np.float32) @ self.rows.T  # of the common terms, in short numbers
+        out = []
+        for i, (t, w) in enumerate(queries):
+            far = self.place[t] < 0
+            s, e = self.start[t[far]], self.start[t[far] + 1]
+            some = np.flatnonzero(e > s)
+            rest = np.zeros(size)
+            if len(some):
+                spans = list(zip(s[some].tolist(), e[some].tolist()))
+                x = np.concatenate([self.weight[a:b] for a, b in spans]) * np.repeat(w[far][some], (e - s)[some])
+                rest = np.bincount(np.concatenate([self.example[a:b] for a, b in spans]), x, size)
+            cos = near[i] + rest
+            if skips is not None and skips[i] >= 0:
+                cos[skips[i]] = 0
+            top = cos.reshape(-1, self.block).max(1)
+            least = np.partition(top, -k)[-k] if len(top) > k else 0.0  # k blocks have one that near
+            ids = np.flatnonzero(np.repeat(top >= least - MARGIN, self.block))
+            ids = ids[cos[ids] >= least - MARGIN]
+            if len(ids) > k:
+                ids = ids[cos[ids] >= np.partition(cos[ids], -k)[-k] - MARGIN]
+            # those that short numbers leave in question are summed in long ones
+            exact = self.rows[ids].astype(float) @ q[i] + rest[ids]
+            if skips is not None and skips[i] >= 0:
+                exact[ids == skips[i]] = 0
+            ids, exact = ids[exact > 0], exact[exact > 0]
+            best = np.lexsort((ids, -exact.round(12)))[:k]
+            out.append((ids[best], exact[best]))
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,31 +206,43 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    """All that scoring needs; at most ``2 * EXAMPLES`` short vectors and ``TERMS`` terms."""
-
-    def __init__(self, names, idf, ids, labels, counts, share_without, prior, weights):
-        self.names, self.idf, self.ids, self.labels = names, idf, np.array(ids, np.int64), np.array(labels)
-        self.counts, self.empty, self.prior = counts, share_without, prior
-        if len(ids):
-            vectors = [self.vector(c) for c in counts]
-            self.index = BlockMaxIndex(vectors, len(names))
-            votes = np.array([self.vote(*self.index.nearest(v, NEIGHBOURS, skip=i)) for i, v in enumerate(vectors)])
-            self.curve = isotonic(votes, self.labels.astype(float), np.array([weights[y] for y in self.labels]))
-
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        size = math.sqrt(sum(x * x for x in v.values()))
-        return {t: x / size for t, x in v.items()} if size else {}
+    """All that scoring needs: at most ``2 * EXAMPLES`` vectors, and the hashes and weights of their terms."""
+
+    def __init__(self, table, idf, ids, labels, vectors, share_without, prior, weights):
+        self.table, self.idf, self.ids, self.labels = table, idf, np.array(ids, np.int64), np.array(labels, np.int64)
+        self.empty, self.prior = share_without, prior
+        if len(self.ids):
+            off, t, c = vectors
+            w = (1 + np.log(c)) * idf[t]
+            w /= np.repeat(np.sqrt(np.add.reduceat(w * w, off[:-1])), np.diff(off))
+            self.index = BlockMaxIndex((off, t, w), len(table))
+            votes = []
+            for i in range(0, len(self.ids), QUERIES):
+                part = range(i, min(i + QUERIES, len(self.ids)))
+                votes += [self.vote(*x) for x in self.index.nearest_all([(t[off[j]:off[j + 1]], w[off[j]:off[j + 1]]) for j in part], NEIGHBOURS, part)]
+            self.curve = isotonic(np.array(votes), self.labels.astype(float), np.array([weights[y] for y in self.labels]))
+
+    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        t, c = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts))
+        w = (1 + np.log(c)) * self.idf[t]
+        return t, w / (np.sqrt(w @ w) or 1.0)
 
     def vote(self, ids, cos) -> float:
         return float((cos @ self.labels[ids] + 0.1 * self.prior) / (cos.sum() + 0.1))
 
-    def score(self, counts: dict[int, int]):
-        ids, cos = self.index.nearest(self.vector(counts), NEIGHBOURS) if counts and len(self.ids) else ((), ())
-        if not len(ids):
-            return self.empty, []
-        p = float(np.interp(self.vote(ids, cos), *self.curve))
-        return min(1.0, max(0.0, p)), [(int(self.ids[i]), float(c), int(self.labels[i])) for i, c in zip(ids[:3], cos[:3])]
+    def score(self, texts: list[dict[int, int]]) -> list[tuple[float, list]]:
+        found = [((), ())] * len(texts)
+        if len(self.ids):
+            found = [x for i in range(0, len(texts), QUERIES)
+                     for x in self.index.nearest_all([self.vector(c) for c in texts[i:i + QUERIES]], NEIGHBOURS)]
+        out = []
+        for ids, cos in found:
+            if not len(ids):
+                out.append((self.empty, []))
+                continue
+            p = float(np.interp(self.vote(ids, cos), *self.curve))
+            out.append((min(1.0, max(0.0, p)), [(int(self.ids[i]), float(c), int(self.labels[i])) for i, c in zip(ids[:3], cos[:3])]))
+        return out
 
 
 def _without_near_copies(rows: DataFrame) -> DataFrame:
@@ -219,30 +260,31 @@ def _without_near_copies(rows: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,
-        examples: int = EXAMPLES, terms: int = TERMS) -> Model:
+        examples: int = EXAMPLES) -> Model:
     picked, total = sample_labels(labels, id_col, label_col, folds, held, examples)
     rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
                  .join(F.broadcast(picked), "id"), "tx-example")  # bounded: 2 * examples ids
     rows = _without_near_copies(rows)
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    names = vocabulary(_term_counts(rows), sizes.get(0, 0), sizes.get(1, 0), terms)
-    n, df = _frequencies(docs, text_col, names) if names else (0, np.zeros(0))
+    table = vocabulary(rows)
+    n, df = _frequencies(docs, text_col, table) if len(table) else (0, np.zeros(0))
     idf = np.log((n + 1) / (df + 1)) + 1e-3
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def vectors(batches):
-        tool = Terms(names)
+        tool = Terms(shared.value)
         for b in batches:
-            got = [(i, y, sorted(tool.count(t).items())) for i, t, y in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int32()),
-                                              pa.array([[t for t, _ in g[2]] for g in got], pa.list_(pa.int32())),
-                                              pa.array([[c for _, c in g[2]] for g in got], pa.list_(pa.int32()))], names=["id", "y", "t", "c"])
+            got = [sorted(c.items()) for c in tool.counts(text_bytes(b.column(1)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([[t for t, _ in g] for g in got], pa.list_(pa.int32())),
+                                              pa.array([[c for _, c in g] for g in got], pa.list_(pa.int32()))], names=["id", "y", "t", "c"])
 
     vec = stage(rows.select("id", "text", "y").mapInArrow(vectors, "id long, y int, t array<int>, c array<int>"), "tx-vector")
     weights = {y: total.get(y, 0) / max(1, sizes.get(y, 0)) for y in (0, 1)}  # each example stands for that many rows
     without = {r["y"]: r["n"] * weights[r["y"]] for r in vec.where("size(t) = 0").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # examples with like terms lie together, which makes the blocks' bounds tight; at most 2 * examples rows
-    held_rows = vec.where("size(t) > 0").distinct().orderBy("t", "id", "y", "c").collect()
-    return Model(names, idf, [r["id"] for r in held_rows], [r["y"] for r in held_rows], [dict(zip(r["t"], r["c"])) for r in held_rows],
+    held_rows = vec.where("size(t) > 0").distinct().orderBy("id", "y", "t", "c").toArrow().combine_chunks()  # at most 2 * examples rows
+    off = np.concatenate([[0], np.cumsum(pc.list_value_length(held_rows.column("t")).to_numpy())]).astype(np.int64)
+    t, c = (pc.list_flatten(held_rows.column(x)).to_numpy() for x in "tc")
+    return Model(table, idf, held_rows.column("id").to_numpy(), held_rows.column("y").to_numpy(), (off, t, c),
                  (without.get(1, 0) + 0.5) / (sum(without.values()) + 5), (total.get(1, 0) + 0.5) / (sum(total.values()) + 5), weights)
 
 
@@ -254,9 +296,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         m = shared.value
-        terms = Terms(m.names)
+        terms = Terms(m.table)
         for b in batches:
-            got = [m.score(terms.count(t)) for t in text_bytes(b.column(2))]
+            got = m.score(terms.counts(text_bytes(b.column(2))))
             p = np.array([g[0] for g in got], float)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32)),

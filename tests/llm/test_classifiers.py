@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +60,20 @@ def test_block_max_search_is_exact():
     assert len(index.nearest({}, 16)[0]) == 0
 
 
+def test_cosine_is_taken_over_all_words(llm):
+    """No word is common among the toxic examples, so a list of toxic terms would be empty."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2][:200]
+    text = lambda i: " ".join(f"word{i}x{j} {'abcdefgh'[j]}{i}" for j in range(8))
+    copy = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 4 == 2)
+    docs = frame(llm, [(i, text(i)) for i in ids] + [(copy, text(ids[50]))])
+    labels = llm.createDataFrame([(i, None, int(i % 5 == 0), "x") for i in ids], LABELS)
+    model = tx.fit(docs, labels, "doc_id", "text", "toxic", 4, 2)
+    assert sorted(model.ids) == ids
+    got = {r.doc_id: r for r in tx.score(docs, model).collect()}
+    for i, want in [(copy, ids[50])] + [(i, i) for i in ids]:
+        assert got[i].evidence[0].id == want and got[i].evidence[0].cosine == pytest.approx(1, abs=1e-6)
+
+
 def test_isotonic_rises():
     x, y = np.array([0.1, 0.2, 0.2, 0.5, 0.9]), np.array([0.0, 1, 0, 0, 1])
     at, value = tx.isotonic(x, y, np.ones(5))
