@@ -10,8 +10,8 @@ where P(word | class) is a second softmax over the class's words for the head, a
 the class for the rest, one share standing for words never seen.  Features are the token before (bigram), those two and
 three before (skips), and the pair before, hashed into a fixed table.  Weights start at the unigram model.  Training is
 by rounds of distributed gradient steps: each round takes its share of the documents (every training document is in one
-round), each task sums observed feature counts over all its tokens and expected ones over every fourth, tasks are added up, and
-the difference, scaled by the expected counts, moves the weights.
+round), each task sums observed and expected feature counts over all its tokens, tasks are added up, and the difference,
+scaled by the expected counts, moves the weights.
 
 Scoring runs in numpy batches inside the scan.  Counts of up to ``KNOWN`` frequent words travel with the tasks (a fixed
 bound); rarer words of a document are joined to the count table by hash, so no table of the vocabulary's size is ever
@@ -40,7 +40,6 @@ SYMBOLS = PAD + 1
 BUCKETS = 4096  # of the class features; those of single symbols come first
 KNOWN = 1_000_000
 ROUNDS, RATE, DAMP = 4, 0.5, 8.0
-EVERY = 4  # observed feature counts are exact; expected ones are summed over every fourth token
 CHUNK = 1 << 16  # numbers in a row of gradient sums
 BATCH = 4096  # tokens scored at once
 PIECE = 1 << 20  # bytes split into words at once
@@ -263,16 +262,13 @@ class Sums:
         for k in range(3):
             key = (f[k][head] * CLASSES + cls[head]) * SLOTS + symbol[head] % SLOTS
             self.seen2 += np.bincount(key, minlength=self.seen2.size).reshape(self.seen2.shape)
-        # what the model expects is summed over one token in EVERY, and scaled to all
-        f, cls, head = f[:, ::EVERY], cls[::EVERY], head[::EVERY]
-        scale = np.float32(len(symbol) / len(cls))
         for i in range(0, len(cls), BATCH):
             g, c, at = f[:, i:i + BATCH], cls[i:i + BATCH], np.flatnonzero(head[i:i + BATCH])
-            p = m.classes(g) * scale
+            p = m.classes(g)
             for k in range(4):
                 _add_rows(self.mean1, g[k], p)
             if len(at):
-                q = m.words(g[:, at], c[at]) * scale
+                q = m.words(g[:, at], c[at])
                 for k in range(3):
                     _add_rows(self.mean2, g[k][at] * CLASSES + c[at], q)
 

@@ -72,6 +72,17 @@ def test_model_beats_the_base_and_sums_to_one(llm):
         assert (inside + 0.5).sum() + 0.5 == pytest.approx(m.rest_z[k])
 
 
+def test_expected_counts_cover_every_token():
+    none = np.zeros(0, np.uint64)
+    m = lm.Model(0, 0, (none, none.astype(np.int64)), {}, none)
+    symbol = np.array([3, lm.HEAD + 2, 40, 3, 7, 500, lm.HEAD + 9, 1, 2, 40, 5])
+    sums = lm.Sums()
+    sums.add(m, symbol, np.array([0, 6, 11]))
+    # under any weights the classes' shares of a feature add up to how often it is seen
+    assert np.allclose(sums.mean1.sum(1), sums.seen1.sum(1), atol=1e-4)
+    assert np.allclose(sums.mean2.sum(1), sums.seen2.sum(1), atol=1e-4)
+
+
 def test_finder():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 5000):
