@@ -1,6 +1,7 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
-Learning takes a sample of at most ``examples`` training rows per label (a documented bound, by hash of the id).  Terms
+Learning takes a sample of at most ``examples`` training rows per label (a documented bound, by hash of the id).  Of
+these, copies of another example of their label go, confirmed on full trigram sets at ``SAME``.  Terms
 are words and word beginnings of four to six bytes; all terms of the examples count, weighted by their document
 frequency over all documents, and every example with a word is in the index.  A document's cosines with all examples
 are summed, so the k nearest examples are exact.
@@ -24,13 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekpi.llm.common import hash_words, read_table, split_words, stage, text_bytes, window_hashes
+from lakekpi.llm.common import MULT, hash_words, read_table, stage, text_bytes
+from lakekpi.llm.near_dups import _minhash, _mix, _params, shingle_sets
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PREFIXES = (4, 5, 6)
 EXAMPLES, NEIGHBOURS, BLOCK = 8000, 16, 64
 COMMON = 512  # terms that have a place in each example's row; the others have lists
 QUERIES = 64  # texts searched at once
+BANDS, DRAWS, SAME = 32, 5, 0.8  # of copies: MinHash bands, samples of a band, least share of common trigrams
 MARGIN = 1e-5  # more than short numbers can be off
 CACHE = 500_000
 
@@ -245,18 +248,65 @@ class Model:
         return out
 
 
+def _samples(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Of each text: its trigrams, the keys of its bands, and one byte of each MinHash sample."""
+    mul, add = _params(BANDS * DRAWS)
+    sets = shingle_sets(texts, 3)
+    sig = np.array([_minhash(x, mul, add) for x in sets], np.uint64).reshape(len(sets), BANDS, DRAWS)
+    keys = np.arange(BANDS, dtype=np.uint64) + np.zeros((len(sets), 1), np.uint64)
+    for i in range(DRAWS):
+        keys = _mix(keys * MULT + sig[:, :, i])
+    return [np.unique(x >> np.uint64(32)).astype(np.uint32) for x in sets], keys, (_mix(sig) >> np.uint64(56)).astype(np.uint8).reshape(len(sets), -1)
+
+
+def _copies(grams: list[np.ndarray], keys: np.ndarray, draws: np.ndarray) -> np.ndarray:
+    """Which texts have at least SAME of the trigrams in common with an earlier one that is no copy itself.
+
+    Bands propose, draws leave out pairs more than five standard errors below SAME, the full sets of all others decide.
+    """
+    least = (SAME - 5 * np.sqrt(SAME * (1 - SAME) / (BANDS * DRAWS))) * BANDS * DRAWS
+    buckets: dict[int, list[int]] = {}
+    out, sizes = np.zeros(len(grams), bool), np.array([len(g) for g in grams])
+    for i, own in enumerate(keys.tolist()):
+        near = set(itertools.chain.from_iterable(buckets.get(k, ()) for k in own))
+        if near:
+            at = np.fromiter(near, np.int64, len(near))
+            at = at[(np.minimum(sizes[at], sizes[i]) >= SAME * np.maximum(sizes[at], sizes[i])) & ((draws[at] == draws[i]).sum(1) >= least)]
+            for j in at.tolist():
+                both = len(np.intersect1d(grams[i], grams[j], assume_unique=True))
+                if both >= SAME * (sizes[i] + sizes[j] - both):
+                    out[i] = True
+                    break
+        if not out[i]:
+            for k in own:
+                buckets.setdefault(k, []).append(i)
+    return out
+
+
 def _without_near_copies(rows: DataFrame) -> DataFrame:
-    """Near copies of one text would vote as many: of examples with one and the same smallest trigram hash one stays."""
+    """Near copies of one text would vote as many: of the examples of a label, confirmed copies of an earlier one go."""
     def run(batches):
         for b in batches:
-            words, off = split_words(text_bytes(b.column(2)), lower=True)
-            h = hash_words(words)
-            grams = window_hashes(h, 3)
-            least = [int((grams[s:e - 2] if e - s > 2 else h[s:e]).min(initial=np.uint64(2**64 - 1))) for s, e in zip(off[:-1], off[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(least, np.uint64).view(np.int64))], names=["id", "y", "least"])
-
-    first = rows.select("id", "y", "text").mapInArrow(run, "id long, y int, least long").groupBy("least", "y").agg(F.min("id").alias("id"))
-    return rows.join(F.broadcast(first.select("id", "y")), ["id", "y"])  # no more rows than examples
+            grams, keys, draws = _samples(text_bytes(b.column(3)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([g.view(np.int32) for g in grams], pa.list_(pa.int32())),
+                                              pa.array([k.tobytes() for k in keys], pa.binary()), pa.array([d.tobytes() for d in draws], pa.binary())],
+                                             names=["id", "y", "text_hash", "grams", "keys", "draws"])
+
+    key = ["id", "y", "text_hash"]
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    got = rows.select(*key, "text").mapInArrow(run, "id long, y int, text_hash long, grams array<int>, keys binary, draws binary").toArrow()
+    names = list(zip(*(got.column(c).to_pylist() for c in key)))  # at most 2 * examples texts
+    first = {x: i for i, x in reversed(list(enumerate(names)))}
+    dropped = []
+    for y in (0, 1):
+        at = [first[x] for x in sorted(first) if x[1] == y]
+        part = got.take(pa.array(at, pa.int64())).combine_chunks()
+        off, grams = np.concatenate([[0], np.cumsum(pc.list_value_length(part.column("grams")).to_numpy())]).astype(np.int64), pc.list_flatten(part.column("grams")).to_numpy().view(np.uint32)
+        table = lambda c, kind: np.frombuffer(b"".join(part.column(c).to_pylist()), kind).reshape(len(at), -1 if at else BANDS)
+        copies = _copies([grams[s:e] for s, e in zip(off[:-1], off[1:])], table("keys", np.uint64), table("draws", np.uint8))
+        dropped += [names[i] for i, copy in zip(at, copies) if copy]
+    gone = rows.sparkSession.createDataFrame(dropped, "id long, y int, text_hash long")
+    return stage(rows.join(F.broadcast(gone), key, "left_anti").drop("text_hash"), "tx-distinct")  # no more rows than examples
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,

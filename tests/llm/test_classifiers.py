@@ -74,6 +74,17 @@ def test_cosine_is_taken_over_all_words(llm):
         assert got[i].evidence[0].id == want and got[i].evidence[0].cosine == pytest.approx(1, abs=1e-6)
 
 
+def test_only_confirmed_copies_of_examples_go(llm):
+    line = " ".join(f"shared{j}" for j in range(30))
+    own = lambda i: line + " " + " ".join(f"own{i}x{j}" for j in range(30))
+    rows = [(i, own(i), i % 2) for i in range(40)]  # a third of their trigrams in common, and often the smallest one
+    rows += [(100, own(4), 0), (101, own(4).upper() + "  more", 0), (102, own(4), 1), (103, None, 0), (104, "", 0), (105, " ", 1)]
+    rows += [(4, own(4), 0), (6, "another text of the same id", 0), (200, "one two", 0), (201, "one three", 0)]
+    kept = tx._without_near_copies(llm.createDataFrame(rows, "id long, text string, y int")).collect()
+    assert sorted(r.id for r in kept) == sorted([*range(40), 4, 6, 102, 103, 105, 200, 201])
+    assert {(r.id, r.text, r.y) for r in kept} <= set(rows)
+
+
 def test_isotonic_rises():
     x, y = np.array([0.1, 0.2, 0.2, 0.5, 0.9]), np.array([0.0, 1, 0, 0, 1])
     at, value = tx.isotonic(x, y, np.ones(5))
