@@ -176,8 +176,8 @@ RECORDS = ("file string, start long, end long, gap string, record_type string, r
            "page_id long, url string, payload_digest string, payload binary")
 
 
-def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """A row per record and per gap of the archives under ``path``; gaps have a reason in ``gap`` and no type."""
+def read_archives(spark: SparkSession, path: str, with_payload: bool = True, pattern: str = "[^_.]*") -> DataFrame:
+    """A row per record and per gap of the files ``pattern`` (a glob) under ``path``; gaps have a reason in ``gap`` and no type."""
 
     def run(batches):
         for b in batches:
@@ -204,7 +204,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                          "payload_digest", "payload", "payload_bytes"]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content").mapInArrow(
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content").mapInArrow(
         run, RECORDS + ", payload_bytes long")
 
 

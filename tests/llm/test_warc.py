@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import random
 
@@ -63,3 +64,15 @@ def test_salvage_after_damage():
         torn = list(warc.salvage(b"rubbish" + bytes(sep.join(parts))[:-40]))
         assert torn[0][:2] == (0, 7) and torn[-1][2] is None and len([x for x in torn if x[2]]) == 29
     assert list(warc.salvage(b"")) == []
+
+
+def test_archives_of_any_name_are_read(llm, tmp):
+    def record(i):
+        return f"WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Record-ID: <r{i}>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n".encode()
+
+    for i, (name, pack) in enumerate([("crawl.warc", bytes), ("crawl.warc.gz", gzip.compress), ("part-0", bytes), ("_log", bytes), (".x", bytes)]):
+        with open(f"{tmp}/{name}", "wb") as f:
+            f.write(pack(record(i)))
+    found = lambda **k: sorted((r.record_id, r.gap) for r in warc.read_archives(llm, tmp, **k).collect())
+    assert found() == [("<r0>", None), ("<r1>", None), ("<r2>", None)]
+    assert found(pattern="*.gz") == [("<r1>", None)]
