@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakekpi.llm.common import session
 from lakekpi.llm import decontaminate as _bd
+from lakekpi.llm import fill_in_middle as _fm
 from lakekpi.llm import quality as _qc
 from lakekpi.llm import topk_search as _tk
 from lakekpi.llm import toxicity as _tx
@@ -42,3 +43,4 @@ _register(_qc.op7_quality)
 _register(_wa.op8_warc, _wa.SQL)
 _register(op9_lm_scores)
 _register(op10_packing)
+_register(_fm.op13_fill_in_middle, _fm.SQL)
