@@ -16,6 +16,7 @@ from lakekpi.llm import warc as _wa
 from lakekpi.llm.lm import op9_lm_scores
 from lakekpi.llm.near_dups import op3_near_dups
 from lakekpi.llm.packing import op10_packing
+from lakekpi.llm.simhash_dups import op12_simhash_dups
 from lakekpi.llm.substring_dups import op4_substring_dups
 from lakekpi.llm.token_counts import op5_token_counts
 
@@ -43,4 +44,5 @@ _register(_qc.op7_quality)
 _register(_wa.op8_warc, _wa.SQL)
 _register(op9_lm_scores)
 _register(op10_packing)
+_register(op12_simhash_dups)
 _register(_fm.op13_fill_in_middle, _fm.SQL)
