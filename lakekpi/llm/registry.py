@@ -12,6 +12,7 @@ from lakekpi.llm import fill_in_middle as _fm
 from lakekpi.llm import quality as _qc
 from lakekpi.llm import topk_search as _tk
 from lakekpi.llm import toxicity as _tx
+from lakekpi.llm import vector_codes as _vc
 from lakekpi.llm import warc as _wa
 from lakekpi.llm.lm import op9_lm_scores
 from lakekpi.llm.near_dups import op3_near_dups
@@ -44,5 +45,6 @@ _register(_qc.op7_quality)
 _register(_wa.op8_warc, _wa.SQL)
 _register(op9_lm_scores)
 _register(op10_packing)
+_register(_vc.op11_vector_codes, _vc.SQL)
 _register(op12_simhash_dups)
 _register(_fm.op13_fill_in_middle, _fm.SQL)
