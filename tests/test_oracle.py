@@ -30,8 +30,10 @@ def con():
 
 def test_every_query_has_an_oracle():
     from __spark_entry__ import oracle_sql, queries
+    from lakekpi.registry import ORACLES, QUERIES
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", SUBSET)
