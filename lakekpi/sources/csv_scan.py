@@ -1,9 +1,9 @@
 """CSV scans of stream batches and reference data.
 
 * ``read_streams`` / ``read_songs`` / ``read_users``: header CSV with the fixed schema, by position (A8/A9).
-* ``read_batches``: header-by-name reading of many batch files at once (B1, P1).  Every file is scanned
-  as all-text columns without a header, as many as the widest header line has; the first record of each
-  file (found through the split offset, no sort) is its header; data fields are looked up by header name
+* ``read_batches``: header-by-name reading of many batch files at once (B1, P1).  Every record is parsed
+  into all-text columns, as many as the widest header line has; the first record of each
+  file is its header; data fields are looked up by header name
   per row, so files with reordered, missing or extra columns are read correctly.
 """
 
@@ -20,7 +20,7 @@ from lakekpi import schemas as S
 from lakekpi.functions.text import extract_landing_date
 from lakekpi.sources.balance import balance
 from lakekpi.operators.joins import sized_broadcast
-from lakekpi.operators.numbering import number_in_file_order
+from lakekpi.sources.csv_records import read_records
 
 
 class ReferenceDataMissing(ValueError):
@@ -77,26 +77,17 @@ def _trailing_len(arr):
     return F.coalesce(F.array_max(idx), F.lit(0))
 
 
-def header_width(spark: SparkSession, paths) -> int:
-    """Fields of the widest header (an upper bound where names hold commas): the first line of each file, split."""
-    lines = spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("pos"))
-    first = lines.groupBy("path").agg(F.min_by("value", "pos").alias("line"))
-    return first.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 0
-
-
-def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool = True,
-                 materialize=None, empty_keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def read_batches(spark: SparkSession, root: str, paths=None, materialize=None,
+                 empty_keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """B1: (files, records) for every batch CSV under ``root`` (or the given ``paths``).
 
     files:   source_key, landing_date, fields (header names), first_row_extra
     records: source_key, row_no (header = line 1), user_id, track_id, listen_time (text; null when the
              header lacks the column).
 
-    ``multi_line=True`` honours quoted newlines (each file is then read by one task); set it False for
-    very large files so they are split across tasks.  ``materialize`` (a staging write) makes the CSVs be
-    parsed once: the numbered lines are derived from the staged scan.  ``empty_keys`` names zero-byte files, which
-    scans do not see; they get a row in ``files`` with no fields.
+    Line breaks inside quotes are text, and files of any size are read in byte ranges by many tasks (``csv_records``).
+    ``materialize`` is the staging write that holds their lines (by default in the shared folder).  ``empty_keys`` names
+    zero-byte files, which scans do not see; they get a row in ``files`` with no fields.
     """
     where = paths if paths is not None else root
     none = spark.createDataFrame([(k, []) for k in empty_keys or []], "source_key string, fields array<string>").select(
@@ -104,20 +95,18 @@ def read_batches(spark: SparkSession, root: str, paths=None, multi_line: bool =
     if paths is not None and not paths:  # nothing but zero-byte files
         return none, spark.createDataFrame([], StructType([StructField("source_key", StringType()), StructField("row_no", IntegerType()),
                                                            *[StructField(f, StringType()) for f in S.REQUIRED_FIELDS]]))
-    width = max(len(S.REQUIRED_FIELDS), header_width(spark, where)) + 1  # and one for rows longer than their header
+    if materialize is None:
+        from lakekpi.plans.sinks import stage
+
+        materialize = lambda df: stage(df, "lines")
+    found = read_records(spark, where, materialize)
+    # fields of the widest header (an upper bound where names hold commas), and one for rows longer than their header
+    width = max(len(S.REQUIRED_FIELDS), found.where("rn = 1").agg(F.max(F.size(F.split("record", ",")))).first()[0] or 0) + 1
     wide = StructType([StructField(f"_c{i}", StringType(), True) for i in range(width)])
-    reader = (
-        spark.read.schema(wide)
-        .option("header", "false")
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", str(multi_line).lower())
-        .option("quote", '"')
-        .option("escape", '"')
-    )
-    scan = reader.csv(where)
-    numbered = number_in_file_order(scan, file_col="_path", out="rn", materialize=materialize)
-    vals = F.array(*[F.col(f"_c{i}") for i in range(width)])
-    lines = numbered.select(object_key(F.col("_path"), root).alias("source_key"), "rn", vals.alias("vals"))
+    row = F.from_csv("record", wide.simpleString()[len("struct<"):-1].replace(":", " "),
+                     {"mode": "PERMISSIVE", "multiLine": "true", "quote": '"', "escape": '"'})
+    lines = found.select(object_key(F.col("path"), root).alias("source_key"), F.col("rn").cast("int").alias("rn"), row.alias("row")).select(
+        "source_key", "rn", F.array(*[F.col(f"row._c{i}") for i in range(width)]).alias("vals"))
     hdr = lines.filter(F.col("rn") == 1).select(
         "source_key",
         F.slice(F.transform("vals", lambda x: F.coalesce(x, F.lit(""))), 1, _trailing_len(F.col("vals"))).alias("fields"),
