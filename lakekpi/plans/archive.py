@@ -1,16 +1,25 @@
-"""Quarantine (B12) and archive (G2) as table jobs over raw lines, with verification before any delete."""
+"""Quarantine (B12) and archive (G2) as byte-exact copies, with verification before any delete.
+
+Files are read and written by Spark's text source with ``\\n`` alone as line end, which keeps every byte of a line: carriage
+returns, and bytes that are no UTF-8.  That writer puts a line end after each row, so where a file's last line has none, it is
+written as a row without its last byte, with that byte as the line end.  A copy is a folder
+``copy=<id>/object_key=<key>`` below its root whose files, in the order of their paths, hold exactly the source's bytes; a
+large file is copied by many tasks, and a later copy of a key never touches an earlier one.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekpi import constants as K
-from lakekpi.operators.joins import fits_broadcast
 from lakekpi.operators.numbering import number_within
 from lakekpi.plans.sinks import stage
 from lakekpi.sources.csv_scan import object_key
@@ -20,70 +29,126 @@ class ArchiveFailed(RuntimeError):
     pass
 
 
+def _text(spark: SparkSession, paths) -> DataFrame:
+    return spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value")
+
+
 def raw_lines(spark: SparkSession, root: str, keys: DataFrame, paths: list[str] | None = None) -> DataFrame:
-    """Raw text lines of the given object keys, with their place in the file (``block``, ``pos``).
+    """Raw lines of the given object keys, with their place (``path``, ``block``, ``pos``) and their file's size.
 
     ``paths`` are the files to scan if the caller knows them, else the whole of ``root`` is.
     """
-    lines = spark.read.text(paths or root, recursiveFileLookup=True).select(
-        object_key(F.col("_metadata.file_path"), root).alias("object_key"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-        "value",
-    )
+    lines = _text(spark, paths or root).withColumn("object_key", object_key(F.col("path"), root))
     return lines.join(keys.select("object_key").distinct(), "object_key", "left_semi")
 
 
-def _fingerprint(lines: DataFrame, order: list[str]) -> DataFrame:
-    """Per file: number of lines, and a sum of 64-bit hashes of every line with its number (so order counts too)."""
-    numbered = number_within(lines.select("object_key", "value", *order), ["object_key"], order, out="n")
-    return numbered.groupBy("object_key").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.xxhash64("value", "n").cast("decimal(38,0)")).alias("checksum"))
+ORDER = ["path", "block", "pos"]
+_BYTES = "cast(value as binary)"
+
 
+def _files(lines: DataFrame) -> DataFrame:
+    """Per file: size, whether its last line has no line end, and that line's place."""
+    return lines.groupBy("object_key", "path").agg(
+        F.max("size").alias("size"), F.max(F.struct("block", "pos")).alias("last"),
+        (F.sum(F.octet_length("value") + 1) > F.max("size")).alias("open_end"))
 
-def copy_lines(lines: DataFrame, dest_root: str) -> None:
-    """Write raw lines under ``dest_root``, one folder per file, in their order: a file that is spread over several
-    writers goes on from part to part."""
-    order = ["object_key", "block", "pos"]
-    (lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value", "object_key")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("object_key").text(dest_root))
 
+def copy_lines(lines: DataFrame, dest_root: str) -> str:
+    """Write the lines' files below ``dest_root``, in order; the name of the copy."""
+    copy = uuid.uuid4().hex
+    ends = stage(_files(lines).where("open_end").select("path", F.col("last.block").alias("block"), F.col("last.pos").alias("pos")), "open-ends")
+    keys = ["object_key", *ORDER]
+    whole = lines.join(ends, ORDER, "left_anti").select("value", *keys, F.lit(0).alias("part"))
+    _write(whole.repartitionByRange(*keys).sortWithinPartitions(*keys).select("value", "object_key", "part"), dest_root, copy, "\n")
+    if not ends.isEmpty():
+        tails = stage(lines.join(ends, ORDER, "left_semi").select(
+            F.expr(f"cast(substring({_BYTES}, 1, octet_length(value) - 1) as string)").alias("value"),
+            F.expr(f"hex(substring({_BYTES}, octet_length(value), 1))").alias("byte"), "object_key", F.lit(1).alias("part")), "tails")
+        for r in tails.select("byte").distinct().collect():  # at most 256
+            _write(tails.where(F.col("byte") == r.byte).drop("byte"), dest_root, copy, bytes.fromhex(r.byte).decode("latin-1"))
+    return copy
 
-def copied(spark: SparkSession, dest_root: str, keys: DataFrame) -> DataFrame:
-    """Lines of the copies of ``keys``: object_key, folder (where the copy lies below ``dest_root``), part, pos, value."""
+
+def _write(rows: DataFrame, dest_root: str, copy: str, end: str) -> None:
+    (rows.write.mode("append").partitionBy("object_key", "part").option("lineSep", end).option("encoding", "ISO-8859-1")
+     .text(f"{dest_root.rstrip('/')}/copy={copy}"))
+
+
+def copied(spark: SparkSession, dest_root: str, copy: str) -> DataFrame:
+    """Lines of a copy, in the form of ``raw_lines``, with ``folder``, where each file's copy lies below ``dest_root``."""
+    root = f"{dest_root.rstrip('/')}/copy={copy}"
     try:
-        back = spark.read.text(dest_root)
-    except AnalysisException:  # nothing was ever copied
-        back = spark.createDataFrame([], "value string")
-    if "object_key" not in back.columns:
-        return spark.createDataFrame([], "object_key string, folder string, part string, block long, pos long, value string")
-    path = F.regexp_extract(object_key(F.col("_metadata.file_path"), dest_root), "^(.*)/([^/]+)$", 1)
-    rows = back.select(F.col("object_key").cast("string").alias("object_key"), path.alias("folder"),
-                       F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"),
+        back = spark.read.option("basePath", root).schema("value string, object_key string, part int").option("lineSep", "\n").text(root)
+    except AnalysisException:  # nothing was copied
+        return spark.createDataFrame([], "object_key string, folder string, path string, size long, block long, pos long, value string")
+    path = F.col("_metadata.file_path")
+    return back.select("object_key", F.regexp_extract(object_key(path, dest_root), "^(.*)/part=[^/]*/[^/]+$", 1).alias("folder"),
+                       path.alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"),
                        F.monotonically_increasing_id().alias("pos"), "value")
-    return rows.join(F.broadcast(keys.select("object_key").distinct()) if fits_broadcast(keys) else keys.select("object_key").distinct(),
-                     "object_key", "left_semi")
+
+
+def _fingerprint(lines: DataFrame) -> DataFrame:
+    """Per object: lines, bytes, and a sum of 64-bit hashes of every line with its number (so order counts too)."""
+    numbered = number_within(lines.select("object_key", "value", *ORDER), ["object_key"], ORDER, out="n")
+    sizes = _files(lines).groupBy("object_key").agg(F.sum("size").alias("bytes"))
+    return numbered.groupBy("object_key").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.xxhash64("value", "n").cast("decimal(38,0)")).alias("checksum")).join(sizes, "object_key")
+
+
+def content_digests(lines: DataFrame) -> DataFrame:
+    """(object_key, md5) of the bytes of each object, from ``raw_lines`` or ``copied``; a task holds one line at a time."""
+    ends = _files(lines).groupBy("object_key").agg(F.max_by("open_end", "path").alias("open_end"))
+
+    def run(batches):
+        key = digest = None
+        open_end = False
+        for b in batches:
+            done = []
+            for k, o, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if k != key:
+                    if key is not None:
+                        done.append((key, digest, open_end))
+                    key, digest, open_end = k, hashlib.md5(), o
+                else:
+                    digest.update(b"\n")
+                digest.update(v)
+            yield finished(done)
+        if key is not None:
+            yield finished([(key, digest, open_end)])
+
+    def finished(done):
+        for _, digest, open_end in done:
+            if not open_end:
+                digest.update(b"\n")
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in done], pa.string()),
+                                           pa.array([d.hexdigest() for _, d, _ in done], pa.string())], names=["object_key", "md5"])
+
+    rows = lines.join(ends, "object_key").repartition("object_key").sortWithinPartitions("object_key", *ORDER)
+    return rows.select("object_key", "open_end", F.expr(_BYTES)).mapInArrow(run, "object_key string, md5 string")
 
 
 def archive(spark: SparkSession, landing_root: str, archive_root: str, keys: DataFrame, fail: bool = True,
             paths: list[str] | None = None) -> DataFrame:
-    """Copy the files' lines to the archive, read the copies of this run back, compare per-file fingerprints.
+    """Copy the files to the archive, read this run's copies back, compare their lines, order and bytes.
 
-    Returns status rows (object_key, status, lines, archive_key); raises naming every failed key when
+    Returns status rows (object_key, status, lines, bytes, archive_key); raises naming every failed key when
     ``fail``.  ``archive_key`` is the copy's folder below ``archive_root``.  Only ``archived`` rows may enter the delete list.
     """
     lines = raw_lines(spark, landing_root, keys, paths)
-    copy_lines(lines, archive_root)
-    src = _fingerprint(lines, ["block", "pos"])
-    back = copied(spark, archive_root, keys)
-    dst = (_fingerprint(back, ["part", "block", "pos"]).withColumnsRenamed({"lines": "a_lines", "checksum": "a_checksum"})
+    copy = copy_lines(lines, archive_root)
+    src = _fingerprint(lines)
+    back = copied(spark, archive_root, copy)
+    dst = (_fingerprint(back).withColumnsRenamed({c: f"a_{c}" for c in ("lines", "bytes", "checksum")})
            .join(back.groupBy("object_key").agg(F.min("folder").alias("folder")), "object_key"))
     st = keys.select("object_key").distinct().join(src, "object_key", "left").join(dst, "object_key", "left")
-    ok = (F.col("lines") == F.col("a_lines")) & (F.col("checksum") == F.col("a_checksum"))
+    ok = (F.col("lines") == F.col("a_lines")) & (F.col("bytes") == F.col("a_bytes")) & (F.col("checksum") == F.col("a_checksum"))
     status = stage(st.select(
         "object_key",
         F.when(ok, F.lit("archived")).otherwise(F.lit("failed")).alias("status"),
         F.coalesce("lines", F.lit(0)).alias("lines"),
+        F.coalesce("bytes", F.lit(0)).alias("bytes"),
         F.when(ok, F.col("folder")).alias("archive_key"),
     ), "archive-status")
     if fail:
@@ -121,7 +186,7 @@ def delete_sources(spark: SparkSession, landing_root: str, status: DataFrame) ->
 
 def quarantine(spark: SparkSession, landing_root: str, quarantine_root: str, invalid: DataFrame,
                paths: list[str] | None = None) -> DataFrame:
-    """Copy invalid files' raw lines under ``quarantine_root/bronze`` (the source stays) + ledger rows.
+    """Copy invalid files' bytes under ``quarantine_root/bronze`` (the source stays) + ledger rows.
 
     ``quarantine_key`` is the copy's folder below ``quarantine_root``; a zero-byte file has no copy and names its own key.
     A missing key or a failed copy is reported in the ledger rows (``quarantined=false`` + error), not raised.
@@ -132,8 +197,8 @@ def quarantine(spark: SparkSession, landing_root: str, quarantine_root: str, inv
     dest = f"{quarantine_root.rstrip('/')}/{K.QUARANTINE_PREFIX.rstrip('/')}"
     error, places = None, spark.createDataFrame([], "source_key string, folder string")
     try:
-        copy_lines(raw_lines(spark, landing_root, keys, paths), dest)
-        places = copied(spark, dest, keys).groupBy(F.col("object_key").alias("source_key")).agg(F.min("folder").alias("folder"))
+        copy = copy_lines(raw_lines(spark, landing_root, keys, paths), dest)
+        places = copied(spark, dest, copy).groupBy(F.col("object_key").alias("source_key")).agg(F.min("folder").alias("folder"))
     except Exception as exc:  # noqa: BLE001
         error = str(exc)
     ok = ~missing & F.lit(error is None)

@@ -1,5 +1,6 @@
 """File-based jobs: Silver/Gold/load, guards, poison probe, overwrite scope, quarantine, archive, streaming."""
 
+import hashlib
 import os
 
 import pytest
@@ -255,6 +256,57 @@ def test_archive_keeps_line_order(spark, tmp):
     _write(tmp + "/l/streams/landing_date=2024-06-01/a.csv", "\n".join(lines) + "\n")
     keys = spark.createDataFrame([("streams/landing_date=2024-06-01/a.csv",)], "object_key string")
     st = AR.archive(spark, tmp + "/l", tmp + "/archive", keys).collect()[0]
-    folder = f"{tmp}/archive/{st.archive_key}"
-    copy = "".join(open(f"{folder}/{f}").read() for f in sorted(os.listdir(folder)) if f.startswith("part-"))
-    assert copy.splitlines() == lines
+    assert copy_bytes(f"{tmp}/archive/{st.archive_key}") == ("\n".join(lines) + "\n").encode()
+
+
+def copy_bytes(folder):
+    """A copy's bytes: its files in the order of their paths."""
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.startswith("part-"))
+    return b"".join(open(f, "rb").read() for f in files)
+
+
+def test_copies_keep_every_byte(spark, sf, tmp):
+    data = {"crlf": b"h\r\n1\r\n2\r\n", "open": b"h\n1\n22", "open-crlf": b"h\r\n1\r", "latin": b"h\n\xe9\xff\n\xe9", "blank": b"\n\n \n",
+            "one": b"x", "zero byte": b"a\x00b\n\x00", "large": b"".join(b"%d,%d\r\n" % (i, i * i) for i in range(30_000)) + b"end\xc3"}
+    for name, text in data.items():
+        _write(f"{tmp}/l/streams/landing_date=2024-06-01/{name}.csv", "")
+        with open(f"{tmp}/l/streams/landing_date=2024-06-01/{name}.csv", "wb") as fh:
+            fh.write(text)
+    keys = spark.createDataFrame([(f"streams/landing_date=2024-06-01/{n}.csv",) for n in data], "object_key string")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "70000")
+    try:
+        lines = AR.raw_lines(spark, tmp + "/l", keys)
+        for _ in range(2):  # a later copy leaves the earlier one alone
+            st = AR.archive(spark, tmp + "/l", tmp + "/archive", keys).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    want = {f"streams/landing_date=2024-06-01/{n}.csv": text for n, text in data.items()}
+    assert {r.object_key: (r.status, r.bytes) for r in st} == {k: ("archived", len(v)) for k, v in want.items()}
+    assert {r.object_key: copy_bytes(f"{tmp}/archive/{r.archive_key}") for r in st} == want
+    md5 = {k: hashlib.md5(v).hexdigest() for k, v in want.items()}
+    copy = st[0].archive_key.split("/")[0].removeprefix("copy=")
+    for rows in (AR.content_digests(lines), AR.content_digests(AR.copied(spark, tmp + "/archive", copy))):
+        assert {r.object_key: r.md5 for r in rows.collect()} == md5
+
+
+def test_an_altered_copy_is_no_archive(spark, tmp, monkeypatch):
+    _write(tmp + "/l/streams/landing_date=2024-06-01/a.csv", "h\r\n1\r\n")
+    keys = spark.createDataFrame([("streams/landing_date=2024-06-01/a.csv",)], "object_key string")
+    write = AR._write
+    monkeypatch.setattr(AR, "_write", lambda rows, *a: write(rows.withColumn("value", F.rtrim("value", F.lit("\r"))), *a))
+    with pytest.raises(AR.ArchiveFailed):
+        AR.archive(spark, tmp + "/l", tmp + "/archive", keys)
+
+
+def test_a_relanded_archived_file_is_known(spark, sf, tmp):
+    L = _layout(tmp)
+    text = "user_id,track_id,listen_time\r\n" + "".join(f"{i},T{14 + 7 * (i % 20)},2024-01-02 10:{i % 60:02d}:00\r\n" for i in range(1, 50))
+    _write(L.landing + "/streams/landing_date=2024-01-02/a.csv", text.replace("\r\n", "\n"))
+    with open(L.landing + "/streams/landing_date=2024-01-02/a.csv", "wb") as fh:
+        fh.write(text[:-2].encode())
+    done = run_batch(spark, L, X.songs(spark, sf), X.users(spark, sf), execution_id="e1").archived
+    AR.delete_sources(spark, L.landing, done).collect()
+    assert not os.path.exists(L.landing + "/streams/landing_date=2024-01-02/a.csv")
+    with open(L.landing + "/streams/landing_date=2024-01-02/again.csv", "wb") as fh:
+        fh.write(copy_bytes(f"{L.archive}/{done.collect()[0].archive_key}"))
+    assert run_batch(spark, L, X.songs(spark, sf), X.users(spark, sf), execution_id="e2").valid_keys == []
