@@ -74,15 +74,18 @@ def rollup(samples: DataFrame, period_seconds: int, group: list[str] | None = No
 
 
 def rollup_stream(samples: DataFrame, period_seconds: int, watermark: str = "10 minutes",
-                  group: list[str] | None = None, ts_col: str = "ts", value_col: str = "value") -> DataFrame:
+                  group: list[str] | None = None, ts_col: str = "ts", value_col: str = "value",
+                  exact_scale: int | None = None) -> DataFrame:
     """H1 on a stream: the same roll-up with a watermark, so each period is emitted once it is complete
     (append mode) and its state is dropped."""
     keys = ["metric_name", *(group or [])]
     v = F.col(value_col)
+    total = F.sum(v.cast(f"decimal(18,{exact_scale})")).cast("double") if exact_scale is not None else F.sum(v)
     g = samples.withWatermark(ts_col, watermark).groupBy(F.window(ts_col, f"{period_seconds} seconds").alias("_w"), *keys).agg(
-        F.sum(v).alias("sum"), F.avg(v).alias("average"), F.max(v).alias("maximum"), F.count(v).alias("sample_count")
+        total.alias("sum"), F.max(v).alias("maximum"), F.count(v).alias("sample_count")
     )
-    return g.select(F.col("_w.start").alias("period_start"), *keys, "sum", "average", "maximum", "sample_count")
+    return g.select(F.col("_w.start").alias("period_start"), *keys, "sum", (F.col("sum") / F.col("sample_count")).alias("average"),
+                    "maximum", "sample_count")
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -126,6 +129,15 @@ def _period_start(ts: Column, seconds: Column) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(ts.cast("timestamp")) / seconds) * seconds)
 
 
+def watched_samples(samples: DataFrame, rules: DataFrame) -> DataFrame:
+    """Samples with each rule that watches them: by metric and, where the rule names dimensions, by exactly those."""
+    r = F.broadcast(rules)  # configuration
+    has = "dimensions" in samples.columns
+    own = r.withColumnRenamed("dimensions", "_watched") if "dimensions" in r.columns else r.withColumn("_watched", F.lit(None).cast("map<string,string>"))
+    watched = F.col("_watched").isNull()
+    return samples.join(own, "metric_name").where(watched | (_series("dimensions") == _series("_watched")) if has else watched)
+
+
 def evaluate_alarms(samples: DataFrame, rules: DataFrame, start: str, end: str, exact_scale: int | None = None,
                     ts_col: str = "ts", value_col: str = "value") -> DataFrame:
     """H2-H4: one state per (rule, period) over the complete period spine [start, end).
@@ -136,12 +148,7 @@ def evaluate_alarms(samples: DataFrame, rules: DataFrame, start: str, end: str,
     """
     r = F.broadcast(rules)
     v = F.col(value_col)
-    has = "dimensions" in samples.columns
-    own = r.withColumnRenamed("dimensions", "_watched") if "dimensions" in r.columns else r.withColumn("_watched", F.lit(None).cast("map<string,string>"))
-    watched = F.col("_watched").isNull()
-    tagged = samples.join(own, "metric_name").where(watched | (_series("dimensions") == _series("_watched")) if has else watched).withColumn(
-        "period_start", _period_start(F.col(ts_col), F.col("period_seconds"))
-    )
+    tagged = watched_samples(samples, rules).withColumn("period_start", _period_start(F.col(ts_col), F.col("period_seconds")))
     total = F.sum(v.cast(f"decimal(18,{exact_scale})")) if exact_scale is not None else F.sum(v)
     agg = tagged.groupBy("rule_name", "period_start").agg(
         total.cast("double").alias("_sum"), F.max(v).alias("_max"), F.count(v).alias("_cnt")

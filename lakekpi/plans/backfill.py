@@ -9,9 +9,11 @@ from lakekpi import constants as K
 from lakekpi.operators import aggregate as D
 from lakekpi.operators.admission import admit, first_per_content
 from lakekpi.operators.joins import sized_broadcast
+from lakekpi.operators.validate import route, validate
 from lakekpi.plans.gold import run_gold
 from lakekpi.plans.silver import run_silver
-from lakekpi.sources.csv_scan import object_key, read_streams
+from lakekpi.plans.sinks import stage
+from lakekpi.sources.csv_scan import read_batches, typed_streams
 from lakekpi.sources.listing import list_objects
 
 
@@ -34,10 +36,13 @@ def backfill_kpis(silver: DataFrame, start: str, end: str) -> dict[str, DataFram
 
 def recompute(spark: SparkSession, landing: str, silver: str, gold: str, songs: DataFrame, users: DataFrame,
               execution_id: str = "recompute", max_drop_rate: float = K.MAX_DROP_RATE) -> list[str]:
-    """Rebuild Silver and Gold (new, empty folders) from every landed stream file, one per content; the days written."""
+    """Rebuild Silver and Gold (new, empty folders) from every landed stream file, one per content, read and validated as
+    in a run, so that files which a run would not take are left out; the days written."""
     files = first_per_content(admit(list_objects(spark, landing))).select("path").collect()  # readers take paths
-    raw = read_streams(spark, [r.path for r in files]).withColumn("source_file", object_key(F.col("source_file"), landing))
-    days = run_silver(spark, raw, songs, users, silver, execution_id=execution_id, max_drop_rate=max_drop_rate).days
+    found, records = read_batches(spark, landing, [r.path for r in files])
+    records = stage(records, "records")
+    good, _ = route(validate(stage(found, "files"), records), records)
+    days = run_silver(spark, typed_streams(good), songs, users, silver, execution_id=execution_id, max_drop_rate=max_drop_rate).days
     run_gold(spark, silver, gold, days, execution_id=execution_id)
     return days
 

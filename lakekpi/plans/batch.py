@@ -47,8 +47,8 @@ def run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Data
               execution_id: str = "run", **kw) -> BatchResult:
     """Process the given batch files as one run and record its outcome in the run ledger.
 
-    Without ``paths`` the run takes what ``admitted`` finds: stream CSVs, zero-byte ones too, one per content, whose
-    content has not started a run in the last 90 days.  Given ``paths`` are processed again whatever the ledger says.
+    Without ``paths`` the run takes ``files`` (rows of ``admitted``) or else what ``admitted`` finds: stream CSVs, zero-byte ones too,
+    one per content, whose content has not started a run in the last 90 days.  Given ``paths`` are processed again whatever the ledger says.
     The ledger row (execution_id, status, valid/invalid file counts, days, error) is appended on success and on
     failure; a run of invalid files alone is FAILED; an exception is re-raised after it is recorded.
     """
@@ -64,20 +64,25 @@ def run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: Data
     return res
 
 
-def admitted(spark: SparkSession, layout: Layout) -> DataFrame:
+def admitted(spark: SparkSession, layout: Layout, run_id: str | None = None) -> DataFrame:
     """A1 + A4 for a run: landed stream CSVs (object_key, path, length, event_time, etag), the earliest of each content,
     without those whose content is in the file ledger of the last 90 days."""
-    listing = list_objects(spark, layout.landing)
-    empty = empty_objects(spark, layout.landing)
-    if empty:  # the hash of nothing would make all empty files one, and each gets a verdict of its own
-        listing = listing.unionByName(spark.createDataFrame([(k,) for k in empty], "object_key string").select(
-            "object_key", F.concat(F.lit(layout.landing.rstrip("/") + "/"), "object_key").alias("path"), F.lit(0).cast("long").alias("length"),
-            F.current_timestamp().alias("event_time"), F.concat(F.lit("empty:"), F.col("object_key")).alias("etag")))
-    found = A.admit(listing)
+    return new_files(spark, layout, A.admit(list_objects(spark, layout.landing)), run_id)
+
+
+def new_files(spark: SparkSession, layout: Layout, files: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The listed files and the zero-byte ones (which no scan shows), the earliest of each content, without those whose
+    content another run took up in the last 90 days."""
+    # the hash of nothing would make all empty files one, and each gets a verdict of its own
+    empty = A.admit(empty_objects(spark, layout.landing)).select(
+        "object_key", "path", F.lit(0).cast("long").alias("length"), F.current_timestamp().alias("event_time"),
+        F.concat(F.lit("empty:"), F.col("object_key")).alias("etag"))
+    found = files.where("length > 0").select(*empty.columns).unionByName(empty)
     done = f"{layout.ledger}/files"
     if not sinks.table_exists(spark, done):
         return sinks.stage(A.first_per_content(found), "admitted")
-    return sinks.stage(A.new_runs(found, spark.read.parquet(done), F.current_timestamp()), "admitted")
+    others = spark.read.parquet(done).where(~F.col("run_id").eqNullSafe(F.lit(run_id)))
+    return sinks.stage(A.new_runs(found, others, F.current_timestamp()), "admitted")
 
 
 def _ledger(spark, layout: Layout, execution_id: str, status: str, res: BatchResult | None, error: str | None) -> None:
@@ -90,19 +95,20 @@ def _ledger(spark, layout: Layout, execution_id: str, status: str, res: BatchRes
 
 def _run_batch(spark: SparkSession, layout: Layout, songs: DataFrame, users: DataFrame, paths=None,
               execution_id: str = "run", ingested_at: str | None = None, event_time: str | None = None,
-              max_drop_rate: float | None = None, archive_files: bool = True, now: Column | None = None) -> BatchResult:
+              max_drop_rate: float | None = None, archive_files: bool = True, now: Column | None = None,
+              files: DataFrame | None = None) -> BatchResult:
     """Validate, quarantine, curate, aggregate, load and archive; an exception of any stage propagates (quarantine of
     invalid files happens before that)."""
     if paths is None:
-        fresh = admitted(spark, layout)
+        fresh = admitted(spark, layout, execution_id) if files is None else files
         # file readers take a list of paths, so those of the new files come to the driver
         rows = fresh.select("object_key", "path", "length").collect()
         paths, empty = [r.path for r in rows if r.length], [r.object_key for r in rows if not r.length]
         if not rows:
             return BatchResult([], [], [])
         size_shuffles(spark, sum(r.length for r in rows))
-        fresh.select(F.col("etag").alias("execution_id"), "object_key", F.current_timestamp().alias("started_at")).write.mode(
-            "append").parquet(f"{layout.ledger}/files")
+        fresh.select(F.col("etag").alias("execution_id"), "object_key", F.current_timestamp().alias("started_at"),
+                     F.lit(execution_id).alias("run_id")).write.mode("append").parquet(f"{layout.ledger}/files")
     else:
         empty = []
     # parse the CSVs once (staged tagged scan); validation, routing and curation read staged records

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakekpi import constants as K
 from lakekpi import oracle as O
+from lakekpi import schemas as S
 from lakekpi.operators import admission as A
 from lakekpi.operators import aggregate as D
 from lakekpi.operators import curate as C
@@ -459,6 +460,169 @@ def q_alarm_states(spark, sf_dir):
     return H.evaluate_alarms(X.metric_samples(spark, sf_dir), rules, ALARM_START, ALARM_END, exact_scale=6)
 
 
+# Samples of the pipeline's own metrics, spread over its rules: an event's number says which metric it is a sample of.
+_OWN = [("ExecutionsFailed", "StateMachineArn", "{pipeline}"), ("ExecutionsSucceeded", "StateMachineArn", "{pipeline}"),
+        ("FailedRuns", "JobName", K.GOLD_JOB), ("Errors", "FunctionName", "event_router"), ("Invocations", "RuleName", "{trigger}"),
+        ("ApproximateNumberOfMessagesVisible", "QueueName", "{dead-letters}"), ("DropRatePct", "Job", K.SILVER_JOB),
+        ("GenreKpisLoaded", "Job", K.LOAD_JOB), ("TopSongsLoaded", "Job", "another_job"), ("Unwatched", "Job", K.LOAD_JOB)]
+
+
+def pipeline_metrics(spark, sf_dir) -> DataFrame:
+    """Metric samples (ts, metric_name, value, dimensions) from events: values 0 and up, silent days for some metrics."""
+    ev = X.table(spark, sf_dir, "events")
+    no = (F.col("event_id") % 10).cast("int")
+    own = F.array(*[F.struct(F.lit(m).alias("m"), F.create_map(F.lit(d), F.lit(v)).alias("d")) for m, d, v in _OWN])
+    rows = ev.withColumn("own", own[no]).where((no != 1) | (F.dayofmonth("ts") % 9 < 7)).where((no != 4) | (F.dayofmonth("ts") % 5 != 2))
+    value = F.when(F.col("value") < 20, 0.0).otherwise(F.col("value"))
+    return rows.select(F.col("ts").cast("timestamp").alias("ts"), F.col("own.m").alias("metric_name"), value.alias("value"), F.col("own.d").alias("dimensions"))
+
+
+_OWN_SQL = "select ts, event_id % 10 as no, case when value < 20 then 0.0 else value end as value from events " \
+    "where (event_id % 10 <> 1 or day(ts) % 9 < 7) and (event_id % 10 <> 4 or day(ts) % 5 <> 2)"
+
+
+def _pipeline_rules_sql() -> str:
+    """Each rule with the number of the metric it watches (null if none is sampled)."""
+    watch = {(m, d, v): i for i, (m, d, v) in enumerate(_OWN)}
+    rows = []
+    for name, metric, stat, period, op, limit, missing, dims in H.PIPELINE_RULES:
+        (d, v), = dims.items()
+        no = watch.get((metric, d, v))
+        rows.append(f"('{name}', {'null' if no is None else no}, '{stat}', {period}, '{op}', {limit}, '{missing}')")
+    return ("select * from (values " + ", ".join(rows) +
+            ") r(rule_name, no, statistic, period_seconds, comparator, threshold, missing)")
+
+
+# periods closed by the stream are those that end before the last complete minute
+_CLOSED_SQL = "(select epoch_us(date_trunc('minute', max(ts))) from events)"
+_PIPELINE_STATES_SQL = f"""
+with own as ({_OWN_SQL}), rules as ({_pipeline_rules_sql()}),
+agg as (select rule_name, {_ps('s.ts', 'r.period_seconds')} as period_start, cast(sum(cast(value as decimal(18,6))) as double) as _sum,
+               max(value) as _max, count(value) as _cnt from own s join rules r on r.no = s.no group by 1, 2),
+spine as (select r.*, unnest(generate_series({_ps(f"timestamp '{ALARM_START}'", 'r.period_seconds')}, timestamp '{ALARM_END}' - interval 1 second,
+                                             to_seconds(r.period_seconds))) as period_start from rules r),
+j as (select s.*, case when a._cnt > 0 then case s.statistic when 'Sum' then a._sum when 'Maximum' then a._max end end as value
+      from spine s left join agg a on a.rule_name = s.rule_name and a.period_start = s.period_start),
+st as (select rule_name, period_start, period_seconds, value,
+              case when value is null and missing = 'breaching' then 'ALARM' when value is null and missing = 'notBreaching' then 'OK'
+                   when value is null then 'INSUFFICIENT_DATA'
+                   when (comparator = '>' and value > threshold) or (comparator <> '>' and value < threshold) then 'ALARM' else 'OK' end as state
+       from j),
+ch as (select *, lag(state) over (partition by rule_name order by period_start) as before from st)
+select rule_name, period_start, value, state from ch where (before is null or before <> state)"""
+
+
+@register("pipeline_alarm_changes", _PIPELINE_STATES_SQL)
+def q_pipeline_alarm_changes(spark, sf_dir):
+    """H2-H4 with the pipeline's own rules (freshness and zero-load among them): state changes over the full period spine."""
+    from lakekpi.streaming import alarms as ALM
+
+    states = H.evaluate_alarms(pipeline_metrics(spark, sf_dir), H.rules_frame(spark), ALARM_START, ALARM_END, exact_scale=6)
+    return ALM.state_changes(states)
+
+
+def _stream_of(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written under ``path``, as a stream."""
+    df.write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).parquet(path)
+
+
+@register("alarm_changes_stream", _PIPELINE_STATES_SQL + f" and epoch_us(period_start) + cast(period_seconds as bigint) * 1000000 <= {_CLOSED_SQL}")
+def q_alarm_changes_stream(spark, sf_dir):
+    """H2-H4 as a running evaluator: samples as a stream, rolled up by rule and minute, then state changes by timers."""
+    from lakekpi.streaming import alarms as ALM
+
+    root, rules = scratch_path(spark, "alarm-stream"), H.rules_frame(spark)
+    samples = _stream_of(pipeline_metrics(spark, sf_dir).unionByName(_last_minute(spark, sf_dir)), f"{root}/samples")
+    q = ALM.minutes(samples, rules, lateness="0 seconds", exact_scale=6).writeStream.format("parquet").option("path", f"{root}/minutes").option(
+        "checkpointLocation", f"{root}/c1").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    by_minute = spark.read.schema(ALM.MINUTES).parquet(f"{root}/minutes")
+    last = _last_minute(spark, sf_dir).select("ts")  # the clock: every rule's row shows that time has come so far
+    rows = by_minute.unionByName(ALM.starters(rules, ALARM_START)).unionByName(
+        ALM.starters(rules.crossJoin(F.broadcast(last)), F.date_trunc("minute", "ts")))
+    q = ALM.changes(_stream_of(rows, f"{root}/rows"), rules, ALARM_START).writeStream.format("parquet").option("path", f"{root}/changes").option(
+        "checkpointLocation", f"{root}/c2").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(ALM.CHANGES).parquet(f"{root}/changes")
+
+
+def _last_minute(spark, sf_dir) -> DataFrame:
+    """A sample that no rule watches, at the time of the last event: the stream's clock."""
+    return X.table(spark, sf_dir, "events").agg(F.max("ts").cast("timestamp").alias("ts")).select(
+        "ts", F.lit("Clock").alias("metric_name"), F.lit(0.0).alias("value"), F.lit(None).cast("map<string,string>").alias("dimensions"))
+
+
+@register("metric_rollup_stream", O.with_ctes("""
+select time_bucket(interval 1 hour, ts) as period_start, metric_name, cast(sum(cast(value as decimal(18,6))) as double) as sum,
+       cast(sum(cast(value as decimal(18,6))) as double) / count(value) as average, max(value) as maximum, count(value) as sample_count
+from metric_samples group by 1, 2 having time_bucket(interval 1 hour, max(ts)) + interval 1 hour <= (select max(ts) - interval 10 minute from metric_samples)""",
+                                              "metric_samples"))
+def q_metric_rollup_stream(spark, sf_dir):
+    """H1 on a stream: hourly roll-ups, each put out once the watermark has passed its end."""
+    root = scratch_path(spark, "rollup-stream")
+    samples = X.metric_samples(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "metric_name", "value")
+    samples = _stream_of(samples, f"{root}/samples")
+    out = H.rollup_stream(samples, 3600, exact_scale=6)
+    q = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/c").outputMode("append").trigger(
+        availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+# ---------------------------------------------------------------------------------------------------
+# deliveries
+# ---------------------------------------------------------------------------------------------------
+
+# Four events in a row are the attempts of a delivery, drawn apart in time; every seventh attempt succeeds.
+_ATTEMPTS_SQL = """
+select event_id // 4 as delivery_id, event_id as attempt_id, event_id % 7 = 3 as ok, first_ts as event_time,
+       first_ts + to_microseconds(12 * (epoch_us(ts) - epoch_us(first_ts))) as attempted_at
+from (select *, min(ts) over (partition by event_id // 4) as first_ts from events) e"""
+
+_DELIVERIES_SQL = f"""
+with a as ({_ATTEMPTS_SQL}),
+w as (select epoch_ms(max(attempted_at)) as now_ms from a),
+n as (select *, row_number() over (partition by delivery_id order by attempted_at, attempt_id) as n,
+             attempted_at <= event_time + interval {K.MAX_EVENT_AGE_SECONDS} second as young from a),
+d as (select delivery_id, min(event_time) as event_time, min(case when ok and young then n end) as k,
+             count(*) filter (where young) as tries, max(case when n = 3 and young then attempted_at end) as third,
+             max(case when young then attempted_at end) as last_try from n group by delivery_id),
+s as (select d.*, ok_at.attempted_at as ok_at, now_ms from d cross join w
+      left join n ok_at on ok_at.delivery_id = d.delivery_id and ok_at.n = d.k),
+f as (select delivery_id, now_ms,
+             case when k <= {K.MAX_RETRY_ATTEMPTS + 1} then 'delivered' when tries > {K.MAX_RETRY_ATTEMPTS} then 'dead_letter'
+                  when epoch_ms(event_time) + {K.MAX_EVENT_AGE_SECONDS * 1000} < now_ms then 'dead_letter' else 'retry' end as state,
+             least(case when k <= {K.MAX_RETRY_ATTEMPTS + 1} then k else tries end, {K.MAX_RETRY_ATTEMPTS + 1}) as attempts,
+             case when k <= {K.MAX_RETRY_ATTEMPTS + 1} then ok_at when tries > {K.MAX_RETRY_ATTEMPTS} then third
+                  when epoch_ms(event_time) + {K.MAX_EVENT_AGE_SECONDS * 1000} < now_ms then event_time + interval {K.MAX_EVENT_AGE_SECONDS} second
+                  else last_try end as changed_at from s)
+select cast(delivery_id as varchar) as delivery_id,
+       case when state = 'dead_letter' and epoch_ms(changed_at) + {K.DEAD_LETTER_RETENTION_DAYS * 86400000} < now_ms then 'expired' else state end as state,
+       cast(attempts as integer) as attempts,
+       case when state = 'dead_letter' and epoch_ms(changed_at) + {K.DEAD_LETTER_RETENTION_DAYS * 86400000} < now_ms
+            then changed_at + interval {K.DEAD_LETTER_RETENTION_DAYS} day else changed_at end as changed_at
+from f"""
+
+
+@register("delivery_states", _DELIVERIES_SQL)
+def q_delivery_states(spark, sf_dir):
+    """The last state of every delivery, after a stream of attempts: delivered, waiting, dead letter or expired."""
+    from pyspark.sql import Window
+
+    from lakekpi.streaming import deliveries as DLV
+
+    ev = X.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("delivery_id", F.expr("event_id div 4"))
+    first = F.min("ts").over(Window.partitionBy("delivery_id"))
+    ev = ev.withColumn("event_time", first)
+    late = F.timestamp_micros(F.unix_micros("event_time") + 12 * (F.unix_micros("ts") - F.unix_micros("event_time")))
+    attempts = ev.select("delivery_id", F.col("event_id").alias("attempt_id"), "event_time", late.alias("attempted_at"),
+                         (F.col("event_id") % 7 == 3).alias("ok"))
+    root = scratch_path(spark, "deliveries")
+    done = DLV.run_deliveries(_stream_of(attempts, f"{root}/attempts"), f"{root}/changes", f"{root}/checkpoint")
+    return DLV.latest(done)
+
+
 # ---------------------------------------------------------------------------------------------------
 # E: serve
 # ---------------------------------------------------------------------------------------------------
@@ -830,103 +994,93 @@ def q_late_rebuild(spark, sf_dir):
 
 
 
-_PARSEABLE = f"{O.PARSE} is not null"
+# Small files hold a few rows of unknown tracks or junk times: up to a quarter of one.
+DIRTY_LIMIT = 0.25
 
 
 def _land(spark, sf_dir, root: str) -> None:
-    """Landing batches (one CSV per listen day) from the raw batch's rows with a parseable time."""
-    raw = X.raw(spark, sf_dir).filter(F.try_to_timestamp("listen_time", F.lit(K.LISTEN_TIME_FORMAT)).isNotNull())
-    P.write_landing_batches(raw, f"{root}/streams", files_per_day=8)
+    """The stream records as landed CSVs, one file per event day, every row: clean and dirty files, junk times, files with
+    another order of columns and quotes, an unknown column or a missing one, files landed twice, and an empty one."""
+    r = X.stream_records(spark, sf_dir)
+    day = F.substring("landing_date", 9, 2).cast("int")
+    r = r.withColumn("device", F.lit("phone")).withColumn("kind", F.when(day % 5 == 0, "device").when(day % 7 == 3, "short").when(
+        day % 8 == 4, "turned").otherwise("plain")).repartition("landing_date").sortWithinPartitions("landing_date", "event_id", "copy_no")
+    shapes = [("device", [*S.TRIPLET, "device"], False), ("short", ["user_id", "track_id"], False),
+              ("turned", ["listen_time", "track_id", "user_id"], True), ("plain", list(S.TRIPLET), False)]
+    for kind, columns, quoted in shapes:
+        rows = r.where(F.col("kind") == kind).select(*columns, "landing_date")
+        for part in (rows, rows.where(day % 6 == 2)):  # the second is landed again
+            (part.write.mode("append").option("header", "true").option("quoteAll", str(quoted).lower())
+             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+             .partitionBy("landing_date").csv(f"{root}/streams"))
+    spark.createDataFrame([], "x string").coalesce(1).write.csv(f"{root}/streams/landing_date=2024-01-01/none")
+
+
+_LANDED = {
+    "raw_ok": """select try_cast(user_id as int) as user_id, nullif(track_id, '') as track_id, listen_time from stream_records
+                 where source_key in (select source_key from verdict where valid)""",
+    "curated": O.curated_sql("raw_ok"),
+}
+_LANDED_CTES = ("songs", "users", "stream_records", "stream_headers", "records", "errors", "verdict", "raw_ok", "curated")
+_ITEMS = ["genre", "date", "listen_count", "unique_listeners", "total_listen_seconds", "avg_listen_seconds_per_user",
+          "ingested_at", "source_execution_id", "expires_at"]
 
 
-_STREAM_RAW = {"raw_ok": f"select * from raw where {_PARSEABLE}", "curated": O.curated_sql("raw_ok")}
+def _layout(root: str):
+    from lakekpi.plans.batch import Layout
 
+    return Layout(*(f"{root}/{x}" for x in ("landing", "silver", "gold", "serving", "quarantine", "archive", "manifests", "ledger")))
 
-@register("stream_ingest_kpis", O.with_ctes(O.GENRE_KPIS_SQL, "raw", "songs", "users", "raw_ok", "curated",
-                                            extra=_STREAM_RAW))
+
+@register("stream_ingest_kpis", O.with_ctes(O.GENRE_KPIS_SQL, *_LANDED_CTES, extra=_LANDED))
 def q_stream_ingest(spark, sf_dir):
-    """Structured Streaming ingest (availableNow, foreachBatch) of the landed files; Gold read back."""
+    """The landed files as a stream in several micro-batches, each admitted, validated and run; Gold read back."""
     from lakekpi.plans.gold import read_gold
     from lakekpi.streaming.ingest import ingest
 
-    root = scratch_path(spark, "stream-ingest")
-    _land(spark, sf_dir, f"{root}/landing")
-    ingest(spark, f"{root}/landing", f"{root}/checkpoint", X.songs(spark, sf_dir), X.users(spark, sf_dir),
-           f"{root}/silver", f"{root}/gold", max_drop_rate=DIRTY_LIMIT)
-    g = read_gold(spark, f"{root}/gold", "genre_kpis_daily")
+    layout = _layout(scratch_path(spark, "stream-ingest"))
+    _land(spark, sf_dir, layout.landing)
+    ingest(spark, layout, f"{layout.ledger}-checkpoint", X.songs(spark, sf_dir), X.users(spark, sf_dir), max_files_per_trigger=20,
+           max_drop_rate=DIRTY_LIMIT, archive_files=False)
+    g = read_gold(spark, layout.gold, "genre_kpis_daily")
     return g.select("genre", "listen_count", "unique_listeners", "total_listen_seconds",
                     "avg_listen_seconds_per_user", "date")
 
 
-# The landed files of these two queries keep rows with missing fields and unknown tracks, up to a fifth of a small file.
-DIRTY_LIMIT = 0.25
-
-
-def _land_mixed(spark, sf_dir, root: str) -> None:
-    """Landing batches where days divisible by 3 keep rows with a missing user or track (those files fail
-    validation and are quarantined) and other days carry complete rows only."""
-    raw = X.raw(spark, sf_dir).filter(F.try_to_timestamp("listen_time", F.lit(K.LISTEN_TIME_FORMAT)).isNotNull())
-    day = F.substring("listen_time", 9, 2).cast("int")
-    keep = (day % 3 == 0) | (F.col("user_id").isNotNull() & F.col("track_id").isNotNull())
-    P.write_landing_batches(raw.filter(keep), f"{root}/streams", files_per_day=8)
-
-
-_BATCH_RAW = {
-    "landed": f"""select * from raw where {_PARSEABLE} and (cast(substr(listen_time, 9, 2) as int) % 3 = 0
-                  or (user_id is not null and track_id is not null))""",
-    "valid_days": """select substr(listen_time, 1, 10) as d from landed group by 1
-                     having count(*) filter (where user_id is null or track_id is null) = 0""",
-    "raw_ok": "select * from landed where substr(listen_time, 1, 10) in (select d from valid_days)",
-    "curated": O.curated_sql("raw_ok"),
-}
-
-
 @register("batch_run_serving", O.with_ctes(
-    _GENRE_ITEMS_SQL.replace("'unknown' as source_execution_id", "'exec-batch' as source_execution_id"),
-    "raw", "songs", "users", "landed", "valid_days", "raw_ok", "curated", extra=_BATCH_RAW))
+    _GENRE_ITEMS_SQL.replace("'unknown' as source_execution_id", "'exec-batch' as source_execution_id"), *_LANDED_CTES, extra=_LANDED))
 def q_batch_run(spark, sf_dir):
     """One run over all landed files (validate -> quarantine | curate -> aggregate -> serve); serving items."""
-    from lakekpi.plans.batch import Layout, run_batch
+    from lakekpi.plans.batch import run_batch
     from lakekpi.plans.load import serving_table
 
-    root = scratch_path(spark, "batch-run")
-    _land_mixed(spark, sf_dir, f"{root}/landing")
-    layout = Layout(*(f"{root}/{x}" for x in
-                      ("landing", "silver", "gold", "serving", "quarantine", "archive", "manifests", "ledger")))
+    layout = _layout(scratch_path(spark, "batch-run"))
+    _land(spark, sf_dir, layout.landing)
     run_batch(spark, layout, X.songs(spark, sf_dir), X.users(spark, sf_dir), execution_id="exec-batch",
-              event_time="2024-02-01T00:00:00Z", now=_loaded())
-    items = spark.read.parquet(serving_table(layout.serving, E.GENRE_KPIS))
-    return items.select(
-        "genre", "date", "listen_count", "unique_listeners", "total_listen_seconds", "avg_listen_seconds_per_user",
-        "ingested_at", "source_execution_id", "expires_at",
-    )
+              event_time="2024-02-01T00:00:00Z", now=_loaded(), max_drop_rate=DIRTY_LIMIT)
+    return spark.read.parquet(serving_table(layout.serving, E.GENRE_KPIS)).select(_ITEMS)
+
 
+_SILVER_COLUMNS = ["user_id", "track_id", "listen_time", "genre", "event_date", "duration_ms", "user_country"]
 
-@register("repeated_runs_silver", O.with_ctes(
-    "select user_id, track_id, listen_time, genre, event_date, duration_ms, user_country from curated", "raw", "songs", "users", "raw_ok", "curated",
-    extra=_STREAM_RAW))
+
+@register("repeated_runs_silver", O.with_ctes(f"select {', '.join(_SILVER_COLUMNS)} from curated", *_LANDED_CTES, extra=_LANDED))
 def q_repeated_runs(spark, sf_dir):
-    """J2 + A6: the landed files by a run, by a second run, by a run over all paths again, and by stream: Silver stays the same."""
-    from lakekpi.plans.batch import Layout, run_batch
+    """J2 + A6: the landed files by a run, by a second run, by a run over the taken paths again, and by stream: Silver stays the same."""
+    from lakekpi.plans.batch import admitted, run_batch
     from lakekpi.plans.silver import silver_table
-    from lakekpi.sources.listing import list_objects
     from lakekpi.streaming.ingest import ingest
 
-    root, songs, users = scratch_path(spark, "repeated"), X.songs(spark, sf_dir), X.users(spark, sf_dir)
-    whole = X.raw(spark, sf_dir).filter(F.try_to_timestamp("listen_time", F.lit(K.LISTEN_TIME_FORMAT)).isNotNull()).dropna(subset=["user_id", "track_id"])
-    P.write_landing_batches(whole, f"{root}/landing/streams")
-    layout = Layout(*(f"{root}/{x}" for x in
-                      ("landing", "silver", "gold", "serving", "quarantine", "archive", "manifests", "ledger")))
-    for run in ("first", "second"):
-        run_batch(spark, layout, songs, users, execution_id=run, archive_files=False)
-    again = [r.path for r in list_objects(spark, layout.landing, with_hash=False).select("path").collect()]
-    run_batch(spark, layout, songs, users, paths=again, execution_id="again", archive_files=False)
-    ingest(spark, layout.landing, f"{root}/checkpoint", songs, users, layout.silver)
-    return spark.read.parquet(silver_table(layout.silver)).select(
-        "user_id", "track_id", "listen_time", "genre", "event_date", "duration_ms", "user_country")
-
-
-@register("recompute_from_bronze", O.with_ctes(O.GENRE_KPIS_SQL, "raw", "songs", "users", "raw_ok", "curated", extra=_STREAM_RAW))
+    layout, songs, users = _layout(scratch_path(spark, "repeated")), X.songs(spark, sf_dir), X.users(spark, sf_dir)
+    _land(spark, sf_dir, layout.landing)
+    taken = [r.path for r in admitted(spark, layout).where("length > 0").select("path").collect()]
+    for run, paths in (("first", None), ("second", None), ("again", taken)):
+        run_batch(spark, layout, songs, users, paths=paths, execution_id=run, archive_files=False, max_drop_rate=DIRTY_LIMIT)
+    ingest(spark, layout, f"{layout.ledger}-checkpoint", songs, users, archive_files=False, max_drop_rate=DIRTY_LIMIT)
+    return spark.read.parquet(silver_table(layout.silver)).select(_SILVER_COLUMNS)
+
+
+@register("recompute_from_bronze", O.with_ctes(O.GENRE_KPIS_SQL, *_LANDED_CTES, extra=_LANDED))
 def q_recompute(spark, sf_dir):
     """Silver and Gold rebuilt from all landed files."""
     from lakekpi.plans.backfill import recompute

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,16 +31,16 @@ def list_objects(spark: SparkSession, root: str, with_hash: bool = True, glob: s
     return df.select(*cols)
 
 
-def empty_objects(spark: SparkSession, root: str) -> list[str]:
-    """Keys of the zero-byte files under ``root``.  Spark's scans and listings leave these out, so the file system is
-    asked for them: names and sizes only, one entry per file, as Spark itself lists a folder on the driver."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    base, found = fs.makeQualified(path).toUri().getPath().rstrip("/"), []
-    if fs.exists(path):
-        files = fs.listFiles(path, True)
-        while files.hasNext():
-            f = files.next()
-            if f.getLen() == 0:
-                found.append(f.getPath().toUri().getPath()[len(base) + 1:])
-    return sorted(k for k in found if not k.rpartition("/")[2].startswith((".", "_")))
+def empty_objects(spark: SparkSession, root: str) -> DataFrame:
+    """(object_key, path) of the zero-byte files under ``root``.  Spark's scans pass these over, but its file index, which it
+    lists on its own, names them: they are the indexed files that the listing lacks."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        listed = r.load(root)
+        names = spark.createDataFrame([(p,) for p in listed.inputFiles()], "path string")
+    except AnalysisException:  # no such folder
+        names, listed = spark.createDataFrame([], "path string"), spark.createDataFrame([], "path string")
+    key = object_key(F.col("path"), root).alias("object_key")
+    full = listed.select(object_key(F.col("path"), root, encoded=False).alias("object_key"))
+    plain = F.concat(F.lit(root.rstrip("/") + "/"), "object_key").alias("path")
+    return names.select(key).join(full, "object_key", "left_anti").select("object_key", plain)

@@ -125,27 +125,30 @@ def test_batch_run_quarantines_invalid_files(spark, sf, tmp):
 
 
 def test_streaming_ingest_exactly_once(spark, sf, tmp):
-    from lakekpi.streaming.ingest import ingest
+    from lakekpi.streaming.ingest import epochs_done, ingest
 
-    land = tmp + "/landing"
-    raw = X.raw(spark, sf).filter(F.try_to_timestamp("listen_time", F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull())
-    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    L = _layout(tmp)
+    raw = X.raw(spark, sf).filter(F.try_to_timestamp("listen_time", F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()).dropna()
+    days = ["2024-01-01", "2024-01-02"]
     songs, users = X.songs(spark, sf), X.users(spark, sf)
     for i, d in enumerate(days):
         part = raw.filter(F.substring("listen_time", 1, 10) == d)
-        P.write_landing_batches(part, f"{land}/streams_tmp_{i}")
-        src = f"{land}/streams_tmp_{i}/landing_date={d}"
+        P.write_landing_batches(part, f"{L.landing}/streams_tmp_{i}")
+        src = f"{L.landing}/streams_tmp_{i}/landing_date={d}"
         for f in os.listdir(src):
             if f.endswith(".csv"):
-                _write(f"{land}/streams/landing_date={d}/{f}", open(f"{src}/{f}").read())
-        ingest(spark, land, tmp + "/ckpt", songs, users, tmp + "/silver", tmp + "/gold", max_drop_rate=1.0)
-    ingest(spark, land, tmp + "/ckpt", songs, users, tmp + "/silver", tmp + "/gold", max_drop_rate=1.0)  # nothing new
+                for name in (f, "again-" + f):  # the same content twice
+                    _write(f"{L.landing}/streams/landing_date={d}/{name}", open(f"{src}/{f}").read())
+        ingest(spark, L, tmp + "/ckpt", songs, users, max_drop_rate=1.0, archive_files=False)
+    q, results = ingest(spark, L, tmp + "/ckpt", songs, users, max_drop_rate=1.0)  # nothing new
+    assert results == []
+    assert [r.status for r in epochs_done(spark, L, "ckpt").collect()] == ["SUCCEEDED"] * 2
     from lakekpi.operators import curate as C
     from lakekpi.operators import aggregate as D
 
     batch = raw.filter(F.substring("listen_time", 1, 10).isin(days))
     expect = {tuple(r) for r in D.genre_kpis(C.curate(batch, songs, users)).select("genre", "date", "listen_count").collect()}
-    got = {tuple(r) for r in read_gold(spark, tmp + "/gold", "genre_kpis_daily").select("genre", "date", "listen_count").collect()}
+    got = {tuple(r) for r in read_gold(spark, L.gold, "genre_kpis_daily").select("genre", "date", "listen_count").collect()}
     assert got == expect
     assert spark.read.parquet(tmp + "/silver/streams_curated").count() == C.curate(batch, songs, users).count()
 
@@ -201,7 +204,7 @@ def test_run_admits_deduplicates_and_repeats_nothing(spark, sf, tmp):
     from lakekpi.streaming.ingest import ingest
 
     os.remove(day + "/" + ("copy.csv" if "b+c" in res.valid_keys[0] else "a b+c.csv"))
-    ingest(spark, L.landing, tmp + "/ckpt", songs, users, L.silver)
+    ingest(spark, L, tmp + "/ckpt", songs, users)
     assert spark.read.parquet(L.silver + "/streams_curated").count() == 1
     m = spark.read.parquet(L.ledger + "/metrics")
     assert {"RawCount", "DropRatePct", "GenreKpisRows", "GenreKpisLoaded"} <= {r.metric_name for r in m.collect()}
@@ -310,3 +313,46 @@ def test_a_relanded_archived_file_is_known(spark, sf, tmp):
     with open(L.landing + "/streams/landing_date=2024-01-02/again.csv", "wb") as fh:
         fh.write(copy_bytes(f"{L.archive}/{done.collect()[0].archive_key}"))
     assert run_batch(spark, L, X.songs(spark, sf), X.users(spark, sf), execution_id="e2").valid_keys == []
+
+
+def _clean(n, day="2024-01-02"):
+    return "user_id,track_id,listen_time\n" + "".join(f"{i},T{14 + 7 * (i % 20)},{day} 10:{i % 60:02d}:00\n" for i in range(n, n + 30))
+
+
+def test_replayed_and_failing_epochs(spark, sf, tmp, monkeypatch):
+    import shutil
+
+    from lakekpi.streaming import ingest as ST
+
+    L, songs, users = _layout(tmp), X.songs(spark, sf), X.users(spark, sf)
+    _write(L.landing + "/streams/landing_date=2024-01-02/a.csv", _clean(1))
+    ST.ingest(spark, L, tmp + "/ckpt", songs, users, archive_files=False)
+    rows = spark.read.parquet(silver_table(L.silver)).count()
+    def forget():
+        """As if Spark had stopped before it noted the end of the first epoch."""
+        for name in [f"commits/{f}" for f in os.listdir(tmp + "/ckpt/commits")] + [f"offsets/{f}" for f in os.listdir(tmp + "/ckpt/offsets")]:
+            if not name.strip(".crc").endswith("offsets/0") and name != "offsets/.0.crc":
+                os.remove(f"{tmp}/ckpt/{name}")
+
+    forget()
+    calls, run = [], ST.run_batch
+    monkeypatch.setattr(ST, "run_batch", lambda *a, **kw: calls.append(kw["execution_id"]) or run(*a, **kw))
+    ST.ingest(spark, L, tmp + "/ckpt", songs, users, archive_files=False)
+    assert calls == [] and spark.read.parquet(silver_table(L.silver)).count() == rows
+    # an epoch that stopped half-way runs again, though its files are in the ledger already
+    shutil.rmtree(L.ledger + "/epochs")
+    forget()
+    ST.ingest(spark, L, tmp + "/ckpt", songs, users, archive_files=False)
+    assert calls == ["ckpt-0"] and spark.read.parquet(silver_table(L.silver)).count() == rows
+
+    def fail(*a, **kw):
+        calls.append("failed")
+        raise RuntimeError("no luck")
+
+    monkeypatch.setattr(ST, "run_batch", fail)
+    _write(L.landing + "/streams/landing_date=2024-01-02/b.csv", _clean(100))
+    ST.ingest(spark, L, tmp + "/ckpt", songs, users, archive_files=False)
+    assert calls.count("failed") == 3
+    dead = spark.read.parquet(L.ledger + "/failures").collect()
+    assert [(r.object_key, r.attempts, r.error) for r in dead] == [("streams/landing_date=2024-01-02/b.csv", 3, "no luck")]
+    assert sorted(r.status for r in ST.epochs_done(spark, L, "ckpt").collect()) == ["DEAD_LETTER", "SUCCEEDED"]
