@@ -23,6 +23,7 @@ from lakekpi import constants as K
 from lakekpi.operators.numbering import number_within
 from lakekpi.plans.sinks import stage
 from lakekpi.sources.csv_scan import object_key
+from lakekpi.sources.files import open_fs
 
 
 class ArchiveFailed(RuntimeError):
@@ -160,13 +161,11 @@ def archive(spark: SparkSession, landing_root: str, archive_root: str, keys: Dat
 
 
 def _delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs as pafs
-
     for pdf in batches:
         out = []
         for p in pdf["path"]:
             try:
-                fs, q = pafs.FileSystem.from_uri(p if "://" in p else "file://" + p.split("file:", 1)[-1])
+                fs, q = open_fs(p)
                 fs.delete_file(q)
                 out.append((p, "deleted"))
             except Exception as exc:  # noqa: BLE001

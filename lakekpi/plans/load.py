@@ -12,6 +12,7 @@ from lakekpi.operators import metrics as M
 from lakekpi.operators import serve as E
 from lakekpi.plans import sinks
 from lakekpi.plans.gold import gold_table, read_gold
+from lakekpi.sources.files import open_fs
 from lakekpi.sources.partitions import with_text_day
 from lakekpi.sources.probe import assert_readable
 
@@ -49,9 +50,7 @@ def run_load(spark: SparkSession, gold_root: str, serving_root: str, days: list[
 
 def _drop_day_folders(path: str, day_col: str, days: list[str]) -> None:
     """Remove day folders that no longer hold any row (dynamic overwrite cannot replace a day with nothing)."""
-    import pyarrow.fs as pafs
-
-    fs, base = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.split("file:", 1)[-1])
+    fs, base = open_fs(path)
     for d in days:
         try:
             fs.delete_dir(f"{base}/{day_col}={d}")

@@ -1176,3 +1176,6 @@ def q_star_silver_gold_jobs(spark, sf_dir):
     return read_gold(spark, f"{root}/gold", "top_songs_by_genre_daily").select(
         "genre", "track_id", "track_name", "play_count", "rank", "date", "genre_date"
     )
+
+
+from lakekpi import registry_tables  # noqa: E402,F401 - more queries, which use this module

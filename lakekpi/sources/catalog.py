@@ -23,9 +23,11 @@ _GOLD_DDL = {
 }
 
 
-def register_tables(spark: SparkSession, bronze: str, silver: str, gold: str, prefix: str = "") -> list[str]:
+def register_tables(spark: SparkSession, bronze: str, silver: str, gold: str, prefix: str = "", views: bool = True,
+                    statistics: bool = False) -> list[str]:
     """Create databases and external tables over the lake folders (landed streams, the songs and users reference files,
-    Silver and Gold); partitions are discovered by listing."""
+    Silver and Gold) and the views on them; partitions are discovered by listing.  ``statistics`` stores each table's size, which the
+    optimizer uses for join strategies."""
     names = []
     for db in ("bronze", "silver", "gold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{db}")
@@ -55,5 +57,9 @@ def register_tables(spark: SparkSession, bronze: str, silver: str, gold: str, pr
         if path_exists(spark, loc):  # discover the partitions already on storage
             spark.sql(f"MSCK REPAIR TABLE {n}")
     names += [f"{prefix}bronze.songs", f"{prefix}bronze.users"]
-    register_views(spark, {t: f"{prefix}gold.{t}" for t in _GOLD_DDL})
+    if statistics:
+        for n in names:
+            spark.sql(f"ANALYZE TABLE {n} COMPUTE STATISTICS NOSCAN")
+    if views:
+        register_views(spark, {t: f"{prefix}gold.{t}" for t in _GOLD_DDL})
     return names

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekpi import constants as K
+from lakekpi.sources.files import open_fs
 
 PROBE_SCHEMA = "path string, error string"
 
@@ -22,15 +23,6 @@ class PoisonPartition(RuntimeError):
     pass
 
 
-def _local(path: str):
-    import pyarrow.fs as pafs
-
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[len("file:"):]
-    fs, p = pafs.FileSystem.from_uri(path)
-    return fs, p
-
-
 def _probe_parquet(batches: Iterator[pd.DataFrame], deep: bool) -> Iterator[pd.DataFrame]:
     import pyarrow.parquet as pq
 
@@ -38,7 +30,7 @@ def _probe_parquet(batches: Iterator[pd.DataFrame], deep: bool) -> Iterator[pd.D
         bad = []
         for path in pdf["path"]:
             try:
-                fs, p = _local(path)
+                fs, p = open_fs(path)
                 with fs.open_input_file(p) as fh:
                     f = pq.ParquetFile(fh)
                     if deep:
@@ -68,10 +60,10 @@ def probe_parquet(paths: DataFrame, deep: bool = False) -> DataFrame:
 
 
 def assert_readable(spark: SparkSession, root: str, deep: bool = False, partition_col: str | None = None,
-                    values: list[str] | None = None) -> int:
-    """Fail naming every unreadable ``*.parquet`` file under ``root`` (optionally only inside the folders
+                    values: list[str] | None = None, glob: str = "*.parquet") -> int:
+    """Fail naming every unreadable file under ``root`` (optionally only inside the folders
     ``partition_col=value`` for the given values)."""
-    files = list_files(spark, root)
+    files = list_files(spark, root, glob)
     if partition_col and values is not None:
         folder = F.regexp_extract("path", f"/{partition_col}=([^/]+)/", 1)
         files = files.filter(folder.isin(list(values)))
@@ -91,7 +83,7 @@ def _probe_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for path in pdf["path"]:
             try:
-                fs, p = _local(path)
+                fs, p = open_fs(path)
                 dec = codecs.getincrementaldecoder("utf-8")()
                 with fs.open_input_stream(p) as fh:
                     while True:

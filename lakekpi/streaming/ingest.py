@@ -61,11 +61,12 @@ def ingest(spark: SparkSession, layout: Layout, checkpoint: str, songs: DataFram
             "finished_at", F.current_timestamp()).write.mode("append").parquet(f"{layout.ledger}/epochs")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        # the listing is run whole and once, whatever follows, so that the state of its hashes is kept
+        listed = sinks.stage(batch.drop("seen_at"), "epoch-files")
         if not epochs_done(spark, layout, stream).where(F.col("epoch_id") == epoch_id).isEmpty():
             return
         run_id = f"{stream}-{epoch_id}"
-        # the listing's state must be read once only
-        files = new_files(spark, layout, sinks.stage(batch.drop("seen_at"), "epoch-files"), run_id)
+        files = new_files(spark, layout, listed, run_id)
         if files.isEmpty():  # an epoch that only moves the watermark
             return
         error = None
