@@ -42,6 +42,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keys(docs: DataFrame, id_col: str, text_col: str, null_id: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(``docs`` with ``_key``, names): the key is the id as a long; if unlike texts share an id anywhere, it is a number of (id, text)
+    in order of id and text hash, and ``names`` holds each number's id (_key, id).
+
+    A null id is ``null_id``, or has a null key.
+    """
+    own = F.col(f"`{id_col}`").cast("long")
+    rows = docs.withColumn("_key", own if null_id is None else F.coalesce(own, F.lit(null_id)))
+    text = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    held = rows.where("_key is not null").select("_key", text.alias("_text"))
+    shared = held.groupBy("_key").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi")).where("lo < hi")
+    if shared.isEmpty():
+        return rows, None
+    names = stage(held.distinct().toDF("_id", "_text").repartitionByRange("_id", "_text").sortWithinPartitions("_id", "_text")
+                  .select("_id", "_text", F.monotonically_increasing_id().alias("_name")), "row-keys")
+    named = rows.withColumn("_text", text).join(names, (F.col("_key") == F.col("_id")) & (names["_text"] == text), "left")
+    return (named.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_name").alias("_key")),
+            names.select(F.col("_name").alias("_key"), F.col("_id").alias("id")))
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column, null as empty."""
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]

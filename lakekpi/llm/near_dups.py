@@ -17,7 +17,8 @@ first band that the two share; only links leave the task.  Pairs within a compon
 could change a component is left out.
 
 Defined results: null or blank texts have an empty set and are linked with nothing; rows with a null id
-are linked with nothing and have a null component; repeated rows each get their (equal) result.
+are linked with nothing and have a null component; repeated rows each get their (equal) result; rows of one id with unlike
+texts are documents of their own, which keep their links.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekpi.llm.common import hash_words, read_table, relabel, split_words, stage, text_bytes, window_hashes
+from lakekpi.llm.common import hash_words, read_table, relabel, row_keys, split_words, stage, text_bytes, window_hashes
 
 SKETCH_BITS = 512
 LONGS = SKETCH_BITS // 64
@@ -253,7 +254,32 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                     percent: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (smallest id reachable over links), kept."""
-    most = _most_flips(bands * rows, percent / 100)
+    keyed, names = row_keys(docs, id_col, text_col)
+    out = _components(keyed, text_col, shingle_words, percent, bands, rows)
+    if names is not None:  # keys are in order of the ids, so the smallest key of a component has its smallest id
+        own, first = names.toDF("_key", "id"), names.toDF("component_id", "first")
+        out = (out.join(own, "_key", "left").join(first, "component_id", "left")
+               .select(F.col("id").alias("_key"), "n_shingles", F.col("first").alias("component_id")))
+    return out.select(F.col("_key").alias(id_col), "n_shingles", "component_id", F.expr("_key <=> component_id").alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
+                         percent: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
+    """One row of ``docs``, that with the smallest id, of each component; rows with a null id all stay."""
+    keyed, _ = row_keys(docs, id_col, text_col)
+    found = stage(_components(keyed, text_col, shingle_words, percent, bands, rows), "nd-found")
+    left = keyed.join(found.where("_key <> component_id").select("_key").distinct(), "_key", "left_anti")
+    again = found.where("_key is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_key")
+    if again.isEmpty():
+        return left.select([f"`{c}`" for c in docs.columns])
+    # repeated rows stay once
+    return left.join(again, "_key", "left_anti").select([f"`{c}`" for c in docs.columns]).union(
+        left.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select([f"`{c}`" for c in docs.columns]))
+
+
+def _components(docs: DataFrame, text_col: str, shingle_words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Per row of keyed ``docs``: _key, n_shingles, component_id (smallest key reachable)."""
+    id_col, most = "_key", _most_flips(bands * rows, percent / 100)
     sk = stage(sketches(docs, id_col, text_col, shingle_words, bands, rows), "nd-sketch")
     classes = stage(sk.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "nd-class")
     reps = sk.where("keys is not null").join(classes, "fp").where("id = rep")
@@ -312,10 +338,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select(
         "fp", F.coalesce("comp", "rep").alias("component_id"))
     return (sk.select("id", "n", "fp").join(named, "fp", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                    F.expr("id <=> component_id").alias("kept")))
+            .select(F.col("id").alias("_key"), F.col("n").alias("n_shingles"), "component_id"))
 
 
 def op3_near_dups(spark, sf_dir: str) -> DataFrame:
     """Components of documents under links of 2-word shingle sets with a similarity of 0.8 or more."""
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+SQL = r"""
+with recursive d as (select row_number() over () as r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+           from documents),
+     s as (select distinct r, g from (select r, unnest(list_transform(range(greatest(len(ws) - 1, 1)), lambda i: array_to_string(ws[i + 1:i + 2], ' '))) as g
+                                      from d where len(ws) > 0)),
+     n as (select r, count(*) as n from s group by r),
+     met as (select a.r as a, b.r as b, count(*) as c from s a join s b on a.g = b.g and a.r < b.r group by 1, 2),
+     link as (select a, b from met join n na on na.r = a join n nb on nb.r = b where 100 * c >= 80 * (na.n + nb.n - c)),
+     edge as (select a, b from link union all select b, a from link),
+     reach as (select r, r as x from d union select reach.r, edge.b from reach join edge on edge.a = reach.x),
+     comp as (select reach.r, min(d.doc_id) as c from reach join d on d.r = reach.x group by reach.r)
+select doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c as component_id, doc_id = c as kept
+from d left join n on n.r = d.r join comp on comp.r = d.r
+"""

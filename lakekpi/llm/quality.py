@@ -17,6 +17,8 @@ than once counts as good only if all its labels do; without positives or unlabel
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +43,7 @@ def _classes() -> np.ndarray:
     return table
 
 
+ABOVE_ASCII = bytes(range(128, 256))
 FEATURES = ["log_words", "upper", "digit", "blank", "stop", "symbol", "high", "mean_word", "longest_word", "distinct_words", "same_as_before",
             "distinct_pairs", "top_word", "bar", "bang", "mean_line", "same_lines", "odd_words", "sentence_words"]
 
@@ -53,13 +56,11 @@ def features(t: bytes, table: np.ndarray) -> list[float]:
     by = np.bincount(table[np.frombuffer(t, np.uint8)], minlength=8)
     letters = max(1, by[LOWER] + by[UPPER] + by[HIGH])
     lines = [x for x in t.split(b"\n") if x.strip()]
-    seen: dict[bytes, int] = {}
-    for w in words:
-        seen[w] = seen.get(w, 0) + 1
+    seen = Counter(words)
     after = words[1:]
-    odd = sum(map(bytes.isalnum, (w.strip(b".,;:!?'\"()-").translate(None, bytes(range(128, 256))) for w in words)))
+    odd = sum(c for w, c in seen.items() if w.strip(b".,;:!?'\"()-").translate(None, ABOVE_ASCII).isalnum())
     return [np.log1p(k), by[UPPER] / letters, by[DIGIT] / n, by[BLANK] / n, by[STOP] / k, by[SYMBOL] / k, by[HIGH] / letters, (n - by[BLANK]) / k,
-            np.log1p(max(map(len, words))), len(seen) / k, sum(map(bytes.__eq__, words, after)) / k, len(set(zip(words, after))) / max(1, k - 1),
+            np.log1p(max(map(len, seen))), len(seen) / k, sum(map(bytes.__eq__, words, after)) / k, len(set(zip(words, after))) / max(1, k - 1),
             max(seen.values()) / k, t.count(b"|") / k, t.count(b"!") / k, np.log1p(k / len(lines)), 1 - len(set(lines)) / len(lines), 1 - odd / k,
             np.log1p(k / max(1, t.count(b".") + t.count(b"?") + t.count(b"!")))]
 
@@ -128,15 +129,17 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,
         sample: int = SAMPLE) -> Model:
     marks = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id"))
-             .agg(F.min(label_col).alias("y")))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.lit(True).alias("doc"))
-    sides = stage(rows.join(marks, "id", "left").where(F.col("id").isNotNull() & (
-        F.col("y").isNull() | (F.col("y") == 1) & (fold("id", folds) != held))).select("id", F.col("y").isNotNull().alias("pos")).distinct(), "qc-side")
+             .agg(F.min(label_col).alias("y")).where((F.col("y") == 1) & (fold("id", folds) != held)).select("id"))
+    # every document is a row without a label; those of good ones are trusted positives besides
+    ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct()
+    sides = stage(ids.select("id", F.lit(False).alias("pos")).union(ids.join(marks, "id", "left_semi").select("id", F.lit(True))), "qc-side")
     count = {r["pos"]: r["n"] for r in sides.groupBy("pos").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.when(F.col("pos"), F.lit(sample / max(1, count.get(True, 0)))).otherwise(F.lit(sample / max(1, count.get(False, 0))))
-    picked = sides.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)  # about 2 * sample ids
-    got = _featured(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
-                    .select("pos", "text"), "pos boolean", "x")
+    picked = sides.where(F.pmod(F.xxhash64("id", "pos"), F.lit(1_000_000)) < share * 1_000_000)  # about 2 * sample ids
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
+    # one text of each id, however often it occurs
+    texts = texts.groupBy("id", "pos").agg(F.min("text").alias("text"))
+    got = _featured(texts.select("pos", "text"), "pos boolean", "x")
     # about 2 * sample rows of features; in a fixed order, so that the fit is the same at each run
     table = stage(got, "qc-sample").orderBy("pos", "x").toArrow()
     x = table.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))

@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from lakekpi.llm.common import session
 from lakekpi.llm import decontaminate as _bd
 from lakekpi.llm import fill_in_middle as _fm
+from lakekpi.llm import near_dups as _nd
 from lakekpi.llm import quality as _qc
+from lakekpi.llm import substring_dups as _sd
 from lakekpi.llm import topk_search as _tk
 from lakekpi.llm import toxicity as _tx
 from lakekpi.llm import vector_codes as _vc
 from lakekpi.llm import warc as _wa
 from lakekpi.llm.lm import op9_lm_scores
-from lakekpi.llm.near_dups import op3_near_dups
 from lakekpi.llm.packing import op10_packing
 from lakekpi.llm.simhash_dups import op12_simhash_dups
-from lakekpi.llm.substring_dups import op4_substring_dups
 from lakekpi.llm.token_counts import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,8 +37,8 @@ def _register(fn, sql: str | None = None) -> None:
 
 _register(_tk.op1_topk_search, _tk.SQL)
 _register(_bd.op2_decontaminate, _bd.SQL)
-_register(op3_near_dups)
-_register(op4_substring_dups)
+_register(_nd.op3_near_dups, _nd.SQL)
+_register(_sd.op4_substring_dups, _sd.SQL)
 _register(op5_token_counts)
 _register(_tx.op6_toxicity)
 _register(_qc.op7_quality)

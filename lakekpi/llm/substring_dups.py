@@ -9,8 +9,9 @@ window that holds one, and only those windows are compared, by 95 bits of two ha
 Hot passages: a task settles repeats inside its own rows first and passes one row per distinct hash on, so a passage
 that sits in a third of all documents arrives once per task, not once per copy.
 
-Defined results: null texts have no words; null ids sort before all others; rows with the same id are one
-document to the order (equal windows at the same start of both rows are not earlier than each other).
+Defined results: null texts have no words; null ids sort before all others; repeated rows are one document to the order (equal
+windows at the same start of both are not earlier than each other); rows of one id, or of none, with unlike texts are
+documents of their own, in order of a hash of their text.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakekpi.llm.common import MULT, MULT2, hash_words, read_table, split_words, stage, text_bytes, window_hashes
+from lakekpi.llm.common import MULT, MULT2, hash_words, read_table, row_keys, split_words, stage, text_bytes, window_hashes
 
 # Perfect difference sets: every residue modulo the period is a difference of two members.
 COVERS = {7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
@@ -165,10 +166,9 @@ def covered(n: int, starts, window: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
-    """(id, starts) for the documents with repeated windows; a null id is ``NULL_ID`` there."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def repeats(rows: DataFrame, text_col: str = "text", window: int = 20) -> DataFrame:
+    """(id, starts) for the documents with repeated windows, by the ``_key`` of ``rows``."""
+    rows = rows.select(F.col("_key").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     marks = stage(repeated_anchors(rows, window), "sd-mark")
     return stage(repeated_windows(rows, marks, window), "sd-repeat")
 
@@ -183,9 +183,9 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with the repeated words cut out of ``text_col`` (blanks elsewhere stay as they are), and two more columns:
     ``_words``, the words there were, and ``_removed``, those that went."""
     cols = docs.columns
-    found = repeats(docs, id_col, text_col, window).toDF("_id", "_starts")
+    rows, _ = row_keys(docs, id_col, text_col, NULL_ID)
     at = cols.index(text_col)
-    rows = docs.withColumn("_id", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))).join(found, "_id", "left")
+    rows = rows.join(repeats(rows, text_col, window).toDF("_key", "_starts"), "_key", "left")
     schema = T.StructType([*docs.schema.fields, T.StructField("_words", T.LongType()), T.StructField("_removed", T.LongType())])
 
     def run(batches):
@@ -207,9 +207,9 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
     """Per row: id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space)."""
-    found = repeats(docs, id_col, text_col, window)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id")).join(found, "id", "left")
+    rows, _ = row_keys(docs, id_col, text_col, NULL_ID)
+    found = repeats(rows, text_col, window).withColumnRenamed("id", "_key")
+    rows = rows.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), "_key").join(found, "_key", "left")
 
     def run(batches):
         for b in batches:
@@ -231,3 +231,17 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
 def op4_substring_dups(spark, sf_dir: str) -> DataFrame:
     """Words left of each document once every repeated window of 20 words is gone."""
     return digests(read_table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+     w as (select r, doc_id, i, array_to_string(ws[i + 1:i + 20], ' ') as t
+           from (select r, doc_id, ws, unnest(range(len(ws) - 19)) as i from d where len(ws) >= 20)),
+     k as (select r, i, row_number() over (partition by t order by doc_id, i) as n from w),
+     gone as (select distinct r, unnest(range(i, i + 20)) as p from k where n > 1),
+     word as (select r, unnest(range(len(ws))) as p, unnest(ws) as x from d),
+     kept as (select word.r, string_agg(x, ' ' order by word.p) as t from word anti join gone on gone.r = word.r and gone.p = word.p group by word.r),
+     removed as (select r, count(*) as n from gone group by r)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(removed.n, 0) as bigint) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
+from d left join kept on kept.r = d.r left join removed on removed.r = d.r
+"""

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -89,3 +90,22 @@ def test_isotonic_rises():
     x, y = np.array([0.1, 0.2, 0.2, 0.5, 0.9]), np.array([0.0, 1, 0, 0, 1])
     at, value = tx.isotonic(x, y, np.ones(5))
     assert (np.diff(at) > 0).all() and (np.diff(value) >= 0).all()
+
+
+def test_quality_with_every_document_labelled(llm):
+    """Labels of all rows: rows that are not good take part as rows without a label, and scores differ."""
+    rng = random.Random(11)
+    good = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(80)) + ".") for i in range(200)]
+    bad = [(i, "BUY! | " * rng.randint(10, 30)) for i in range(200, 400)]
+    labels = llm.createDataFrame([(i, int(i < 200)) for i in range(400)], "doc_id long, quality int")
+    docs = frame(llm, good + bad)
+    model = qc.fit(docs, labels, "doc_id", "text", "quality", 3, 1)
+    got = {r.doc_id: r.score for r in qc.score(docs, model).collect()}
+    assert sum(got[i] for i in range(200)) / 200 > 0.6 > 0.4 > sum(got[i] for i in range(200, 400)) / 200
+    # what is known of held-out rows changes nothing
+    less = labels.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    again = qc.fit(docs, less, "doc_id", "text", "quality", 3, 1)
+    assert {r.doc_id: r.score for r in qc.score(docs, again).collect()} == got
+    # a row repeated often is one document to the fit
+    many = docs.union(docs.where("doc_id = 3").crossJoin(llm.range(300).select()))
+    assert {r.doc_id: r.score for r in qc.score(docs, qc.fit(many, labels, "doc_id", "text", "quality", 3, 1)).collect()} == got

@@ -1,6 +1,8 @@
+import random
+
 from lakekpi.llm import near_dups as nd
 
-from .conftest import frame
+from .conftest import frame, prose
 
 
 def brute(rows, width, percent=80):
@@ -47,3 +49,16 @@ def test_rounds_and_chunks_lose_nothing(llm, awkward, monkeypatch):
 def test_empty_table(llm):
     assert nd.near_duplicates(frame(llm, [])).collect() == []
     assert [tuple(r) for r in nd.near_duplicates(frame(llm, [(3, None)])).collect()] == [(3, 0, 3, True)]
+
+
+def test_unlike_rows_of_one_id_keep_their_links(llm):
+    rng = random.Random(3)
+    a, b = prose(rng, 80, 5000), prose(rng, 80, 5000)
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (4, prose(rng, 50)), (1, a), (None, a)]
+    assert sorted(map(tuple, nd.near_duplicates(frame(llm, rows), shingle_words=2).collect()), key=str) == brute(rows, 2)
+    kept = nd.drop_near_duplicates(frame(llm, rows), shingle_words=2)
+    assert kept.columns == frame(llm, rows).columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (4, rows[4][1]), (None, a)], key=str)
+    # a text whose namesake goes with another group stays
+    rows = [(5, a), (5, b), (2, a + " z")]
+    assert sorted((r.doc_id, r.text) for r in nd.drop_near_duplicates(frame(llm, rows), shingle_words=2).collect()) == sorted([(2, a + " z"), (5, b)])

@@ -1,5 +1,4 @@
 import corpus_pipeline
-from lakekpi.llm import quality as qc
 from lakekpi.llm.common import stage
 from lakekpi.llm.tokenizing import load
 
@@ -41,17 +40,32 @@ def test_stages_equal_brute_force(llm):
 
 
 def test_run_equals_the_stages(llm):
-    pieces = corpus_pipeline.run(llm, SF)
-    assert pieces.count() > 100 and "ids" in pieces.columns
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        docs = stage(step(llm, docs, SF), "t")
+    tok, packed = load(), {}
+    for p in corpus_pipeline.run(llm, SF).collect():
+        packed.setdefault(p.doc_id, []).append((p.start, p.ids))
+    assert {i: [x for _, ids in sorted(p) for x in ids] for i, p in packed.items()} == {
+        i: tok.encode(t, add_special_tokens=False).ids + [1] for i, t in rows(docs)}
 
 
 def test_awkward_rows(llm, awkward):
     docs = frame(llm, awkward)
     for name, step in corpus_pipeline.STAGES:
-        out = step(llm, docs, SF)
-        assert out.columns == docs.columns or name == "packing"
-        assert out.count() >= 0
         assert step(llm, docs.limit(0), SF).count() == 0
+    bench = [(r.item_id, r.text) for r in llm.read.parquet(f"{SF}/benchmark.parquet").collect()]
     near = corpus_pipeline.near_duplicates(llm, docs, SF)
-    assert near.where("doc_id = 1").count() == 1 and near.where("doc_id = 2").count() == 0  # repeated rows and copies go
-    assert qc.FEATURES
+    assert near.columns == docs.columns
+    least = {(r[0], r[3]) for r in nd.brute(awkward, 5)}
+    want = {(i, t) for i, t in awkward if (i, True) in least} | {(i, t) for i, t in awkward if i is None}
+    assert sorted(rows(near), key=str) == sorted(want, key=str)  # repeated rows stay once
+    cut = corpus_pipeline.substring_duplicates(llm, docs, SF)
+    assert cut.columns == docs.columns
+    left = [(i, [w for w, g in zip((t or "").encode().split(), gone) if not g]) for (i, t), gone in zip(awkward, sd.brute(awkward, 50))
+            if not (gone and all(gone))]
+    assert sorted(((i, (t or "").encode().split()) for i, t in rows(cut)), key=str) == sorted(left, key=str)
+    clean = corpus_pipeline.decontaminate(llm, docs, SF)
+    bad = {r[0] for r in bd.brute(awkward, bench) if r[5]}
+    assert sorted(rows(clean), key=str) == sorted(((i, t) for i, t in awkward if i not in bad), key=str)
+    assert {r[0] for r in rows(corpus_pipeline.quality(llm, docs, SF))} <= {i for i, _ in awkward}

@@ -57,3 +57,13 @@ def test_cut_texts_keep_other_blanks(llm):
 def test_empty_table(llm):
     assert sd.digests(frame(llm, [])).collect() == []
     assert sd.covered(3, np.array([0]), 5).sum() == 0
+
+
+def test_unlike_rows_of_one_id_lose_only_what_repeats(llm):
+    p, u, v = (" ".join(f"{c}{i}" for i in range(30)) for c in "puv")
+    first = " ".join(p.split()[:20])
+    rows = [(1, first), (5, first + " tail"), (5, u), (None, first + " end"), (None, v), (7, v + " " + u)]
+    got = {(r.doc_id, r.n_words): r.n_removed for r in sd.digests(frame(llm, rows)).collect()}
+    assert got == {(1, 20): 20, (5, 21): 20, (5, 30): 0, (None, 21): 0, (None, 30): 0, (7, 60): 60}
+    cut = sd.drop_repeats(frame(llm, rows), window=20)
+    assert sorted(((r.doc_id, r._removed) for r in cut.collect()), key=str) == sorted([(1, 20), (5, 20), (5, 0), (None, 0), (None, 0), (7, 60)], key=str)
