@@ -2,6 +2,10 @@
 
 Each stage works on all that the one before it kept; all but the last return the columns of ``documents``.  ``run`` writes
 every stage's result to the shared folder and goes on from there.
+
+Defined results: a null or empty text is a document of its own to every stage (its quality is that of a text without words);
+rows with a null id are never near duplicates; repeated rows stay once; rows of one id with unlike texts are judged each by
+its own text; columns other than the id, the text and ``n_chars`` are handed on as they are; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,14 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near duplicates (five-word shingles, 0.8)."""
     session(spark)
-    found = stage(nd.near_duplicates(docs, shingle_words=5, percent=80), "pl-near")
-    left = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
-    if again.isEmpty():
-        return left
-    # repeated rows of one id: equal texts stay once
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).union(
-        left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns))
+    return nd.drop_near_duplicates(docs, shingle_words=5, percent=80)
 
 
 def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
