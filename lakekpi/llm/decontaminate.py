@@ -40,6 +40,12 @@ def benchmark_windows(benchmark: DataFrame, width: int, item_col: str = "item_id
             .withColumn("h", F.xxhash64("w")))
 
 
+def _corner_words(ws: str, at: Column, n: Column) -> Column:
+    """Hash of a window's first and last word and of those a third and two thirds on."""
+    third = F.floor(n / 3).cast("int")
+    return F.xxhash64(n, *[F.get(ws, at + x) for x in (F.lit(0), third, 2 * third, n - 1)])
+
+
 def window_hits(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str,
                 broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """Distinct (id, text_hash, at, len, h, h2): the benchmark windows that occur in each document."""
@@ -55,7 +61,10 @@ def window_hits(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str,
     at = at.where(F.col("at") + F.col("len") <= F.size("ws"))
     part = F.slice("ws", F.col("at") + 1, F.col("len"))
     if grams.count() <= broadcast_windows:
-        hit = at.withColumn("h", F.xxhash64(part)).join(F.broadcast(grams), "h").where(part == F.col("w"))
+        # four of a window's words find it; the window itself is cut out and compared only where they agree
+        few = grams.withColumn("key", _corner_words("w", F.lit(0), F.size("w"))).withColumn("n", F.size("w"))
+        hit = at.withColumn("key", _corner_words("ws", F.col("at"), F.col("len"))).join(F.broadcast(few), "key")
+        hit = hit.where((F.col("n") == F.col("len")) & (part == F.col("w")))
         hit = hit.select("id", "text_hash", "at", "len", "h", F.xxhash64(F.lit(1), F.col("w")).alias("h2"))
     else:
         keys = at.select("id", "text_hash", "at", "len", F.xxhash64(part).alias("h"), F.xxhash64(F.lit(1), part).alias("h2"))
