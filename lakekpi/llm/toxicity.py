@@ -1,4 +1,7 @@
-"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over an inverted index.
+
+All postings are summed before a block's largest cosine is known, so no block is skipped: the search is exact, but does not
+save the work that block bounds would.
 
 Learning takes a sample of at most ``examples`` training rows per label (a documented bound, by hash of the id).  Of
 these, copies of another example of their label go, confirmed on full trigram sets at ``SAME``.  Terms
