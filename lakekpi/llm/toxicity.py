@@ -1,16 +1,16 @@
-"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over an inverted index.
+"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
-All postings are summed before a block's largest cosine is known, so no block is skipped: the search is exact, but does not
-save the work that block bounds would.
+Learning takes a sample of at most ``examples`` training rows per label (a documented bound, by hash of the id; of unlike texts
+under one id that with the smallest hash).  Copies of an example with the same label go, confirmed on full trigram sets at ``SAME``.
+A term is the first ``STEM`` characters of a word, so that forms of a word meet; every word of every example counts, weighted by its
+term's document frequency over all documents, and every example with a word is in the index.
 
-Learning takes a sample of at most ``examples`` training rows per label (a documented bound, by hash of the id).  Of
-these, copies of another example of their label go, confirmed on full trigram sets at ``SAME``.  Terms
-are words and word beginnings of four to six bytes; all terms of the examples count, weighted by their document
-frequency over all documents, and every example with a word is in the index.  A document's cosines with all examples
-are summed, so the k nearest examples are exact.
+The index keeps the largest weight of each term in each block of like examples.  Blocks are searched from the largest bound on and
+passed over once they cannot hold one of the k nearest, so the k nearest are exact.  Their votes, weighted by cosine, become a
+probability by an isotonic fit of leave-one-out votes of the examples.  Documents that share no term with an example get the toxic
+share of training rows without words.  The nearest examples are given as evidence.
 
-Their votes, weighted by cosine, are turned into a probability by an isotonic fit of leave-one-out votes of the examples.
-Documents that share no term with an example get the toxic share of training rows without words.  The nearest examples are given as evidence.
+An example that is a document of its own finds itself in the index: scores of rows that are not held out include their label.
 
 Defined results: null and empty texts have no terms; rows with a null id are not held out; a document labelled more
 than once is toxic if any label says so; without labelled rows every score is the smoothed empty share, 0.1.
@@ -19,8 +19,6 @@ than once is toxic if any label says so; without labelled rows every score is th
 from __future__ import annotations
 
 import itertools
-import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekpi.llm.common import MULT, hash_words, read_table, stage, text_bytes
+from lakekpi.llm.common import MULT, read_table, stage, text_bytes
 from lakekpi.llm.near_dups import _minhash, _mix, _params, shingle_sets
 
-WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-PREFIXES = (4, 5, 6)
-EXAMPLES, NEIGHBOURS, BLOCK = 8000, 16, 64
-COMMON = 512  # terms that have a place in each example's row; the others have lists
-QUERIES = 64  # texts searched at once
+# all but 0-9, a-z and the bytes of other letters stand between words
+BLANKS = bytes(i if i >= 0x80 or chr(i).isdigit() or "a" <= chr(i) <= "z" else 0x20 for i in range(256))
+STEM = 4
+EXAMPLES, NEIGHBOURS, BLOCK = 8000, 16, 128
+QUERIES, CELLS = 512, 8_000_000  # texts searched at once, and how many weights they may have room for
+FIRST = 4  # blocks each text looks into before it compares bounds; three times as many in each round after
 BANDS, DRAWS, SAME = 32, 5, 0.8  # of copies: MinHash bands, samples of a band, least share of common trigrams
 MARGIN = 1e-5  # more than short numbers can be off
 CACHE = 500_000
@@ -45,10 +44,6 @@ def fold(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
-def _terms(word: bytes) -> list[bytes]:
-    return [word] + [word[:n] + b"*" for n in PREFIXES if len(word) >= n]
-
-
 def sample_labels(labels: DataFrame, id_col: str, label_col: str, folds: int, held: int, per_label: int) -> tuple[DataFrame, dict]:
     """At most ``per_label`` training rows of each label, and how many training rows there are of each."""
     rows = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -61,67 +56,56 @@ def sample_labels(labels: DataFrame, id_col: str, label_col: str, folds: int, he
 
 
 class Terms:
-    """Places of texts' terms in an ascending table of term hashes; what a word holds is remembered."""
+    """Counts of texts' terms; the places of a word's term in the table are remembered."""
 
-    def __init__(self, table: np.ndarray):
-        self.table = table
-        self.known: dict[bytes, list] = {}
+    def __init__(self, table: list[str]):
+        self.place = {s: i for i, s in enumerate(table)}
+        self.known: dict[bytes, int] = {}
 
-    def words(self, texts: list[bytes]) -> list[list[bytes]]:
-        """Words of each text, all of them known from then on."""
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Offsets by text, and in ascending order the terms of the table that each text holds, and how often."""
         if len(self.known) > CACHE:
             self.known.clear()
-        lists = [WORD.findall(t.lower()) for t in texts]
-        new = [w for w in set(itertools.chain.from_iterable(lists)) if w not in self.known]
-        held = [_terms(w) for w in new]
-        h = hash_words(list(itertools.chain.from_iterable(held)))
-        at = np.searchsorted(self.table, h)
-        hit = np.zeros(len(h), bool)
-        if len(self.table):
-            hit = self.table[np.minimum(at, len(self.table) - 1)] == h
-        at, hit, i = at.tolist(), hit.tolist(), 0
-        for w, x in zip(new, held):
-            self.known[w] = [at[j] for j in range(i, i + len(x)) if hit[j]]
-            i += len(x)
-        return lists
-
-    def counts(self, texts: list[bytes]) -> list[dict[int, int]]:
-        """How often each text holds each term of the table."""
-        out = []
-        for words in self.words(texts):
-            got: dict[int, int] = {}
-            for w, n in Counter(words).items():
-                for i in self.known[w]:
-                    got[i] = got.get(i, 0) + n
-            out.append(got)
-        return out
+        lists = [t.lower().translate(BLANKS).split() for t in texts]
+        for w in set(itertools.chain.from_iterable(lists)).difference(self.known):
+            self.known[w] = self.place.get(stem(w), -1)
+        sizes = [len(x) for x in lists]
+        at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(lists)), np.int64, sum(sizes))
+        of = np.repeat(np.arange(len(texts)), sizes)[at >= 0]
+        keys, c = np.unique(of * len(self.place) + at[at >= 0], return_counts=True)
+        of, t = np.divmod(keys, max(1, len(self.place)))
+        return np.searchsorted(of, np.arange(len(texts) + 1)), t, c
+
+
+def stem(word: bytes) -> str:
+    return word[:4 * STEM].decode("utf-8", "ignore")[:STEM]
+
 
+def _parts(batches, size: int = QUERIES):
+    for b in batches:
+        for i in range(0, b.num_rows, size):
+            yield b.slice(i, size)
 
-def vocabulary(rows: DataFrame) -> np.ndarray:
-    """Hashes of all terms of the examples, ascending."""
+
+def vocabulary(rows: DataFrame) -> list[str]:
+    """All terms of the examples, ascending."""
     def run(batches):
         for b in batches:
-            terms = {x for t in text_bytes(b.column(0)) for w in set(WORD.findall(t.lower())) for x in _terms(w)}
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(hash_words(list(terms))).view(np.int64))], names=["h"])
+            words = set().union(*(t.lower().translate(BLANKS).split() for t in text_bytes(b.column(0))))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted({stem(w) for w in words}), pa.string())], names=["term"])
 
-    table = rows.select("text").mapInArrow(run, "h long").distinct().toArrow()  # one number for each term of the bounded examples
-    return np.sort(table.column(0).to_numpy().view(np.uint64))
+    return sorted(rows.select("text").mapInArrow(run, "term string").distinct().toArrow().column(0).to_pylist())  # of the bounded examples
 
 
-def _frequencies(docs: DataFrame, text_col: str, table: np.ndarray) -> tuple[int, np.ndarray]:
+def _frequencies(docs: DataFrame, text_col: str, table: list[str]) -> tuple[int, np.ndarray]:
     """Documents, and documents that hold each term."""
     shared, size = docs.sparkSession.sparkContext.broadcast(table), len(table)
 
     def run(batches):
-        terms, df, n = Terms(shared.value), np.zeros(size + 1, np.int64), 0
-        for b in batches:
-            for words in terms.words(text_bytes(b.column(0))):
-                n += 1
-                got = set()
-                for w in set(words):
-                    got.update(terms.known[w])
-                df[np.fromiter(got, np.int64, len(got))] += 1
-        df[-1] = n
+        terms, df = Terms(shared.value), np.zeros(size + 1, np.int64)
+        for b in _parts(batches):
+            df[:-1] += np.bincount(terms.counts(text_bytes(b.column(0)))[1], minlength=size)
+            df[-1] += b.num_rows
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["i", "n"])
 
@@ -131,74 +115,111 @@ def _frequencies(docs: DataFrame, text_col: str, table: np.ndarray) -> tuple[int
     return int(df[-1]), df[:-1]
 
 
+def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Positions of all spans, one span after the other."""
+    sizes = ends - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+
+
+def alike(off: np.ndarray, t: np.ndarray, w: np.ndarray, n_terms: int, block: int) -> np.ndarray:
+    """Order of the vectors in which like ones stand together: halves by two means, until a part fits into a block."""
+    parts, out = [np.arange(len(off) - 1)], []
+    while parts:
+        rows = parts.pop()
+        if len(rows) <= block:
+            out.append(rows)
+            continue
+        at, sizes = _spans(off[rows], off[rows + 1]), off[rows + 1] - off[rows]
+        cut = -(-len(rows) // (2 * block)) * block  # whole blocks on the left side
+        axis = np.zeros(n_terms)
+        axis[t[off[rows[0]]:off[rows[0] + 1]]] = w[off[rows[0]]:off[rows[0] + 1]]
+        for _ in range(4):
+            side = np.add.reduceat(axis[t[at]] * w[at], np.cumsum(sizes) - sizes)
+            left = np.zeros(len(rows), bool)
+            left[np.argsort(-side, kind="stable")[:cut]] = True
+            sign = np.repeat(np.where(left, 1 / cut, -1 / (len(rows) - cut)), sizes)
+            axis = np.bincount(t[at], w[at] * sign, n_terms)
+        parts += [rows[~left], rows[left]]
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
 class BlockMaxIndex:
-    """Index over example vectors: rows of the most common terms, inverted lists of all others.
+    """Inverted index over example vectors (each with a term), in blocks of like examples.
 
-    A query's cosines with all examples are summed from both.  The largest cosine of each block of ``block`` examples
-    shows which blocks can hold one of the k nearest; only those are looked into.
+    ``most`` holds each term's largest weight in each block.  A query's weights times these bound its cosines with a block's
+    examples; its blocks are searched from the largest bound on, until none that is left can reach the k-th best.  A block
+    holds its own terms' lists as rows over its examples.  Sums in short numbers choose, sums in long ones give the cosines.
     """
 
-    def __init__(self, vectors: list[dict[int, float]] | tuple[np.ndarray, np.ndarray, np.ndarray], n_terms: int, block: int = BLOCK):
-        if isinstance(vectors, list):
-            off = np.cumsum([0, *(len(v) for v in vectors)])
-            vectors = off, np.array([t for v in vectors for t in v], np.int64), np.array([w for v in vectors for w in v.values()], float)
-        off, t, w = vectors
-        self.n, self.block = len(off) - 1, block
-        e, held = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(off)), np.bincount(t, minlength=n_terms)
-        self.common = np.sort(np.argsort(-held, kind="stable")[:COMMON])
-        self.place = np.full(n_terms, -1, np.int32)
-        self.place[self.common] = np.arange(len(self.common))
-        self.rows = np.zeros((-(-self.n // block) * block, len(self.common)), np.float32)
-        at = self.place[t]
-        self.rows[e[at >= 0], at[at >= 0]] = w[at >= 0]
-        rest = np.flatnonzero(at < 0)
-        rest = rest[np.argsort(t[rest], kind="stable")]
-        self.example, self.weight = e[rest], w[rest].astype(np.float32)
-        held[self.common] = 0
-        self.start = np.concatenate([[0], np.cumsum(held)])
-
-    def nearest(self, q: dict[int, float], k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest positive cosine (ties to the earlier example), best first."""
-        return self.nearest_all([(np.array(list(q), np.int64), np.array(list(q.values()), float))], k, [skip])[0]
-
-    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skips=None) -> list[tuple[np.ndarray, np.ndarray]]:
-        none = np.zeros(0, np.int64), np.zeros(0)
-        if not self.n or not queries:
-            return [none] * len(queries)
-        size = len(self.rows)
-        q = np.zeros((len(queries), len(self.common)))
-        for i, (t, w) in enumerate(queries):
-            at = self.place[t]
-            q[i, at[at >= 0]] = w[at >= 0]
-        near = q.astype(np.float32) @ self.rows.T  # of the common terms, in short numbers
+    def __init__(self, off: np.ndarray, t: np.ndarray, w: np.ndarray, n_terms: int, block: int = BLOCK):
+        self.off, self.t, self.w, self.n = off, t, w, len(off) - 1
+        order = alike(off, t, w, n_terms, block)
+        self.blocks, self.most = [], np.zeros((n_terms, -(-self.n // block)), np.float32)
+        for b in range(self.most.shape[1]):
+            ids = order[b * block:(b + 1) * block]
+            at = _spans(off[ids], off[ids + 1])
+            terms, place = np.unique(t[at], return_inverse=True)
+            lists = np.zeros((len(terms), len(ids)), np.float32)
+            lists[place, np.repeat(np.arange(len(ids)), off[ids + 1] - off[ids])] = w[at]
+            self.most[terms, b] = lists.max(1)
+            self.blocks.append((ids, terms, lists))
+        self.searched = 0  # blocks looked into, over all queries
+
+    def nearest_all(self, off: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, skips=None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each query (offsets, terms, weights): the k examples with the largest positive cosine (ties to the earlier example),
+        best first.  ``skips`` names an example for each query that is left out."""
+        size = max(16, min(QUERIES, CELLS // max(1, len(self.most))))
         out = []
-        for i, (t, w) in enumerate(queries):
-            far = self.place[t] < 0
-            s, e = self.start[t[far]], self.start[t[far] + 1]
-            some = np.flatnonzero(e > s)
-            rest = np.zeros(size)
-            if len(some):
-                spans = list(zip(s[some].tolist(), e[some].tolist()))
-                x = np.concatenate([self.weight[a:b] for a, b in spans]) * np.repeat(w[far][some], (e - s)[some])
-                rest = np.bincount(np.concatenate([self.example[a:b] for a, b in spans]), x, size)
-            cos = near[i] + rest
-            if skips is not None and skips[i] >= 0:
-                cos[skips[i]] = 0
-            top = cos.reshape(-1, self.block).max(1)
-            least = np.partition(top, -k)[-k] if len(top) > k else 0.0  # k blocks have one that near
-            ids = np.flatnonzero(np.repeat(top >= least - MARGIN, self.block))
-            ids = ids[cos[ids] >= least - MARGIN]
-            if len(ids) > k:
-                ids = ids[cos[ids] >= np.partition(cos[ids], -k)[-k] - MARGIN]
-            # those that short numbers leave in question are summed in long ones
-            exact = self.rows[ids].astype(float) @ q[i] + rest[ids]
-            if skips is not None and skips[i] >= 0:
-                exact[ids == skips[i]] = 0
-            ids, exact = ids[exact > 0], exact[exact > 0]
-            best = np.lexsort((ids, -exact.round(12)))[:k]
-            out.append((ids[best], exact[best]))
+        for i in range(0, len(off) - 1, size):
+            part = off[i:i + size + 1]
+            own = slice(part[0], part[-1])
+            out += self._nearest(part - part[0], t[own], w[own], k, None if skips is None else np.asarray(skips[i:i + size]))
         return out
 
+    def _nearest(self, off, t, w, k, skips):
+        m, n = len(off) - 1, len(self.blocks)
+        if not n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * m
+        q = np.zeros((m, len(self.most)))
+        q[np.repeat(np.arange(m), np.diff(off)), t] = w
+        bound = q.astype(np.float32) @ self.most
+        by = np.argsort(bound.argmax(1), kind="stable")  # queries of the same blocks stand together
+        q, bound, skips = q[by], bound[by], None if skips is None else skips[by]
+        short = np.ascontiguousarray(q.T, np.float32)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        bound[bound > 0] += MARGIN
+        best, alive, found = np.zeros((m, k), np.float32), np.arange(m), []
+        lo, step = 0, FIRST
+        while lo < n and len(alive):
+            part = order[alive, lo:lo + step]
+            for b in np.unique(part):
+                ids, terms, lists = self.blocks[b]
+                some = alive[(part == b).any(1)]
+                some = some[bound[some, b] > best[some].min(1)]
+                if not len(some):
+                    continue
+                self.searched += len(some)
+                cos = (lists.T @ short[:, some[0]:some[-1] + 1][terms])[:, some - some[0]].T
+                if skips is not None:
+                    cos[skips[some][:, None] == ids] = 0
+                best[some] = -np.partition(-np.concatenate([best[some], cos], 1), k - 1, axis=1)[:, :k]
+                at, e = np.nonzero(cos > np.maximum(best[some].min(1) - MARGIN, 0)[:, None])
+                found.append((some[at], ids[e], cos[at, e]))
+            lo, step = lo + step, step * 3
+            if lo < n:
+                alive = alive[bound[alive, order[alive, lo]] > best[alive].min(1)]
+        of, ids, cos = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        near = cos > best.min(1)[of] - MARGIN
+        of, ids = of[near], ids[near]
+        sizes = self.off[ids + 1] - self.off[ids]
+        at = _spans(self.off[ids], self.off[ids + 1])
+        exact = np.add.reduceat(q[np.repeat(of, sizes), self.t[at]] * self.w[at], np.cumsum(sizes) - sizes) if len(ids) else np.zeros(0)
+        of = by[of]
+        last = np.lexsort((ids, -exact.round(12), of))
+        of, ids, exact = of[last], ids[last], exact[last]
+        starts = np.searchsorted(of, np.arange(m + 1))
+        return [(ids[s:min(s + k, e)], exact[s:min(s + k, e)]) for s, e in zip(starts[:-1], starts[1:])]
+
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: rising steps (x of each step's middle, value)."""
@@ -211,134 +232,133 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([s[0] / s[2] for s in steps]), np.array([(s[1] + 0.1) / (s[2] + 0.5) for s in steps])
 
 
+def weigh(off: np.ndarray, t: np.ndarray, c: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weights of counted terms, of length one in each text."""
+    w = (1 + np.log(c)) * idf[t]
+    of = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    return w / np.sqrt(np.bincount(of, w * w, len(off) - 1))[of]
+
+
 class Model:
-    """All that scoring needs: at most ``2 * EXAMPLES`` vectors, and the hashes and weights of their terms."""
+    """All that scoring needs: at most ``2 * EXAMPLES`` examples' term counts, and the terms' weights."""
 
-    def __init__(self, table, idf, ids, labels, vectors, share_without, prior, weights):
+    def __init__(self, table, idf, ids, labels, vectors, share_without, prior):
         self.table, self.idf, self.ids, self.labels = table, idf, np.array(ids, np.int64), np.array(labels, np.int64)
-        self.empty, self.prior = share_without, prior
-        if len(self.ids):
-            off, t, c = vectors
-            w = (1 + np.log(c)) * idf[t]
-            w /= np.repeat(np.sqrt(np.add.reduceat(w * w, off[:-1])), np.diff(off))
-            self.index = BlockMaxIndex((off, t, w), len(table))
-            votes = []
-            for i in range(0, len(self.ids), QUERIES):
-                part = range(i, min(i + QUERIES, len(self.ids)))
-                votes += [self.vote(*x) for x in self.index.nearest_all([(t[off[j]:off[j + 1]], w[off[j]:off[j + 1]]) for j in part], NEIGHBOURS, part)]
-            self.curve = isotonic(np.array(votes), self.labels.astype(float), np.array([weights[y] for y in self.labels]))
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t, c = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts))
-        w = (1 + np.log(c)) * self.idf[t]
-        return t, w / (np.sqrt(w @ w) or 1.0)
-
-    def vote(self, ids, cos) -> float:
-        return float((cos @ self.labels[ids] + 0.1 * self.prior) / (cos.sum() + 0.1))
-
-    def score(self, texts: list[dict[int, int]]) -> list[tuple[float, list]]:
-        found = [((), ())] * len(texts)
-        if len(self.ids):
-            found = [x for i in range(0, len(texts), QUERIES)
-                     for x in self.index.nearest_all([self.vector(c) for c in texts[i:i + QUERIES]], NEIGHBOURS)]
+        self.vectors, self.empty, self.prior, self.curve = vectors, share_without, prior, None
+        self._index = None
+
+    def index(self) -> BlockMaxIndex:
+        """Built once in each Python worker."""
+        if self._index is None:
+            off, t, c = self.vectors
+            self._index = BlockMaxIndex(off, t, weigh(off, t, c, self.idf), len(self.table))
+        return self._index
+
+    def votes(self, off, t, c, skips=None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Share of toxic weight among the nearest examples, these, and their cosines."""
+        found = self.index().nearest_all(off, t, weigh(off, t, c, self.idf), NEIGHBOURS, skips)
+        return [(float((cos @ self.labels[ids] + 0.1 * self.prior) / (cos.sum() + 0.1)), ids, cos) for ids, cos in found]
+
+    def score(self, off, t, c) -> list[tuple[float, list]]:
         out = []
-        for ids, cos in found:
+        for vote, ids, cos in self.votes(off, t, c):
             if not len(ids):
                 out.append((self.empty, []))
                 continue
-            p = float(np.interp(self.vote(ids, cos), *self.curve))
-            out.append((min(1.0, max(0.0, p)), [(int(self.ids[i]), float(c), int(self.labels[i])) for i, c in zip(ids[:3], cos[:3])]))
+            p = float(np.interp(vote, *self.curve))
+            out.append((min(1.0, max(0.0, p)), [(int(self.ids[i]), float(x), int(self.labels[i])) for i, x in zip(ids[:3], cos[:3])]))
         return out
 
 
-def _samples(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Of each text: its trigrams, the keys of its bands, and one byte of each MinHash sample."""
+def _left_out(vec: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Votes on each example by the others, in tasks: (example, vote)."""
+    shared = vec.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m = shared.value
+        for b in _parts(batches):
+            lists = [b.column(i).cast(pa.large_list(pa.int64())) for i in (1, 2)]
+            off = np.concatenate([[0], np.cumsum(pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            t, c = (pc.list_flatten(x).to_numpy() for x in lists)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([v[0] for v in m.votes(off, t, c, b.column(0).to_numpy())], pa.float64())],
+                                             names=["e", "vote"])
+
+    got = vec.select("e", "t", "c").mapInArrow(run, "e long, vote double").toArrow().sort_by("e")  # two numbers an example
+    return got.column("e").to_numpy(), got.column("vote").to_numpy()
+
+
+def _samples(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Of each text: its trigrams, and the keys of its bands."""
     mul, add = _params(BANDS * DRAWS)
     sets = shingle_sets(texts, 3)
     sig = np.array([_minhash(x, mul, add) for x in sets], np.uint64).reshape(len(sets), BANDS, DRAWS)
     keys = np.arange(BANDS, dtype=np.uint64) + np.zeros((len(sets), 1), np.uint64)
     for i in range(DRAWS):
         keys = _mix(keys * MULT + sig[:, :, i])
-    return [np.unique(x >> np.uint64(32)).astype(np.uint32) for x in sets], keys, (_mix(sig) >> np.uint64(56)).astype(np.uint8).reshape(len(sets), -1)
+    return sets, keys
 
 
-def _copies(grams: list[np.ndarray], keys: np.ndarray, draws: np.ndarray) -> np.ndarray:
-    """Which texts have at least SAME of the trigrams in common with an earlier one that is no copy itself.
+def _without_near_copies(rows: DataFrame) -> DataFrame:
+    """Near copies of one text would vote as many: of the examples of a label, confirmed copies of an earlier one go.
 
-    Bands propose, draws leave out pairs more than five standard errors below SAME, the full sets of all others decide.
+    Every example is held against the first one of each of its bands (by id and text hash) on full sets.
     """
-    least = (SAME - 5 * np.sqrt(SAME * (1 - SAME) / (BANDS * DRAWS))) * BANDS * DRAWS
-    buckets: dict[int, list[int]] = {}
-    out, sizes = np.zeros(len(grams), bool), np.array([len(g) for g in grams])
-    for i, own in enumerate(keys.tolist()):
-        near = set(itertools.chain.from_iterable(buckets.get(k, ()) for k in own))
-        if near:
-            at = np.fromiter(near, np.int64, len(near))
-            at = at[(np.minimum(sizes[at], sizes[i]) >= SAME * np.maximum(sizes[at], sizes[i])) & ((draws[at] == draws[i]).sum(1) >= least)]
-            for j in at.tolist():
-                both = len(np.intersect1d(grams[i], grams[j], assume_unique=True))
-                if both >= SAME * (sizes[i] + sizes[j] - both):
-                    out[i] = True
-                    break
-        if not out[i]:
-            for k in own:
-                buckets.setdefault(k, []).append(i)
-    return out
-
-
-def _without_near_copies(rows: DataFrame) -> DataFrame:
-    """Near copies of one text would vote as many: of the examples of a label, confirmed copies of an earlier one go."""
     def run(batches):
-        for b in batches:
-            grams, keys, draws = _samples(text_bytes(b.column(3)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([g.view(np.int32) for g in grams], pa.list_(pa.int32())),
-                                              pa.array([k.tobytes() for k in keys], pa.binary()), pa.array([d.tobytes() for d in draws], pa.binary())],
-                                             names=["id", "y", "text_hash", "grams", "keys", "draws"])
+        for b in _parts(batches):
+            grams, keys = _samples(text_bytes(b.column(3)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([g.view(np.int64) for g in grams], pa.list_(pa.int64())),
+                                              pa.array([k.view(np.int64) for k in keys], pa.list_(pa.int64()))],
+                                             names=["id", "y", "text_hash", "grams", "keys"])
 
     key = ["id", "y", "text_hash"]
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    got = rows.select(*key, "text").mapInArrow(run, "id long, y int, text_hash long, grams array<int>, keys binary, draws binary").toArrow()
-    names = list(zip(*(got.column(c).to_pylist() for c in key)))  # at most 2 * examples texts
-    first = {x: i for i, x in reversed(list(enumerate(names)))}
-    dropped = []
-    for y in (0, 1):
-        at = [first[x] for x in sorted(first) if x[1] == y]
-        part = got.take(pa.array(at, pa.int64())).combine_chunks()
-        off, grams = np.concatenate([[0], np.cumsum(pc.list_value_length(part.column("grams")).to_numpy())]).astype(np.int64), pc.list_flatten(part.column("grams")).to_numpy().view(np.uint32)
-        table = lambda c, kind: np.frombuffer(b"".join(part.column(c).to_pylist()), kind).reshape(len(at), -1 if at else BANDS)
-        copies = _copies([grams[s:e] for s, e in zip(off[:-1], off[1:])], table("keys", np.uint64), table("draws", np.uint8))
-        dropped += [names[i] for i, copy in zip(at, copies) if copy]
-    gone = rows.sparkSession.createDataFrame(dropped, "id long, y int, text_hash long")
-    return stage(rows.join(F.broadcast(gone), key, "left_anti").drop("text_hash"), "tx-distinct")  # no more rows than examples
+    held = stage(rows.dropDuplicates(key).select(*key, "text").mapInArrow(run, "id long, y int, text_hash long, grams array<long>, keys array<long>"), "tx-grams")
+    bands = held.select(*key, F.explode("keys").alias("key"))
+    firsts = (bands.groupBy("y", "key").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+              .select("y", "key", F.col("first.id").alias("id2"), F.col("first.text_hash").alias("text_hash2")))
+    pairs = bands.join(firsts, ["y", "key"]).where("struct(id, text_hash) > struct(id2, text_hash2)").select(*key, "id2", "text_hash2").distinct()
+    other = held.select(F.col("id").alias("id2"), "y", F.col("text_hash").alias("text_hash2"), F.col("grams").alias("grams2"))
+    both = F.size(F.array_intersect("grams", "grams2"))
+    gone = (pairs.join(held.select(*key, "grams"), key).join(other, ["id2", "y", "text_hash2"])
+            .where(both >= SAME * (F.size("grams") + F.size("grams2") - both)).select(*key).distinct())
+    return stage(rows.join(gone, key, "left_anti").drop("text_hash"), "tx-distinct")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int,
         examples: int = EXAMPLES) -> Model:
     picked, total = sample_labels(labels, id_col, label_col, folds, held, examples)
-    rows = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-                 .join(F.broadcast(picked), "id"), "tx-example")  # bounded: 2 * examples ids
-    rows = _without_near_copies(rows)
+    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+            .join(F.broadcast(picked), "id"))  # bounded: 2 * examples ids
+    rows = rows.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("r")).select("id", "r.text", "r.y")
+    rows = _without_near_copies(stage(rows, "tx-example"))
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = vocabulary(rows)
-    n, df = _frequencies(docs, text_col, table) if len(table) else (0, np.zeros(0))
+    n, df = _frequencies(docs, text_col, table) if table else (0, np.zeros(0))
     idf = np.log((n + 1) / (df + 1)) + 1e-3
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(table)
 
     def vectors(batches):
         tool = Terms(shared.value)
-        for b in batches:
-            got = [sorted(c.items()) for c in tool.counts(text_bytes(b.column(1)))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([[t for t, _ in g] for g in got], pa.list_(pa.int32())),
-                                              pa.array([[c for _, c in g] for g in got], pa.list_(pa.int32()))], names=["id", "y", "t", "c"])
+        for b in _parts(batches):
+            off, t, c = tool.counts(text_bytes(b.column(1)))
+            lists = [pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(x, pa.int32())) for x in (t, c)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *lists], names=["id", "y", "t", "c"])
 
     vec = stage(rows.select("id", "text", "y").mapInArrow(vectors, "id long, y int, t array<int>, c array<int>"), "tx-vector")
     weights = {y: total.get(y, 0) / max(1, sizes.get(y, 0)) for y in (0, 1)}  # each example stands for that many rows
     without = {r["y"]: r["n"] * weights[r["y"]] for r in vec.where("size(t) = 0").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    held_rows = vec.where("size(t) > 0").distinct().orderBy("id", "y", "t", "c").toArrow().combine_chunks()  # at most 2 * examples rows
-    off = np.concatenate([[0], np.cumsum(pc.list_value_length(held_rows.column("t")).to_numpy())]).astype(np.int64)
-    t, c = (pc.list_flatten(held_rows.column(x)).to_numpy() for x in "tc")
-    return Model(table, idf, held_rows.column("id").to_numpy(), held_rows.column("y").to_numpy(), (off, t, c),
-                 (without.get(1, 0) + 0.5) / (sum(without.values()) + 5), (total.get(1, 0) + 0.5) / (sum(total.values()) + 5), weights)
+    known = vec.where("size(t) > 0").orderBy("id").toArrow().combine_chunks()  # at most 2 * examples rows
+    off = np.concatenate([[0], np.cumsum(pc.list_value_length(known.column("t")).to_numpy())]).astype(np.int64)
+    t, c = (pc.list_flatten(known.column(x)).to_numpy() for x in "tc")
+    ids, y = known.column("id").to_numpy(), known.column("y").to_numpy()
+    model = Model(table, idf, ids, y, (off, t, c), (without.get(1, 0) + 0.5) / (sum(without.values()) + 5), (total.get(1, 0) + 0.5) / (sum(total.values()) + 5))
+    if len(ids):
+        places = spark.createDataFrame(pa.table({"id": ids, "e": np.arange(len(ids))}))
+        own = vec.where("size(t) > 0").join(F.broadcast(places), "id").repartition(spark.sparkContext.defaultParallelism, "e")
+        e, votes = _left_out(own, model)
+        model.curve = isotonic(votes, y[e].astype(float), np.array([weights[k] for k in y[e]]))
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held: int = 2,
@@ -350,8 +370,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         m = shared.value
         terms = Terms(m.table)
-        for b in batches:
-            got = m.score(terms.counts(text_bytes(b.column(2))))
+        for b in _parts(batches):
+            got = m.score(*terms.counts(text_bytes(b.column(2))))
             p = np.array([g[0] for g in got], float)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32)),

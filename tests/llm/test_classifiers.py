@@ -43,22 +43,89 @@ def test_awkward_rows(llm, awkward, run):
     assert run(frame(llm, []), labels).collect() == []
 
 
+def rows_of(vectors):
+    """Offsets, terms and weights of sparse vectors."""
+    return (np.cumsum([0, *map(len, vectors)]), np.array([t for v in vectors for t in sorted(v)], np.int64),
+            np.array([v[t] for v in vectors for t in sorted(v)], float))
+
+
+def unit(v):
+    return {t: w / np.sqrt(sum(x * x for x in v.values())) for t, w in v.items()}
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     make = lambda: {int(t): float(w) for t, w in zip(rng.choice(40, 5, False), rng.random(5))}
-    unit = lambda v: {t: w / np.sqrt(sum(x * x for x in v.values())) for t, w in v.items()}
-    vectors = [unit(make()) for _ in range(500)]
-    index = tx.BlockMaxIndex(vectors, 40, block=16)
-    for i in range(60):
-        q = unit(make())
+    vectors = [unit(make()) for _ in range(480)] + [unit({0: 1.0, 1: 1.0})] * 20  # equal cosines
+    index = tx.BlockMaxIndex(*rows_of(vectors), 40, block=16)
+    queries = [unit(make()) for _ in range(60)] + [unit({0: 1.0}), {}]
+    skips = np.array([i if i % 2 else -1 for i in range(len(queries))])
+    for q, skip, (ids, got) in zip(queries, skips, index.nearest_all(*rows_of(queries), 16, skips)):
         cos = np.array([sum(w * v.get(t, 0) for t, w in q.items()) for v in vectors])
-        skip = i if i % 2 else -1
         if skip >= 0:
             cos[skip] = 0
         want = [x for x in np.lexsort((np.arange(500), -cos.round(12)))[:16] if cos[x] > 0]
-        ids, got = index.nearest(q, 16, skip)
         assert ids.tolist() == want and np.allclose(got, cos[want])
-    assert len(index.nearest({}, 16)[0]) == 0
+
+
+def test_blocks_that_cannot_hold_a_nearest_one_are_passed_over():
+    """Examples of twenty subjects in mixed order: like ones share blocks, a query looks into few of them."""
+    rng = np.random.default_rng(3)
+    make = lambda k: unit({int(t) + 50 * k: float(w) for t, w in zip(rng.choice(50, 12, False), rng.random(12))} | {1000: 0.3})
+    vectors = [make(i % 20) for i in range(2000)]
+    index = tx.BlockMaxIndex(*rows_of(vectors), 1001, block=25)
+    assert sorted(i for ids, _, _ in index.blocks for i in ids) == list(range(2000)) and len(index.blocks) == 80
+    queries = [make(i % 20) for i in range(100)]
+    for q, (ids, got) in zip(queries, index.nearest_all(*rows_of(queries), 5)):
+        cos = np.array([sum(w * v.get(t, 0) for t, w in q.items()) for v in vectors])
+        want = np.lexsort((np.arange(2000), -cos.round(12)))[:5]
+        assert ids.tolist() == want.tolist() and np.allclose(got, cos[want])
+    assert index.searched < 0.2 * len(queries) * len(index.blocks)
+
+
+def test_scores_equal_brute_force_over_raw_texts(llm):
+    """Terms, document frequencies, cosines, votes, calibration and evidence, from the texts alone."""
+    rng = random.Random(8)
+    word = lambda toxic: ("grim" if toxic and rng.random() < 0.2 else "w") + f"{int(rng.paretovariate(0.6)) % 200}é"
+    bad = lambda i: i % 4 == 0
+    texts = {i: " ".join(word(bad(i)) for _ in range(rng.randint(3, 40))) for i in range(300)}
+    labels = llm.createDataFrame([(i, int(bad(i))) for i in range(240)], "doc_id long, toxic int")
+    docs = frame(llm, list(texts.items()))
+    model = tx.fit(docs, labels, "doc_id", "text", "toxic", 4, 2)
+    got = {r.doc_id: r for r in tx.score(docs, model).collect()}
+    fold = lambda i: zlib.crc32(str(i).encode()) % 4
+    kept = sorted(model.ids)
+    assert set(kept) <= {i for i in range(240) if fold(i) != 2} and len(kept) > 150
+    terms = {i: [w[:4] for w in t.lower().split()] for i, t in texts.items()}
+    df = {}
+    for x in terms.values():
+        for t in set(x):
+            df[t] = df.get(t, 0) + 1
+    held = {t for i in kept for t in terms[i]}
+    vec = {i: unit({t: (1 + np.log(x.count(t))) * (np.log(301 / (df[t] + 1)) + 1e-3) for t in set(x) & held}) for i, x in terms.items()}
+    training = [i for i in range(240) if fold(i) != 2]
+    prior = (sum(map(bad, training)) + 0.5) / (len(training) + 5)
+
+    def nearest(i, others):
+        cos = {j: sum(w * vec[j].get(t, 0) for t, w in vec[i].items()) for j in others}
+        best = sorted((j for j in cos if cos[j] > 0), key=lambda j: (-round(cos[j], 12), j))[:16]
+        return (sum(cos[j] for j in best if bad(j)) + 0.1 * prior) / (sum(cos[j] for j in best) + 0.1), best
+
+    share = {y: sum(bad(i) == y for i in training) / sum(bad(i) == y for i in kept) for y in (False, True)}
+    votes = np.array([nearest(i, [j for j in kept if j != i])[0] for i in kept])
+    curve = tx.isotonic(votes, np.array([float(bad(i)) for i in kept]), np.array([share[bad(i)] for i in kept]))
+    for i in texts:
+        vote, best = nearest(i, kept)
+        assert [e.id for e in got[i].evidence] == best[:3]
+        assert got[i].score == pytest.approx(float(np.interp(vote, *curve)), abs=1e-9) and got[i].held_out == (fold(i) == 2)
+
+
+def test_unlike_texts_of_one_id_give_one_example(llm):
+    docs = frame(llm, [(4, f"text number{i} of many") for i in range(50)] + [(5, "some other words"), (6, None)])
+    labels = llm.createDataFrame([(4, 1), (5, 0), (6, 0)], "doc_id long, toxic int")
+    model = tx.fit(docs, labels, "doc_id", "text", "toxic", 4, 9)
+    assert model.ids.tolist() == [4, 5]
+    assert tx.score(docs, model).count() == 52
 
 
 def test_cosine_is_taken_over_all_words(llm):
