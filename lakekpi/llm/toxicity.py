@@ -34,6 +34,7 @@ BLANKS = bytes(i if i >= 0x80 or chr(i).isdigit() or "a" <= chr(i) <= "z" else 0
 STEM = 4
 EXAMPLES, NEIGHBOURS, BLOCK = 8000, 16, 128
 QUERIES, CELLS = 512, 8_000_000  # texts searched at once, and how many weights they may have room for
+RARE = 0.02  # share of the examples up to which a term has a list of its own
 FIRST = 4  # blocks each text looks into before it compares bounds; three times as many in each round after
 BANDS, DRAWS, SAME = 32, 5, 0.8  # of copies: MinHash bands, samples of a band, least share of common trigrams
 MARGIN = 1e-5  # more than short numbers can be off
@@ -146,29 +147,42 @@ def alike(off: np.ndarray, t: np.ndarray, w: np.ndarray, n_terms: int, block: in
 class BlockMaxIndex:
     """Inverted index over example vectors (each with a term), in blocks of like examples.
 
-    ``most`` holds each term's largest weight in each block.  A query's weights times these bound its cosines with a block's
-    examples; its blocks are searched from the largest bound on, until none that is left can reach the k-th best.  A block
-    holds its own terms' lists as rows over its examples.  Sums in short numbers choose, sums in long ones give the cosines.
+    Rare terms (in at most ``RARE`` of the examples) have lists of their examples, summed for every query first.  Of all other
+    terms ``most`` holds the largest weight in each block: a query's weights times these, with the block's largest sum of rare terms,
+    bound its cosines with the block's examples.  Blocks are searched from the largest bound on, until none that is left can
+    reach the k-th best.  A block holds those terms' lists as rows over its examples.  Sums in short numbers choose, sums in
+    long ones give the cosines.
     """
 
     def __init__(self, off: np.ndarray, t: np.ndarray, w: np.ndarray, n_terms: int, block: int = BLOCK):
         self.off, self.t, self.w, self.n = off, t, w, len(off) - 1
         order = alike(off, t, w, n_terms, block)
-        self.blocks, self.most = [], np.zeros((n_terms, -(-self.n // block)), np.float32)
-        for b in range(self.most.shape[1]):
+        self.block, n_blocks = block, -(-self.n // block)
+        held = np.bincount(t, minlength=n_terms)
+        rare = held <= RARE * self.n
+        at = _spans(off[order], off[order + 1])
+        where = np.repeat(np.arange(self.n), off[order + 1] - off[order])[rare[t[at]]]  # an example's place in the blocks
+        at = at[rare[t[at]]]
+        by = np.argsort(t[at], kind="stable")
+        self.listed, self.list_w = where[by], w[at][by]
+        self.list_at = np.concatenate([[0], np.cumsum(np.where(rare, held, 0))])
+        self.common = np.where(rare, -1, np.cumsum(~rare) - 1)  # row of a term that has block lists
+        self.blocks, self.most = [], np.zeros((np.count_nonzero(~rare), n_blocks), np.float32)
+        for b in range(n_blocks):
             ids = order[b * block:(b + 1) * block]
             at = _spans(off[ids], off[ids + 1])
-            terms, place = np.unique(t[at], return_inverse=True)
-            lists = np.zeros((len(terms), len(ids)), np.float32)
-            lists[place, np.repeat(np.arange(len(ids)), off[ids + 1] - off[ids])] = w[at]
-            self.most[terms, b] = lists.max(1)
-            self.blocks.append((ids, terms, lists))
+            of = np.repeat(np.arange(len(ids)), off[ids + 1] - off[ids])[~rare[t[at]]]
+            at = at[~rare[t[at]]]
+            lists = np.zeros((len(self.most), len(ids)), np.float32)
+            lists[self.common[t[at]], of] = w[at]
+            self.most[:, b] = lists.max(1)
+            self.blocks.append((ids, lists))
         self.searched = 0  # blocks looked into, over all queries
 
     def nearest_all(self, off: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, skips=None) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each query (offsets, terms, weights): the k examples with the largest positive cosine (ties to the earlier example),
         best first.  ``skips`` names an example for each query that is left out."""
-        size = max(16, min(QUERIES, CELLS // max(1, len(self.most))))
+        size = max(16, min(QUERIES, CELLS // max(1, len(self.common), self.n)))
         out = []
         for i in range(0, len(off) - 1, size):
             part = off[i:i + size + 1]
@@ -180,12 +194,17 @@ class BlockMaxIndex:
         m, n = len(off) - 1, len(self.blocks)
         if not n:
             return [(np.zeros(0, np.int64), np.zeros(0))] * m
-        q = np.zeros((m, len(self.most)))
-        q[np.repeat(np.arange(m), np.diff(off)), t] = w
-        bound = q.astype(np.float32) @ self.most
-        by = np.argsort(bound.argmax(1), kind="stable")  # queries of the same blocks stand together
-        q, bound, skips = q[by], bound[by], None if skips is None else skips[by]
-        short = np.ascontiguousarray(q.T, np.float32)
+        of = np.repeat(np.arange(m), np.diff(off))
+        q = np.zeros((m, len(self.common)))
+        q[of, t] = w
+        own = self.common[t] >= 0
+        short = np.zeros((m, len(self.most)), np.float32)
+        short[of[own], self.common[t[own]]] = w[own]
+        starts, ends = self.list_at[t], self.list_at[t + 1]
+        at = _spans(starts, ends)
+        rest = np.bincount(np.repeat(of, ends - starts) * (n * self.block) + self.listed[at], self.list_w[at] * np.repeat(w, ends - starts),
+                           m * n * self.block).astype(np.float32).reshape(m, n, self.block)
+        bound = short @ self.most + rest.max(2)
         order = np.argsort(-bound, axis=1, kind="stable")
         bound[bound > 0] += MARGIN
         best, alive, found = np.zeros((m, k), np.float32), np.arange(m), []
@@ -193,13 +212,13 @@ class BlockMaxIndex:
         while lo < n and len(alive):
             part = order[alive, lo:lo + step]
             for b in np.unique(part):
-                ids, terms, lists = self.blocks[b]
+                ids, lists = self.blocks[b]
                 some = alive[(part == b).any(1)]
                 some = some[bound[some, b] > best[some].min(1)]
                 if not len(some):
                     continue
                 self.searched += len(some)
-                cos = (lists.T @ short[:, some[0]:some[-1] + 1][terms])[:, some - some[0]].T
+                cos = short[some] @ lists + rest[some, b, :len(ids)]
                 if skips is not None:
                     cos[skips[some][:, None] == ids] = 0
                 best[some] = -np.partition(-np.concatenate([best[some], cos], 1), k - 1, axis=1)[:, :k]
@@ -214,7 +233,6 @@ class BlockMaxIndex:
         sizes = self.off[ids + 1] - self.off[ids]
         at = _spans(self.off[ids], self.off[ids + 1])
         exact = np.add.reduceat(q[np.repeat(of, sizes), self.t[at]] * self.w[at], np.cumsum(sizes) - sizes) if len(ids) else np.zeros(0)
-        of = by[of]
         last = np.lexsort((ids, -exact.round(12), of))
         of, ids, exact = of[last], ids[last], exact[last]
         starts = np.searchsorted(of, np.arange(m + 1))

@@ -74,7 +74,7 @@ def test_blocks_that_cannot_hold_a_nearest_one_are_passed_over():
     make = lambda k: unit({int(t) + 50 * k: float(w) for t, w in zip(rng.choice(50, 12, False), rng.random(12))} | {1000: 0.3})
     vectors = [make(i % 20) for i in range(2000)]
     index = tx.BlockMaxIndex(*rows_of(vectors), 1001, block=25)
-    assert sorted(i for ids, _, _ in index.blocks for i in ids) == list(range(2000)) and len(index.blocks) == 80
+    assert sorted(i for ids, _ in index.blocks for i in ids) == list(range(2000)) and len(index.blocks) == 80
     queries = [make(i % 20) for i in range(100)]
     for q, (ids, got) in zip(queries, index.nearest_all(*rows_of(queries), 5)):
         cos = np.array([sum(w * v.get(t, 0) for t, w in q.items()) for v in vectors])
