@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from lakekpi.llm.common import read_table, stage, text_bytes
 from lakekpi.llm.tokenizing import VOCABULARY, encoder, load
 
-CHUNK_CHARS = 65_536
+CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 256
+AT_ONCE = 8  # chunks whose encodings are held at a time
+SPREAD_BYTES = 4 << 20  # of huge texts in a partition of chunks
 BLANKS = " \t\n\r"
 
 
@@ -54,6 +56,17 @@ def _chunks(chunk_chars: int, overlap: int):
     return run
 
 
+def _stable(encoding, piece: str, low: int, high: int) -> list[tuple[int, int]]:
+    """(place, token) of the tokens of a piece that begin at one of the places low..high - 1, right after a blank."""
+    out = []
+    for a in range(low, high):
+        if piece[a - 1] in BLANKS and piece[a] not in BLANKS:
+            t = encoding.char_to_token(a)
+            if t is not None and encoding.token_to_chars(t)[0] == a:
+                out.append((a, t))
+    return out
+
+
 def _encode(name: str, overlap: int):
     pairs = pa.map_(pa.int64(), pa.int64())
 
@@ -62,12 +75,11 @@ def _encode(name: str, overlap: int):
         for b in batches:
             row, no, start, last, piece = (b.column(i).to_pylist() for i in range(5))
             n, left, right = [], [], []
-            for s, p, e in zip(start, piece, tok.encode_batch(piece, add_special_tokens=False)):
-                first = np.array([o[0] for o in e.offsets], np.int64)
-                edge = [(int(a), i) for i, a in enumerate(first) if (a < overlap or a >= len(p) - overlap) and a > 0 and p[a - 1] in BLANKS]
-                n.append(len(e.ids))
-                left.append([(s + a, i) for a, i in edge if a < overlap])
-                right.append([(s + a, i) for a, i in edge if a >= len(p) - overlap])
+            for i in range(0, len(piece), AT_ONCE):
+                for s, p, e in zip(start[i:], piece[i:i + AT_ONCE], tok.encode_batch(piece[i:i + AT_ONCE], add_special_tokens=False)):
+                    n.append(len(e))
+                    left.append([(s + a, t) for a, t in _stable(e, p, 1, min(overlap, len(p)))])
+                    right.append([(s + a, t) for a, t in _stable(e, p, max(1, len(p) - overlap), len(p))])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row, pa.int64()), pa.array(no, pa.int64()), pa.array(last, pa.bool_()), pa.array(n, pa.int64()),
                  pa.array(left, pairs), pa.array(right, pairs)], names=["row", "no", "last", "n", "left", "right"])
@@ -92,10 +104,12 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     done = stage(rows.mapInArrow(_count_short(vocabulary, chunk_chars), "row long, doc_id long, n_bytes long, n_tokens long, text string"), "tc-rows")
     todo = done.where("n_tokens is null").select("row", "text")
+    size = done.where("n_tokens is null").agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // SPREAD_BYTES))
     found = None
     while not todo.isEmpty():
         pieces = todo.mapInArrow(_chunks(chunk_chars, overlap), "row long, no long, start long, last boolean, piece string")
-        encoded = pieces.repartition("row", "no").mapInArrow(
+        encoded = pieces.repartition(parts, "row", "no").mapInArrow(
             _encode(vocabulary, overlap), "row long, no long, last boolean, n long, left map<bigint,bigint>, right map<bigint,bigint>")
         got = stage(splice(encoded), "tc-splice")
         ok = got.where("n_tokens is not null")
