@@ -6,9 +6,10 @@ its last two bytes.  With the context's features x,
 
     P(word) = softmax over classes(x) * P(word | class)
 
-where P(word | class) is a second softmax over the class's words for the head, and (c + 0.5) / (N + 0.5 (V + 1)) within
-the class for the rest, one share standing for words never seen.  Features are the token before (bigram), those two and
-three before (skips), and the pair before, hashed into a fixed table.  Weights start at the unigram model.  Training is
+where P(word | class) is a second softmax over the class's words: for the head with dense weights, for the rest with those of the
+pairs (word before, word), of which a table grows with the corpus (``lm_pairs``), one share standing for words never
+seen.  Features of classes and head are the token before (bigram), those two and three before (skips), and the pair before,
+hashed into a fixed table.  Weights start at the unigram model.  Training is
 by rounds of distributed gradient steps: each round takes its share of the documents (every training document is in one
 round), each task sums observed and expected feature counts over all its tokens, tasks are added up, and the difference,
 scaled by the expected counts, moves the weights.
@@ -29,7 +30,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakekpi.llm import lm_pairs
 from lakekpi.llm.common import read_table, stage
+from lakekpi.llm.lm_pairs import Finder
 from lakekpi.llm.toxicity import fold
 
 SLOTS, CLASSES, REST = 32, 16, 32
@@ -109,28 +112,6 @@ def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, off
 
 
-class Finder:
-    """Places of 64-bit hashes in an ascending table, by their leading bits."""
-
-    def __init__(self, table: np.ndarray):
-        self.table = table
-        self.shift = np.uint64(64 - max(1, min(20, len(table).bit_length())))
-        self.start = np.searchsorted(table >> self.shift, np.arange((1 << int(64 - self.shift)) + 1, dtype=np.uint64))
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Place of each hash, -1 where it is not in the table."""
-        lead = (h >> self.shift).astype(np.int64)
-        at, stop, out = self.start[lead], self.start[lead + 1], np.full(len(h), -1)
-        todo = np.flatnonzero(at < stop)
-        while len(todo):
-            hit = self.table[at[todo]] == h[todo]
-            out[todo[hit]] = at[todo[hit]]
-            todo = todo[~hit]
-            at[todo] += 1
-            todo = todo[at[todo] < stop[todo]]
-        return out
-
-
 def token_counts(docs: DataFrame) -> DataFrame:
     """(h, c) of all tokens of ``docs(text)``, summed in each task first."""
     def run(batches):
@@ -160,7 +141,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Counts, classes and weights; its size does not depend on the corpus."""
+    """Counts, classes and the weights of the classes and the head, which travel with the tasks; those of pairs are a table."""
 
     def __init__(self, n: int, v: int, known: tuple[np.ndarray, np.ndarray], rest: dict[int, tuple[int, int]], head: np.ndarray):
         self.n, self.z = n, n + 0.5 * (v + 1)
@@ -193,6 +174,10 @@ class Model:
         symbol[hit] = np.where(slot >= 0, slot, symbol[hit])
         return count, symbol
 
+    def in_rest(self, h: np.ndarray) -> np.ndarray:
+        """Whether each token is outside the head."""
+        return self.look(h)[1] >= HEAD
+
     @staticmethod
     def features(symbol: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Bucket of each of the four features of every token."""
@@ -350,8 +335,8 @@ def fit(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """Per row of ``docs(id, held_out, text)``: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def score(docs: DataFrame, model: Model, counts: DataFrame, learnt=None) -> DataFrame:
+    """Per row of ``docs(row, id, held_out, text)``: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     least = int(model.c.min()) if len(model.c) else None
 
@@ -374,7 +359,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 [b.column(0), b.column(1), b.column(2), pa.array(n), pa.array(n - np.diff(cuts)), pa.array(add(own) - n * np.log10(m.z)),
                  pa.array(add(part)), tail], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("id").alias("doc_id"), "held_out", "text")
+    rows = docs.select("row", F.col("id").alias("doc_id"), "held_out", "text")
     done = stage(rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
                                       "tail array<long>"), "lm-row")
     # the rare words' counts: log10(c + 0.5), or log10(0.5) for words never seen in training
@@ -383,18 +368,25 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
              .groupBy("row").agg(F.count(F.lit(1)).alias("k"), F.sum(F.log10(F.col("c") + 0.5)).alias("s")))
     k = F.coalesce("k", F.lit(0))
     add = F.coalesce("s", F.lit(0.0)) + (F.size("tail") - k) * F.log10(F.lit(0.5))
-    return done.join(found, "row", "left").select(
+    got = done.join(found, "row", "left")
+    if learnt is None:
+        got = got.withColumn("pairs", F.lit(0.0))
+    else:
+        got = got.join(lm_pairs.evidence(rows, shared, learnt, token_hashes), "row", "left")
+    return got.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + k).cast("long").alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("base_score") + add).alias("base_score"), (F.col("score") + add).alias("score"))
+        (F.col("base_score") + add).alias("base_score"), (F.col("score") + add + F.coalesce("pairs", F.lit(0.0))).alias("score"))
 
 
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1, rounds: int = ROUNDS) -> DataFrame:
     """Train on the rows outside the held-out fold and score all rows."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(fold(id_col, folds) == held, F.lit(False)).alias("held_out"),
-                       F.col(text_col).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.coalesce(fold(id_col, folds) == held, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
+    rows = stage(rows, "lm-docs")  # the row numbers are the same in every pass
     train = rows.where(~F.col("held_out"))
     counts = stage(token_counts(train), "lm-count")
-    return score(rows, fit(train, counts, rounds), counts).withColumnRenamed("doc_id", id_col)
+    model = fit(train, counts, rounds)
+    return score(rows, model, counts, lm_pairs.train(train, counts, model, token_hashes)).withColumnRenamed("doc_id", id_col)
 
 
 def op9_lm_scores(spark, sf_dir: str) -> DataFrame:
