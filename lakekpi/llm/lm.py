@@ -54,6 +54,7 @@ _BACK = np.uint64(pow(0x9FB21C651E98DF25, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
+_DIGIT = _LOWER.astype(np.uint64) + np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -82,7 +83,7 @@ def _hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
     # polynomial hash of each word from prefix sums: sum of byte * base^(end - place), then mixed
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_power(_BACK, len(data)) * (low + np.uint64(1)), out=total[1:])
+    np.cumsum(_power(_BACK, len(data)) * _DIGIT[data], out=total[1:])
     h = (total[e] - total[s]) * _power(_BASE, len(data) + 1)[e]
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
@@ -140,13 +141,22 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def _shares(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place.  One maximum serves all rows: weights move by at most 1.5 * RATE a round, so rows differ little."""
+    if x.size:
+        x -= x.max()
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+    return x
+
+
 class Model:
     """Counts, classes and the weights of the classes and the head, which travel with the tasks; those of pairs are a table."""
 
     def __init__(self, n: int, v: int, known: tuple[np.ndarray, np.ndarray], rest: dict[int, tuple[int, int]], head: np.ndarray):
         self.n, self.z = n, n + 0.5 * (v + 1)
         self.h, self.c = known  # ascending by hash
-        self.finder = None  # made in the tasks
+        self.finder = self.heads = None  # made in the tasks
         self.slot = np.full(len(self.h), -1, np.int32)
         at = np.searchsorted(self.h, head)
         self.slot[at] = np.arange(len(head))
@@ -176,7 +186,15 @@ class Model:
 
     def in_rest(self, h: np.ndarray) -> np.ndarray:
         """Whether each token is outside the head."""
-        return self.look(h)[1] >= HEAD
+        return self.symbols(h) >= HEAD
+
+    def symbols(self, h: np.ndarray) -> np.ndarray:
+        """Symbol of each token."""
+        if self.heads is None:
+            at = self.slot >= 0  # ascending by hash
+            self.heads = Finder(self.h[at]), np.append(self.slot[at], 0)
+        at = self.heads[0].find(h)
+        return np.where(at >= 0, self.heads[1][at], HEAD + (h & np.uint64(127)).astype(np.int64) % REST)
 
     @staticmethod
     def features(symbol: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -196,20 +214,14 @@ class Model:
         x = self.b1 + self.w1[f[0]]
         for k in (1, 2, 3):
             x += self.w1[f[k]]
-        x -= x.max(1, keepdims=True)
-        np.exp(x, out=x)
-        x /= x.sum(1, keepdims=True)
-        return x
+        return _shares(x)
 
     def words(self, f: np.ndarray, k: np.ndarray) -> np.ndarray:
         """P(word | class ``k``) for each token of a head class."""
         x = self.b2[k] + self.w2[f[0] * CLASSES + k]
         for i in (1, 2):
             x += self.w2[f[i] * CLASSES + k]
-        x -= x.max(1, keepdims=True)
-        np.exp(x, out=x)
-        x /= x.sum(1, keepdims=True)
-        return x
+        return _shares(x)
 
     def log10(self, symbol: np.ndarray, off: np.ndarray) -> np.ndarray:
         """log10 P(class) of each token, and of its word within a head class; rest words lack their own share."""
@@ -225,7 +237,7 @@ class Model:
 
 
 def _add_rows(total: np.ndarray, key: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key.astype(np.uint16), kind="stable")  # both tables have fewer rows than that; short numbers sort faster
     k = key[order]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     total[k[first]] += np.add.reduceat(rows[order], first, axis=0)
@@ -270,7 +282,7 @@ def _gradient(docs: DataFrame, model) -> np.ndarray:
         for b in batches:
             h, off = token_hashes(b.column(0))
             if len(h):
-                sums.add(m, m.look(h)[1], off)
+                sums.add(m, m.symbols(h), off)
                 some = True
         if some:
             flat = sums.flat()

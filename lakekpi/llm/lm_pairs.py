@@ -12,7 +12,7 @@ All pairs of a group lie in one range of group hashes; a range has about ``RANGE
 grows with the corpus.  Tasks send pairs in blocks, one for each range, equal pairs added up before.  Since a rest word is rarer
 than each of the head's, and its pairs rarer still, no pair is hot; equal ones of a group collapse as they arrive.
 Weights are the maximum of the log likelihood less ``DECAY`` / 2 * theta ** 2, found by gradient steps scaled by the
-expected counts, all ranges at once.  Scoring sends every token's group and pair to its range and gets log10 values back,
+expected counts, all ranges at once.  In the table a group is its range and 32 bits more, a pair another 32.  Scoring sends every token's group and pair to its range and gets log10 values back,
 added up by document; nothing of the tables' size is broadcast or collected.
 """
 
@@ -31,6 +31,7 @@ STEPS, MOVE, DECAY = 30, 1.0, 0.1
 HELD = 1_000_000  # pairs that a task gathers before it adds equal ones up
 START = np.uint64(0x5BD1E9955BD1E900)  # stands before a document's first token
 CLASS_BITS = np.uint64(127)
+LOW = np.uint64(0xFFFFFFFF)
 
 
 class Finder:
@@ -70,7 +71,8 @@ def groups(h: np.ndarray, off: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def pair_keys(g: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return _mix(g ^ (w * np.uint64(0xD6E8FEB86659FD93)))
+    """Number of a pair within its range: 32 bits of the group's hash, 32 of the pair's; zeros in place of these are the group's."""
+    return g << np.uint64(32) | _mix(g ^ (w * np.uint64(0xD6E8FEB86659FD93))) & LOW | np.uint64(1)
 
 
 def range_of(g: np.ndarray, ranges: int) -> np.ndarray:
@@ -78,8 +80,8 @@ def range_of(g: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _add_up(g: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs in order of group and word, and the sum of each one's counts."""
-    order = np.lexsort((w, g))
+    """The pairs in order of their range, equal ones added up."""
+    order = np.argsort(g & ~LOW | _mix(g ^ w) & LOW)
     g, w, n = g[order], w[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (w[1:] != w[:-1])])[:len(g)])
     return g[first], w[first], np.add.reduceat(n, first) if len(first) else n
@@ -98,12 +100,12 @@ def _by_range(batches):
     """(range, list of its rows so far, whether it is complete) of rows in order of range; a list may be emptied by the caller."""
     k, rows = None, []
     for b in batches:
-        for row in zip(*(b.column(i).to_pylist() for i in range(b.num_columns))):
-            if k is not None and row[0] != k:
+        for i, at in enumerate(b.column(0).to_pylist()):
+            if k is not None and at != k:
                 yield k, rows, True
                 rows = []
-            k = row[0]
-            rows.append(row[1:])
+            k = at
+            rows.append([c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py() for c in b.columns[1:]])
             yield k, rows, False
     if k is not None:
         yield k, rows, True
@@ -133,7 +135,7 @@ def count_pairs(docs: DataFrame, shared, tokens, ranges: int, parts: int) -> Dat
         kept, size = None, 0
         for k, rows, whole in _by_range(batches):
             if not whole:
-                size += len(rows[-1][0]) // 8
+                size += rows[-1][0].size // 8
                 if size < 4 * HELD:
                     continue
             parts = [(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), np.frombuffer(c, np.uint32).astype(np.int64)) for a, b, c in rows]
@@ -141,7 +143,8 @@ def count_pairs(docs: DataFrame, shared, tokens, ranges: int, parts: int) -> Dat
             rows.clear()
             size = 0
             if whole:
-                g, w, n = kept
+                order = np.argsort(kept[0])  # by group; each pair is there once
+                g, w, n = (x[order] for x in kept)
                 kept = None
                 new = np.concatenate([[True], g[1:] != g[:-1]])
                 total = np.add.reduceat(n, np.flatnonzero(new))[np.cumsum(new) - 1]
@@ -153,7 +156,7 @@ def count_pairs(docs: DataFrame, shared, tokens, ranges: int, parts: int) -> Dat
                          pa.array(m.look(w[j])[0])], names=["k", "g", "w", "n", "total", "c"])
 
     sent = docs.select("text").mapInArrow(run, "k long, x0 binary, x1 binary, x2 binary")
-    return sent.repartition(parts, "k").sortWithinPartitions("k").mapInArrow(add, "k long, g long, w long, n long, total long, c long")
+    return sent.repartitionById(parts, F.col("k").cast("int")).sortWithinPartitions("k").mapInArrow(add, "k long, g long, w long, n long, total long, c long")
 
 
 def weights_of(g: np.ndarray, n: np.ndarray, total: np.ndarray, c: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,7 +181,7 @@ def fit_pairs(pairs: DataFrame, rest_z: np.ndarray, parts: int) -> DataFrame:
             g, w = g.view(np.uint64), w.view(np.uint64)
             z = rest_z[(w & CLASS_BITS).astype(np.int64) % len(rest_z)]
             theta, first, lnz = weights_of(g, n, total, c, z)
-            keys, values = np.concatenate([pair_keys(g, w), g[first]]), np.concatenate([theta, -lnz]) / np.log(10)
+            keys, values = _mix(np.concatenate([pair_keys(g, w), g[first] << np.uint64(32)])), np.concatenate([theta, -lnz]) / np.log(10)
             order = np.argsort(keys)
             return _blocks(np.full(len(order), k[0]), keys[order], values[order])
 
@@ -195,7 +198,7 @@ def fit_pairs(pairs: DataFrame, rest_z: np.ndarray, parts: int) -> DataFrame:
         if held:
             yield flush()
 
-    return pairs.repartition(parts, "k").sortWithinPartitions("k", "g").mapInArrow(run, "k long, x0 binary, x1 binary")
+    return pairs.repartitionById(parts, F.col("k").cast("int")).sortWithinPartitions("k", "g").mapInArrow(run, "k long, x0 binary, x1 binary")
 
 
 def train(docs: DataFrame, counts: DataFrame, model, tokens) -> tuple[DataFrame, int, int] | None:
@@ -229,9 +232,9 @@ def evidence(rows: DataFrame, model_shared, learnt, tokens) -> DataFrame:
             doc = np.repeat(b.column(0).to_numpy(), np.diff(off))[at]
             g = groups(h, off, at)
             k = range_of(g, ranges)
-            order = np.argsort(k, kind="stable")
-            p = pair_keys(g, h[at])
-            yield _blocks(k[order], p[order], g[order], doc[order])
+            order = np.argsort(k.astype(np.min_scalar_type(ranges)), kind="stable")
+            blocks = _blocks(k[order], pair_keys(g, h[at])[order], doc[order])
+            yield blocks.append_column("src", pa.array(np.full(blocks.num_rows, b.column(0)[0].as_py()))).select(["k", "src", "x0", "x1"])
 
     def answer(batches):
         table = None
@@ -240,20 +243,28 @@ def evidence(rows: DataFrame, model_shared, learnt, tokens) -> DataFrame:
                 rows.clear()
                 table = None
                 continue
-            kind, x0, x1, x2 = rows.pop()
-            if kind == 0:
+            src, x0, x1 = rows.pop()
+            if src is None:
                 table = Finder(np.frombuffer(x0, np.uint64)), np.frombuffer(x1, np.float64)
             elif table is not None:
-                doc = np.frombuffer(x2, np.int64)
-                group = table[0].find(np.frombuffer(x1, np.uint64))
+                key, doc = np.frombuffer(x0, np.uint64), np.frombuffer(x1, np.int64)
+                group = table[0].find(_mix(key & ~LOW))
                 hit = np.flatnonzero(group >= 0)  # a pair has a weight only where its group has one
-                pair = table[0].find(np.frombuffer(x0, np.uint64)[hit])
+                pair = table[0].find(_mix(key[hit]))
                 doc, sums = doc[hit], table[1][group[hit]] + np.where(pair >= 0, table[1][pair], 0.0)
                 if len(doc):  # a document's tokens are neighbours
                     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-                    yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(np.add.reduceat(sums, first))], names=["row", "v"])
+                    yield _blocks(np.full(len(first), src), doc[first], np.add.reduceat(sums, first))
 
-    sent = rows.select("row", "text").mapInArrow(ask, "k long, x0 binary, x1 binary, x2 binary").selectExpr("k", "1 as kind", "x0", "x1", "x2")
-    both = weights.selectExpr("k", "0 as kind", "x0", "x1", "cast(null as binary) as x2").union(sent)
-    told = both.repartition(parts, "k").sortWithinPartitions("k", "kind").mapInArrow(answer, "row long, v double")
-    return told.groupBy("row").agg(F.sum("v").alias("pairs"))
+    def add(batches):
+        for _, rows, whole in _by_range(batches):
+            if whole:
+                doc, sums = (np.concatenate([np.frombuffer(r[i], t) for r in rows]) for i, t in ((0, np.int64), (1, np.float64)))
+                own, back = np.unique(doc, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.bincount(back, sums, len(own)))], names=["row", "pairs"])
+
+    sent = rows.select("row", "text").mapInArrow(ask, "k long, src long, x0 binary, x1 binary")
+    both = weights.selectExpr("k", "cast(null as long) as src", "x0", "x1").union(sent)
+    told = both.repartitionById(parts, F.col("k").cast("int")).sortWithinPartitions("k", F.col("src").asc_nulls_first())
+    told = told.mapInArrow(answer, "k long, x0 binary, x1 binary")  # k: the first row of the batch that asked
+    return told.repartition(parts, "k").sortWithinPartitions("k").mapInArrow(add, "row long, pairs double")
