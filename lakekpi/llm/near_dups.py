@@ -37,6 +37,7 @@ SKETCH_BITS = 512
 LONGS = SKETCH_BITS // 64
 CHUNK, BLOCK = 1000, 4000
 ROUNDS = 1  # of closest partners
+AT_ONCE = 100  # texts whose words are held at a time
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -94,7 +95,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int
         for b in batches:
             ids = b.column(0).to_pylist()
             n, fp, keys, sk = [], [], [], []
-            for i, s in zip(ids, shingle_sets(text_bytes(b.column(1)), width)):
+            sets = (x for j in range(0, b.num_rows, AT_ONCE) for x in shingle_sets(text_bytes(b.column(1).slice(j, AT_ONCE)), width))
+            for i, s in zip(ids, sets):
                 n.append(len(s))
                 if not len(s) or i is None:  # linked with nothing: a fingerprint of its own
                     fp.append(b"alone" + str(i).encode())
