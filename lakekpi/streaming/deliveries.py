@@ -5,6 +5,9 @@ A delivery that fails is tried again, up to two times and while its event is at
 next attempt when the event is too old, for a dead letter when its time is up.  Attempts are taken in order of time, and a
 timer that lies between two of them is kept in between, so the transitions do not depend on how the rows fall into micro-batches.
 
+Deliveries are kept in buckets by the hash of their id: each call of Python costs milliseconds, a delivery within one microseconds.
+A bucket's timer is that of its delivery that is due first.
+
 Defined results: attempts after delivery or dead letter are ignored while the delivery is known; a null outcome is a failure.
 """
 
@@ -12,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +25,8 @@ from lakekpi import constants as K
 
 US = 1_000_000
 TRANSITIONS = "delivery_id string, state string, attempts int, changed_at timestamp"
-_STATE = "state string, attempts int, event_us long, since_us long"
+_STATE = "ids array<string>, states array<string>, attempts array<int>, event_us array<long>, since_us array<long>"
+BUCKETS = 4096
 RETRY, DELIVERED, DEAD, EXPIRED = "retry", "delivered", "dead_letter", "expired"
 
 
@@ -36,61 +41,68 @@ def _due(state: str, event_us: int, since_us: int, max_age_s: int, keep_days: in
 
 def _step(max_attempts: int, max_age_s: int, keep_days: int):
     def step(key: tuple, frames: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        state, attempts, event_us, since_us = group.get if group.exists else ("", 0, 0, 0)
-        out = []
+        # the deliveries of a bucket by id: state, attempts, event_us, since_us
+        known = {i: list(rest) for i, *rest in zip(*group.get)} if group.exists else {}
+        ids, states, numbers, times = [], [], [], []
 
-        def to(new: str, at_us: int) -> None:
-            nonlocal state, since_us
-            state, since_us = new, at_us
+        def to(i, d: list, new: str, at_us: int) -> None:
+            d[0], d[3] = new, at_us
             if new:
-                out.append((key[0], new, attempts, pd.Timestamp(at_us, unit="us")))
-
-        def wait_until(now_us: int) -> None:
-            """Keep every timer that is due before ``now_us``."""
-            while state and state != EXPIRED:
-                at, then = _due(state, event_us, since_us, max_age_s, keep_days)
+                ids.append(i)
+                states.append(new)
+                numbers.append(d[1])
+                times.append(at_us)
+
+        def wait_until(i, d: list, now_us: int) -> None:
+            """Keep every timer of a delivery that is due before ``now_us``."""
+            while d[0] and d[0] != EXPIRED:
+                at, then = _due(d[0], d[2], d[3], max_age_s, keep_days)
                 if at >= now_us:
                     return
-                to(then, at)
+                to(i, d, then, at)
 
-        if group.hasTimedOut:
-            wait_until(group.getCurrentWatermarkMs() * 1000)
-        else:
+        if not group.hasTimedOut:
             rows = pd.concat(list(frames)).sort_values(["attempted_at", "attempt_id"])
-            at = rows.attempted_at.astype("datetime64[us]").astype("int64")
-            first = rows.event_time.astype("datetime64[us]").astype("int64")
-            for t, e, ok in zip(at, first, rows.ok):
-                wait_until(t)
-                if state in (DELIVERED, DEAD, EXPIRED):
+            at = rows.attempted_at.astype("datetime64[us]").astype("int64").tolist()
+            first = rows.event_time.astype("datetime64[us]").astype("int64").tolist()
+            for i, t, e, ok in zip(rows.delivery_id.tolist(), at, first, rows.ok.tolist()):
+                d = known.setdefault(i, ["", 0, 0, 0])
+                wait_until(i, d, t)
+                if d[0] in (DELIVERED, DEAD, EXPIRED):
                     continue
-                if not state:
-                    event_us, attempts = int(e), 0
-                attempts += 1
-                if ok is True or (ok is not None and ok == True):  # noqa: E712 - numpy booleans
-                    to(DELIVERED, int(t))
-                elif attempts <= max_attempts and t - event_us <= max_age_s * US:
-                    to(RETRY, int(t))
+                if not d[0]:
+                    d[1], d[2] = 0, e
+                d[1] += 1
+                if ok is not None and ok == True:  # noqa: E712 - whatever kind of boolean
+                    to(i, d, DELIVERED, t)
+                elif d[1] <= max_attempts and t - d[2] <= max_age_s * US:
+                    to(i, d, RETRY, t)
                 else:
-                    to(DEAD, int(t))
-            wait_until(group.getCurrentWatermarkMs() * 1000)
-        if state in ("", EXPIRED):
-            group.remove()
+                    to(i, d, DEAD, t)
+        watermark = group.getCurrentWatermarkMs()
+        for i, d in known.items():
+            wait_until(i, d, watermark * 1000)
+        kept = [(i, *d) for i, d in known.items() if d[0] not in ("", EXPIRED)]
+        if kept:
+            group.update(tuple(map(list, zip(*kept))))
+            due = min(_due(*d[1:2], *d[3:], max_age_s, keep_days)[0] for d in kept)
+            group.setTimeoutTimestamp(max(due // 1000, watermark + 1))
         else:
-            group.update((state, attempts, event_us, since_us))
-            due, _ = _due(state, event_us, since_us, max_age_s, keep_days)
-            group.setTimeoutTimestamp(max(due // 1000, group.getCurrentWatermarkMs() + 1))
-        if out:
-            yield pd.DataFrame(out, columns=["delivery_id", "state", "attempts", "changed_at"])
+            group.remove()
+        if ids:
+            yield pd.DataFrame({"delivery_id": ids, "state": states, "attempts": numbers,
+                                "changed_at": np.array(times, "int64").view("datetime64[us]")})
 
     return step
 
 
 def transitions(attempts: DataFrame, lateness: str = "0 seconds", max_attempts: int = K.MAX_RETRY_ATTEMPTS,
-                max_age_s: int = K.MAX_EVENT_AGE_SECONDS, keep_days: int = K.DEAD_LETTER_RETENTION_DAYS) -> DataFrame:
+                max_age_s: int = K.MAX_EVENT_AGE_SECONDS, keep_days: int = K.DEAD_LETTER_RETENTION_DAYS, buckets: int = BUCKETS) -> DataFrame:
     """State changes (delivery_id, state, attempts, changed_at) of a stream of attempts (delivery_id, attempt_id, event_time,
-    attempted_at, ok); rows more than ``lateness`` behind the newest are too late."""
+    attempted_at, ok); rows more than ``lateness`` behind the newest are too late.  ``buckets`` must not change over a checkpoint."""
     rows = attempts.select(F.col("delivery_id").cast("string").alias("delivery_id"), "attempt_id", "event_time", "attempted_at", "ok")
-    return rows.withWatermark("attempted_at", lateness).groupBy("delivery_id").applyInPandasWithState(
+    bucket = F.pmod(F.xxhash64("delivery_id"), F.lit(buckets)).cast("int")
+    return rows.withWatermark("attempted_at", lateness).withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
         _step(max_attempts, max_age_s, keep_days), TRANSITIONS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 

@@ -52,6 +52,29 @@ def test_delivery_changes(spark, tmp, cuts):
         "a": "delivered", "b": "delivered", "c": "expired", "d": "expired", "e": "expired", "f": "expired", "z": "delivered"}
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 4096])
+def test_deliveries_of_a_bucket_are_apart(spark, tmp, buckets):
+    stream = _stream(spark, [ROWS[:5], ROWS[5:9], ROWS[9:]], ATTEMPTS, tmp + "/in")
+    done = DLV.run_deliveries(stream, tmp + "/out", tmp + "/ckpt", buckets=buckets)
+    got = {(r.delivery_id, r.state, r.attempts, int((pd.Timestamp(r.changed_at) - T0).total_seconds())) for r in done.collect()}
+    assert got == WANT and done.count() == len(WANT)
+
+
+def test_calls_do_not_grow_with_deliveries():
+    """Many deliveries of one bucket, a null outcome and a null id among them, take one call."""
+    from types import SimpleNamespace
+
+    kept = {}
+    group = SimpleNamespace(exists=False, hasTimedOut=False, getCurrentWatermarkMs=lambda: 0, update=lambda v: kept.update(v=v),
+                            setTimeoutTimestamp=lambda t: kept.update(t=t), remove=lambda: kept.update(v=None))
+    n = 1000
+    rows = pd.DataFrame({"delivery_id": [None, *map(str, range(1, n))], "attempt_id": range(n), "event_time": [_at(i) for i in range(n)],
+                         "attempted_at": [_at(i) for i in range(n)], "ok": [None if i % 3 == 0 else i % 3 == 1 for i in range(n)]})
+    (out,) = DLV._step(2, 3600, 14)((0,), iter([rows[:400], rows[400:]]), group)
+    assert out.state.tolist() == ["delivered" if i % 3 == 1 else "retry" for i in range(n)] and out.delivery_id.tolist() == rows.delivery_id.tolist()
+    assert [len(x) for x in kept["v"]] == [n] * 5 and kept["t"] == _at(3600).value // 10**6
+
+
 RULES = [("busy", "M", "Sum", 300, ">", 10.0, "notBreaching", None), ("quiet", "M", "SampleCount", 600, "<", 1.0, "breaching", None),
          ("peak", "M", "Maximum", 60, ">", 6.0, "missing", None), ("mean", "M", "Average", 300, ">", 4.0, "notBreaching", None),
          ("never", "N", "Sum", 300, "<", 1.0, "missing", None)]
