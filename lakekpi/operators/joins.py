@@ -66,12 +66,13 @@ def skew_split_join(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: li
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                   skew_share: float | None = 0.01) -> DataFrame:
+                   skew_share: float | None = None) -> DataFrame:
     """Equi-join a fact to a dimension; the dimension is broadcast only behind the size check.
 
-    Beyond the bound, keys carrying at least ``skew_share`` of the fact rows are split off and joined to a
-    broadcast of their own dimension rows (``skew_split_join``); the rest is a shuffle join (AQE may still
-    split remaining skew).  ``max_rows=None`` skips the probe and leaves the strategy to the optimizer.
+    Beyond the bound it is one shuffle join, whose skewed partitions adaptive execution splits by their measured sizes.  With
+    ``skew_share``, keys carrying at least that share of the fact rows are split off and joined to a broadcast of their own
+    dimension rows (``skew_split_join``): for facts that are cheap to read, as the fact is then computed four times (twice in
+    search of hot keys, and for either branch).  ``max_rows=None`` skips the probe and leaves the strategy to the optimizer.
     """
     if max_rows is None:
         return fact.join(dim, on=on, how=how)

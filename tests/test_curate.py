@@ -101,3 +101,36 @@ def test_skew_split_join_matches_plain_join(spark):
         plain = fact.join(dim, "user_id", how)
         assert sorted(map(tuple, got.select("id", "user_id", "user_country").collect())) == sorted(
             map(tuple, plain.select("id", "user_id", "user_country").collect()))
+
+
+def test_a_fact_beyond_the_bound_is_computed_once_and_its_hot_key_is_shared(spark, tmp):
+    from lakekpi.operators.joins import join_dimension
+
+    # joined to two dimensions, neither of which fits; key 7 has a third of the rows
+    spark.range(60000).selectExpr("case when id % 3 = 0 then 7 else cast(id % 500 as int) end as user_id", "cast(id % 300 as int) as song", "id",
+                                  "sha2(cast(id as string), 512) as text").write.parquet(tmp + "/fact")
+    fact = spark.read.parquet(tmp + "/fact")
+    users = spark.range(0, 400).selectExpr("cast(id as int) as user_id", "concat('c', cast(id as string)) as user_country")
+    songs = spark.range(0, 290).selectExpr("cast(id as int) as song", "id * 2 as length")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "262144",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.files.maxPartitionBytes": "1000000"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = join_dimension(join_dimension(fact, songs, "song", "inner", max_rows=10), users, "user_id", "left", max_rows=10)
+        out = got.groupBy("user_country").agg(F.count(F.lit(1)), F.max("text"))
+        rows = {r[0]: r[1] for r in out.collect()}
+        plan = out._jdf.queryExecution()
+        assert str(plan.optimizedPlan().toString()).count("parquet") == 1  # four times for each dimension before
+        assert "skew=true" in str(plan.executedPlan().toString())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    want = {}
+    for i in range(60000):
+        u = 7 if i % 3 == 0 else i % 500
+        if i % 300 < 290:
+            want[f"c{u}" if u < 400 else None] = want.get(f"c{u}" if u < 400 else None, 0) + 1
+    assert rows == want
