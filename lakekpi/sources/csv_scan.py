@@ -95,24 +95,27 @@ def read_batches(spark: SparkSession, root: str, paths=None, materialize=None,
     if paths is not None and not paths:  # nothing but zero-byte files
         return none, spark.createDataFrame([], StructType([StructField("source_key", StringType()), StructField("row_no", IntegerType()),
                                                            *[StructField(f, StringType()) for f in S.REQUIRED_FIELDS]]))
-    if materialize is None:
-        from lakekpi.plans.sinks import stage
+    from lakekpi.plans.sinks import stage
 
-        materialize = lambda df: stage(df, "lines")
-    found = read_records(spark, where, materialize)
+    found = read_records(spark, where, materialize or (lambda df: stage(df, "lines")))
+    # the first two records of each file, which four of the steps below need; all others are read by one
+    first = stage(found.where("rn <= 2"), "first-records")
     # fields of the widest header (an upper bound where names hold commas), and one for rows longer than their header
-    width = max(len(S.REQUIRED_FIELDS), found.where("rn = 1").agg(F.max(F.size(F.split("record", ",")))).first()[0] or 0) + 1
+    width = max(len(S.REQUIRED_FIELDS), first.where("rn = 1").agg(F.max(F.size(F.split("record", ",")))).first()[0] or 0) + 1
     wide = StructType([StructField(f"_c{i}", StringType(), True) for i in range(width)])
     row = F.from_csv("record", wide.simpleString()[len("struct<"):-1].replace(":", " "),
                      {"mode": "PERMISSIVE", "multiLine": "true", "quote": '"', "escape": '"'})
-    lines = found.select(object_key(F.col("path"), root).alias("source_key"), F.col("rn").cast("int").alias("rn"), row.alias("row")).select(
-        "source_key", "rn", F.array(*[F.col(f"row._c{i}") for i in range(width)]).alias("vals"))
-    hdr = lines.filter(F.col("rn") == 1).select(
+
+    def parsed(rows):
+        return rows.select(object_key(F.col("path"), root).alias("source_key"), F.col("rn").cast("int").alias("rn"), row.alias("row")).select(
+            "source_key", "rn", F.array(*[F.col(f"row._c{i}") for i in range(width)]).alias("vals"))
+
+    hdr = parsed(first.where("rn = 1")).select(
         "source_key",
         F.slice(F.transform("vals", lambda x: F.coalesce(x, F.lit(""))), 1, _trailing_len(F.col("vals"))).alias("fields"),
     )
-    data = lines.filter(F.col("rn") > 1)
-    first_len = data.filter(F.col("rn") == 2).select("source_key", _trailing_len(F.col("vals")).alias("_first_len"))
+    data = parsed(found.where("rn > 1"))
+    first_len = parsed(first.where("rn = 2")).select("source_key", _trailing_len(F.col("vals")).alias("_first_len"))
     files = (
         hdr.join(first_len, "source_key", "left")
         .select(

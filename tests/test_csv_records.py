@@ -103,3 +103,13 @@ def test_scan_and_stages_survive_odd_bytes(spark, tmp):
     _write(f"{tmp}/a.csv", b"user_id,track_id,listen_time\n1,\xff\xfe,x\n2,\xc3\xa9,y\n")
     rows = R.read_records(spark, tmp, lambda df: stage(df, "lines")).select(F.col("record").cast("binary")).collect()
     assert sorted(bytes(r[0]) for r in rows)[:2] == [b"1,\xff\xfe,x", b"2,\xc3\xa9,y"]
+
+
+def test_records_of_a_batch_are_put_together_twice(spark, tmp):
+    """Once for the first two of each file, once for all: headers, widths and records do not each read the lines again."""
+    with open(f"{tmp}/a.csv", "w") as f:
+        f.write("user_id,track_id,listen_time\n" + "".join(f"{i},T{i},x\n" for i in range(50)))
+    files, records = read_batches(spark, tmp)
+    plan = lambda df: str(df._jdf.queryExecution().optimizedPlan().toString())
+    assert files.count() == 1 and records.count() == 50
+    assert "state0" not in plan(files) and "state0" in plan(records)
