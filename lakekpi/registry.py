@@ -22,8 +22,9 @@ from lakekpi.operators import serve as E
 from lakekpi.operators import validate as B
 from lakekpi.plans import backfill as J
 from lakekpi.plans import views as V
-from lakekpi.session import configure, scratch_path
+from lakekpi.session import configure, scratch_path, size_shuffles
 from lakekpi.sources import fixtures as X
+from lakekpi.sources.probe import list_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,8 +55,16 @@ def curated(spark, sf_dir) -> DataFrame:
     return C.curate(X.raw(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir))
 
 
+def star(spark, sf_dir) -> DataFrame:
+    """The large batch, with shuffles of as many partitions as its tables' bytes call for."""
+    files = [list_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("lineitem", "orders")]
+    n_bytes = files[0].unionByName(files[1]).agg(F.sum("length")).first()[0] or 0
+    size_shuffles(spark, 4 * n_bytes)  # the joined rows are shuffled at about that size in all, in partitions of 32 MB at most
+    return X.star(spark, sf_dir)
+
+
 def curated_star(spark, sf_dir) -> DataFrame:
-    return C.curate(X.star(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir))
+    return C.curate(star(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir))
 
 
 _CUR = ("raw", "songs", "users")
@@ -363,7 +372,7 @@ def q_dq_gates(spark, sf_dir):
     "star", "songs"))
 def q_star_dq_gates(spark, sf_dir):
     """C14 + C15 over the large batch."""
-    return G.with_drop_rate(G.gate_counts(X.star(spark, sf_dir), X.songs(spark, sf_dir)))
+    return G.with_drop_rate(G.gate_counts(star(spark, sf_dir), X.songs(spark, sf_dir)))
 
 
 RUN_KEY = "streams/landing_date=2024-01-05/batch.csv"
@@ -1170,7 +1179,7 @@ def q_star_silver_gold_jobs(spark, sf_dir):
     from lakekpi.plans.silver import run_silver
 
     root = scratch_path(spark, "star-silver-gold")
-    s = run_silver(spark, X.star(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir),
+    s = run_silver(spark, star(spark, sf_dir), X.songs(spark, sf_dir), X.users(spark, sf_dir),
                    f"{root}/silver", run_key="streams/landing_date=1995-01-01/batch.csv")
     run_gold(spark, f"{root}/silver", f"{root}/gold", s.days)
     return read_gold(spark, f"{root}/gold", "top_songs_by_genre_daily").select(

@@ -71,3 +71,16 @@ def test_size_shuffles_only_raises(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_star_queries_size_their_shuffles_by_the_input(spark, sf, monkeypatch):
+    """Partitions of at most 32 MB, and as many of them as the large batch's tables call for."""
+    from lakekpi import registry, session
+
+    asked = []
+    monkeypatch.setattr(registry, "size_shuffles", lambda s, n: asked.append(n))
+    n_bytes = sum(os.path.getsize(f"{sf}/{t}.parquet") for t in ("lineitem", "orders"))
+    for name in ("star_genre_kpis_daily", "star_top_songs_by_genre_daily", "star_dq_gates"):
+        registry.QUERIES[name](spark, sf)
+    assert asked == [4 * n_bytes] * 3
+    assert int(session.SCALE_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) <= 32 * 1024 * 1024
