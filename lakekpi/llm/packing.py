@@ -27,6 +27,7 @@ from lakekpi.llm.tokenizing import VOCABULARY, encoder
 
 CAPACITY = 2048
 END_ID = 1
+ENCODE_BYTES = 4 << 20  # of texts encoded in one call: a call has a cost of its own, and texts can be long
 POOL = 4096  # remainders held by a task; packing begins when there are twice as many
 
 
@@ -34,7 +35,7 @@ def closest_fill(counts: dict[int, int], room: int) -> dict[int, int]:
     """How many of each length to take so that their sum is the largest possible up to ``room``."""
     mask = (1 << (room + 1)) - 1
     reach, layers = 1, []
-    for length in sorted((x for x in counts if x <= room), reverse=True):
+    for length in sorted([x for x in counts if x <= room], reverse=True):
         left, batch = min(counts[length], room // length), 1
         while left > 0:  # counts in powers of two
             take = min(batch, left)
@@ -121,6 +122,18 @@ class Packer:
             self._fill()
 
 
+def runs_of_bytes(texts: list[bytes], limit: int = ENCODE_BYTES):
+    """(from, to) of consecutive texts of at most ``limit`` bytes together, or of one longer text."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > limit:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if texts:
+        yield start, len(texts)
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
          capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """Per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and the ids themselves if asked for."""
@@ -141,9 +154,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
 
         for b in batches:
             doc_ids, texts = b.column(0).to_pylist(), text_bytes(b.column(1))
-            for i in range(0, len(texts), 200):  # few at a time: texts can be long
-                ids, off = words.encode(texts[i:i + 200])
-                for j, doc in enumerate(doc_ids[i:i + 200]):
+            for i, to in runs_of_bytes(texts):
+                ids, off = words.encode(texts[i:to])
+                for j, doc in enumerate(doc_ids[i:to]):
                     own = np.append(ids[off[j]:off[j + 1]], np.uint32(end_id))
                     packer.add((doc, len(own)), own)
             if packer.rows:

@@ -58,6 +58,41 @@ def test_packing_holds_every_id_once(llm, awkward):
     assert pk.pack(frame(llm, [])).collect() == []
 
 
+def test_texts_are_encoded_in_runs_of_bytes():
+    texts = [b"a" * n for n in (3, 3, 4, 1, 25, 0, 10, 0)]
+    assert list(pk.runs_of_bytes(texts, 10)) == [(0, 3), (3, 4), (4, 5), (5, 8)]
+    assert list(pk.runs_of_bytes([], 10)) == []
+    assert list(pk.runs_of_bytes([b"short"] * 2000)) == [(0, 2000)]  # one call, not ten
+
+
+def test_plain_words_need_the_model_alone():
+    enc, marks = WordEncoder(), '.,;:!?*#$%&()"'
+    words = ["a", "the", "thedouin", "onenreing", "cannot", "dont", "s", "ll", "z" * 70] + [f"word{m}" for m in marks] + [
+        "end.)", "stop!!", 'said,"', "x,***", "a" + marks, "b" + marks[::-1], "we'll.", "it's,", "a.b", "1st.", "caf\u00e9.", "(so", "<|a|>.", "a_", "a1,"]
+    whole = {w: enc.tokenizer.encode(w, add_special_tokens=False).ids for w in words}
+    asked, encode = [], enc.tokenizer.encode
+
+    class Counting:
+        def encode(self, ws, **how):
+            asked.extend(ws)
+            return encode(ws, **how)
+
+    enc.tokenizer = Counting()
+    ids, off = enc.encode([w.encode() for w in words])
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [whole[w] for w in words]
+    assert asked == ["we'll.", "it's,", "a.b", "1st.", "caf\u00e9.", "(so", "<|a|>.", "a_", "a1,"]
+
+
+def test_encoder_copies_its_cache_seldom():
+    enc, homes = WordEncoder(), set()
+    for i in range(60):  # new words in every call
+        words = [f"w{i}x{j}" for j in range(20)]
+        ids, _ = enc.encode([" ".join(words).encode()])
+        assert ids.tolist() == enc.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+        homes.add(enc.ids.__array_interface__["data"][0])
+    assert len(homes) < 15
+
+
 def test_closest_fill():
     rng = np.random.default_rng(0)
     for _ in range(200):
