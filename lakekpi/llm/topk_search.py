@@ -9,6 +9,9 @@ unseen nor seen outsiders can qualify; the scores of those left are then resolve
 is a lower bound for all other blocks, which lets them stop much earlier.  Ties at the bound are kept, and
 the blocks' lists are merged by (score, smaller id), which makes the result exact.
 
+How far a list is read does not depend on the query, only its end does.  So what is read of a block down to a depth is
+the same for all queries: one matrix for either end, and the bounds of many queries are two matrix products.
+
 Defined results: vectors that are null or hold null or non-finite components take no part; vectors of different
 lengths are filled up with zeros; rows with a null id take no part; repeated rows of an id are candidates each on
 their own (and no candidate for their own id); scores beyond 64 bits are held at the largest long.
@@ -25,14 +28,16 @@ from lakekpi.llm.common import read_table, stage
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
-READS = 8  # the lists are read in so many steps, bounds are compared after each
-RESOLVE = 8  # reading stops when this part of a block's rows is left; their scores are then resolved
-SLACK = 1e-5  # of the bounds: more than their rounding
+UNREAD = (2, 4, 8, 16, 32)  # the lists are read up to these parts of them, bounds are compared after each
+RESOLVE = 64  # reading stops when this part of a block's rows is left; their scores are then resolved
+TOGETHER = 128  # queries whose bounds are held at a time
 LIMIT = 2**63 - 1
 
 
 def _matrix(rows: pd.Series, dim: int) -> np.ndarray:
-    """Integer vectors as one matrix; Python integers only where 64-bit sums could overflow."""
+    """Integer vectors as one matrix, filled up with zeros."""
+    if len(rows) and (rows.map(len) == dim).all():
+        return np.concatenate(rows.to_numpy()).reshape(len(rows), dim)
     m = np.zeros((len(rows), dim), np.float64)
     for i, r in enumerate(rows):
         m[i, :len(r)] = r
@@ -44,42 +49,62 @@ class SortedLists:
 
     def __init__(self, x: np.ndarray):
         self.x = x
-        self.ids = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
-        self.values = np.take_along_axis(np.ascontiguousarray(x.T), self.ids, 1)
+        self.unit = np.abs(x).max(initial=0.0) or 1.0  # bounds are taken in single precision, of numbers up to 1
+        self.ids = np.argsort(x, axis=0, kind="stable")
+        self.values = np.take_along_axis(x / self.unit, self.ids, 0).astype(np.float32)
+        self.largest = np.abs(self.values).max(axis=0, initial=0.0).astype(float)
+
+    def read(self, unread: int) -> tuple[np.ndarray, np.ndarray]:
+        """What is known of each row when all but ``unread`` entries of each list were read: least and most that its
+        components are worth, side by side for lists read from their large and from their small end."""
+        n, dim = self.x.shape
+        low, up = np.empty((2, n, 2 * dim), np.float32)
+        for at, end, last, edge in ((slice(0, dim), slice(unread, n), 0, unread),
+                                    (slice(dim, 2 * dim), slice(0, n - unread), n - 1, n - unread - 1)):
+            low[:, at], up[:, at] = self.values[last], self.values[edge]
+            for m in (low[:, at], up[:, at]):
+                np.put_along_axis(m, self.ids[end], self.values[end], 0)
+        return low, up
 
     def best(self, q: np.ndarray, k: int, known: float = -np.inf) -> np.ndarray:
         """Rows that hold all of the k best scores for ``q`` (ties included) that are not below ``known``."""
-        n = len(self.x)
-        if n <= k or not q.any():
-            return np.arange(n)
-        # lists are read from their large end where the query's weight is positive, else from their small end
-        rise, fall = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        w = np.concatenate([q[rise], q[fall]])
-        last = w * np.concatenate([self.values[rise, 0], self.values[fall, -1]])
-        low = np.full(n, last.sum())  # lower bounds, as if nothing unseen were worth more than the list's end
-        seen = np.zeros(len(w) * n, np.float32)  # per list, the rows that have come up
-        shift = np.arange(len(w))[:, None] * n
-        at, step = 0, max(k, n // READS)
-        while at < n:
-            to = min(n, at + step)
-            ids = np.concatenate([self.ids[rise, n - to:n - at], self.ids[fall, at:to]])
-            gain = np.concatenate([self.values[rise, n - to:n - at], self.values[fall, at:to]])
-            gain *= w[:, None]
-            gain -= last[:, None]
-            low += np.bincount(ids.ravel(), gain.ravel(), n)
-            at = to
-            if at == n:
+        return self.best_of(q[None], np.array([k]), np.array([known], float))[0]
+
+    def best_of(self, queries: np.ndarray, k: np.ndarray, known: np.ndarray) -> list[np.ndarray]:
+        """``best`` for each of many queries."""
+        n, found = len(self.x), [np.arange(len(self.x))] * len(queries)
+        wide = int(k.max(initial=0))
+        if n <= wide:
+            return found
+        largest = np.abs(queries).max(axis=1, initial=0.0)
+        open_ = np.flatnonzero(largest > 0)  # all rows are equal to a query of zeros
+        unit = np.where(largest > 0, largest, 1.0)
+        w = queries / unit[:, None]
+        floor = known / (self.unit * unit)
+        # products of 2 * dim numbers, each rounded, and their sums: more than their rounding
+        slack = (2 * queries.shape[1] + 8) * 2.0 ** -24 * (np.abs(w) @ self.largest) * 2 + 1e-30
+        sides = np.concatenate([np.maximum(w, 0), np.minimum(w, 0)], 1).astype(np.float32)
+        enough = max(8 * wide, n // RESOLVE)
+        for part in UNREAD:
+            if not len(open_) or n // part < 1:
                 break
-            seen[(ids + shift).ravel()] = 1
-            # what an unseen row can still have in each list, beyond the list's end
-            more = w * np.concatenate([self.values[rise, n - at - 1], self.values[fall, at]]) - last
-            up = low + (more.sum() - more.astype(np.float32) @ seen.reshape(len(w), n))
-            floor = max(known, np.partition(low, n - k)[n - k])
-            left = np.flatnonzero(up >= floor - SLACK * (1 + abs(floor) + more.sum()))
-            if len(left) <= max(8 * k, n // RESOLVE):
-                return left
-        floor = max(known, np.partition(low, n - k)[n - k])
-        return np.flatnonzero(low >= floor - SLACK * (1 + abs(floor)))
+            low, up = self.read(n // part)
+            still = []
+            for at in range(0, len(open_), TOGETHER):
+                some = open_[at:at + TOGETHER]
+                most = sides[some] @ up.T
+                left = most >= (floor[some] - slack[some]).astype(np.float32)[:, None]
+                many = np.flatnonzero(left.sum(axis=1) > enough)
+                if len(many):  # the bound is not known well enough: take it from this block
+                    at_least = np.partition(sides[some[many]] @ low.T, n - wide, axis=1)[:, n - wide]
+                    floor[some[many]] = np.maximum(floor[some[many]], at_least - slack[some[many]])
+                    left[many] = most[many] >= (floor[some[many]] - slack[some[many]]).astype(np.float32)[:, None]
+                count = left.sum(axis=1)
+                for i, c, rows in zip(some, count, left):
+                    found[i] = np.flatnonzero(rows)
+                still.append(some[count > enough])
+            open_ = np.concatenate(still)
+        return found
 
 
 def _scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -98,10 +123,13 @@ def _meet(k: int):
             dim = int(max(cand.v.map(len).max(), queries.v.map(len).max()))
             x, ids = _matrix(cand.v, dim), cand.vec_id.to_numpy()
             lists = SortedLists(x)
-            floors = queries.floor.to_numpy(float, na_value=-np.inf)
-            for qid, q, floor in zip(queries.vec_id, _matrix(queries.v, dim), floors):
-                # one more than k for each row of the query's own id, which is no candidate
-                rows = lists.best(q, k + int((ids == qid).sum()), floor)
+            q_ids, q_rows = queries.vec_id.to_numpy(), _matrix(queries.v, dim)
+            # held scores say nothing of what lies beyond 64 bits
+            floors = np.minimum(queries.floor.to_numpy(float, na_value=-np.inf), LIMIT)
+            floors[floors <= -LIMIT] = -np.inf
+            # one more than k for each row of the query's own id, which is no candidate
+            own = pd.Series(ids).value_counts().reindex(q_ids, fill_value=0).to_numpy()
+            for qid, q, rows in zip(q_ids, q_rows, lists.best_of(q_rows, k + own, floors)):
                 rows = rows[ids[rows] != qid]
                 score = _scores(x[rows], q)
                 top = np.lexsort((ids[rows], ~score))[:k]  # ~ turns the order round without overflow

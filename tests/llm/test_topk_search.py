@@ -49,3 +49,28 @@ def test_reading_stops_early():
     q = x[0]
     left = tk.SortedLists(x).best(q, 20)
     assert len(left) < 400 and set(np.argsort(-(x @ q), kind="stable")[:20]) <= set(left)
+
+
+def test_many_queries_read_the_lists_once():
+    rng = np.random.default_rng(2)
+    x = np.floor(rng.normal(0, 8, (5000, 64)))
+    x[100:140] = x[100]  # ties
+    queries = np.concatenate([x[::100], np.zeros((1, 64)), x[:1] * 1e30])
+    lists, depths = tk.SortedLists(x), []
+    read = lists.read
+    lists.read = lambda unread: depths.append(unread) or read(unread)
+    scores = queries @ x.T
+    known = np.sort(scores, axis=1)[:, -25]
+    known[::2] = -np.inf
+    for q, s, least, rows in zip(queries, scores, known, lists.best_of(queries, np.full(len(queries), 20), known)):
+        floor = max(least, np.sort(s)[-20])
+        assert set(np.flatnonzero(s >= floor)) <= set(rows)
+        assert len(rows) <= 160 or not q.any()
+    assert len(depths) <= len(tk.UNREAD)
+
+
+def test_scores_held_at_the_least_long_give_no_bound(llm):
+    rng = np.random.default_rng(4)
+    rows = [(0, [1e15, 1e15])] + [(i, [-float(x), -1e15]) for i, x in enumerate(rng.integers(10**14, 10**16, 79), 1) if i % 20]
+    found = search(llm, rows, block_rows=25)
+    assert [r[2] for r in found] == [i for i, _ in rows[1:21]] and {r[3] for r in found} == {-2**63}
