@@ -9,6 +9,7 @@ from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan, St
 from pyspark.sql.types import StructType
 
 from lakekpi.plans import compact as CP
+from lakekpi.plans import sinks
 from lakekpi.plans import stages as SG
 from lakekpi.sources import generations as GN
 from lakekpi.sources.files import open_fs
@@ -67,6 +68,29 @@ def test_compaction_plan_and_swap(spark, tmp):
     assert CP.compact(spark, tmp + "/t", "d", target).count() == 0
 
 
+def test_small_files_hold_all_rows_and_a_repeated_task_writes_the_same(spark, tmp):
+    rows = spark.range(25_000).select(
+        F.when(F.col("id") % 11 > 0, F.col("id").cast("int")).alias("i"), F.concat(F.lit("é"), (F.col("id") % 7).cast("string")).alias("s"),
+        F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id + 0.000001)").alias("ts"),
+        F.when(F.col("id") < 24_990, F.expr("date_add(date'2024-01-01', cast(id * id % 3 as int))")).alias("d"), (F.col("id") / 3).alias("x"))
+    dealt = rows.repartition(2, "d").cache()
+    per_task = [r[0] for r in dealt.groupBy(F.spark_partition_id(), "d").count().select("count").collect()]
+
+    def contents():
+        return {p: open(os.path.join(at, p), "rb").read() for at, _, names in os.walk(tmp + "/s") for p in names}
+
+    want = sum(-(-n // 50) for n in per_task), 25_000
+    assert sinks.write_small_files(dealt, tmp + "/s", "d", 50) == want
+    first = contents()
+    back = spark.read.parquet(tmp + "/s")
+    assert back.exceptAll(rows.select(back.columns)).isEmpty() and back.count() == 25_000
+    assert [f.dataType for f in back.schema] == [f.dataType for f in rows.select(back.columns).schema]
+    assert back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 50
+    assert sinks.write_small_files(dealt, tmp + "/s", "d", 50) == want and contents() == first
+    assert sinks.write_small_files(dealt.where("i < 0"), tmp + "/none", "d", 50) == (0, 0)
+    dealt.unpersist()
+
+
 def test_compaction_keeps_the_table_if_rows_differ(spark, tmp, monkeypatch):
     spark.range(50).withColumn("d", F.lit("a")).repartition(4).write.partitionBy("d").parquet(tmp + "/t")
     stage = CP.stage
