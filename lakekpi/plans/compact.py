@@ -52,7 +52,9 @@ def compact(spark: SparkSession, table: str, day_col: str = "event_date", target
     small = F.broadcast(days.select(F.col("day").alias("_day"), "bins", "first"))  # one row a day
     old = rows.join(small, F.col(day_col).cast("string") == F.col("_day")).drop("_day")
     dealt = old.withColumn("_bin", (F.col("first") + F.pmod(F.xxhash64(*rows.columns), F.col("bins"))).cast("int")).drop("bins", "first")
-    staged = stage(dealt, "compact")
+    # a scan of small files has a task for every few of them; each would stage a small file of its own
+    writers = max(int(total), 8 * spark.sparkContext.defaultParallelism)
+    staged = stage(dealt.coalesce(writers), "compact")
     before, after = row_hashes(old.select(rows.columns), day_col), row_hashes(staged.select(rows.columns), day_col)
     checked = stage(days.join(before, "day").join(after.toDF("day", "a_rows", "a_hash"), "day", "left"), "compact-check")
     if not checked.where("not (n_rows <=> a_rows and row_hash <=> a_hash)").isEmpty():

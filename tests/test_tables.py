@@ -100,6 +100,20 @@ def test_compaction_keeps_the_table_if_rows_differ(spark, tmp, monkeypatch):
     assert spark.read.parquet(tmp + "/t").count() == 50
 
 
+def test_compaction_stages_few_files(spark, tmp, monkeypatch):
+    stage, parts = CP.stage, {}
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 1)
+    monkeypatch.setattr(CP, "stage", lambda df, name: parts.setdefault(name, df.rdd.getNumPartitions()) and stage(df, name))
+    spark.range(50).withColumn("d", F.lit("a")).repartition(20).write.partitionBy("d").parquet(tmp + "/t")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        done = CP.compact(spark, tmp + "/t", "d").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert done[0].n_rows == 50 and parts["compact"] == 8
+    assert sorted(r.id for r in spark.read.parquet(tmp + "/t").collect()) == list(range(50))
+
+
 def test_projection_takes_day_filters():
     schema = StructType.fromDDL("v int, date string")
 
