@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from lakekpi.plans.sinks import stage
-from lakekpi.sources.probe import list_files
+from lakekpi.plans.small_files import list_table, read_table
 
 TARGET_BYTES = 256 * 1024 * 1024
 
@@ -21,9 +21,13 @@ class RowsDiffer(RuntimeError):
     pass
 
 
+def _day(day_col: str):
+    return F.regexp_extract("path", f"/{day_col}=([^/]+)/", 1)
+
+
 def day_sizes(spark: SparkSession, table: str, day_col: str) -> DataFrame:
     """Per day: files, bytes, and files below half the target size in a size histogram of powers of four."""
-    files = list_files(spark, table).select(F.regexp_extract("path", f"/{day_col}=([^/]+)/", 1).alias("day"), F.col("length").alias("bytes"))
+    files = list_table(spark, table).where(F.col("path").endswith(".parquet")).select(_day(day_col).alias("day"), F.col("length").alias("bytes"))
     return files.groupBy("day").agg(
         F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.min("bytes").alias("smallest"), F.max("bytes").alias("largest"))
 
@@ -48,12 +52,12 @@ def compact(spark: SparkSession, table: str, day_col: str = "event_date", target
     total = days.agg(F.sum("bins")).first()[0]
     if not total:
         return days.select("day", "files", "bytes", "bins").withColumns({"n_rows": F.lit(0).cast("long"), "row_hash": F.lit(None).cast("decimal(38,0)")})
-    rows = spark.read.parquet(table)
     small = F.broadcast(days.select(F.col("day").alias("_day"), "bins", "first"))  # one row a day
+    writers = max(int(total), 8 * spark.sparkContext.defaultParallelism)  # else each task would stage small files of its own
+    files = stage(list_table(spark, table), "compact-files")
+    rows = read_table(spark, table, files, writers, files.join(small, _day(day_col) == F.col("_day"), "left_semi"))
     old = rows.join(small, F.col(day_col).cast("string") == F.col("_day")).drop("_day")
     dealt = old.withColumn("_bin", (F.col("first") + F.pmod(F.xxhash64(*rows.columns), F.col("bins"))).cast("int")).drop("bins", "first")
-    # a scan of small files has a task for every few of them; each would stage a small file of its own
-    writers = max(int(total), 8 * spark.sparkContext.defaultParallelism)
     staged = stage(dealt.coalesce(writers), "compact")
     before, after = row_hashes(old.select(rows.columns), day_col), row_hashes(staged.select(rows.columns), day_col)
     checked = stage(days.join(before, "day").join(after.toDF("day", "a_rows", "a_hash"), "day", "left"), "compact-check")

@@ -111,12 +111,14 @@ def q_compacted_days(spark, sf_dir):
     """Silver written in many small files per day, compacted: rows and hashes stay, files are as planned (days of 60 rows or more)."""
     from lakekpi.plans import compact as CP
     from lakekpi.plans.sinks import write_small_files
+    from lakekpi.plans.small_files import list_table, read_table
 
     path = f"{scratch_path(spark, 'compact')}/silver"
     cur = curated(spark, sf_dir)
     write_small_files(cur.withColumn("_n", F.pmod(F.xxhash64(*cur.columns), F.lit(6))).repartition("event_date", "_n").drop("_n"),
                       path, "event_date", 50)
-    before = _kept(CP.row_hashes(spark.read.parquet(path), "event_date"))
+    written = read_table(spark, path, _kept(list_table(spark, path)), 8 * spark.sparkContext.defaultParallelism)
+    before = _kept(CP.row_hashes(written, "event_date"))
     done = CP.compact(spark, path, "event_date")
     after = CP.row_hashes(spark.read.parquet(path), "event_date").join(CP.day_sizes(spark, path, "event_date").select(
         "day", F.col("files").alias("files_after")), "day")

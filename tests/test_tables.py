@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from lakekpi.plans import compact as CP
 from lakekpi.plans import sinks
+from lakekpi.plans import small_files as SF
 from lakekpi.plans import stages as SG
 from lakekpi.sources import generations as GN
 from lakekpi.sources.files import open_fs
@@ -114,6 +115,84 @@ def test_compaction_stages_few_files(spark, tmp, monkeypatch):
     assert sorted(r.id for r in spark.read.parquet(tmp + "/t").collect()) == list(range(50))
 
 
+def test_compaction_keeps_no_record_of_each_file_in_the_driver(spark, tmp, monkeypatch):
+    stage, held = CP.stage, {}
+    inside = lambda df: [f for f in df.inputFiles() if f"{tmp}/t/" in f]  # noqa: E731 - files of the table that the plan names
+    monkeypatch.setattr(CP, "stage", lambda df, name: held.update({name: inside(df)}) or stage(df, name))
+    rows = spark.range(400).select("id", (F.col("id") % 3).cast("string").alias("d"))
+    rows.repartition(20).write.partitionBy("d").parquet(tmp + "/t")
+    sizes = CP.day_sizes(spark, tmp + "/t", "d")
+    assert inside(sizes) == [] and sizes.agg(F.sum("files")).first()[0] == 60
+    assert sorted((r.day, r.n_rows) for r in CP.compact(spark, tmp + "/t", "d").collect()) == [("0", 134), ("1", 133), ("2", 133)]
+    assert {"compact-plan", "compact", "compact-check"} <= set(held) and not any(held.values())
+    assert sorted(r.id for r in spark.read.parquet(tmp + "/t").collect()) == list(range(400))
+
+
+def _read(spark, path):
+    return SF.read_table(spark, path, sinks.stage(SF.list_table(spark, path), "files"), 3)
+
+
+def _same(spark, path):
+    got, want = _read(spark, path), spark.read.parquet(path)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+    text = lambda df: df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))  # noqa: E731 - maps cannot be compared
+    assert text(got).exceptAll(text(want)).isEmpty() and text(want).exceptAll(text(got)).isEmpty()
+    return got.count()
+
+
+@pytest.mark.parametrize("times", ["INT96", "TIMESTAMP_MICROS"])
+def test_rows_of_small_files_are_those_of_sparks_reader(spark, tmp, times):
+    odd = F.when(F.col("id") % 5 > 0, F.col("id"))
+    at = F.expr("timestamp'1650-01-01 00:00:00.000001' + make_dt_interval(cast(id as int) * 4000)")
+    rows = spark.range(60).select(
+        "id", (odd > 9).alias("ok"), odd.cast("byte").alias("b"), odd.cast("short").alias("s"), (odd / 7).cast("float").alias("f"),
+        (odd / 7).alias("dotted.name"), odd.cast("decimal(9,2)").alias("m"), odd.cast("decimal(38,4)").alias("w"), odd.cast("string").alias("é"),
+        odd.cast("string").cast("binary").alias("raw"), at.alias("at"), at.cast("timestamp_ntz").alias("ntz"), at.cast("date").alias("on"),
+        F.array(odd, F.lit(None)).alias("list"), F.struct(odd.alias("x"), F.array(F.struct(at.alias("y"))).alias("z")).alias("both"),
+        F.create_map(F.lit("k"), F.struct(odd.alias("v"))).alias("map"),
+        F.when(F.col("id") % 4 == 0, "a b=c/d%").when(F.col("id") % 4 == 1, "7").when(F.col("id") % 4 == 2, "x").alias("d"),
+        (F.col("id") % 2).cast("int").alias("n"))
+    spark.conf.set("spark.sql.parquet.outputTimestampType", times)
+    try:
+        rows.repartition(6).write.partitionBy("d", "n").parquet(tmp + "/t")
+    finally:
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    for name in ("_note.parquet", ".part.parquet", "zero.parquet"):
+        open(f"{tmp}/t/d=7/n=1/{name}", "w").write("" if name[0] == "z" else "not read")
+    assert _same(spark, tmp + "/t") == 60
+    assert _same(spark, f"file://{tmp}/t") == 60
+
+
+def test_small_files_with_other_columns_and_large_batches(spark, tmp):
+    wide = spark.range(70_000).select(F.col("id").cast("int").alias("a"), F.lit("x").alias("B"), F.expr("date_add(date'2024-01-01', cast(id % 2 as int))").alias("d"))
+    wide.coalesce(2).write.partitionBy("d").parquet(tmp + "/t")
+    for i, some in enumerate((wide.select("d", "a"), wide.select(F.lit(1).alias("more"), F.lit("y").alias("b"), "d"), wide.where("a < 0"))):
+        some.limit(9).coalesce(1).write.partitionBy("d").parquet(f"{tmp}/more{i}")
+        for at, _, names in os.walk(f"{tmp}/more{i}"):
+            for name in names:
+                if name.startswith("part") and "d=" in at:
+                    os.rename(f"{at}/{name}", f"{tmp}/t/{os.path.basename(at)}/zz-{i}-{name}")
+    assert _same(spark, tmp + "/t") == 70_018
+    spark.conf.set("spark.sql.parquet.mergeSchema", "true")
+    try:
+        assert "more" in _read(spark, tmp + "/t").columns and not SF.by_tasks(spark, tmp + "/t")
+    finally:
+        spark.conf.unset("spark.sql.parquet.mergeSchema")
+    assert not SF.by_tasks(spark, "viewfs://store/t") and not SF.by_tasks(spark, tmp + "/none")
+
+
+def test_old_dates_are_not_read_otherwise(spark, tmp):
+    spark.conf.set("spark.sql.parquet.datetimeRebaseModeInWrite", "LEGACY")
+    try:
+        for name, day in (("new", "2024-01-01"), ("old", "1500-01-01")):
+            spark.range(3).select(F.lit(day).cast("date").alias("on"), F.lit("a").alias("d")).write.partitionBy("d").parquet(f"{tmp}/{name}")
+    finally:
+        spark.conf.unset("spark.sql.parquet.datetimeRebaseModeInWrite")
+    assert _same(spark, tmp + "/new") == 3
+    with pytest.raises(Exception, match="OldCalendar"):
+        _read(spark, tmp + "/old").collect()
+
+
 def test_projection_takes_day_filters():
     schema = StructType.fromDDL("v int, date string")
 
