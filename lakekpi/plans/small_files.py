@@ -101,7 +101,7 @@ def _check_calendar(meta: dict, t: pa.Table, path: str) -> None:
     for c in t.columns:
         dated = pa.types.is_date(c.type) or pa.types.is_timestamp(c.type)
         if pa.types.is_nested(c.type) or (dated and pc.any(pc.less(c.cast(pa.date32()).cast(pa.int32()), CALENDAR_DAY)).as_py()):
-            raise OldCalendar(f"{path} holds dates of the old calendar; rewrite it with Spark first")
+            raise OldCalendar(f"{path} may hold dates of the old calendar, which Spark's reader shifts")
 
 
 def _rows(batches: Iterator[pa.RecordBatch], root: str, inside: pa.Schema, parts: list[str]) -> Iterator[pa.RecordBatch]:

@@ -191,6 +191,13 @@ def test_old_dates_are_not_read_otherwise(spark, tmp):
     assert _same(spark, tmp + "/new") == 3
     with pytest.raises(Exception, match="OldCalendar"):
         _read(spark, tmp + "/old").collect()
+    spark.read.parquet(tmp + "/old").repartition(3).write.partitionBy("d").parquet(tmp + "/many")
+    os.makedirs(tmp + "/many/d=b")
+    for at, _, names in os.walk(tmp + "/old/d=a"):
+        for name in names:
+            os.link(f"{at}/{name}", f"{tmp}/many/d=b/{name}")
+    assert sorted((r.day, r.n_rows) for r in CP.compact(spark, tmp + "/many", "d").collect()) == [("a", 3), ("b", 3)]
+    assert {str(r.on) for r in spark.read.parquet(tmp + "/many").collect()} == {"1500-01-01"}
 
 
 def test_projection_takes_day_filters():
